@@ -1,0 +1,169 @@
+"""Reading one page inside a task: the standard library's HTML tokenizer plus the few selectors portals need.
+
+Holds no job logic. Text is handed back raw; cleaning is done by Spark expressions.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+# Fixed values of the HTML syntax: elements without content, and which open
+# elements a start tag ends (within the nearest enclosing barrier element).
+VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+CLOSED_BY = {
+    "li": ({"li"}, {"ul", "ol"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr", "td", "th"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
+}
+for _block in "p div ul ol dl table section article h1 h2 h3 h4 form".split():
+    CLOSED_BY.setdefault(_block, ({"p"}, {"td", "th", "li", "div", "section", "body"}))
+# An end tag never reaches past an open element of higher rank.
+RANK = {"div": 1, "td": 2, "th": 2, "tr": 3, "tbody": 4, "thead": 4, "tfoot": 4, "table": 5, "body": 6, "html": 7}
+# Elements whose content is no text of the page.
+SILENT = {"script", "style", "template", "rt", "rp"}
+
+
+class Element:
+    __slots__ = ("tag", "attrs", "parent", "parts", "first", "last")
+
+    def __init__(self, tag, attrs, parent, first):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.parts = []  # child elements and text, in page order
+        self.first = self.last = first  # its descendants are page.elements[first:last]
+
+
+class Page(HTMLParser):
+    """All elements of a page in order of their start tags."""
+
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        root = Element("", {}, None, 0)
+        self.elements, self._open = [], [root]
+        self.feed(html)
+        self.close()
+        self._close_from(0)
+
+    def _close_from(self, depth):
+        for element in self._open[depth:]:
+            element.last = len(self.elements)
+        del self._open[depth:]
+
+    def handle_starttag(self, tag, attrs):
+        if tag in CLOSED_BY:
+            ends, barriers = CLOSED_BY[tag]
+            cut = None
+            for depth in range(len(self._open) - 1, 0, -1):
+                if self._open[depth].tag in ends:
+                    cut = depth
+                elif self._open[depth].tag in barriers:
+                    break
+            if cut:
+                self._close_from(cut)
+        parent = self._open[-1]
+        values = {}
+        for name, value in attrs:
+            values.setdefault(name, value or "")
+        element = Element(tag, values, parent, len(self.elements) + 1)
+        parent.parts.append(element)
+        self.elements.append(element)
+        if tag not in VOID:
+            self._open.append(element)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._close_from(len(self._open) - 1)
+
+    def handle_endtag(self, tag):
+        rank = RANK.get(tag, 0)
+        for depth in range(len(self._open) - 1, 0, -1):
+            if self._open[depth].tag == tag:
+                return self._close_from(depth)
+            if RANK.get(self._open[depth].tag, 0) > rank:
+                return None
+        return None
+
+    def handle_data(self, data):
+        parts = self._open[-1].parts
+        if parts and isinstance(parts[-1], str):
+            parts[-1] += data
+        else:
+            parts.append(data)
+
+    def handle_comment(self, data):
+        self._open[-1].parts.append(None)  # text before and after a comment are two nodes
+
+    def find(self, selector, scope=None):
+        """Elements that match a compiled selector, in page order, below ``scope`` if given."""
+        pool = self.elements if scope is None else self.elements[scope.first : scope.last]
+        return [element for element in pool if any(_matches(element, chain) for chain in selector)]
+
+
+def text(element, joint=""):
+    """Text nodes below ``element`` joined by ``joint``; scripts and styles are no text."""
+    found, stack = [], [element]
+    while stack:
+        part = stack.pop()
+        if isinstance(part, str):
+            found.append(part)
+        elif part is not None and (part is element or part.tag not in SILENT):
+            stack.extend(reversed(part.parts))
+    return joint.join(found)
+
+
+_COMPOUND = re.compile(r"(?:[\w-]+|\*)?(?:[#.][\w-]+|\[[\w-]+(?:=(?:\"[^\"]*\"|'[^']*'|[\w-]+))?\])*")
+_SIMPLE = re.compile(r"([#.])([\w-]+)|\[([\w-]+)(?:=(\"[^\"]*\"|'[^']*'|[\w-]+))?\]")
+
+
+def compile_selector(selector):
+    """Tag, ``#id``, ``.class``, ``[attr]``, ``[attr=value]``, descendants and comma groups."""
+    chains = []
+    for group in selector.split(","):
+        chain = []
+        for compound in group.split():
+            if not _COMPOUND.fullmatch(compound):
+                raise ValueError(f"unsupported selector {selector!r}")
+            tag = re.match(r"[\w-]*", compound).group().lower()
+            tests = []
+            for mark, name, attr, value in _SIMPLE.findall(compound):
+                key = {"#": "id", ".": "class"}.get(mark, attr.lower())
+                tests.append((key, mark, name if mark else value.strip("\"'") if value else None))
+            chain.append((tag, tests))
+        if not chain:
+            raise ValueError(f"empty selector in {selector!r}")
+        chains.append(chain)
+    return chains
+
+
+def _fits(element, compound):
+    tag, tests = compound
+    if tag and element.tag != tag:
+        return False
+    for key, mark, wanted in tests:
+        value = element.attrs.get(key)
+        if value is None:
+            return False
+        if mark == ".":
+            if wanted not in value.split():
+                return False
+        elif wanted is not None and value != wanted:
+            return False
+    return True
+
+
+def _matches(element, chain):
+    if not _fits(element, chain[-1]):
+        return False
+    above = element.parent
+    for compound in reversed(chain[:-1]):
+        while above is not None and not _fits(above, compound):
+            above = above.parent
+        if above is None:
+            return False
+        above = above.parent
+    return True
