@@ -5,6 +5,8 @@ Every function takes and returns a ``Column`` built from built-in expressions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,11 +41,6 @@ PLACEHOLDERS = [
 WORD_SUFFIXES = ["jr", "sr", "esq"]
 ROMAN_SUFFIXES = ["ii", "iii", "iv", "v"]
 
-# A suffix token may carry dots anywhere and any case: "Jr.", "J.R.", "III".
-_SUFFIX_TOKEN = r"(?:(?i)\.*(?:{})\.*)".format(
-    "|".join(r"\.*".join(word) for word in WORD_SUFFIXES + ROMAN_SUFFIXES)
-)
-
 # Month names; the first three letters are the abbreviation.
 MONTHS = [
     "january",
@@ -59,22 +56,52 @@ MONTHS = [
     "november",
     "december",
 ]
-_MONTH_STARTS = "".join(month[:3] for month in MONTHS)
-_ANY_MONTH = "|".join(f"{month[:3]}(?:{month[3:]})?" if len(month) > 3 else month for month in MONTHS)
-_SHORT_MONTH = "|".join(month[:3] for month in MONTHS)
-
-_MONTH_NO = "1[0-2]|0?[1-9]"
-_DAY_NO = "3[01]|[12][0-9]|0[1-9]| ?[1-9]"
-_YEAR = "[0-9]{4}"
-# Two-digit years: 69-99 belong to the 1900s, 00-68 to the 2000s.
-_NUMERIC_SHAPES = [
-    (f"^({_MONTH_NO})([/-])({_DAY_NO})\\2({_YEAR})$", "$4-$1-$3"),
-    (f"^({_MONTH_NO})/({_DAY_NO})/(69|[7-9][0-9])$", "19$3-$1-$2"),
-    (f"^({_MONTH_NO})/({_DAY_NO})/([0-5][0-9]|6[0-8])$", "20$3-$1-$2"),
+_MARK = "\ufdd0"  # a noncharacter, never part of text
+_LONG_OR_SHORT = "|".join(f"{month[:3]}|{month}" for month in MONTHS)
+_SHORT = "|".join(month[:3] for month in MONTHS)
+_MONTH_NUMBERS = {month[:3]: str(number) for number, month in enumerate(MONTHS, 1)}
+
+_M = "1[0-2]|0?[1-9]"
+_D = "3[01]|[12][0-9]|0[1-9]| ?[1-9]"
+_Y = "(?!0000)[0-9]{4}"
+# The seven written forms by shape, each rewritten to year-month-day. Two-digit
+# years: 69-99 belong to the 1900s, 00-68 to the 2000s.
+_DATE_SHAPES = [
+    (f"^({_M})([/-])({_D})\\2({_Y})$", "$4-$1-$3"),
+    (f"^({_M})/({_D})/(69|[7-9][0-9])$", "19$3-$1-$2"),
+    (f"^({_M})/({_D})/([0-5][0-9]|6[0-8])$", "20$3-$1-$2"),
+    (f"^(?i)({_LONG_OR_SHORT}) ({_D}), ({_Y})$", f"$3-{_MARK}$1-$2"),
+    (f"^(?i)({_D}) ({_SHORT}) ({_Y})$", f"$3-{_MARK}$2-$1"),
 ]
-_MONTH_FIRST = f"^(?i)({_ANY_MONTH}) ({_DAY_NO}), ({_YEAR})$"
-_DAY_FIRST = f"^(?i)({_DAY_NO}) ({_SHORT_MONTH}) ({_YEAR})$"
-_ISO_LIKE = f"^(?!0000)({_YEAR})-({_MONTH_NO})-({_DAY_NO})$"
+_YEAR_MONTH_DAY = f"^({_Y})-({_M})-({_D})$"
+_NAMED_MONTH = f"-{_MARK}"
+
+# A suffix token may carry dots anywhere and any case: "Jr.", "J.R.", "III".
+_TOKEN = r"(?i:\.*(?:{})\.*)".format(
+    "|".join(r"\.*".join(word) for word in WORD_SUFFIXES + ROMAN_SUFFIXES)
+)
+# A cleaned name, by the first alternative that fits. With a comma: what is
+# before it is the last name; the suffix stands after a further comma, or is the
+# last given name. Without: the last word is the last name, with the suffix
+# behind or before it.
+_NAME_FORMS = (
+    "^(?:"
+    f"([^,]*?) ?, ?(?:(.*?) ?, ?({_TOKEN})|(?:(.*) )?({_TOKEN})|(.*))"
+    f"|(?:(.*) )?([^ ]+) ({_TOKEN})"
+    f"|(?:(.*) )?({_TOKEN}) ([^ ]+)"
+    "|(?:(.*) )?([^ ]+)"
+    ")$"
+)
+_NAME_PARTS = f"$1$8$12$14{_MARK}$2$4$6$7$10$13{_MARK}$3$5$9$11"
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it.
+
+    Without it every use repeats the whole expression in the plan, and long
+    chains outgrow what can be compiled.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def clean_text(value: Column) -> Column:
@@ -82,107 +109,79 @@ def clean_text(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), _UNTIDY_RUN, " "))
 
 
+def _folded(text: Column) -> Column:
+    return F.lower(F.replace(text, F.lit("."), F.lit("")))
+
+
 def is_placeholder(value: Column) -> Column:
     """True where the text says that there is no attorney."""
-    return F.lower(F.replace(clean_text(value), F.lit("."), F.lit(""))).isin(PLACEHOLDERS)
+    return _folded(clean_text(value)).isin(PLACEHOLDERS)
 
 
 def names_nobody(value: Column) -> Column:
     """True where a listed line yields no attorney: a placeholder, or a lone comma (all name parts empty)."""
-    return is_placeholder(value) | (clean_text(value) == ",")
-
-
-def _month_number(name: Column) -> Column:
-    start = F.instr(F.lit(_MONTH_STARTS), F.lower(F.substring(name, 1, 3)))
-    return ((start + 2) / 3).cast("int").cast("string")
+    return bind(clean_text(value), lambda text: _folded(text).isin(PLACEHOLDERS) | (text == ","))
 
 
 def normalize_date(value: Column) -> Column:
     """Seven written forms to ISO ``yyyy-MM-dd``; any other text is returned cleaned, as it is.
 
-    Each form is rewritten to ``y-m-d`` by shape; only a real calendar date is then accepted.
+    A form is recognized by shape; only a real calendar date is then accepted.
     """
-    text = clean_text(value)
-    shaped = text
-    for shape, order in _NUMERIC_SHAPES:
-        shaped = F.regexp_replace(shaped, shape, order)
-    month_first = F.concat_ws(
-        "-",
-        F.regexp_extract(text, _MONTH_FIRST, 3),
-        _month_number(text),
-        F.regexp_extract(text, _MONTH_FIRST, 2),
-    )
-    day_first = F.concat_ws(
-        "-",
-        F.regexp_extract(text, _DAY_FIRST, 3),
-        _month_number(F.regexp_extract(text, _DAY_FIRST, 2)),
-        F.regexp_extract(text, _DAY_FIRST, 1),
-    )
-    ymd = (
-        F.when(text.rlike(_MONTH_FIRST), month_first)
-        .when(text.rlike(_DAY_FIRST), day_first)
-        .otherwise(shaped)
-    )
-    iso = F.when(ymd.rlike(_ISO_LIKE), F.replace(ymd, F.lit(" "), F.lit("")).try_cast("date").cast("string"))
-    return F.coalesce(iso, text)
 
+    def iso(text: Column) -> Column:
+        ymd = text
+        for shape, order in _DATE_SHAPES:
+            ymd = F.regexp_replace(ymd, shape, order)
+        return F.coalesce(bind(ymd, as_date), text)
+
+    def as_date(ymd: Column) -> Column:
+        month = F.lower(F.substring(ymd, 7, 3))
+        numbers = F.create_map(*[F.lit(part) for item in _MONTH_NUMBERS.items() for part in item])
+        numbered = F.concat(
+            F.substring(ymd, 1, 5), F.try_element_at(numbers, month), F.lit("-"), F.substring_index(ymd, "-", -1)
+        )
+        date = F.when(ymd.rlike(_YEAR_MONTH_DAY), ymd).when(F.contains(ymd, F.lit(_NAMED_MONTH)), numbered)
+        return F.replace(date, F.lit(" "), F.lit("")).try_cast("date").cast("string")
 
-def norm_suffix(token: Column) -> Column:
-    """``Jr.``, ``Sr.``, ``Esq.``, ``II`` ... for a suffix token, '' for any other."""
-    key = F.lower(F.replace(F.coalesce(token, F.lit("")), F.lit("."), F.lit("")))
-    return (
-        F.when(key.isin(ROMAN_SUFFIXES), F.upper(key))
-        .when(key.isin(WORD_SUFFIXES), F.concat(F.initcap(key), F.lit(".")))
-        .otherwise("")
-    )
+    return bind(clean_text(value), iso)
 
 
-_TAIL_SUFFIX = f"^(?:(.*) )?({_SUFFIX_TOKEN})$"  # last token
-_LONE_NAME_KEPT = f"^(.+) ({_SUFFIX_TOKEN})$"  # last token of at least two
-_COMMA_SUFFIX = f"^(.*?) ?, ?({_SUFFIX_TOKEN})$"  # text after the last comma
+def norm_suffix(token: Column) -> Column:
+    """``Jr.``, ``Sr.``, ``Esq.``, ``II`` ... for a suffix token, '' for any other."""
+    written = {word: f"{word.capitalize()}." for word in WORD_SUFFIXES} | {n: n.upper() for n in ROMAN_SUFFIXES}
+    known = F.create_map(*[F.lit(part) for item in written.items() for part in item])
+    return F.coalesce(F.try_element_at(known, _folded(F.coalesce(token, F.lit("")))), F.lit(""))
 
 
 def split_name(value: Column) -> Column:
     """``Last, First Middle Suffix`` or ``First Middle Last Suffix`` to a struct of four strings."""
-    text = clean_text(value)
-    has_comma = F.contains(text, F.lit(","))
-    head = F.substring_index(text, ",", 1)
-    rest = F.trim(F.substring(text, F.length(head) + 2, F.length(text)))
-
-    # A suffix that stands apart: after another comma, or at the very end.
-    def apart(group: int) -> Column:
-        return F.when(has_comma, F.regexp_extract(rest, _COMMA_SUFFIX, group)).otherwise(
-            F.regexp_extract(text, _LONE_NAME_KEPT, group)
+    marked = F.regexp_replace(clean_text(value), _NAME_FORMS, _NAME_PARTS)
+
+    def parts(name: Column) -> Column:
+        given = F.coalesce(F.get(name, F.lit(1)), F.lit(""))
+        first = F.substring_index(given, " ", 1)
+        return F.struct(
+            first.alias("first_name"),
+            F.substring(given, F.length(first) + 2, F.length(given)).alias("middle_name"),
+            F.get(name, F.lit(0)).alias("last_name"),
+            norm_suffix(F.get(name, F.lit(2))).alias("suffix"),
         )
 
-    first_suffix = apart(2)
-    body = F.when(first_suffix != "", apart(1)).when(has_comma, rest).otherwise(text)
-
-    last_word = F.substring_index(body, " ", -1)
-    last = F.when(has_comma, F.trim(head)).otherwise(last_word)
-    given = F.when(has_comma, F.trim(body)).otherwise(
-        F.rtrim(F.substring(body, F.lit(1), F.length(body) - F.length(last_word)))
-    )
-
-    # A suffix may also be the last of the given names.
-    late_suffix = F.when(first_suffix == "", F.regexp_extract(given, _TAIL_SUFFIX, 2)).otherwise("")
-    kept = F.when(late_suffix == "", given).otherwise(F.regexp_extract(given, _TAIL_SUFFIX, 1))
-    first = F.substring_index(kept, " ", 1)
-    return F.struct(
-        first.alias("first_name"),
-        F.substring(kept, F.length(first) + 2, F.length(kept)).alias("middle_name"),
-        last.alias("last_name"),
-        norm_suffix(F.when(first_suffix == "", late_suffix).otherwise(first_suffix)).alias("suffix"),
-    )
+    return bind(F.split(marked, _MARK), parts)
 
 
 def split_stacked(value: Column) -> Column:
     """A cell of several lines to ``struct<date, location>``: first line, and the others joined by a space."""
     inline = F.regexp_replace(F.coalesce(value, F.lit("")), f"[{_INLINE_SPACES}]+", " ")
-    lines = F.btrim(F.regexp_replace(inline, r" ?[\r\n][ \r\n]*", "\n"), F.lit(" \n"))
-    date = F.substring_index(lines, "\n", 1)
-    others = F.substring(lines, F.length(date) + 2, F.length(lines))
-    return F.struct(date.alias("date"), F.replace(others, F.lit("\n"), F.lit(" ")).alias("location"))
+    tidy = F.btrim(F.regexp_replace(inline, r" ?[\r\n][ \r\n]*", "\n"), F.lit(" \n"))
+
+    def parts(lines: Column) -> Column:
+        date = F.substring_index(lines, "\n", 1)
+        others = F.substring(lines, F.length(date) + 2, F.length(lines))
+        return F.struct(date.alias("date"), F.replace(others, F.lit("\n"), F.lit(" ")).alias("location"))
+
+    return bind(tidy, parts)
 
 
 def format_event(event: Column) -> Column:

@@ -21,10 +21,12 @@ def rendered_events(events: DataFrame, keys: list[str], place: str, chunk: int =
     from docketframe.functions.text import format_event
 
     line = format_event(F.struct("date", "description", "location"))
-    shown = events.select(*keys, F.col(place).cast("bigint").alias("place"), line.alias("line")).where("line <> ''")
+    shown = events.select(*keys, F.col(place).cast("bigint").alias("place"), line.alias("line"))
+    shows = F.when(F.col("line") != "", F.struct("place", "line"))  # blank events are no events
     runs = (
         shown.groupBy(*keys, F.floor(F.col("place") / chunk).alias("run"))
-        .agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("lines"))
+        .agg(F.sort_array(F.collect_list(shows)).alias("lines"))
+        .where(F.size("lines") > 0)
         .select(
             *keys,
             "run",

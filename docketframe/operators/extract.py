@@ -121,19 +121,20 @@ def clean_events(events: Column) -> Column:
     """Raw event cells to ISO date, description and location; a location of its own goes before a stacked one."""
 
     def tidy(event: Column) -> Column:
-        stacked = tx.split_stacked(event["date"])
-        location = tx.clean_text(event["location"])
-        return F.struct(
-            tx.normalize_date(stacked["date"]).alias("date"),
-            tx.clean_text(event["description"]).alias("description"),
-            F.when(location != "", location).otherwise(stacked["location"]).alias("location"),
+        return tx.bind(
+            F.struct(tx.split_stacked(event["date"]).alias("cell"), tx.clean_text(event["location"]).alias("own")),
+            lambda place: F.struct(
+                tx.normalize_date(place["cell"]["date"]).alias("date"),
+                tx.clean_text(event["description"]).alias("description"),
+                F.when(place["own"] != "", place["own"]).otherwise(place["cell"]["location"]).alias("location"),
+            ),
         )
 
     return F.transform(events, tidy)
 
 
 def clean_parties(parties: Column) -> Column:
-    """Names and roles cleaned; attorney lines kept as text, without placeholders."""
+    """Names and roles cleaned; attorney lines kept as text, without those that name nobody."""
     return F.transform(
         parties,
         lambda party: F.struct(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docketframe import schema
 from docketframe.functions.text import zero_pad
+from docketframe.sources.config import local_frame
 
 # Pattern names, suffixes used where a spec names none, defaults.
 PATTERNS = ["plain", "letter_suffix", "per_suffix"]
@@ -46,11 +47,11 @@ def specs_frame(spark: SparkSession, counties: Iterable[Mapping]) -> DataFrame:
                     None if spec.get("end") is None else int(spec["end"]),
                     None if spec.get("width") is None else int(spec["width"]),
                     [str(s) for s in spec.get("suffixes") or []],
-                    {str(k): (int(v["start"]), int(v["end"])) for k, v in ranges.items()},
-                    {str(k): str(v) for k, v in (spec.get("extra") or {}).items()},
+                    [(str(k), {"start": int(v["start"]), "end": int(v["end"])}) for k, v in ranges.items()],
+                    [(str(k), str(v)) for k, v in (spec.get("extra") or {}).items()],
                 )
             )
-    return spark.createDataFrame(rows, schema.SPECS_DDL)
+    return local_frame(spark, rows, schema.SPECS_DDL)
 
 
 def with_defaults(specs: DataFrame) -> DataFrame:

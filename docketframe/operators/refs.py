@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketframe.functions import urls
-from docketframe.operators.extract import by_layout, extract_cases, extract_refs, get_layout
+from docketframe.operators.extract import by_layout, extract_refs, get_layout
 from docketframe.session import materialize
 from docketframe.sources.config import counties_frame
 
@@ -48,15 +48,22 @@ def _layout_url(step: str, counties: list[dict], part: Column) -> Column:
 
 
 def listed_refs(pages: DataFrame, counties: list[dict], search_pages: DataFrame) -> DataFrame:
-    """All references on the configured results pages. Results pages that are not there are passed over."""
+    """All references on the configured results pages. Results pages that are not there are passed over.
+
+    Where the table tells results pages apart, they are read as they lie and only
+    the references are joined to the listing; else the listing picks the pages.
+    """
     base = F.broadcast(counties_frame(pages.sparkSession, counties))
     url = _layout_url("search_url", counties, F.col("page"))
     listing = search_pages.join(base, "county_key").select(
         "county_key", "page_ord", urls.page_key(url).alias("page_key")
     )
-    on_pages = pages.join(listing.select("county_key", "page_key").distinct(), ["county_key", "page_key"], "left_semi")
-    return extract_refs(on_pages, counties).join(listing, ["county_key", "page_key"]).select(
-        "county_key", "case_ref", "page_ord", "ref_pos"
+    if "kind" not in pages.columns:
+        pages = pages.join(listing, ["county_key", "page_key"], "left_semi")
+    return (
+        extract_refs(pages, counties)
+        .join(listing, ["county_key", "page_key"])
+        .select("county_key", "case_ref", "page_ord", "ref_pos")
     )
 
 
@@ -78,14 +85,15 @@ def with_case_page(refs: DataFrame, counties: list[dict]) -> DataFrame:
     )
 
 
-def visit(refs: DataFrame, pages: DataFrame, counties: list[dict], keep_all: bool = False) -> DataFrame:
+def visit(refs: DataFrame, records: DataFrame, counties: list[dict], keep_all: bool = False) -> DataFrame:
     """References with what their pages hold, and ``state``: ok, missing or failed.
 
-    Pages are extracted where they lie and only the extracted records are
-    shuffled, never the HTML. ``keep_all`` also returns missing and failed ones.
+    ``records`` are extracted pages: pages are read where they lie and only the
+    records are shuffled, never the HTML. ``keep_all`` also returns missing and
+    failed ones.
     """
     known = with_case_page(refs, counties)
-    found = extract_cases(pages, counties).withColumn("found", F.lit(True))
+    found = records.withColumn("found", F.lit(True))
     visited = known.join(found, ["county_key", "page_key"], "left" if keep_all else "inner")
     state = (
         F.when(F.col("found").isNull(), "missing").when(F.col("error").isNotNull(), "failed").otherwise("ok")

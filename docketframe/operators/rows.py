@@ -28,13 +28,12 @@ def split_rendered(rendered: Column) -> tuple[Column, Column]:
 
 
 def listed_pairs(parties: Column) -> Column:
-    """(role, attorney line) over all parties, in party order then line order; lines naming nobody are left out."""
+    """(role, attorney line) over all parties, in party order then line order."""
     return F.flatten(
         F.transform(
             parties,
             lambda party: F.transform(
-                F.filter(party["lines"], lambda line: ~tx.names_nobody(line)),
-                lambda line: F.struct(party["role"].alias("role"), line.alias("line")),
+                party["lines"], lambda line: F.struct(party["role"].alias("role"), line.alias("line"))
             ),
         )
     )
@@ -121,15 +120,13 @@ def nested_case_rows(cases: DataFrame) -> DataFrame:
 
 
 def nested_cases(cases: DataFrame) -> DataFrame:
-    """The nested case model: attorney lines split into names, empty ones dropped."""
+    """The nested case model: attorney lines split into names."""
     parties = F.transform(
         "parties",
         lambda party: F.struct(
             party["name"].alias("name"),
             party["role"].alias("role"),
-            F.transform(
-                F.filter(party["lines"], lambda line: ~tx.names_nobody(line)), tx.split_name
-            ).alias("attorneys"),
+            F.transform(party["lines"], tx.split_name).alias("attorneys"),
         ),
     )
     return cases.withColumn("parties", parties)

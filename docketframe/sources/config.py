@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from docketframe import schema
 
@@ -36,16 +39,24 @@ def load_counties(entries: Iterable[Mapping]) -> list[dict]:
     return counties
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """Driver-side rows as a local relation, whose exact size lets Spark choose broadcast or shuffle."""
+    fields = to_arrow_schema(T.StructType.fromDDL(ddl))
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(values, type=field.type) for values, field in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields))
+
+
 def counties_frame(spark: SparkSession, counties: list[dict]) -> DataFrame:
     """One row per county. Bounded by ``MAX_COUNTIES``, so it may be broadcast."""
     rows = [
         (c["key"], c["county_ord"], c["county"], c["adapter"], c["base_url"], c["court"])
         for c in counties
     ]
-    return spark.createDataFrame(rows, schema.COUNTIES_DDL)
+    return local_frame(spark, rows, schema.COUNTIES_DDL)
 
 
 def search_pages_frame(spark: SparkSession, counties: list[dict]) -> DataFrame:
     """One row per configured results page, in configured order."""
     rows = [(c["key"], order, page) for c in counties for order, page in enumerate(c["search_pages"])]
-    return spark.createDataFrame(rows, schema.SEARCH_PAGES_DDL)
+    return local_frame(spark, rows, schema.SEARCH_PAGES_DDL)

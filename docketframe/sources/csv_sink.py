@@ -20,6 +20,5 @@ def write_csv(table: DataFrame, path: str) -> DataFrame:
     Returns the table read back from what was written.
     """
     table.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
-    return (
-        table.sparkSession.read.schema(table.schema).options(**CSV_OPTIONS).option("nullValue", "\ufdd0").csv(path)
-    )
+    written = table.sparkSession.read.schema(table.schema).options(**CSV_OPTIONS).csv(path)
+    return written.na.fill("")
