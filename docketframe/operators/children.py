@@ -5,26 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Children of one parent gathered by one task in the first step.
+# Places of one parent that are joined to text together.
 CHUNK = 1024
 
 
-def rendered_events(events: DataFrame, keys: list[str], place: str, chunk: int = CHUNK) -> DataFrame:
+def rendered_events(events: DataFrame, keys: list[str], place: str, run: str | None = None) -> DataFrame:
     """``events_primary`` and ``events_cont`` per parent from rows with ``date, description, location``.
 
     ``place`` is a non-negative integer order; equal places are put in text
-    order. A parent's rows are first joined to text per run of ``chunk`` places,
-    spread over tasks, so that a parent that holds most of the table costs its
-    last task a few chunk texts instead of all its rows. What comes out per
+    order. A parent's rows are first joined to text per run, spread over tasks,
+    so that a parent that holds most of the table costs its last task a few run
+    texts instead of all its rows. A run is ``CHUNK`` places, or a value of the
+    column ``run`` that orders like ``place``; where ``events`` is already
+    partitioned by keys and run, this step moves nothing. What comes out per
     parent is one cell of text; that cell is the only thing built whole.
     """
     from docketframe.functions.text import format_event
 
     line = format_event(F.struct("date", "description", "location"))
-    shown = events.select(*keys, F.col(place).cast("bigint").alias("place"), line.alias("line"))
+    part = F.floor(F.col(place) / CHUNK) if run is None else F.col(run)
+    shown = events.select(*keys, part.alias("run"), F.col(place).alias("place"), line.alias("line"))
     shows = F.when(F.col("line") != "", F.struct("place", "line"))  # blank events are no events
     runs = (
-        shown.groupBy(*keys, F.floor(F.col("place") / chunk).alias("run"))
+        shown.groupBy(*keys, "run")
         .agg(F.sort_array(F.collect_list(shows)).alias("lines"))
         .where(F.size("lines") > 0)
         .select(

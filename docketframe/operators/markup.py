@@ -1,4 +1,4 @@
-"""Reading one page inside a task: the standard library's HTML tokenizer plus the few selectors portals need.
+"""Reading one page inside a task: tags in page order, and the few selectors portals need.
 
 Holds no job logic. Text is handed back raw; cleaning is done by Spark expressions.
 """
@@ -6,8 +6,15 @@ Holds no job logic. Text is handed back raw; cleaning is done by Spark expressio
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
-
+from bisect import bisect_left
+from html import unescape
+
+# Comment, declaration, or tag; quoted attribute values may hold ">".
+MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S
+)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in ("script", "style")}
 # Fixed values of the HTML syntax: elements without content, and which open
 # elements a start tag ends (within the nearest enclosing barrier element).
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,80 +35,140 @@ RANK = {"div": 1, "td": 2, "th": 2, "tr": 3, "tbody": 4, "thead": 4, "tfoot": 4,
 SILENT = {"script", "style", "template", "rt", "rp"}
 
 
+def add_text(parts, data):
+    """Text that follows text is one node."""
+    if parts and isinstance(parts[-1], str):
+        parts[-1] += data
+    else:
+        parts.append(data)
+
+
 class Element:
-    __slots__ = ("tag", "attrs", "parent", "parts", "first", "last")
+    __slots__ = ("tag", "parent", "parts", "place", "last", "_attrs")
 
-    def __init__(self, tag, attrs, parent, first):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.parts = []  # child elements and text, in page order
-        self.first = self.last = first  # its descendants are page.elements[first:last]
+    def __init__(self, tag, attrs, parent, place):
+        # The parent is kept by place, so that a page read through is freed at once.
+        self.tag, self.parent, self.place, self._attrs = tag, parent, place, attrs
+        self.parts = []  # child elements and text, in page order; None where a comment was
+        self.last = place  # place of its last descendant
 
+    @property
+    def attrs(self):
+        """Attributes, read on first use; the first of a name counts."""
+        if isinstance(self._attrs, str):
+            found = {}
+            for name, *values in ATTRIBUTE.findall(self._attrs):
+                found.setdefault(name.lower(), unescape("".join(values)))
+            self._attrs = found
+        return self._attrs
 
-class Page(HTMLParser):
-    """All elements of a page in order of their start tags."""
+
+class Page:
+    """All elements of a page in order of their start tags, and the places of each tag."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        root = Element("", {}, None, 0)
-        self.elements, self._open = [], [root]
-        self.feed(html)
-        self.close()
+        self.elements, self.places = [], {}
+        top = Element("", "", None, -1)
+        self._open = [top]  # ``top`` is always its last entry
+        skip_to = at = 0  # scripts and styles are passed over; text since ``at`` is pending
+        for found in MARKUP.finditer(html):
+            start = found.start()
+            if start < skip_to:
+                continue
+            if start > at:
+                add_text(top.parts, html[at:start])
+            at = found.end()
+            end, tag, attrs = found.groups()
+            if tag is None:
+                if html.startswith("<!--", start):
+                    top.parts.append(None)
+                continue
+            tag = tag.lower()
+            if end:
+                if tag == top.tag:
+                    top.last = len(self.elements) - 1
+                    self._open.pop()
+                else:
+                    self._end(tag)
+                top = self._open[-1]
+                continue
+            if tag in CLOSED_BY:
+                self._end_before(*CLOSED_BY[tag])
+                top = self._open[-1]
+            place = len(self.elements)
+            element = Element(tag, attrs, top.place, place)
+            top.parts.append(element)
+            self.elements.append(element)
+            if tag in self.places:
+                self.places[tag].append(place)
+            else:
+                self.places[tag] = [place]
+            if tag not in VOID and attrs[-1:] != "/":
+                self._open.append(element)
+                top = element
+                if tag in RAW_END:
+                    close = RAW_END[tag].search(html, at)
+                    skip_to = at = close.start() if close else len(html)
+        if at < len(html):
+            add_text(top.parts, html[at:])
         self._close_from(0)
 
     def _close_from(self, depth):
+        last = len(self.elements) - 1
         for element in self._open[depth:]:
-            element.last = len(self.elements)
+            element.last = last
         del self._open[depth:]
 
-    def handle_starttag(self, tag, attrs):
-        if tag in CLOSED_BY:
-            ends, barriers = CLOSED_BY[tag]
-            cut = None
-            for depth in range(len(self._open) - 1, 0, -1):
-                if self._open[depth].tag in ends:
-                    cut = depth
-                elif self._open[depth].tag in barriers:
-                    break
-            if cut:
-                self._close_from(cut)
-        parent = self._open[-1]
-        values = {}
-        for name, value in attrs:
-            values.setdefault(name, value or "")
-        element = Element(tag, values, parent, len(self.elements) + 1)
-        parent.parts.append(element)
-        self.elements.append(element)
-        if tag not in VOID:
-            self._open.append(element)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._close_from(len(self._open) - 1)
-
-    def handle_endtag(self, tag):
+    def _end_before(self, ends, barriers):
+        """Close what a start tag ends."""
+        cut = 0
+        for depth in range(len(self._open) - 1, 0, -1):
+            tag = self._open[depth].tag
+            if tag in ends:
+                cut = depth
+            elif tag in barriers:
+                break
+        if cut:
+            self._close_from(cut)
+
+    def _end(self, tag):
+        """Close the nearest open element of that tag, unless one of higher rank is in between."""
         rank = RANK.get(tag, 0)
         for depth in range(len(self._open) - 1, 0, -1):
-            if self._open[depth].tag == tag:
+            opened = self._open[depth].tag
+            if opened == tag:
                 return self._close_from(depth)
-            if RANK.get(self._open[depth].tag, 0) > rank:
+            if RANK.get(opened, 0) > rank:
                 return None
         return None
 
-    def handle_data(self, data):
-        parts = self._open[-1].parts
-        if parts and isinstance(parts[-1], str):
-            parts[-1] += data
-        else:
-            parts.append(data)
-
-    def handle_comment(self, data):
-        self._open[-1].parts.append(None)  # text before and after a comment are two nodes
-
     def find(self, selector, scope=None):
         """Elements that match a compiled selector, in page order, below ``scope`` if given."""
-        pool = self.elements if scope is None else self.elements[scope.first : scope.last]
-        return [element for element in pool if any(_matches(element, chain) for chain in selector)]
+        first, last = (0, len(self.elements)) if scope is None else (scope.place + 1, scope.last + 1)
+        if len(selector) > 1:
+            pool = self.elements[first:last]
+            return [element for element in pool if any(self._matches(element, chain) for chain in selector)]
+        chain, tag = selector[0], selector[0][-1][0]
+        if tag:
+            places = self.places.get(tag, ())
+            pool = [self.elements[p] for p in places[bisect_left(places, first) : bisect_left(places, last)]]
+        else:
+            pool = self.elements[first:last]
+        if len(chain) == 1 and not chain[0][1]:
+            return pool
+        return [element for element in pool if self._matches(element, chain)]
+
+    def _matches(self, element, chain):
+        if not _fits(element, chain[-1]):
+            return False
+        above = element.parent
+        for compound in reversed(chain[:-1]):
+            while above >= 0 and not _fits(self.elements[above], compound):
+                above = self.elements[above].parent
+            if above < 0:
+                return False
+            above = self.elements[above].parent
+        return True
 
 
 def text(element, joint=""):
@@ -113,7 +180,8 @@ def text(element, joint=""):
             found.append(part)
         elif part is not None and (part is element or part.tag not in SILENT):
             stack.extend(reversed(part.parts))
-    return joint.join(found)
+    whole = joint.join(found)
+    return unescape(whole) if "&" in whole else whole
 
 
 _COMPOUND = re.compile(r"(?:[\w-]+|\*)?(?:[#.][\w-]+|\[[\w-]+(?:=(?:\"[^\"]*\"|'[^']*'|[\w-]+))?\])*")
@@ -145,6 +213,9 @@ def _fits(element, compound):
     if tag and element.tag != tag:
         return False
     for key, mark, wanted in tests:
+        unread = element._attrs
+        if wanted and isinstance(unread, str) and wanted not in unread and "&" not in unread:
+            return False
         value = element.attrs.get(key)
         if value is None:
             return False
@@ -154,16 +225,3 @@ def _fits(element, compound):
         elif wanted is not None and value != wanted:
             return False
     return True
-
-
-def _matches(element, chain):
-    if not _fits(element, chain[-1]):
-        return False
-    above = element.parent
-    for compound in reversed(chain[:-1]):
-        while above is not None and not _fits(above, compound):
-            above = above.parent
-        if above is None:
-            return False
-        above = above.parent
-    return True

@@ -25,9 +25,9 @@ def orders_with_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def case_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Case fields and listed parties of every order, without events."""
+    """Case fields and listed parties of every order, without events. Orders move by key while still narrow."""
     lines = ", ".join(raw.plaintiff_line(slot) for slot in range(3))
-    return orders_with_counties(spark, sf_dir).selectExpr(
+    return orders_with_counties(spark, sf_dir).repartition("o_orderkey").selectExpr(
         "o_orderkey",
         f"{raw.COUNTY_KEY} AS county_key",
         f"{raw.COUNTY} AS county",
@@ -46,23 +46,26 @@ def case_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(
+def raw_events(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
+    """Events as raw text. Items are moved to their order (``by``) while still narrow, and widened there."""
+    items = table(spark, sf_dir, "lineitem").drop("l_extendedprice", "l_discount", "l_tax")
+    return items.repartition(*(by or ["l_orderkey"])).selectExpr(
         "l_orderkey AS o_orderkey",
         f"{raw.EVENT_ORDER} AS place",
-        "CAST(l_linenumber AS BIGINT) AS line_place",
+        "l_linenumber AS line_place",
         f"{raw.EVENT_DATE_RAW} AS date_raw",
         f"{raw.EVENT_DESC} AS description",
         f"{raw.EVENT_PLACE} AS location",
     )
 
 
-def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events(spark, sf_dir).withColumn("date", tx.normalize_date(F.col("date_raw")))
+def flat_events(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
+    return raw_events(spark, sf_dir, *by).withColumn("date", tx.normalize_date(F.col("date_raw")))
 
 
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return children.rendered_events(flat_events(spark, sf_dir), ["o_orderkey"], "line_place", chunk=1)
+    items = flat_events(spark, sf_dir, "l_orderkey", "l_linenumber")
+    return children.rendered_events(items, ["o_orderkey"], "line_place", run="line_place")
 
 
 def listed_parties() -> F.Column:
