@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
         SparkSession.builder.master(f"local[{cores}]")
         .appName("docketframe")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
