@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketframe.functions import text as tx
-from docketframe.schema import CASE_SCALARS, OUTPUT_COLUMNS, ROW_COLUMNS, SORT_COLUMNS
 from docketframe.operators.refs import listing_order
+from docketframe.schema import CASE_SCALARS, OUTPUT_COLUMNS, ROW_COLUMNS, SORT_COLUMNS
+from docketframe.session import materialize
 
 _EXACT = T.DecimalType(38, 0)
 
@@ -151,27 +152,20 @@ def output_table(rows: DataFrame) -> DataFrame:
 def sorted_positions(rows: DataFrame) -> DataFrame:
     """``rows`` with ``position``, their 0-based index in the sorted table, without a single-task sort.
 
-    Each range partition numbers its own rows; the sizes of the partitions
-    before it (one number per partition) are added. The ranges are written
-    down first so that both steps see the same ones.
+    The sorted ranges are written to the shared folder once. Each range then
+    numbers its own rows as they lie there, and the sizes of the ranges before
+    it (one number per range) are added: one shuffle in all.
     """
-    from pyspark.sql import Window
-
-    from docketframe.session import materialize
-
-    keys = [*SORT_COLUMNS, "row_ord"]
-    ranged = materialize(
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id())
-    )
-    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    before = sizes.select(
-        "part",
-        (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("rows_before"),
+    ranged = materialize(sort_rows(rows))
+    numbered = ranged.select(
+        "*",
+        F.spark_partition_id().alias("range"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("within"),
     )
-    within = F.row_number().over(Window.partitionBy("part").orderBy(*keys))
+    sizes = numbered.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
+    before = (F.sum("size").over(Window.orderBy("range")) - F.col("size")).alias("rows_before")
     return (
-        ranged.withColumn("within", within)
-        .join(F.broadcast(before), "part")
-        .withColumn("position", F.col("rows_before") + F.col("within") - 1)
-        .drop("part", "within", "rows_before")
+        numbered.join(F.broadcast(sizes.select("range", before)), "range")
+        .withColumn("position", F.col("rows_before") + F.col("within"))
+        .drop("range", "within", "rows_before")
     )

@@ -41,7 +41,7 @@ CASES_DDL = (
 LISTED_PARTIES_DDL = "array<struct<name:string,role:string,lines:array<string>>>"
 PAIRS_DDL = "array<struct<label:string,value:string>>"
 
-PAGES_DDL = "county_key string, kind string, url string, html string"
+LANDED_DDL = "county_key string, kind string, page_key string, html string"
 COUNTIES_DDL = (
     "county_key string, county_ord int, county string, adapter string, base_url string, court string"
 )

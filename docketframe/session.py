@@ -33,11 +33,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="docketframe-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="docketframe-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -50,8 +51,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Cuts lineage reliably: a lost executor costs a re-read, not a recomputation.
     """
-    spark = df.sparkSession
-    root = checkpoint_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    root, context = checkpoint_root(df.sparkSession), df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return df.checkpoint(eager=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketframe import schema
 from docketframe.functions import urls
 from docketframe.sources.config import counties_frame
 
@@ -38,3 +39,19 @@ def page_table(pages: DataFrame, counties: list[dict]) -> DataFrame:
         .join(known, "base_url")
         .select("county_key", urls.page_key(F.col("url")).alias("page_key"), F.lower(kind).alias("kind"), "html")
     )
+
+
+def write_pages(pages: DataFrame, path: str, rebalance: bool = False) -> None:
+    """Add pages to a landing table partitioned by county and kind, so that each step reads only its own pages.
+
+    ``rebalance`` first gathers the pages of a partition into files of even
+    size (large partitions are split, small ones merged); worth its shuffle
+    where the pages come from many small inputs.
+    """
+    if rebalance:
+        pages = pages.hint("rebalance", "county_key", "kind")
+    pages.write.mode("append").partitionBy("county_key", "kind").parquet(path)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schema.LANDED_DDL).parquet(path)

@@ -7,13 +7,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketframe import schema
 from docketframe.operators import refs, rows
 from docketframe.operators.extract import extract_cases
 from docketframe.sources.config import load_counties, search_pages_frame
 
 # State is kept on disk by the state store, not in executor memory.
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-LANDED_DDL = "county_key string, page_key string, kind string, html string"
 
 
 def incremental_rows(
@@ -32,7 +33,7 @@ def incremental_rows(
     counties = load_counties(counties)
     if search_pages is None:
         search_pages = search_pages_frame(spark, counties)
-    reader = spark.readStream.schema(LANDED_DDL)
+    reader = spark.readStream.schema(schema.LANDED_DDL)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     pages = reader.parquet(landing)
@@ -48,16 +49,30 @@ def run_available(
     out: str,
     checkpoint: str,
     search_pages: DataFrame | None = None,
+    state_partitions: int | None = None,
 ) -> None:
-    """Process all that has landed and not been processed, append the rows to ``out``, and stop."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    stream = incremental_rows(spark, landing, counties, search_pages)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    """Process all that has landed and not been processed, append the rows to ``out``, and stop.
+
+    ``state_partitions`` (default: the session's shuffle partitions) is fixed
+    for good by the first run of a checkpoint; size it for the state to come.
+    """
+    settings = {PROVIDER: ROCKSDB}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        query = (
+            incremental_rows(spark, landing, counties, search_pages)
+            .writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -93,6 +93,17 @@ def test_pages_from_a_directory_and_from_a_table(spark, tmp_path):
     assert [tuple(r) for r in jobs.attorney_rows(tabled, sample.COUNTIES).collect()] == sample.EXPECTED
 
 
+def test_landed_pages_are_pruned_by_county_and_kind(spark, tmp_path):
+    kind = F.when(F.col("page_key").startswith("results"), "search").otherwise("case")
+    page_source.write_pages(sample.pages_frame(spark).withColumn("kind", kind), str(tmp_path / "pages"))
+    landed = page_source.read_pages(spark, str(tmp_path / "pages"))
+    table = jobs.attorney_rows(landed, sample.COUNTIES)
+    assert [tuple(r) for r in table.collect()] == sample.EXPECTED
+    scans = [line for line in table._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in line]
+    assert len(scans) == 4  # per layout: results pages, case pages
+    assert all("PartitionFilters: [" in s and "county_key" in s and "kind" in s.split("PartitionFilters")[1] for s in scans)
+
+
 def test_html_is_never_shuffled(spark):
     counties = load_counties(sample.COUNTIES)
     plan = jobs.attorney_rows(sample.pages_frame(spark), counties)._jdf.queryExecution().executedPlan().toString()
@@ -110,7 +121,7 @@ def test_incremental_run_over_pages_in_any_order(spark, tmp_path):
     early = F.col("page_key").isin("results_1.html", "A-24-000003.html", "24-PR-00500E.html")
     counts = []
     for landed in (pages.where(early), pages.where(~early), pages.where(early)):
-        landed.write.mode("append").parquet(landing)
+        page_source.write_pages(landed, landing)
         incremental.run_available(spark, landing, sample.COUNTIES, out, state)
         counts.append(spark.read.parquet(out).count())
     incremental.run_available(spark, landing, sample.COUNTIES, out, state)

@@ -12,7 +12,6 @@ from docketframe.plans import jobs
 from docketframe.schema import ROW_COLUMNS
 from docketframe.session import scratch_path
 from docketframe.sources import csv_sink, pages as page_source, progress
-from docketframe.sources.config import counties_frame, search_pages_frame
 from docketframe.streaming import incremental
 from workloads import raw, tables
 from workloads.tables import table
@@ -438,10 +437,10 @@ def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     counties, listing = tables.counties(spark, sf_dir), tables.search_pages(spark, sf_dir)
     landing, out, state = (scratch_path(spark, name) for name in ("landing", "rows", "stream"))
     first = F.expr("CAST(substr(county_key, 2) AS INT) % 2 = 0 OR kind = 'search'")
-    pages = tables.all_pages(spark, sf_dir)
+    pages, cores = tables.all_pages(spark, sf_dir), spark.sparkContext.defaultParallelism
     for landed in (pages.where(first), pages.where(~first)):
-        landed.write.mode("append").parquet(landing)
-        incremental.run_available(spark, landing, counties, out, state, listing)
+        page_source.write_pages(landed, landing)
+        incremental.run_available(spark, landing, counties, out, state, listing, state_partitions=cores)
     return _final(spark.read.parquet(out))
 
 
