@@ -28,30 +28,44 @@ for _module in (markup, layouts):
 
 _REFS_RAW = "county_key string, page_key string, refs array<string>, error string"
 _CASE_RAW = (
-    "county_key string, page_key string, listed_ref string, style string, "
+    "county_key string, page_key string, page_style string, listed_ref string, style string, "
     f"header {schema.PAIRS_DDL}, parties {schema.LISTED_PARTIES_DDL}, events {schema.EVENTS_DDL}, error string"
 )
 
 
+@dataclass(frozen=True)
+class Style:
+    """How pages of one style are read, and which labels their header fields go by."""
+
+    name: str
+    read_refs: Callable
+    read_case: Callable
+    selectors: dict[str, str]
+    label: Callable[[Column], Column]
+    fields: Callable[[], dict[str, Column]]
+
+
 @dataclass(frozen=True)
 class Layout:
-    """The steps of one page style.
+    """The steps of one kind of portal.
 
     ``refs(pages, counties)`` gives ``county_key, page_key, ref_pos, case_ref``;
     ``cases(pages, counties)`` gives ``county_key, page_key``, the header fields,
     ``parties`` with raw attorney lines, ``events`` and ``error``. A null
     ``case_number`` or ``court`` means "not on the page". The URL steps take and
-    return columns.
+    return columns. Counties whose layouts share a step function are given to it
+    together, so their pages are read in one pass.
     """
 
     refs: Callable[[DataFrame, list[dict]], DataFrame]
     cases: Callable[[DataFrame, list[dict]], DataFrame]
     search_url: Callable[[Column, Column], Column] = urls.search_url
     case_url: Callable[[Column, Column], Column] = urls.case_url
+    style: Style | None = None  # read by the styled_* steps
 
 
-def _page_pass(pages: DataFrame, ddl: str, settings: dict[str, dict], read: Callable) -> DataFrame:
-    """Run ``read(page, selectors)`` over every page; a page that fails becomes a row with ``error`` set."""
+def _page_pass(pages: DataFrame, ddl: str, readers: dict[str, tuple[Callable, dict]]) -> DataFrame:
+    """Read every page by its county's reader and selectors; a page that fails becomes a row with ``error`` set."""
     spark_schema = T.StructType.fromDDL(ddl)
     arrow_schema = to_arrow_schema(spark_schema)
     fields = [f.name for f in spark_schema if f.name not in ("county_key", "page_key", "error")]
@@ -66,7 +80,8 @@ def _page_pass(pages: DataFrame, ddl: str, settings: dict[str, dict], read: Call
                 try:
                     if html is None:
                         raise ValueError("page has no content")
-                    rows.append({**read(parse(html), settings[county]), "error": None})
+                    read, use = readers[county]
+                    rows.append({**empty, **read(parse(html), use), "error": None})
                 except Exception as problem:  # one bad page must not stop the job
                     rows.append({**empty, "error": f"{type(problem).__name__}: {problem}"})
             read_out = [
@@ -81,30 +96,34 @@ def _page_pass(pages: DataFrame, ddl: str, settings: dict[str, dict], read: Call
     return pages.select("county_key", "page_key", "html").mapInArrow(run, spark_schema)
 
 
-def selector_settings(counties: list[dict], defaults: dict[str, str]) -> dict[str, dict]:
-    """Per county: compiled selectors, configured ones before the defaults. Bad selectors fail here, on the driver."""
-    compiled = {}
-    for county in counties:
-        chosen = {**defaults, **{k: str(v) for k, v in county["selectors"].items() if k in defaults}}
-        compiled[county["key"]] = {
-            name: value if name in layouts.PLAIN_SETTINGS else markup.compile_selector(value)
-            for name, value in chosen.items()
-        }
-    return compiled
-
-
-def _refs_by(reader: Callable, defaults: dict[str, str]) -> Callable:
-    def refs(pages: DataFrame, counties: list[dict]) -> DataFrame:
-        settings = selector_settings(counties, defaults)
-        raw = _page_pass(pages, _REFS_RAW, settings, lambda page, use: {"refs": reader(page, use)})
-        return (
-            raw.where("error is null")
-            .select("county_key", "page_key", F.posexplode("refs").alias("ref_pos", "ref"))
-            .select("county_key", "page_key", "ref_pos", tx.clean_text(F.col("ref")).alias("case_ref"))
-            .where(F.length("case_ref") > 0)
-        )
-
-    return refs
+def selector_settings(county: dict, defaults: dict[str, str]) -> dict:
+    """Compiled selectors of a county, configured ones before the defaults. Bad ones fail here, on the driver."""
+    chosen = {**defaults, **{k: str(v) for k, v in county["selectors"].items() if k in defaults}}
+    return {
+        name: value if name in layouts.PLAIN_SETTINGS else markup.compile_selector(value)
+        for name, value in chosen.items()
+    }
+
+
+def _styles(counties: list[dict]) -> dict[str, Style]:
+    return {county["key"]: get_layout(county["adapter"]).style for county in counties}
+
+
+def styled_refs(pages: DataFrame, counties: list[dict]) -> DataFrame:
+    """References on results pages of any built-in style."""
+    styles = _styles(counties)
+    readers = {
+        county["key"]: (layouts.refs_only(styles[county["key"]].read_refs),
+                        selector_settings(county, styles[county["key"]].selectors))
+        for county in counties
+    }
+    return (
+        _page_pass(pages, _REFS_RAW, readers)
+        .where("error is null")
+        .select("county_key", "page_key", F.posexplode("refs").alias("ref_pos", "ref"))
+        .select("county_key", "page_key", "ref_pos", tx.clean_text(F.col("ref")).alias("case_ref"))
+        .where(F.length("case_ref") > 0)
+    )
 
 
 def header_value(label: str) -> Column:
@@ -145,62 +164,82 @@ def clean_parties(parties: Column) -> Column:
     )
 
 
-def clean_header(label: Callable[[Column], Column]) -> Column:
-    return F.transform(
-        "header",
-        lambda pair: F.struct(label(pair["label"]).alias("label"), tx.clean_text(pair["value"]).alias("value")),
-    )
+def styled_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
+    """Case records of pages of any built-in style."""
+    styles = _styles(counties)
+    readers = {
+        county["key"]: (styles[county["key"]].read_case, selector_settings(county, styles[county["key"]].selectors))
+        for county in counties
+    }
+    used = {style.name: style for style in styles.values()}
 
+    def own(choice: Callable[[Style], Column]) -> Column:
+        """What each row's own style chooses."""
+        chosen = None
+        for name, style in used.items():
+            column = choice(style)
+            chosen = column if chosen is None else F.when(F.col("page_style") == name, column).otherwise(chosen)
+        return chosen
 
-def _cases(raw: DataFrame, label: Callable, number: Column, name: Column, filed: Column, kind: Column) -> DataFrame:
-    tidy = raw.withColumn("header", clean_header(label))
-    return tidy.select(
-        "county_key",
-        "page_key",
-        number.alias("case_number"),
-        F.coalesce(name, F.lit("")).alias("case_name"),
-        tx.normalize_date(F.coalesce(filed, F.lit(""))).alias("filing_date"),
-        F.coalesce(kind, F.lit("")).alias("case_type"),
-        F.coalesce(first_label("status"), F.lit("")).alias("status"),
-        first_label("court").alias("court"),
-        clean_parties(F.col("parties")).alias("parties"),
-        clean_events(F.col("events")).alias("events"),
-        "error",
+    def field(name: str) -> Column:
+        return own(lambda style: style.fields()[name])
+
+    header = F.transform(
+        "header",
+        lambda pair: F.struct(
+            own(lambda style: style.label(pair["label"])).alias("label"), tx.clean_text(pair["value"]).alias("value")
+        ),
+    )
+    return (
+        _page_pass(pages, _CASE_RAW, readers)
+        .withColumn("header", header)
+        .select(
+            "county_key",
+            "page_key",
+            field("case_number").alias("case_number"),
+            F.coalesce(field("case_name"), F.lit("")).alias("case_name"),
+            tx.normalize_date(F.coalesce(field("filing_date"), F.lit(""))).alias("filing_date"),
+            F.coalesce(field("case_type"), F.lit("")).alias("case_type"),
+            F.coalesce(first_label("status"), F.lit("")).alias("status"),
+            first_label("court").alias("court"),
+            clean_parties(F.col("parties")).alias("parties"),
+            clean_events(F.col("events")).alias("events"),
+            "error",
+        )
     )
 
 
-def grid_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
-    """Label/value rows, party and event grids."""
-    settings = selector_settings(counties, {**layouts.GRID_SELECTORS, **layouts.GRID_CELLS})
-    return _cases(
-        _page_pass(pages, _CASE_RAW, settings, layouts.grid_case),
-        label=tx.label_key,
-        number=first_label("case number"),
-        name=first_label("style", "case name"),
-        filed=first_label("date filed", "filed"),
-        kind=first_label("case type", "type"),
-    )
+def _grid_fields() -> dict[str, Column]:
+    return {
+        "case_number": first_label("case number"),
+        "case_name": first_label("style", "case name"),
+        "filing_date": first_label("date filed", "filed"),
+        "case_type": first_label("case type", "type"),
+    }
 
 
-def block_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
-    """Definition list, party and event blocks. An empty number on the page counts as absent."""
-    settings = selector_settings(counties, {**layouts.BLOCK_SELECTORS, **layouts.BLOCK_CELLS})
+def _block_fields() -> dict[str, Column]:
     listed = tx.clean_text(F.col("listed_ref"))
-    return _cases(
-        _page_pass(pages, _CASE_RAW, settings, layouts.block_case),
-        label=lambda term: F.lower(tx.clean_text(term)),
-        number=F.when(listed != "", listed),
-        name=tx.clean_text(F.col("style")),
-        filed=first_label("filed", "date filed"),
-        kind=first_label("type", "case type"),
-    )
+    return {
+        "case_number": F.when(listed != "", listed),  # an empty number on the page counts as absent
+        "case_name": tx.clean_text(F.col("style")),
+        "filing_date": first_label("filed", "date filed"),
+        "case_type": first_label("type", "case type"),
+    }
+
 
+GRID = Style(
+    "grid", layouts.grid_refs, layouts.grid_case, {**layouts.GRID_SELECTORS, **layouts.GRID_CELLS},
+    label=tx.label_key, fields=_grid_fields,
+)
+BLOCK = Style(
+    "block", layouts.block_refs, layouts.block_case, {**layouts.BLOCK_SELECTORS, **layouts.BLOCK_CELLS},
+    label=lambda term: F.lower(tx.clean_text(term)), fields=_block_fields,
+)
 
 LAYOUTS: dict[str, Layout] = {
-    "aspnet_public_access": Layout(
-        refs=_refs_by(layouts.grid_refs, layouts.GRID_SELECTORS), cases=grid_cases
-    ),
-    "js_portal": Layout(refs=_refs_by(layouts.block_refs, layouts.BLOCK_SELECTORS), cases=block_cases),
+    "aspnet_public_access": Layout(refs=styled_refs, cases=styled_cases, style=GRID),
+    "js_portal": Layout(refs=styled_refs, cases=styled_cases, style=BLOCK),
 }
 
 
@@ -230,13 +269,15 @@ def _of_kind(pages: DataFrame, kind: str) -> DataFrame:
 
 
 def _extract(step: str, kind: str, pages: DataFrame, counties: list[dict]) -> DataFrame:
-    """One branch per adapter in use, each reading only its counties' pages."""
-    groups = by_layout(counties)
+    """One branch per step function in use, each reading only its counties' pages."""
+    groups: dict[Callable, list[dict]] = {}
+    for adapter, members in by_layout(counties).items():
+        groups.setdefault(getattr(get_layout(adapter), step), []).extend(members)
     wanted = _of_kind(pages, kind)
-    parts = []
-    for adapter, members in groups.items():
-        own = wanted.where(F.col("county_key").isin([m["key"] for m in members]))
-        parts.append(own.transform(getattr(get_layout(adapter), step), members))
+    parts = [
+        wanted.where(F.col("county_key").isin([member["key"] for member in members])).transform(function, members)
+        for function, members in groups.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -49,6 +49,10 @@ def block_refs(page, use):
     return [card.attrs.get(REF_ATTRIBUTE, "") for card in page.find(use["search_result_card"])]
 
 
+def refs_only(read):
+    return lambda page, use: {"refs": read(page, use)}
+
+
 def grid_case(page, use):
     header, parties, events = [], [], []
     for row in page.find(use["header_row"]):
@@ -66,7 +70,7 @@ def grid_case(page, use):
             events.append(
                 {"date": text(cells[0], "\n"), "description": text(cells[1]), "location": ""}
             )
-    return {"listed_ref": None, "style": None, "header": header, "parties": parties, "events": events}
+    return {"page_style": "grid", "header": header, "parties": parties, "events": events}
 
 
 def block_case(page, use):
@@ -95,4 +99,7 @@ def block_case(page, use):
         }
         for block in page.find(use["event_block"])
     ]
-    return {"listed_ref": listed_ref, "style": style, "header": header, "parties": parties, "events": events}
+    return {
+        "page_style": "block", "listed_ref": listed_ref, "style": style,
+        "header": header, "parties": parties, "events": events,
+    }

@@ -140,7 +140,8 @@ def test_register_layout_replaces(spark):
         refs=lambda pages, counties: pages.select(
             "county_key", "page_key", F.lit(0).alias("ref_pos"), F.lit("fixed").alias("case_ref")
         ),
-        cases=extract.grid_cases,
+        cases=extract.styled_cases,
+        style=extract.GRID,
     )
     extract.register_layout("mine", extract.LAYOUTS["js_portal"])
     extract.register_layout("mine", layout)

@@ -100,7 +100,7 @@ def test_landed_pages_are_pruned_by_county_and_kind(spark, tmp_path):
     table = jobs.attorney_rows(landed, sample.COUNTIES)
     assert [tuple(r) for r in table.collect()] == sample.EXPECTED
     scans = [line for line in table._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in line]
-    assert len(scans) == 4  # per layout: results pages, case pages
+    assert len(scans) == 2  # results pages, case pages
     assert all("PartitionFilters: [" in s and "county_key" in s and "kind" in s.split("PartitionFilters")[1] for s in scans)
 
 
@@ -108,7 +108,7 @@ def test_html_is_never_shuffled(spark):
     counties = load_counties(sample.COUNTIES)
     plan = jobs.attorney_rows(sample.pages_frame(spark), counties)._jdf.queryExecution().executedPlan().toString()
     below_python = [line for line in plan.splitlines() if "MapInArrow" in line]
-    assert len(below_python) == 4  # per layout: results pages, case pages
+    assert len(below_python) == 2  # results pages, case pages; both layouts in one pass
     assert not any("html" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
     assert search_pages_frame(spark, counties).count() == 4
 

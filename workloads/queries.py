@@ -148,7 +148,7 @@ def nav_by_pattern(pages: DataFrame, counties: list[dict]) -> DataFrame:
     )
 
 
-extract.register_layout("nav_by_pattern", extract.Layout(refs=nav_by_pattern, cases=extract.grid_cases))
+extract.register_layout("nav_by_pattern", extract.Layout(refs=nav_by_pattern, cases=extract.styled_cases, style=extract.GRID))
 
 
 def _page_refs(spark: SparkSession, sf_dir: str, adapter: str | None = None) -> DataFrame:
