@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows moved to their key while still narrow, in as many partitions as the session is set to.
+
+    The number is given so that it stays: adaptive execution merges partitions
+    by their bytes, and a few narrow columns here become pages of text.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def orders_with_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -27,7 +36,7 @@ def orders_with_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
 def case_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case fields and listed parties of every order, without events. Orders move by key while still narrow."""
     lines = ", ".join(raw.plaintiff_line(slot) for slot in range(3))
-    return orders_with_counties(spark, sf_dir).repartition("o_orderkey").selectExpr(
+    return spread(orders_with_counties(spark, sf_dir), "o_orderkey").selectExpr(
         "o_orderkey",
         f"{raw.COUNTY_KEY} AS county_key",
         f"{raw.COUNTY} AS county",
@@ -49,7 +58,7 @@ def case_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_events(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
     """Events as raw text. Items are moved to their order (``by``) while still narrow, and widened there."""
     items = table(spark, sf_dir, "lineitem").drop("l_extendedprice", "l_discount", "l_tax")
-    return items.repartition(*(by or ["l_orderkey"])).selectExpr(
+    return spread(items, *(by or ["l_orderkey"])).selectExpr(
         "l_orderkey AS o_orderkey",
         f"{raw.EVENT_ORDER} AS place",
         "l_linenumber AS line_place",
@@ -232,7 +241,7 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('<tr><td><a class="case-link" href="#">'), F.col("case_ref"), F.lit("</a></td></tr>")),
     ).otherwise(F.concat(F.lit('<div class="result-card" data-case-number="'), F.col("case_ref"), F.lit('"></div>')))
     pages = children.ordered_children(
-        listing(spark, sf_dir), ["county_key", "block_layout", "block"], "o_orderkey", link, "links"
+        spread(listing(spark, sf_dir), "county_key", "block"), ["county_key", "block_layout", "block"], "o_orderkey", link, "links"
     )
     grid = F.concat(F.lit('<html><body><table id="grdCases">'), _join(F.col("links")), F.lit("</table></body></html>"))
     block = F.concat(F.lit("<html><body><section>"), _join(F.col("links")), F.lit("</section></body></html>"))
