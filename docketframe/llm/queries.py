@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup
+from docketframe.llm import exact_dedup, near_dedup, packing
 from docketframe.llm.common import read_table
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("text_key")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return exact_dedup.exact_groups(documents, exact_dedup.by_landing(2)).drop("row_id")
 
 
-QUERIES = {"op9_exact_dedup": op9_exact_dedup}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_packing": op10_packing,
+}
 
 CHECKS = {
     "op9_exact_dedup": """
