@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, near_dedup, packing
+from docketframe.llm import exact_dedup, mixing, near_dedup, packing
 from docketframe.llm.common import read_table
 
 
@@ -12,6 +12,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("text_key")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return exact_dedup.exact_groups(documents, exact_dedup.by_landing(2)).drop("row_id")
@@ -23,6 +27,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op6_mixing": op6_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
 }
