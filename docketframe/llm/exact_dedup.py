@@ -98,17 +98,25 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest) ->
         .where("n > 1")
         .select(F.unhex(F.sha2("text", 256)).alias("sha"))
     )
+    # Grouped before the join, so that the rows of one text meet as one row per task.
     keepers = (
-        heads.join(copies, "sha", "left_semi")
-        .groupBy("sha")
-        .agg(F.max(F.struct("doc_id", "row_id")).alias("keep"), F.count("*").alias("group_size"))
+        heads.groupBy("sha")
+        .agg(
+            F.max("doc_id").alias("keep_id"),
+            F.max_by("row_id", "doc_id").alias("keep_row"),
+            F.max("row_id").alias("any_row"),
+            F.count("*").alias("group_size"),
+        )
+        .where("group_size > 1")
+        .join(copies, "sha", "left_semi")
+        .select("sha", "keep_id", F.coalesce("keep_row", "any_row").alias("keep_row"), "group_size")
     )
-    single = F.col("keep").isNull()
+    single = F.col("keep_row").isNull()
     return heads.join(written(keepers, "keepers"), "sha", "left").select(
         "doc_id",
-        F.when(single, F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
+        F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.when(single, 1).otherwise(F.col("group_size")).cast("long").alias("group_size"),
-        F.when(single, True).otherwise(F.col("keep.row_id") == F.col("row_id")).alias("kept"),
+        F.when(single, True).otherwise(F.col("keep_row") == F.col("row_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
         "row_id",
     )
