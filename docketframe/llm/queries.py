@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, mixing, near_dedup, packing
+from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing
 from docketframe.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return exact_dedup.exact_groups(documents, exact_dedup.by_landing(2)).drop("row_id")
@@ -28,6 +32,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_mixing": op6_mixing,
+    "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
 }
