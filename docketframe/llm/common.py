@@ -22,14 +22,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``df`` with a ``row_id`` unique in it. Only a written frame keeps the number of a row."""
+    return df if "row_id" in df.columns else df.withColumn("row_id", F.monotonically_increasing_id())
+
+
 def numbered(df: DataFrame, name: str, *columns) -> DataFrame:
-    """The columns and a ``row_id`` unique in the frame, written once so that the number stays with its row."""
-    return written(df.select(*columns, F.monotonically_increasing_id().alias("row_id")), name)
+    """The columns and the row id, written once."""
+    return written(with_row_id(df).select(*columns, "row_id"), name)
+
 
+def keyed(df: DataFrame, name: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` written with a row id, for stages that hand whole rows on; and how to name its columns back.
 
-def with_defaults(df: DataFrame, **types: str) -> DataFrame:
-    """The named columns only, in the given types; columns of other names are left out, so none can clash."""
-    return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in types.items()])
+    A column of the input that is called row_id keeps its values under another name meanwhile.
+    """
+    aside = {column: f"__{column}" for column in df.columns if column.lower() == "row_id"}
+    return written(with_row_id(df.withColumnsRenamed(aside)), name), {away: column for column, away in aside.items()}
 
 
 def parts_for(rows: int, each: int) -> int:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketframe.llm import fuse_filter
-from docketframe.llm.common import numbered, parts_for, written
+from docketframe.llm.common import keyed, numbered, parts_for, written
 
 #: Distinct digests a bucket of a snapshot holds on average.
 BUCKET_DIGESTS = 2048
@@ -126,3 +126,10 @@ def by_landing(snapshots: int) -> Column:
     """Deals documents by id: ``snapshots`` snapshots as if landed before, and one new batch."""
     deal = F.pmod(F.xxhash64("doc_id"), F.lit(snapshots + 1))
     return F.when(deal < snapshots, deal).cast("int")
+
+
+def one_of_each(documents: DataFrame, snapshots: int = 2) -> DataFrame:
+    """The rows that stay, with all their columns."""
+    rows, names = keyed(documents, "rows")
+    dropped = exact_groups(rows, by_landing(snapshots)).where("not kept").select("row_id")
+    return rows.join(dropped, "row_id", "left_anti").drop("row_id").withColumnsRenamed(names)

@@ -18,15 +18,17 @@ driver, like the weights. Other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from docketframe.llm.common import WORD, numbered, parts_for
+from docketframe.llm.common import WORD, keyed, numbered, parts_for
 
 BLOCK = 128
 MOST_REPEATS = 3
@@ -208,12 +210,54 @@ def mixed(
     return placed.drop("place"), picks.where("words > 0")
 
 
+def word_count(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def mix_report(documents: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    heads = numbered(documents, "heads", "doc_id", "source", size)
+    heads = numbered(documents, "heads", "doc_id", "source", word_count("text").alias("size"))
     placed, picks = mixed(heads, **options)
     taken = picks.groupBy("row_id").agg(F.sum("words").alias("taken"))
     return placed.join(taken, "row_id", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
+
+
+@F.pandas_udf(StringType())
+def _passage(texts: pd.Series, runs: pd.Series) -> pd.Series:
+    """The words of each run (first word, words), with the white space between them; runs are parted by a line end."""
+    word, out = re.compile(WORD), []
+    for text, pieces in zip(texts, runs, strict=True):
+        if text is None:
+            out.append(None)
+            continue
+        spans, parts, end = [match.span() for match in word.finditer(text)], [], None
+        for piece in sorted((int(piece["from_word"]), int(piece["words"])) for piece in pieces):
+            if end is not None and piece[0] == end:
+                parts[-1][1] = sum(piece)
+            else:
+                parts.append([piece[0], sum(piece)])
+            end = sum(piece)
+        out.append("\n".join(text[spans[first][0] : spans[last - 1][1]] for first, last in parts))
+    return pd.Series(out, dtype=object)
+
+
+def mix_documents(documents: DataFrame, **options) -> DataFrame:
+    """The mix as documents: one row, with all columns, for each pass that takes words of a document.
+
+    A pass that takes the whole document keeps its text as it is; one that takes some of its blocks has these blocks as
+    its text, and their length as n_chars.
+    """
+    rows, names = keyed(documents, "rows")
+    heads = rows.select("row_id", "source", word_count("text").alias("size"))
+    _, picks = mixed(heads, **options)
+    runs = picks.groupBy("row_id", "pass").agg(
+        F.sum("words").alias("__taken"), F.collect_list(F.struct("from_word", "words")).alias("__runs")
+    )
+    joined = rows.join(runs.drop("pass"), "row_id").withColumn("__part", F.col("__taken") < word_count("text"))
+    passage = _passage(F.when(F.col("__part"), F.col("text")), F.when(F.col("__part"), F.col("__runs")))
+    joined = joined.withColumn("__passage", passage).withColumn("text", F.coalesce("__passage", "text"))
+    if "n_chars" in documents.columns:
+        joined = joined.withColumn("n_chars", F.when(F.col("__part"), F.length("text")).otherwise(F.col("n_chars")).cast("long"))
+    return joined.drop("row_id", "__taken", "__runs", "__part", "__passage").withColumnsRenamed(names).select(*[f"`{c}`" for c in documents.columns])

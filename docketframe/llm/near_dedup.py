@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketframe.llm.common import written
+from docketframe.llm.common import keyed, with_row_id, written
 
 BANDS, ROWS = 36, 6
 #: Signature values compared before each decision.
@@ -77,7 +77,7 @@ def _signature(shingles: np.ndarray) -> bytes:
 
 
 def sketches(documents: DataFrame, shingle_words: int) -> DataFrame:
-    """doc_id, text_key, node (digest of the words; null without words), n_shingles, signature."""
+    """row_id, doc_id, text_key, node (digest of the words; null without words), n_shingles, signature."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Words()
@@ -92,12 +92,13 @@ def sketches(documents: DataFrame, shingle_words: int) -> DataFrame:
                 if len(hashes) > CACHE_WORDS:
                     hashes.clear()
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["text_key"], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "text_key", "node", "n_shingles", "signature"],
+                [*batch.columns[:3], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())],
+                names=["row_id", "doc_id", "text_key", "node", "n_shingles", "signature"],
             )
 
-    schema = "doc_id long, text_key long, node binary, n_shingles long, signature binary"
-    return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(sketch, schema)
+    schema = "row_id long, doc_id long, text_key long, node binary, n_shingles long, signature binary"
+    columns = ["row_id", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"]
+    return with_row_id(documents).select(*columns).mapInArrow(sketch, schema)
 
 
 def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
@@ -209,7 +210,10 @@ def _across(entries: DataFrame, leaders: DataFrame, labels: DataFrame) -> DataFr
 
 
 def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """Every row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, kept, text_key."""
+    """Every row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, kept, row_id, component.
+
+    ``component`` numbers the components; it is null without words.
+    """
     rows = written(sketches(documents, shingle_words), "sketches")
     classes = rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least_id"),
@@ -236,10 +240,27 @@ def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80)
         labels = components(found.unionByName(more))
     labelled = classes.join(labels, "rep", "left").select("node", "least_id", F.coalesce("label", "rep").alias("label"))
     least = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    ids = written(labelled.join(least, "label").select("node", "component_id"), "ids")
+    ids = written(labelled.join(least, "label").select("node", "component_id", F.col("label").alias("component")), "ids")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        rows.select("doc_id", "text_key", "node", "n_shingles")
+        rows.select("row_id", "doc_id", "node", "n_shingles")
         .join(ids, "node", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")
+        .select(
+            "doc_id",
+            "n_shingles",
+            component.alias("component_id"),
+            F.col("doc_id").eqNullSafe(component).alias("kept"),
+            "row_id",
+            "component",
+        )
     )
+
+
+def one_of_each(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``documents``, with all their columns, of which one per component is left: that of the smallest id."""
+    rows, names = keyed(documents, "rows")
+    groups = near_groups(rows, shingle_words, percent).where("component is not null")
+    groups = written(groups.select("row_id", "doc_id", "component"), "groups")
+    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first"))
+    dropped = groups.join(first.select("first.row_id"), "row_id", "left_anti").select("row_id")
+    return rows.join(dropped, "row_id", "left_anti").drop("row_id").withColumnsRenamed(names)
