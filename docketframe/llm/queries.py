@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing
+from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing, sharding
 from docketframe.llm.common import read_table
 
 
@@ -12,6 +12,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("text_key")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
