@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing, sharding
+from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing, secrets, sharding
 from docketframe.llm.common import read_table
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("text_key")
 
@@ -34,6 +38,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
