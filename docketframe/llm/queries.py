@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing, secrets, sharding
+from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_rules, secrets, sharding
 from docketframe.llm.common import read_table
 
 
@@ -12,6 +12,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("text_key")
 
@@ -39,6 +43,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_quality_rules": op3_quality_rules,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
