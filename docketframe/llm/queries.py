@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, language_id, mixing, near_dedup, packing, quality_rules, secrets, sharding
+from docketframe.llm import exact_dedup, language_id, licenses, mixing, near_dedup, packing, quality_rules, secrets, sharding
 from docketframe.llm.common import read_table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(read_table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
