@@ -2,13 +2,16 @@
 
 1. One pass over the texts gives each row the digest of its lower-cased words, its number of distinct shingles and a
    signature of ``BANDS * ROWS`` MinHash values of 16 bits. Rows with equal words form a class; one row stands for it.
-2. Banded signatures bring classes together. In each band bucket every class is compared with the bucket's smallest and
-   largest class (a star, not all pairs). What the links leave in several components is then compared across
-   components, so a bucket of many copies costs a star and a bucket of strangers loses no pair.
+2. Banded signatures bring classes together. In each band bucket every class is compared with two of the bucket's
+   classes, chosen by a hash (a star, not all pairs).
 3. Verification is sequential: signatures are compared batch by batch, and a pair is given up as soon as the posterior
    probability of a similarity at or above the threshold (flat prior) is at most ``MISS``. Survivors are verified
    exactly on their full shingle sets.
-4. Components of the verified links are found by passing the smallest label along links and shortcutting labels.
+4. Buckets whose classes still lie in several components are finished without listing pairs: the classes outside a
+   bucket's main component ask all others, in blocks of signatures, and name the components in which some class may be
+   similar; they are then verified against all classes of these components, in blocks of texts. So a bucket of many
+   copies costs a star, and none of its links is lost.
+5. Components of the verified links are found by passing the smallest label along links and shortcutting labels.
 
 A text with fewer words than a shingle has one shingle, the whole sequence; a text without words, or null, has none and
 is linked with nothing. Empty tables give empty results; rows that repeat are members of one class; a null ``doc_id`` is
@@ -19,9 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import pairwise
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,6 +41,8 @@ BATCH = 36
 MISS = 1e-5
 #: Words whose hashes a task remembers.
 CACHE_WORDS = 1 << 20
+#: Classes, and shingles, that meet as one block.
+BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1 << 18
 _BLOCK = 1024
 _MULTIPLIERS = np.random.default_rng(20).integers(0, 2**64, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -144,11 +151,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold. Only texts of their classes move."""
-    involved = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    wanted = classes.join(involved, "rep", "left_semi").select("rep", "member.doc_id", "member.text_key")
-    keyed = documents.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), "text")
-    texts = keyed.join(wanted, F.expr("id <=> doc_id and key = text_key")).select("rep", "text").dropDuplicates(["rep"])
-    texts = written(texts, "texts")
+    texts = _texts(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))), classes, documents)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, of = None, set()
@@ -189,24 +192,121 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _stars(entries: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Each class with the smallest and the largest of each of its buckets."""
-    met = entries.join(leaders, "band").select("rep", F.explode(F.array("low", "high")).alias("other")).where("rep <> other")
-    return met.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-
-
-def _across(entries: DataFrame, leaders: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in different components and that no star has compared."""
-    labelled = entries.join(leaders.where("n > 3"), "band").where("rep <> low and rep <> high").select("band", "rep")
-    labelled = labelled.join(labels, "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("first"), F.max("label").alias("last")).where("first < last")
-    labelled = written(labelled.join(mixed, "band", "left_semi"), "mixed")
-    groups = labelled.select("band", "label").distinct()
-    ahead, behind = groups.withColumnRenamed("label", "label_a"), groups.withColumnRenamed("label", "label_b")
-    meetings = ahead.join(behind, "band").where("label_a < label_b")
-    a = labelled.select("band", F.col("label").alias("label_a"), F.col("rep").alias("a"))
-    b = labelled.select("band", F.col("label").alias("label_b"), F.col("rep").alias("b"))
-    pairs = meetings.join(a, ["band", "label_a"]).join(b, ["band", "label_b"])
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    """Each class with both leaders of each of its buckets."""
+    met = entries.join(leaders.select("band", "low", "high"), "band").select("rep", F.explode(F.array("low", "high")).alias("other"))
+    return met.where("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+    """The rows of each ``key`` of a partition sorted by it, parted into those that ask and those that are asked."""
+    rest = None
+
+    def parted(run: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        return run[run["asks"]], run[~run["asks"]]
+
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if rows.empty:
+            continue
+        keys = rows["key"].to_numpy()
+        starts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1)]
+        for start, end in pairwise(starts):
+            yield parted(rows.iloc[start:end])
+        rest = rows.iloc[starts[-1] :]
+    if rest is not None:
+        yield parted(rest)
+
+
+def _blocks(asked: DataFrame, asking: DataFrame, group: str, weight: str, most: int, *columns: str) -> DataFrame:
+    """Both sides of every block pair of every ``group``, sorted by the key of the block pair.
+
+    A group of weight w is dealt into w / ``most`` blocks on either side; each side goes to the blocks of the other.
+    """
+
+    def number(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(group).agg(F.ceil(F.sum(weight) / most).cast("long").alias(name))
+
+    sizes = number(asked, "asked").join(number(asking, "asking"), group)
+
+    def side(rows: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("rep"), F.col(own))
+        spread = rows.join(sizes, group).withColumn("facing", F.explode(F.expr(f"sequence(0L, {other} - 1)")))
+        pair = (block, F.col("facing")) if not asks else (F.col("facing"), block)
+        return spread.select(F.xxhash64(group, *pair).alias("key"), F.lit(asks).alias("asks"), *columns)
+
+    both = side(asked, "asked", "asking", False).unionByName(side(asking, "asking", "asked", True))
+    return both.repartition("key").sortWithinPartitions("key")
+
+
+def _suspected(entries: DataFrame, leaders: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(rep, label): classes with the components, other than their own, where a bucket holds a plausible partner."""
+    steps = least_matches(percent / 100)
+    labelled = entries.join(leaders.where("n > 3").select("band"), "band", "left_semi").join(labels, "rep", "left")
+    labelled = labelled.select("band", "rep", F.coalesce("label", "rep").alias("label"))
+    counts = labelled.groupBy("band", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("band").agg(F.max_by("label", "n").alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = labelled.join(main.select("band", "main"), "band").join(classes.select("rep", "n_shingles", "signature"), "rep")
+    mixed = written(mixed.withColumn("one", F.lit(1)), "mixed")
+    blocks = _blocks(mixed, mixed.where("label <> main"), "band", "one", BLOCK_CLASSES, "rep", "label", "n_shingles", "signature")
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for asking, asked in _runs(batches):
+            found = set()
+            theirs = np.frombuffer(b"".join(asked["signature"]), "<u2").reshape(len(asked), -1)
+            their_labels, their_sizes = asked["label"].to_numpy(), asked["n_shingles"].to_numpy()
+            for row in asking.itertuples():
+                alive = np.flatnonzero(
+                    (their_labels != row.label) & (their_sizes * percent <= row.n_shingles * 100) & (row.n_shingles * percent <= their_sizes * 100)
+                )
+                own, matches, done = np.frombuffer(row.signature, "<u2"), np.zeros(len(alive), np.int64), 0
+                for n, needed in steps:
+                    matches = matches + (theirs[alive, done:n] == own[done:n]).sum(axis=1)
+                    stay = matches >= needed
+                    alive, matches, done = alive[stay], matches[stay], n
+                    if not len(alive):
+                        break
+                found.update((row.rep, int(label)) for label in np.unique(their_labels[alive]))
+            if found:
+                yield pd.DataFrame(sorted(found), columns=["rep", "label"])
+
+    return blocks.mapInPandas(ask, "rep long, label long").distinct()
+
+
+def _texts(reps: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """(rep, text) of the classes; no other text is handed on."""
+    wanted = classes.join(reps.distinct(), "rep", "left_semi").select("rep", "member.doc_id", "member.text_key")
+    keyed_texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), "text")
+    return written(keyed_texts.join(wanted, F.expr("id <=> doc_id and key = text_key")).select("rep", "text").dropDuplicates(["rep"]), "texts")
+
+
+def _links_across(suspected: DataFrame, labels: DataFrame, classes: DataFrame, documents: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """(a, b): links between the classes of ``suspected`` (rep, label) and all classes of these components."""
+    every = classes.select("rep", "n_shingles").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    asked = every.join(suspected.select("label").distinct(), "label", "left_semi")
+    asking = suspected.join(classes.select("rep", "n_shingles"), "rep")
+    texts = _texts(asked.select("rep").unionByName(asking.select("rep")), classes, documents)
+    blocks = _blocks(asked.join(texts, "rep"), asking.join(texts, "rep"), "label", "n_shingles", BLOCK_SHINGLES, "rep", "text")
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for asking_rows, asked_rows in _runs(batches):
+            numbers: dict[bytes, list[int]] = {}
+            sizes = np.zeros(len(asked_rows), np.int64)
+            for at, text in enumerate(asked_rows["text"]):
+                shingles = shingle_set(text.encode().lower().split(), shingle_words)
+                sizes[at] = len(shingles)
+                for shingle in shingles:
+                    numbers.setdefault(shingle, []).append(at)
+            places = {shingle: np.array(found) for shingle, found in numbers.items()}
+            reps = asked_rows["rep"].to_numpy()
+            for row in asking_rows.itertuples():
+                shingles = shingle_set(row.text.encode().lower().split(), shingle_words)
+                found = [places[shingle] for shingle in shingles if shingle in places]
+                common = np.bincount(np.concatenate(found), minlength=len(reps)) if found else np.zeros(len(reps), np.int64)
+                linked = reps[(100 * common >= percent * (len(shingles) + sizes - common)) & (reps != row.rep)]
+                if len(linked):
+                    yield pd.DataFrame({"a": np.minimum(linked, row.rep), "b": np.maximum(linked, row.rep)})
+
+    return blocks.mapInPandas(verify, "a long, b long").distinct()
 
 
 def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -225,19 +325,20 @@ def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80)
     size = 2 * ROWS
     bands = [F.xxhash64(F.lit(i), F.expr(f"substring(signature, {i * size + 1}, {size})")) for i in range(BANDS)]
     entries = classes.select("rep", F.explode(F.array(*bands)).alias("band"))
-    leaders = entries.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("n"))
-    leaders = written(leaders.where("low < high"), "leaders")
-    entries = written(entries.join(leaders, "band", "left_semi"), "entries")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        likely = written(_plausible(pairs, classes, percent), "likely")
-        return written(_confirmed(likely, classes, documents, shingle_words, percent), "links")
-
-    found = links(_stars(entries, leaders))
+    order = F.xxhash64("rep", "band")
+    leaders = entries.groupBy("band").agg(
+        F.min_by("rep", order).alias("low"), F.max_by("rep", order).alias("high"), F.count("*").alias("n")
+    )
+    leaders = written(leaders.where("n > 1"), "leaders")
+    entries = written(entries.join(leaders.select("band"), "band", "left_semi"), "entries")
+    likely = written(_plausible(_stars(entries, leaders), classes, percent), "likely")
+    found = written(_confirmed(likely, classes, documents, shingle_words, percent), "links")
     labels = components(found)
-    more = links(_across(entries, leaders, labels))
-    if not more.isEmpty():
-        labels = components(found.unionByName(more))
+    suspected = written(_suspected(entries, leaders, labels, classes, percent), "suspected")
+    if not suspected.isEmpty():
+        more = written(_links_across(suspected, labels, classes, documents, shingle_words, percent), "links")
+        if not more.isEmpty():
+            labels = components(found.unionByName(more))
     labelled = classes.join(labels, "rep", "left").select("node", "least_id", F.coalesce("label", "rep").alias("label"))
     least = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
     ids = written(labelled.join(least, "label").select("node", "component_id", F.col("label").alias("component")), "ids")

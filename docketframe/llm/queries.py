@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, language_id, licenses, mixing, near_dedup, packing, quality_rules, secrets, sharding
+from docketframe.llm import exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, packing, quality_rules, secrets, sharding
 from docketframe.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(read_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_sharding": op5_sharding,
     "op6_mixing": op6_mixing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
