@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketframe.session import scratch_path
@@ -22,23 +22,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """``df`` with a ``row_id`` unique in it. Only a written frame keeps the number of a row."""
-    return df if "row_id" in df.columns else df.withColumn("row_id", F.monotonically_increasing_id())
+def row_number_of(row_id: str | None) -> Column:
+    """The column that tells rows apart, or a new number; only a written frame keeps a new number with its row."""
+    return (F.monotonically_increasing_id() if row_id is None else F.col(f"`{row_id}`")).alias("row_id")
 
 
-def numbered(df: DataFrame, name: str, *columns) -> DataFrame:
-    """The columns and the row id, written once."""
-    return written(with_row_id(df).select(*columns, "row_id"), name)
+def numbered(df: DataFrame, name: str, *columns, row_id: str | None = None) -> DataFrame:
+    """The columns and ``row_id``, written once."""
+    return written(df.select(*columns, row_number_of(row_id)), name)
 
 
-def keyed(df: DataFrame, name: str) -> tuple[DataFrame, dict[str, str]]:
-    """``df`` written with a row id, for stages that hand whole rows on; and how to name its columns back.
-
-    A column of the input that is called row_id keeps its values under another name meanwhile.
-    """
-    aside = {column: f"__{column}" for column in df.columns if column.lower() == "row_id"}
-    return written(with_row_id(df.withColumnsRenamed(aside)), name), {away: column for column, away in aside.items()}
+def keyed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written with a row number, and the number's name, which no column of ``df`` has."""
+    taken, own = {column.lower() for column in df.columns}, "row_id"
+    while own in taken:
+        own += "_"
+    return written(df.withColumn(own, F.monotonically_increasing_id()), name), own
 
 
 def parts_for(rows: int, each: int) -> int:

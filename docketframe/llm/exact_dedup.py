@@ -71,7 +71,7 @@ def shared_digests(heads: DataFrame) -> DataFrame:
     return known.unionByName(copies).unionByName(new.where("n > 1").select("digest")).distinct()
 
 
-def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest) -> DataFrame:
+def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, row_id: str | None = None) -> DataFrame:
     """Every row of ``documents`` (doc_id, text) with its group.
 
     ``snapshot``: int column, the immutable snapshot that a row is part of; null for the new batch.
@@ -86,6 +86,7 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest) ->
         digest(text).alias("digest"),
         F.unhex(F.sha2(text, 256)).alias("sha"),
         snapshot.cast("int").alias("snapshot"),
+        row_id=row_id,
     )
     shared = written(shared_digests(heads), "shared")
     # Texts are fetched by id and digest, which spreads them evenly; grouping by the bytes combines before it moves.
@@ -130,6 +131,6 @@ def by_landing(snapshots: int) -> Column:
 
 def one_of_each(documents: DataFrame, snapshots: int = 2) -> DataFrame:
     """The rows that stay, with all their columns."""
-    rows, names = keyed(documents, "rows")
-    dropped = exact_groups(rows, by_landing(snapshots)).where("not kept").select("row_id")
-    return rows.join(dropped, "row_id", "left_anti").drop("row_id").withColumnsRenamed(names)
+    rows, key = keyed(documents, "rows")
+    dropped = exact_groups(rows, by_landing(snapshots), row_id=key).where("not kept").select(F.col("row_id").alias(key))
+    return rows.join(dropped, key, "left_anti").drop(key)

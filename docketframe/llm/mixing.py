@@ -249,15 +249,16 @@ def mix_documents(documents: DataFrame, **options) -> DataFrame:
     A pass that takes the whole document keeps its text as it is; one that takes some of its blocks has these blocks as
     its text, and their length as n_chars.
     """
-    rows, names = keyed(documents, "rows")
-    heads = rows.select("row_id", "source", word_count("text").alias("size"))
+    rows, key = keyed(documents, "rows")
+    heads = rows.select(F.col(key).alias("row_id"), "source", word_count("text").alias("size"))
     _, picks = mixed(heads, **options)
     runs = picks.groupBy("row_id", "pass").agg(
         F.sum("words").alias("__taken"), F.collect_list(F.struct("from_word", "words")).alias("__runs")
     )
-    joined = rows.join(runs.drop("pass"), "row_id").withColumn("__part", F.col("__taken") < word_count("text"))
+    joined = rows.join(runs.select(F.col("row_id").alias(key), "__taken", "__runs"), key)
+    joined = joined.withColumn("__part", F.col("__taken") < word_count("text"))
     passage = _passage(F.when(F.col("__part"), F.col("text")), F.when(F.col("__part"), F.col("__runs")))
     joined = joined.withColumn("__passage", passage).withColumn("text", F.coalesce("__passage", "text"))
     if "n_chars" in documents.columns:
         joined = joined.withColumn("n_chars", F.when(F.col("__part"), F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return joined.drop("row_id", "__taken", "__runs", "__part", "__passage").withColumnsRenamed(names).select(*[f"`{c}`" for c in documents.columns])
+    return joined.select(*[f"`{column}`" for column in documents.columns])

@@ -2,8 +2,8 @@
 
 1. One pass over the texts gives each row the digest of its lower-cased words, its number of distinct shingles and a
    signature of ``BANDS * ROWS`` MinHash values of 16 bits. Rows with equal words form a class; one row stands for it.
-2. Banded signatures bring classes together. In each band bucket every class is compared with two of the bucket's
-   classes, chosen by a hash (a star, not all pairs).
+2. Banded signatures bring classes together. In each band bucket every class is compared with one of them,
+   chosen by a hash of class and band (a star, not all pairs; bands choose differently).
 3. Verification is sequential: signatures are compared batch by batch, and a pair is given up as soon as the posterior
    probability of a similarity at or above the threshold (flat prior) is at most ``MISS``. Survivors are verified
    exactly on their full shingle sets.
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketframe.llm.common import keyed, with_row_id, written
+from docketframe.llm.common import keyed, row_number_of, written
 
 BANDS, ROWS = 36, 6
 #: Signature values compared before each decision.
@@ -83,7 +83,7 @@ def _signature(shingles: np.ndarray) -> bytes:
         return ((least * _MIX) >> np.uint64(48)).astype("<u2").tobytes()
 
 
-def sketches(documents: DataFrame, shingle_words: int) -> DataFrame:
+def sketches(documents: DataFrame, shingle_words: int, row_id: str | None = None) -> DataFrame:
     """row_id, doc_id, text_key, node (digest of the words; null without words), n_shingles, signature."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,8 +104,8 @@ def sketches(documents: DataFrame, shingle_words: int) -> DataFrame:
             )
 
     schema = "row_id long, doc_id long, text_key long, node binary, n_shingles long, signature binary"
-    columns = ["row_id", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"]
-    return with_row_id(documents).select(*columns).mapInArrow(sketch, schema)
+    columns = [row_number_of(row_id), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"]
+    return documents.select(*columns).mapInArrow(sketch, schema)
 
 
 def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
@@ -192,9 +192,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _stars(entries: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Each class with both leaders of each of its buckets."""
-    met = entries.join(leaders.select("band", "low", "high"), "band").select("rep", F.explode(F.array("low", "high")).alias("other"))
-    return met.where("rep <> other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    """Each class with the leader of each of its buckets."""
+    met = entries.join(leaders.select("band", "leader"), "band").where("rep <> leader")
+    return met.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
@@ -241,7 +241,7 @@ def _blocks(asked: DataFrame, asking: DataFrame, group: str, weight: str, most:
 def _suspected(entries: DataFrame, leaders: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(rep, label): classes with the components, other than their own, where a bucket holds a plausible partner."""
     steps = least_matches(percent / 100)
-    labelled = entries.join(leaders.where("n > 3").select("band"), "band", "left_semi").join(labels, "rep", "left")
+    labelled = entries.join(leaders.where("n > 2").select("band"), "band", "left_semi").join(labels, "rep", "left")
     labelled = labelled.select("band", "rep", F.coalesce("label", "rep").alias("label"))
     counts = labelled.groupBy("band", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("band").agg(F.max_by("label", "n").alias("main"), F.count("*").alias("labels")).where("labels > 1")
@@ -309,12 +309,12 @@ def _links_across(suspected: DataFrame, labels: DataFrame, classes: DataFrame, d
     return blocks.mapInPandas(verify, "a long, b long").distinct()
 
 
-def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80, row_id: str | None = None) -> DataFrame:
     """Every row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, kept, row_id, component.
 
     ``component`` numbers the components; it is null without words.
     """
-    rows = written(sketches(documents, shingle_words), "sketches")
+    rows = written(sketches(documents, shingle_words, row_id), "sketches")
     classes = rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least_id"),
         F.min(F.struct("doc_id", "text_key")).alias("member"),
@@ -326,9 +326,7 @@ def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80)
     bands = [F.xxhash64(F.lit(i), F.expr(f"substring(signature, {i * size + 1}, {size})")) for i in range(BANDS)]
     entries = classes.select("rep", F.explode(F.array(*bands)).alias("band"))
     order = F.xxhash64("rep", "band")
-    leaders = entries.groupBy("band").agg(
-        F.min_by("rep", order).alias("low"), F.max_by("rep", order).alias("high"), F.count("*").alias("n")
-    )
+    leaders = entries.groupBy("band").agg(F.min_by("rep", order).alias("leader"), F.count("*").alias("n"))
     leaders = written(leaders.where("n > 1"), "leaders")
     entries = written(entries.join(leaders.select("band"), "band", "left_semi"), "entries")
     likely = written(_plausible(_stars(entries, leaders), classes, percent), "likely")
@@ -359,9 +357,9 @@ def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80)
 
 def one_of_each(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``documents``, with all their columns, of which one per component is left: that of the smallest id."""
-    rows, names = keyed(documents, "rows")
-    groups = near_groups(rows, shingle_words, percent).where("component is not null")
+    rows, key = keyed(documents, "rows")
+    groups = near_groups(rows, shingle_words, percent, key).where("component is not null")
     groups = written(groups.select("row_id", "doc_id", "component"), "groups")
     first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first"))
-    dropped = groups.join(first.select("first.row_id"), "row_id", "left_anti").select("row_id")
-    return rows.join(dropped, "row_id", "left_anti").drop("row_id").withColumnsRenamed(names)
+    dropped = groups.join(first.select("first.row_id"), "row_id", "left_anti").select(F.col("row_id").alias(key))
+    return rows.join(dropped, key, "left_anti").drop(key)
