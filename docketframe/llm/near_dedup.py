@@ -11,7 +11,7 @@
    bucket's main component ask all others, in blocks of signatures, and name the components in which some class may be
    similar; they are then verified against all classes of these components, in blocks of texts. So a bucket of many
    copies costs a star, and none of its links is lost.
-5. Components of the verified links are found by passing the smallest label along links and shortcutting labels.
+5. Components of the verified links are found by pointing to the smallest neighbour and drawing the links anew.
 
 A text with fewer words than a shingle has one shingle, the whole sequence; a text without words, or null, has none and
 is linked with nothing. Empty tables give empty results; rows that repeat are members of one class; a null ``doc_id`` is
@@ -173,24 +173,46 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, shing
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(rep, label) for every end of a link: the smallest end that can be reached."""
-    both = links.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(
-        links.select(F.col("b").alias("rep"), F.col("a").alias("other"))
-    )
-    edges = written(both, "edges")
-    labels = written(edges.groupBy("rep").agg(F.least("rep", F.min("other")).alias("label")), "labels")
+    """(rep, label) for every end of a link: the smallest end that can be reached.
+
+    In each round every class points to its smallest neighbour, pointers are shortened, and the links are drawn anew
+    between the classes pointed to; so most links are gone after the first round.
+    """
+    edges, labels = written(links.select("a", "b"), "edges"), None
     while True:
-        near = labels.select(F.col("rep").alias("other"), F.col("label").alias("near"))
-        least = edges.join(near, "other").groupBy("rep").agg(F.min("near").alias("near"))
-        stepped = labels.join(least, "rep").select("rep", F.least("label", "near").alias("step"), F.col("label").alias("old"))
-        stepped = written(stepped, "steps")
-        jump = stepped.select(F.col("rep").alias("step"), F.col("step").alias("far"))
-        jumped = written(stepped.join(jump, "step").select("rep", F.least("step", "far").alias("label"), "old"), "labels")
-        labels = jumped.select("rep", "label")
-        if jumped.where("label <> old").isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        points = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")), "points")
+        far = points.select(F.col("a").alias("to"), F.col("to").alias("far"))
+        points = written(points.join(far, "to").select("a", F.col("far").alias("to")), "points")
+        if labels is None:
+            labels = points.select(F.col("a").alias("rep"), F.col("to").alias("label"))
+        else:
+            moved = points.select(F.col("a").alias("label"), F.col("to").alias("new"))
+            labels = labels.join(moved, "label", "left").select("rep", F.coalesce("new", "label").alias("label"))
+            labels = written(labels, "labels")
+        ends = points.select(F.col("a").alias("b"), F.col("to").alias("to_b"))
+        drawn = edges.join(points.withColumnRenamed("to", "to_a"), "a").join(ends, "b").where("to_a <> to_b")
+        drawn = drawn.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct()
+        edges = written(drawn, "edges")
+        if edges.isEmpty():
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links."""
+
+    def end(name: str) -> DataFrame:
+        return labels.select(F.col("rep").alias(name), F.col("label").alias(f"to_{name}"))
+
+    between = links.join(end("a"), "a", "left").join(end("b"), "b", "left")
+    between = between.select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b")).distinct()
+    new = components(between).select(F.col("rep").alias("label"), F.col("label").alias("new"))
+    old = labels.join(new, "label", "left").select("rep", F.coalesce("new", "label").alias("label"))
+    # Ends that had no link before stand for themselves.
+    alone = new.select(F.col("label").alias("rep"), F.col("new").alias("label")).join(labels.select("rep"), "rep", "left_anti")
+    return written(old.unionByName(alone), "labels")
+
+
 def _stars(entries: DataFrame, leaders: DataFrame) -> DataFrame:
     """Each class with the leader of each of its buckets."""
     met = entries.join(leaders.select("band", "leader"), "band").where("rep <> leader")
@@ -336,7 +358,7 @@ def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80,
     if not suspected.isEmpty():
         more = written(_links_across(suspected, labels, classes, documents, shingle_words, percent), "links")
         if not more.isEmpty():
-            labels = components(found.unionByName(more))
+            labels = merged(labels, more)
     labelled = classes.join(labels, "rep", "left").select("node", "least_id", F.coalesce("label", "rep").alias("label"))
     least = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
     ids = written(labelled.join(least, "label").select("node", "component_id", F.col("label").alias("component")), "ids")
