@@ -22,22 +22,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_number_of(row_id: str | None) -> Column:
-    """The column that tells rows apart, or a new number; only a written frame keeps a new number with its row."""
-    return (F.monotonically_increasing_id() if row_id is None else F.col(f"`{row_id}`")).alias("row_id")
+def numbered(df: DataFrame, name: str, *columns) -> DataFrame:
+    """The columns and a ``row_id`` unique in the frame, written once so that the number stays with its row."""
+    return written(df.select(*columns, F.monotonically_increasing_id().alias("row_id")), name)
 
 
-def numbered(df: DataFrame, name: str, *columns, row_id: str | None = None) -> DataFrame:
-    """The columns and ``row_id``, written once."""
-    return written(df.select(*columns, row_number_of(row_id)), name)
+def row_key() -> Column:
+    """What tells documents apart where whole rows are not numbered: id, source and text. Nulls are equal to nulls."""
+    return F.struct("doc_id", "source", F.xxhash64("text")).alias("row_key")
 
 
-def keyed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written with a row number, and the number's name, which no column of ``df`` has."""
-    taken, own = {column.lower() for column in df.columns}, "row_id"
-    while own in taken:
+def by_key(documents: DataFrame, keys: DataFrame, how: str, once: bool = False) -> DataFrame:
+    """``documents`` joined to ``keys`` (row_key and what else it holds), one row a key if ``once``."""
+    own = "row_key"
+    while own in {column.lower() for column in documents.columns}:
         own += "_"
-    return written(df.withColumn(own, F.monotonically_increasing_id()), name), own
+    joined = documents.withColumn(own, row_key()).join(keys.withColumnRenamed("row_key", own), own, how)
+    return (joined.dropDuplicates([own]) if once else joined).drop(own)
+
+
+def one_per_key(documents: DataFrame, decided: DataFrame) -> DataFrame:
+    """The documents that stay, with all their columns. ``decided``: row_key, stays, and n, the rows of a key.
+
+    A key that stays with more than one row leaves one; only such rows, and keys that go, are looked for.
+    """
+    decided = written(decided, "decided")
+    left = by_key(documents, decided.where("not stays or n > 1").select("row_key"), "left_anti")
+    repeated = decided.where("stays and n > 1").select("row_key")
+    return left if repeated.isEmpty() else left.unionByName(by_key(documents, repeated, "left_semi", once=True))
 
 
 def parts_for(rows: int, each: int) -> int:

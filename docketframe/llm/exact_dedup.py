@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketframe.llm import fuse_filter
-from docketframe.llm.common import keyed, numbered, parts_for, written
+from docketframe.llm.common import numbered, one_per_key, parts_for, row_key, written
 
 #: Distinct digests a bucket of a snapshot holds on average.
 BUCKET_DIGESTS = 2048
@@ -71,12 +71,12 @@ def shared_digests(heads: DataFrame) -> DataFrame:
     return known.unionByName(copies).unionByName(new.where("n > 1").select("digest")).distinct()
 
 
-def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, row_id: str | None = None) -> DataFrame:
+def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, *carried) -> DataFrame:
     """Every row of ``documents`` (doc_id, text) with its group.
 
     ``snapshot``: int column, the immutable snapshot that a row is part of; null for the new batch.
     ``digest``: text to a long. Different texts may share a digest; the byte check keeps them apart.
-    Returns doc_id, keep_id, group_size, kept, text_sha256, row_id.
+    Returns doc_id, keep_id, group_size, kept, text_sha256, and the columns ``carried``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     heads = numbered(
@@ -86,8 +86,9 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, ro
         digest(text).alias("digest"),
         F.unhex(F.sha2(text, 256)).alias("sha"),
         snapshot.cast("int").alias("snapshot"),
-        row_id=row_id,
+        *carried,
     )
+    held = heads.columns[4:-1]
     shared = written(shared_digests(heads), "shared")
     # Texts are fetched by id and digest, which spreads them evenly; grouping by the bytes combines before it moves.
     wanted = heads.join(shared, "digest", "left_semi").select(F.col("doc_id").alias("id"), F.col("digest").alias("of")).distinct()
@@ -119,7 +120,7 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, ro
         F.when(single, 1).otherwise(F.col("group_size")).cast("long").alias("group_size"),
         F.when(single, True).otherwise(F.col("keep_row") == F.col("row_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
-        "row_id",
+        *held,
     )
 
 
@@ -131,6 +132,5 @@ def by_landing(snapshots: int) -> Column:
 
 def one_of_each(documents: DataFrame, snapshots: int = 2) -> DataFrame:
     """The rows that stay, with all their columns."""
-    rows, key = keyed(documents, "rows")
-    dropped = exact_groups(rows, by_landing(snapshots), row_id=key).where("not kept").select(F.col("row_id").alias(key))
-    return rows.join(dropped, key, "left_anti").drop(key)
+    groups = exact_groups(documents, by_landing(snapshots), short_digest, row_key())
+    return one_per_key(documents, groups.groupBy("row_key").agg(F.max("kept").alias("stays"), F.count("*").alias("n")))

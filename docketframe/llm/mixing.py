@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from docketframe.llm.common import WORD, keyed, numbered, parts_for
+from docketframe.llm.common import WORD, by_key, numbered, one_per_key, parts_for, row_key
 
 BLOCK = 128
 MOST_REPEATS = 3
@@ -249,16 +249,18 @@ def mix_documents(documents: DataFrame, **options) -> DataFrame:
     A pass that takes the whole document keeps its text as it is; one that takes some of its blocks has these blocks as
     its text, and their length as n_chars.
     """
-    rows, key = keyed(documents, "rows")
-    heads = rows.select(F.col(key).alias("row_id"), "source", word_count("text").alias("size"))
+    heads = numbered(documents, "heads", row_key(), "source", word_count("text").alias("size"))
     _, picks = mixed(heads, **options)
     runs = picks.groupBy("row_id", "pass").agg(
         F.sum("words").alias("__taken"), F.collect_list(F.struct("from_word", "words")).alias("__runs")
     )
-    joined = rows.join(runs.select(F.col("row_id").alias(key), "__taken", "__runs"), key)
-    joined = joined.withColumn("__part", F.col("__taken") < word_count("text"))
-    passage = _passage(F.when(F.col("__part"), F.col("text")), F.when(F.col("__part"), F.col("__runs")))
+    whole = (F.col("__taken") == F.col("size")).alias("__whole")
+    runs = runs.join(heads.select("row_id", "row_key", "size"), "row_id").select("row_key", whole, "__runs")
+    # Rows of one key are one text; each has its own runs.
+    keys = heads.groupBy("row_key").agg(F.lit(True).alias("stays"), F.count("*").alias("n"))
+    joined = by_key(one_per_key(documents, keys.where("n > 1")), runs, "inner")
+    passage = _passage(F.when(~F.col("__whole"), F.col("text")), F.when(~F.col("__whole"), F.col("__runs")))
     joined = joined.withColumn("__passage", passage).withColumn("text", F.coalesce("__passage", "text"))
     if "n_chars" in documents.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("__part"), F.length("text")).otherwise(F.col("n_chars")).cast("long"))
+        joined = joined.withColumn("n_chars", F.when(F.col("__whole"), F.col("n_chars")).otherwise(F.length("text")).cast("long"))
     return joined.select(*[f"`{column}`" for column in documents.columns])

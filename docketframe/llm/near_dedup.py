@@ -31,8 +31,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from docketframe.llm.common import keyed, row_number_of, written
+from docketframe.llm.common import one_per_key, row_key, written
 
 BANDS, ROWS = 36, 6
 #: Signature values compared before each decision.
@@ -83,8 +84,8 @@ def _signature(shingles: np.ndarray) -> bytes:
         return ((least * _MIX) >> np.uint64(48)).astype("<u2").tobytes()
 
 
-def sketches(documents: DataFrame, shingle_words: int, row_id: str | None = None) -> DataFrame:
-    """row_id, doc_id, text_key, node (digest of the words; null without words), n_shingles, signature."""
+def sketches(documents: DataFrame, shingle_words: int, *carried) -> DataFrame:
+    """doc_id, text_key, node (digest of the words; null without words), n_shingles, signature, and the columns ``carried``."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Words()
@@ -99,13 +100,13 @@ def sketches(documents: DataFrame, shingle_words: int, row_id: str | None = None
                 if len(hashes) > CACHE_WORDS:
                     hashes.clear()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())],
-                names=["row_id", "doc_id", "text_key", "node", "n_shingles", "signature"],
+                [*batch.columns[:-1], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary())],
+                names=[*batch.schema.names[:-1], "node", "n_shingles", "signature"],
             )
 
-    schema = "row_id long, doc_id long, text_key long, node binary, n_shingles long, signature binary"
-    columns = [row_number_of(row_id), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"]
-    return documents.select(*columns).mapInArrow(sketch, schema)
+    read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), *carried, "text")
+    schema = StructType(read.schema.fields[:-1]).add("node", "binary").add("n_shingles", "long").add("signature", "binary")
+    return read.mapInArrow(sketch, schema)
 
 
 def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
@@ -331,12 +332,13 @@ def _links_across(suspected: DataFrame, labels: DataFrame, classes: DataFrame, d
     return blocks.mapInPandas(verify, "a long, b long").distinct()
 
 
-def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80, row_id: str | None = None) -> DataFrame:
-    """Every row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, kept, row_id, component.
+def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80, *carried) -> DataFrame:
+    """Every row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, kept, component, and ``carried``.
 
     ``component`` numbers the components; it is null without words.
     """
-    rows = written(sketches(documents, shingle_words, row_id), "sketches")
+    rows = written(sketches(documents, shingle_words, *carried), "sketches")
+    held = rows.columns[2:-3]
     classes = rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least_id"),
         F.min(F.struct("doc_id", "text_key")).alias("member"),
@@ -364,24 +366,24 @@ def near_groups(documents: DataFrame, shingle_words: int = 5, percent: int = 80,
     ids = written(labelled.join(least, "label").select("node", "component_id", F.col("label").alias("component")), "ids")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        rows.select("row_id", "doc_id", "node", "n_shingles")
+        rows.select("doc_id", "node", "n_shingles", *held)
         .join(ids, "node", "left")
         .select(
             "doc_id",
             "n_shingles",
             component.alias("component_id"),
             F.col("doc_id").eqNullSafe(component).alias("kept"),
-            "row_id",
             "component",
+            *held,
         )
     )
 
 
 def one_of_each(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``documents``, with all their columns, of which one per component is left: that of the smallest id."""
-    rows, key = keyed(documents, "rows")
-    groups = near_groups(rows, shingle_words, percent, key).where("component is not null")
-    groups = written(groups.select("row_id", "doc_id", "component"), "groups")
-    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first"))
-    dropped = groups.join(first.select("first.row_id"), "row_id", "left_anti").select(F.col("row_id").alias(key))
-    return rows.join(dropped, key, "left_anti").drop(key)
+    groups = near_groups(documents, shingle_words, percent, row_key()).where("component is not null")
+    rows = written(groups.groupBy("component", "row_key").agg(F.count("*").alias("n")), "groups")
+    order = F.struct(F.col("row_key.doc_id").isNull(), "row_key")
+    first = rows.groupBy("component").agg(F.min(order)["row_key"].alias("first"))
+    decided = rows.join(first, "component").select("row_key", (F.col("row_key") == F.col("first")).alias("stays"), "n")
+    return one_per_key(documents, decided)

@@ -21,7 +21,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("text_key")
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), shingle_words=2, percent=80).drop("component")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
-    return exact_dedup.exact_groups(documents, exact_dedup.by_landing(2)).drop("row_id")
+    return exact_dedup.exact_groups(documents, exact_dedup.by_landing(2))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
