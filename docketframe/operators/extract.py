@@ -1,4 +1,4 @@
-"""Page extraction: one Arrow-batched pass over the HTML, then native expressions for all cleaning.
+"""Page extraction by column expressions over the HTML as it lies, and cleaning of what they find.
 
 ``LAYOUTS`` maps an adapter key to the DataFrame functions of that page style.
 Own styles are added with :func:`register_layout`; they may use any DataFrame code.
@@ -6,30 +6,23 @@ Own styles are added with :func:`register_layout`; they may use any DataFrame co
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from docketframe import schema
+from docketframe.functions import html as markup
 from docketframe.functions import text as tx
 from docketframe.functions import urls
-from docketframe.operators import layouts, markup
+from docketframe.operators import layouts
 
-# Tasks get the page readers with the job; executors need no copy of this package.
-for _module in (markup, layouts):
-    cloudpickle.register_pickle_by_value(_module)
-
-_REFS_RAW = "county_key string, page_key string, refs array<string>, error string"
+_REFS_RAW = "array<string>"
 _CASE_RAW = (
-    "county_key string, page_key string, page_style string, listed_ref string, style string, "
-    f"header {schema.PAIRS_DDL}, parties {schema.LISTED_PARTIES_DDL}, events {schema.EVENTS_DDL}, error string"
+    f"struct<listed_ref:string,style:string,header:{schema.PAIRS_DDL},"
+    f"parties:{schema.LISTED_PARTIES_DDL},events:{schema.EVENTS_DDL}>"
 )
 
 
@@ -64,45 +57,35 @@ class Layout:
     style: Style | None = None  # read by the styled_* steps
 
 
-def _page_pass(pages: DataFrame, ddl: str, readers: dict[str, tuple[Callable, dict]]) -> DataFrame:
-    """Read every page by its county's reader and selectors; a page that fails becomes a row with ``error`` set."""
-    spark_schema = T.StructType.fromDDL(ddl)
-    arrow_schema = to_arrow_schema(spark_schema)
-    fields = [f.name for f in spark_schema if f.name not in ("county_key", "page_key", "error")]
-    empty = dict.fromkeys(fields)
-    parse = markup.Page
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in batches:
-            counties = batch.column("county_key").to_pylist()
-            rows = []
-            for county, html in zip(counties, batch.column("html").to_pylist()):
-                try:
-                    if html is None:
-                        raise ValueError("page has no content")
-                    read, use = readers[county]
-                    rows.append({**empty, **read(parse(html), use), "error": None})
-                except Exception as problem:  # one bad page must not stop the job
-                    rows.append({**empty, "error": f"{type(problem).__name__}: {problem}"})
-            read_out = [
-                pa.array([row[field.name] for row in rows], type=field.type) for field in arrow_schema
-                if field.name not in ("county_key", "page_key")
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("county_key").cast(pa.string()), batch.column("page_key").cast(pa.string()), *read_out],
-                schema=arrow_schema,
-            )
-
-    return pages.select("county_key", "page_key", "html").mapInArrow(run, spark_schema)
-
-
-def selector_settings(county: dict, defaults: dict[str, str]) -> dict:
-    """Compiled selectors of a county, configured ones before the defaults. Bad ones fail here, on the driver."""
-    chosen = {**defaults, **{k: str(v) for k, v in county["selectors"].items() if k in defaults}}
-    return {
-        name: value if name in layouts.PLAIN_SETTINGS else markup.compile_selector(value)
-        for name, value in chosen.items()
-    }
+def _read_pages(pages: DataFrame, counties: list[dict], step: str, kind: str) -> DataFrame:
+    """``county_key, page_key, page_style, found, error``: every page read by its county's style and selectors.
+
+    Counties that share a style and selectors share one expression. A page without content has ``error`` set.
+    """
+    groups: dict[tuple, list[str]] = {}
+    for county in counties:
+        style = get_layout(county["adapter"]).style
+        groups.setdefault((style.name, *chosen_selectors(county, style.selectors)), []).append(county["key"])
+    styles = {style.name: style for style in _styles(counties).values()}
+    found, name = F.lit(None).cast(kind), F.lit(None).cast("string")
+    for (style, *chosen), keys in groups.items():
+        own = F.col("county_key").isin(keys)
+        read = getattr(styles[style], step)(F.col("page"), selector_settings(dict(chosen)))
+        found, name = F.when(own, read.cast(kind)).otherwise(found), F.when(own, style).otherwise(name)
+    seen = pages.select("county_key", "page_key", markup.visible(F.col("html")).alias("page"))
+    error = F.when(F.col("page").isNull(), "page has no content")
+    # Generated, so that what is found is computed once, however often the columns behind use it.
+    return seen.select("county_key", "page_key", name.alias("page_style"), error.alias("error"), F.explode(F.array(found)).alias("found"))
+
+
+def chosen_selectors(county: dict, defaults: dict[str, str]) -> list[tuple[str, str]]:
+    """Selectors of a county, configured ones before the defaults."""
+    return sorted({**defaults, **{k: str(v) for k, v in county["selectors"].items() if k in defaults}}.items())
+
+
+def selector_settings(chosen: dict[str, str]) -> dict:
+    """Compiled selectors. Bad ones fail here, on the driver."""
+    return {name: value if name in layouts.PLAIN_SETTINGS else markup.compile_selector(value) for name, value in chosen.items()}
 
 
 def _styles(counties: list[dict]) -> dict[str, Style]:
@@ -111,16 +94,10 @@ def _styles(counties: list[dict]) -> dict[str, Style]:
 
 def styled_refs(pages: DataFrame, counties: list[dict]) -> DataFrame:
     """References on results pages of any built-in style."""
-    styles = _styles(counties)
-    readers = {
-        county["key"]: (layouts.refs_only(styles[county["key"]].read_refs),
-                        selector_settings(county, styles[county["key"]].selectors))
-        for county in counties
-    }
     return (
-        _page_pass(pages, _REFS_RAW, readers)
+        _read_pages(pages, counties, "read_refs", _REFS_RAW)
         .where("error is null")
-        .select("county_key", "page_key", F.posexplode("refs").alias("ref_pos", "ref"))
+        .select("county_key", "page_key", F.posexplode("found").alias("ref_pos", "ref"))
         .select("county_key", "page_key", "ref_pos", tx.clean_text(F.col("ref")).alias("case_ref"))
         .where(F.length("case_ref") > 0)
     )
@@ -166,12 +143,7 @@ def clean_parties(parties: Column) -> Column:
 
 def styled_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
     """Case records of pages of any built-in style."""
-    styles = _styles(counties)
-    readers = {
-        county["key"]: (styles[county["key"]].read_case, selector_settings(county, styles[county["key"]].selectors))
-        for county in counties
-    }
-    used = {style.name: style for style in styles.values()}
+    used = {style.name: style for style in _styles(counties).values()}
 
     def own(choice: Callable[[Style], Column]) -> Column:
         """What each row's own style chooses."""
@@ -191,7 +163,8 @@ def styled_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
         ),
     )
     return (
-        _page_pass(pages, _CASE_RAW, readers)
+        _read_pages(pages, counties, "read_case", _CASE_RAW)
+        .select("county_key", "page_key", "page_style", "found.*", "error")
         .withColumn("header", header)
         .select(
             "county_key",

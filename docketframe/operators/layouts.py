@@ -1,12 +1,16 @@
-"""What the two built-in page layouts hold, read once per page as raw text.
+"""What the two built-in page layouts hold, as column expressions over the page: raw text, cleaned elsewhere.
 
-A reader turns one parsed page into plain lists; ``operators.extract`` runs it
-in Arrow batches. Selectors come from the county configuration.
+Selectors come from the county configuration and are compiled on the driver.
 """
 
 from __future__ import annotations
 
-from docketframe.operators.markup import text
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from docketframe.functions import html
 
 # The selectors used where a configuration names none.
 GRID_SELECTORS = {
@@ -37,69 +41,102 @@ REF_ATTRIBUTE = "data-case-number"
 PLAIN_SETTINGS = {"party_role_attr"}
 
 
-def _first(found, joint="", missing=""):
-    return text(found[0], joint) if found else missing
+def _each(found: Column, read: Callable[[Column], Column]) -> Column:
+    return F.transform(found, read)
+
+
+def _texts(found: Column, joint: str = "") -> Column:
+    return _each(found, lambda element: html.text(element["inner"], joint))
+
+
+def _first(found: Column, joint: str = "") -> Column:
+    """Text of the first element, '' without one."""
+    return F.coalesce(html.text(F.get(found, F.lit(0))["inner"], joint), F.lit(""))
+
+
+def grid_refs(page: Column, use: dict) -> Column:
+    return _texts(html.find(page, use["search_result_link"]))
 
 
-def grid_refs(page, use):
-    return [text(link) for link in page.find(use["search_result_link"])]
+def block_refs(page: Column, use: dict) -> Column:
+    return _each(html.find(page, use["search_result_card"]), lambda card: html.attribute(card["open"], REF_ATTRIBUTE))
 
 
-def block_refs(page, use):
-    return [card.attrs.get(REF_ATTRIBUTE, "") for card in page.find(use["search_result_card"])]
+def _cells(page: Column, rows: list, cell: list, least: int) -> Column:
+    """The cells of each row that has enough of them."""
+    found = _each(html.find(page, rows), lambda row: _each(html.find(row["inner"], cell), lambda each: each["inner"]))
+    return F.filter(found, lambda cells: F.size(cells) >= least)
 
 
-def refs_only(read):
-    return lambda page, use: {"refs": read(page, use)}
+def grid_case(page: Column, use: dict) -> Column:
+    labelled = _each(
+        html.find(page, use["header_row"]),
+        lambda row: F.struct(
+            html.text(F.get(html.find(row["inner"], use["label_cell"]), F.lit(0))["inner"]).alias("label"),
+            html.text(F.get(html.find(row["inner"], use["value_cell"]), F.lit(0))["inner"]).alias("value"),
+        ),
+    )
+    parties = _each(
+        _cells(page, use["party_row"], use["cell"], 3),
+        lambda cells: F.struct(
+            html.text(cells[0]).alias("name"),
+            html.text(cells[1]).alias("role"),
+            F.split(html.text(cells[2], "\n"), "\n").alias("lines"),
+        ),
+    )
+    events = _each(
+        _cells(page, use["event_row"], use["cell"], 2),
+        lambda cells: F.struct(
+            html.text(cells[0], "\n").alias("date"), html.text(cells[1]).alias("description"), F.lit("").alias("location")
+        ),
+    )
+    return F.struct(
+        F.lit(None).cast("string").alias("listed_ref"),
+        F.lit(None).cast("string").alias("style"),
+        F.filter(labelled, lambda pair: pair["label"].isNotNull() & pair["value"].isNotNull()).alias("header"),
+        parties.alias("parties"),
+        events.alias("events"),
+    )
 
 
-def grid_case(page, use):
-    header, parties, events = [], [], []
-    for row in page.find(use["header_row"]):
-        labels, values = page.find(use["label_cell"], row), page.find(use["value_cell"], row)
-        if labels and values:
-            header.append({"label": text(labels[0]), "value": text(values[0])})
-    for row in page.find(use["party_row"]):
-        cells = page.find(use["cell"], row)
-        if len(cells) >= 3:
-            lines = text(cells[2], "\n").split("\n")
-            parties.append({"name": text(cells[0]), "role": text(cells[1]), "lines": lines})
-    for row in page.find(use["event_row"]):
-        cells = page.find(use["cell"], row)
-        if len(cells) >= 2:
-            events.append(
-                {"date": text(cells[0], "\n"), "description": text(cells[1]), "location": ""}
+def block_case(page: Column, use: dict) -> Column:
+    def head(root: Column) -> Column:
+        def pairs(meta: Column) -> Column:
+            both = F.arrays_zip(
+                _texts(html.find(meta["inner"], use["term"])).alias("label"),
+                _texts(html.find(meta["inner"], use["definition"])).alias("value"),
             )
-    return {"page_style": "grid", "header": header, "parties": parties, "events": events}
-
-
-def block_case(page, use):
-    listed_ref = style = None
-    header = []
-    roots = page.find(use["case_root"])
-    if roots:
-        listed_ref = roots[0].attrs.get(REF_ATTRIBUTE, "")
-        style = _first(page.find(use["case_style"], roots[0]))
-        for meta in page.find(use["case_meta"], roots[0])[:1]:
-            terms, definitions = page.find(use["term"], meta), page.find(use["definition"], meta)
-            header = [{"label": text(t), "value": text(d)} for t, d in zip(terms, definitions)]
-    parties = [
-        {
-            "name": _first(page.find(use["party_name"], block)),
-            "role": block.attrs.get(use["party_role_attr"], ""),
-            "lines": [text(item) for item in page.find(use["attorney_item"], block)],
-        }
-        for block in page.find(use["party_block"])
-    ]
-    events = [
-        {
-            "date": _first(page.find(use["event_date"], block), "\n"),
-            "description": _first(page.find(use["event_desc"], block)),
-            "location": _first(page.find(use["event_loc"], block)),
-        }
-        for block in page.find(use["event_block"])
-    ]
-    return {
-        "page_style": "block", "listed_ref": listed_ref, "style": style,
-        "header": header, "parties": parties, "events": events,
-    }
+            return F.filter(both, lambda pair: pair["label"].isNotNull() & pair["value"].isNotNull())
+
+        metas = F.slice(html.find(root["inner"], use["case_meta"]), 1, 1)
+        return F.struct(
+            html.attribute(root["open"], REF_ATTRIBUTE).alias("listed_ref"),
+            _first(html.find(root["inner"], use["case_style"])).alias("style"),
+            F.flatten(_each(metas, pairs)).alias("header"),
+        )
+
+    found = F.get(_each(F.slice(html.find(page, use["case_root"]), 1, 1), head), F.lit(0))
+    parties = _each(
+        html.find(page, use["party_block"]),
+        lambda block: F.struct(
+            _first(html.find(block["inner"], use["party_name"])).alias("name"),
+            html.attribute(block["open"], use["party_role_attr"]).alias("role"),
+            _texts(html.find(block["inner"], use["attorney_item"])).alias("lines"),
+        ),
+    )
+    events = _each(
+        html.find(page, use["event_block"]),
+        lambda block: F.struct(
+            _first(html.find(block["inner"], use["event_date"]), "\n").alias("date"),
+            _first(html.find(block["inner"], use["event_desc"])).alias("description"),
+            _first(html.find(block["inner"], use["event_loc"])).alias("location"),
+        ),
+    )
+    no_header = F.array().cast("array<struct<label:string,value:string>>")
+    return F.struct(
+        found["listed_ref"].alias("listed_ref"),
+        found["style"].alias("style"),
+        F.coalesce(found["header"], no_header).alias("header"),
+        parties.alias("parties"),
+        events.alias("events"),
+    )

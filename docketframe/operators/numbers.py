@@ -8,9 +8,11 @@ expanded, so one huge range is not one task's work.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docketframe import schema
 from docketframe.functions.text import zero_pad
@@ -22,9 +24,9 @@ DEFAULT_SUFFIXES = ["A", "B", "C", "D", "E", "F", "G", "H"]
 DEFAULT_START, DEFAULT_END, DEFAULT_WIDTH = 1, 1, 6
 
 CHUNK = 65_536  # numbers expanded per chunk row
-# A place in emission order is spec_ord and the place within the spec in one bigint.
-PLACE_BITS = 40
-MAX_SPECS = 1 << 23
+# A place in emission order: the spec, then the place within it, as one exact number.
+_EXACT = T.DecimalType(38, 0)
+_SPEC_STEP = Decimal(10**19)
 
 # Stand-ins for the two per-number fields; noncharacters, never part of text.
 _SEQ, _SUFFIX = "\ufdd0", "\ufdd1"
@@ -59,7 +61,7 @@ def with_defaults(specs: DataFrame) -> DataFrame:
     letters = F.array(*[F.lit(letter) for letter in DEFAULT_SUFFIXES])
     return specs.select(
         "county_key",
-        F.col("spec_ord").cast("int").alias("spec_ord"),
+        F.col("spec_ord").cast("bigint").alias("spec_ord"),
         "pattern",
         "template",
         F.coalesce(F.col("start").cast("bigint"), F.lit(DEFAULT_START)).alias("start"),
@@ -94,34 +96,28 @@ def spec_problem() -> Column:
         F.when(
             F.col("pattern").isNull() | ~F.col("pattern").isin(PATTERNS),
             F.concat(
-                F.lit("unknown pattern '"),
+                F.lit("no such pattern: '"),
                 F.coalesce("pattern", F.lit("")),
-                F.lit("'; expected one of " + ", ".join(PATTERNS)),
+                F.lit("' (there are " + ", ".join(PATTERNS) + ")"),
             ),
         )
         .when(
             single_range & (F.col("start") > F.col("end")),
             F.concat(
-                F.lit("start ("), F.col("start").cast("string"), F.lit(") must be <= end ("),
-                F.col("end").cast("string"), F.lit(")"),
+                F.lit("range runs backwards: "), F.col("start").cast("string"), F.lit(" to "), F.col("end").cast("string"),
             ),
         )
-        .when(per_suffix & (F.size(ranges) == 0), "per_suffix pattern requires per_suffix_ranges")
+        .when(per_suffix & (F.size(ranges) == 0), "no range for any suffix")
         .when(
             per_suffix & bad.isNotNull(),
             F.concat(
-                F.lit("range of suffix '"), bad["key"], F.lit("': start ("), bad["value"]["start"].cast("string"),
-                F.lit(") must be <= end ("), bad["value"]["end"].cast("string"), F.lit(")"),
+                F.lit("range of suffix "), bad["key"], F.lit(" runs backwards: "), bad["value"]["start"].cast("string"),
+                F.lit(" to "), bad["value"]["end"].cast("string"),
             ),
         )
         .when(F.col("template").isNull(), "template is missing")
         .when(F.arrays_overlap(F.map_keys("extra"), F.array(F.lit("seq"), F.lit("suffix"))), "extra redefines seq or suffix")
         .when(unknown.isNotNull(), F.concat(F.lit("template field without a value: "), unknown))
-        .when(
-            (F.col("spec_ord") < 0) | (F.col("spec_ord") >= MAX_SPECS),
-            f"spec_ord must be in 0..{MAX_SPECS - 1}",
-        )
-        .when(_size() >= (1 << PLACE_BITS), f"more than 2**{PLACE_BITS} numbers in one spec")
     )
 
 
@@ -139,15 +135,6 @@ def _suffix_spans() -> Column:
     return F.transform("suffixes", span)
 
 
-def _size() -> Column:
-    single = _span(F.col("start"), F.col("end"))
-    return (
-        F.when(F.col("pattern") == "plain", single)
-        .when(F.col("pattern") == "letter_suffix", single * F.size("suffixes"))
-        .otherwise(F.aggregate(_suffix_spans(), F.lit(0).cast("bigint"), lambda total, span: total + span))
-    )
-
-
 def spec_errors(specs: DataFrame) -> DataFrame:
     """Every spec with ``problem``, null for the good ones."""
     return with_defaults(specs).withColumn("problem", spec_problem())
@@ -224,7 +211,7 @@ def expand(spec_runs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return numbers.select(
         "county_key",
         number.alias("case_number"),
-        F.shiftleft(F.col("spec_ord").cast("bigint"), PLACE_BITS).bitwiseOR(place).alias("ordinal"),
+        (F.col("spec_ord").cast(_EXACT) * F.lit(_SPEC_STEP) + place.cast(_EXACT)).cast(_EXACT).alias("ordinal"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +11,6 @@ from docketframe.operators.extract import by_layout, extract_refs, get_layout
 from docketframe.session import materialize
 from docketframe.sources.config import counties_frame
 
-# References (two short strings and three ordinals each) sent to every executor
-# at most; beyond it the narrow, already extracted records are joined by shuffle.
-BROADCAST_ROWS = 500_000
-
 
 def listing_order(page_ord: Column, ref_pos: Column) -> Column:
     """Results page, then place on it, as one bigint: an aggregate over it stays a hash aggregate."""
@@ -53,7 +50,7 @@ def listed_refs(pages: DataFrame, counties: list[dict], search_pages: DataFrame)
     Where the table tells results pages apart, they are read as they lie and only
     the references are joined to the listing; else the listing picks the pages.
     """
-    base = F.broadcast(counties_frame(pages.sparkSession, counties))
+    base = counties_frame(pages.sparkSession, counties)
     url = _layout_url("search_url", counties, F.col("page"))
     listing = search_pages.join(base, "county_key").select(
         "county_key", "page_ord", urls.page_key(url).alias("page_key")
@@ -67,6 +64,19 @@ def listed_refs(pages: DataFrame, counties: list[dict], search_pages: DataFrame)
     )
 
 
+def results_page_states(pages: DataFrame, counties: list[dict], search_pages: DataFrame) -> DataFrame:
+    """Every configured results page: county_key, page_ord, page, state (ok, missing, failed) and error."""
+    base = counties_frame(pages.sparkSession, counties)
+    url = _layout_url("search_url", counties, F.col("page"))
+    listing = search_pages.join(base, "county_key").select("county_key", "page_ord", "page", urls.page_key(url).alias("page_key"))
+    there = pages.where("kind = 'search'") if "kind" in pages.columns else pages
+    found = there.groupBy("county_key", "page_key").agg(F.max(F.col("html").isNotNull()).alias("read"))
+    state = F.when(F.col("read").isNull(), "missing").when(F.col("read"), "ok").otherwise("failed")
+    return listing.join(found, ["county_key", "page_key"], "left").select(
+        "county_key", "page_ord", "page", state.alias("state"), F.when(state == "failed", "page has no content").alias("error")
+    )
+
+
 def skip_done(refs: DataFrame, done: DataFrame) -> DataFrame:
     """References not yet attempted, per county. Spark broadcasts ``done`` only while its own size limit allows."""
     known = done.select("county_key", F.col("n").alias("case_ref"))
@@ -75,7 +85,7 @@ def skip_done(refs: DataFrame, done: DataFrame) -> DataFrame:
 
 def with_case_page(refs: DataFrame, counties: list[dict]) -> DataFrame:
     """Adds county fields and the key of the page each reference leads to."""
-    known = F.broadcast(counties_frame(refs.sparkSession, counties))
+    known = counties_frame(refs.sparkSession, counties)
     url = _layout_url("case_url", counties, F.col("case_ref"))
     return (
         refs.join(known, "county_key")
@@ -120,14 +130,16 @@ def visit(refs: DataFrame, records: DataFrame, counties: list[dict], keep_all: b
 
 
 def only_pages_of(refs: DataFrame, pages: DataFrame, counties: list[dict]) -> tuple[DataFrame, DataFrame]:
-    """Narrow ``pages`` to those ``refs`` lead to, before the expensive pass, if the references fit a broadcast.
+    """Narrow ``pages`` to the files that hold a page some reference leads to, before any HTML is read.
 
-    The references are written to the shared folder once and counted there.
-    Where they are too many, all pages stay: reading a page twice is cheaper
-    than shuffling the HTML of all of them.
+    Only page keys and file names are read and joined for that; the file names go into the filter of the scan, as many
+    at most as the scan lists anyway. Pages that do not come from files all stay. HTML is never joined.
     """
     refs = materialize(refs)
-    if refs.count() > BROADCAST_ROWS:
-        return refs, pages
     keys = with_case_page(refs, counties).select("county_key", "page_key").distinct()
-    return refs, pages.join(F.broadcast(keys), ["county_key", "page_key"], "left_semi")
+    try:
+        located = pages.select("county_key", "page_key", F.col("_metadata.file_path").alias("file"))
+    except AnalysisException:
+        return refs, pages
+    files = located.join(keys, ["county_key", "page_key"], "left_semi").select("file").distinct()
+    return refs, pages.where(F.col("_metadata.file_path").isin([row.file for row in files.toLocalIterator()]))

@@ -13,24 +13,22 @@ def _counted(df: DataFrame, **metrics) -> DataFrame:
     return df.select("county", *[metrics.get(name, zero).cast("bigint").alias(name) for name in _METRICS])
 
 
-def run_summary(cases: DataFrame, rows: DataFrame, distinct: DataFrame) -> DataFrame:
+def run_summary(cases: DataFrame, distinct: DataFrame) -> DataFrame:
     """Cases, parties, attorneys, rows before and after dedup: per county, and in total (county null).
 
-    ``cases`` hold parties with raw lines or with split attorneys.
+    ``cases`` hold parties with raw lines or with split attorneys; a case without attorneys makes one row. Only the
+    ``distinct`` rows have to be made to be counted.
     """
     child = "lines" if "lines" in cases.select("parties").schema["parties"].dataType.elementType.names else "attorneys"
     attorneys = F.aggregate(
         F.transform("parties", lambda party: F.size(party[child])), F.lit(0), lambda total, n: total + n
     )
     one = F.lit(1)
-    per_case = _counted(cases, cases=one, parties=F.size("parties"), attorneys=attorneys)
-    per_row = _counted(rows, rows_before_dedup=one)
-    per_distinct = _counted(distinct, rows=one)
+    per_case = _counted(
+        cases, cases=one, parties=F.size("parties"), attorneys=attorneys, rows_before_dedup=F.greatest(one, attorneys)
+    )
     per_county = (
-        per_case.unionByName(per_row)
-        .unionByName(per_distinct)
-        .groupBy("county")
-        .agg(*[F.sum(name).alias(name) for name in _METRICS])
+        per_case.unionByName(_counted(distinct, rows=one)).groupBy("county").agg(*[F.sum(name).alias(name) for name in _METRICS])
     )
     return per_county.rollup("county").agg(*[F.sum(name).alias(name) for name in _METRICS])
 

@@ -47,7 +47,7 @@ COUNTIES_DDL = (
 )
 SEARCH_PAGES_DDL = "county_key string, page_ord int, page string"
 SPECS_DDL = (
-    "county_key string, spec_ord int, pattern string, template string, start bigint, end bigint, "
+    "county_key string, spec_ord bigint, pattern string, template string, start bigint, end bigint, "
     "width int, suffixes array<string>, per_suffix_ranges map<string,struct<start:bigint,end:bigint>>, "
     "extra map<string,string>"
 )

@@ -13,8 +13,6 @@ from docketframe import schema
 
 REQUIRED = ("key", "county", "adapter", "base_url", "selectors", "sequences")
 DEFAULT_SEARCH_PAGES = ["results_1"]
-# Configuration is written by hand, one entry per county; more than this is a mistake.
-MAX_COUNTIES = 10_000
 
 
 def load_counties(entries: Iterable[Mapping]) -> list[dict]:
@@ -23,7 +21,7 @@ def load_counties(entries: Iterable[Mapping]) -> list[dict]:
     for order, entry in enumerate(entries):
         missing = sorted(set(REQUIRED) - entry.keys())
         if missing:
-            raise ValueError(f"county config missing required keys: {missing}")
+            raise ValueError(f"a county lacks the settings {missing}")
         counties.append(
             {
                 **entry,
@@ -33,9 +31,7 @@ def load_counties(entries: Iterable[Mapping]) -> list[dict]:
             }
         )
     if not counties:
-        raise ValueError("no county configs found")
-    if len(counties) > MAX_COUNTIES:
-        raise ValueError(f"{len(counties)} counties; at most {MAX_COUNTIES} are supported")
+        raise ValueError("the configuration lists no county")
     return counties
 
 
@@ -48,7 +44,7 @@ def local_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
 
 
 def counties_frame(spark: SparkSession, counties: list[dict]) -> DataFrame:
-    """One row per county. Bounded by ``MAX_COUNTIES``, so it may be broadcast."""
+    """One row per county."""
     rows = [
         (c["key"], c["county_ord"], c["county"], c["adapter"], c["base_url"], c["court"])
         for c in counties

@@ -32,7 +32,7 @@ def page_table(pages: DataFrame, counties: list[dict]) -> DataFrame:
     Pages below no configured base URL are left out.
     """
     address = F.regexp_replace("url", "[?#].*$", "")
-    known = F.broadcast(counties_frame(pages.sparkSession, counties).select("county_key", "base_url"))
+    known = counties_frame(pages.sparkSession, counties).select("county_key", "base_url")
     kind = F.regexp_extract(address, "/(Search|Case)/[^/]*$", 1)
     return (
         pages.withColumn("base_url", F.regexp_replace(address, "/(Search|Case)/[^/]*$", ""))

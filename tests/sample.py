@@ -1,11 +1,11 @@
 """Synthetic pages of two invented counties, and their expected rows, worked out by hand."""
 
 GRID = {
-    "key": "alder",
-    "county": "Alder County",
+    "key": "juniper",
+    "county": "Juniper County",
     "adapter": "aspnet_public_access",
-    "base_url": "https://records.invalid/alder",
-    "court": "1st District Court",
+    "base_url": "https://records.invalid/juniper",
+    "court": "Juniper Circuit",
     "selectors": {
         "search_result_link": "table#grdCases a.case-link",
         "header_row": "#caseHeader tr",
@@ -14,37 +14,25 @@ GRID = {
     },
     "search_pages": ["results_1"],
     "sequences": [
-        {"pattern": "plain", "template": "A-{year}-{seq}{suffix}", "extra": {"year": 24}, "start": 1, "end": 20}
+        {"pattern": "plain", "template": "JN{seq}-{year}", "extra": {"year": 19}, "start": 41, "end": 52, "width": 5}
     ],
 }
 BLOCK = {
-    "key": "birch",
-    "county": "Birch County",
+    "key": "sorrel",
+    "county": "Sorrel County",
     "adapter": "js_portal",
-    "base_url": "https://records.invalid/birch",
-    "court": "Birch County Court",
+    "base_url": "https://records.invalid/sorrel",
+    "court": "Sorrel Bench",
     "selectors": {},
-    "search_pages": ["results_1", "results_2", "results_9"],
+    "search_pages": ["results_1", "results_2", "results_7"],
     "sequences": [
-        {
-            "pattern": "letter_suffix",
-            "template": "24-CV-{seq}{suffix}",
-            "start": 1001,
-            "end": 1004,
-            "width": 5,
-            "suffixes": ["A", "B", "C", "D"],
-        },
+        {"pattern": "letter_suffix", "template": "SR-{seq}-{suffix}", "start": 12, "end": 14, "width": 3, "suffixes": ["X", "Y"]},
         {
             "pattern": "per_suffix",
-            "template": "24-PR-{seq}{suffix}",
-            "width": 5,
-            "suffixes": ["E", "F", "G", "H"],
-            "per_suffix_ranges": {
-                "E": {"start": 500, "end": 502},
-                "F": {"start": 700, "end": 701},
-                "G": {"start": 900, "end": 900},
-                "H": {"start": 950, "end": 953},
-            },
+            "template": "SP-{seq}-{suffix}",
+            "width": 4,
+            "suffixes": ["K", "L", "M"],
+            "per_suffix_ranges": {"M": {"start": 8, "end": 8}, "K": {"start": 30, "end": 34}},
         },
     ],
 }
@@ -56,7 +44,7 @@ GRID_RESULTS = """<!DOCTYPE html><html><body><form><input type=hidden value=x>
 </table><a class="case-link" href="#">outside the grid</a></form></body></html>""".format(
     rows="\n".join(
         f'<tr><td><a class="case-link wide" href="./Case/{ref}"> {ref}\n</a></td><td>style</td></tr>'
-        for ref in ["A-24-000001", "A-24-000002", "", "A-24-000003", "A-24-000001", "A-24-000009", "A-24-000004"]
+        for ref in ["JN00041-19", "", "JN00043-19", "JN00042-19", "JN00043-19", "JN00050-19", "JN00044-19"]
     )
 )
 
@@ -107,113 +95,103 @@ def card_page(refs):
 
 GRID_PAGES = {
     "results_1.html": GRID_RESULTS,
-    "A-24-000001.html": grid_page(
+    "JN00041-19.html": grid_page(
         [
-            ("Case Number:", "A-24-000001"),
-            ("Style:", "Ann B. Cole vs. Dunn &amp; Co."),
-            ("Date Filed:", "03/14/2024"),
-            ("Case Type:", "Contract"),
-            ("Status:", "Closed"),
-            ("Status:", "Open"),
-            ("Court:", "2nd District Court"),
+            ("Case Number:", "JN00041-19"),
+            ("Case Name:", "Petra &amp; Sons against Quill"),
+            ("Filed:", "11/2/2019"),
+            ("Type:", "Lease"),
+            ("Status:", "Stayed"),
+            ("Status:", "Reopened"),
+            ("Court:", "Upper Circuit"),
         ],
-        [("Ann B. Cole", "Plaintiff", "Stone, Paul Q. Jr."), ("Dunn &amp; Co.", "Defendant", "&nbsp;")],
-        [("04/02/2024<br>Courtroom 3A", "First Hearing"), ("only one cell",)],
+        [
+            ("Petra &amp; Sons", "Claimant", "Dorn, Ivo K. Sr."),
+            ("Quill", "Respondent", "&nbsp;"),
+            ("Harbor Trust", "Witness", "Abel Zorn"),
+        ],
+        [("12/01/2019<br>Annex 7", "Papers checked"), ("only one cell",)],
     ),
-    "A-24-000002.html": grid_page(
-        [("Case Number", "A-24-000002"), ("Case Name", "Estate of Eve Frost"), ("Filed", "2/3/24"), ("Type", "Probate")],
-        [("Eve Frost", "Plaintiff", "Pro Se"), ("None", "Defendant", "<br>N/A<br>"), ("two", "cells")],
+    "JN00042-19.html": grid_page(
+        [("Case Number", "JN00042-19"), ("Style", "Matter of Wim"), ("Date Filed", "7/19/18"), ("Case Type", "Name change")],
+        [("Wim", "Claimant", "Unrepresented"), ("Nobody", "Respondent", "<br>None<br>"), ("two", "cells")],
         [],
     ),
-    "A-24-000003.html": grid_page(
-        [("Case Number:", "A-24-000003"), ("Style:", "Glen vs. Holt"), ("Date Filed:", "January 9, 2024")],
-        [
-            ("Glen", "Plaintiff", "Ives, Tom Van<br>O'Neil, Kate M."),
-            ("Holt", "Defendant", "Gray, Mary Ella<br>Webb, Andre L. III<br>Park, Soo-Jin"),
-        ],
+    "JN00043-19.html": grid_page(
+        [("Case Number:", "JN00043-19"), ("Style:", "Hollis over Brandt"), ("Date Filed:", "October 23, 2019")],
+        [("Hollis", "Claimant", "Marsh, Edda<br>Oakes, Rolf T. II"), ("Brandt", "Respondent", "van Loon, Piet")],
         [
-            ("05/10/2024<br>Courtroom 5B", "Hearing"),
-            ("07/18/2024\n  <br> Courtroom\n 5B", "Docket <b>Call</b>"),
-            ("to be set", "Trial — Jury"),
+            ("10/30/2019<br>Annex 2", "Call"),
+            ("11/06/2019\n  <br> Annex\n 2", "Second <i>Call</i>"),
+            ("no date yet", "Trial — Bench"),
         ],
     ),
     # No header at all: still a case.
-    "A-24-000004.html": "<html><body><p>page under repair</body></html>",
-    "A-24-000005.html": grid_page([("Case Number:", "A-24-000005")], [("x", "y", "Not Listed")], []),
+    "JN00044-19.html": "<html><body><p>moved to another building</p></body></html>",
+    "JN00045-19.html": grid_page([("Case Number:", "JN00045-19")], [("x", "y", "Not Listed")], []),
 }
 
 BLOCK_PAGES = {
-    "results_1.html": card_page(["24-CV-01001A", "24-CV-01002B", "24-CV-01001A"]),
-    "results_2.html": card_page(["24-CV-01003C", "24-CV-01001A", "24-PR-00500E", " "]),
-    "24-CV-01001A.html": block_page(
-        "24-CV-01001A",
-        "Oak LP v. Sun",
-        [("Filed", "2024-01-05"), ("Type", "Civil"), ("Status", "Active"), ("Court", "Court No. 2")],
-        [("Plaintiff", "Oak LP", ["Rita Ann Lund"]), ("Defendant", "Sun", ["Pro Se"])],
-        [block_event("2024-02-10", "Answer Filed", "e-Filed")],
+    "results_1.html": card_page(["SR-012-X", "SP-0030-K", "SR-012-X"]),
+    "results_2.html": card_page(["SR-013-Y", "SR-012-X", " "]),
+    "SR-012-X.html": block_page(
+        "SR-012-X",
+        "Lund Mills and Tarn",
+        [("Date Filed", "2021-09-30"), ("Case Type", "Easement"), ("Status", "Pending"), ("Court", "Second Bench")],
+        [("Claimant", "Lund Mills", ["Greta Anna Sol", "Pro Se"]), ("Respondent", "Tarn", [])],
+        [block_event("2021-10-05", "Reply", "by post")],
     ),
-    "24-CV-01002B.html": block_page(
+    "SP-0030-K.html": block_page(
         "",
-        "City v. Salvage",
-        [("Date Filed", "01-22-2024"), ("Case Type", "Nuisance")],
-        [("Plaintiff", "City", ["Unrepresented"]), ("Defendant", "Salvage", [])],
-        [block_event("2024-03-15", "Show Cause", "Room 4A")],
-    ),
-    "24-CV-01003C.html": block_page(
-        "24-CV-01003C",
-        "Diaz v. Gulf",
-        [("Filed", "February 14, 2024"), ("Type", "Malpractice"), ("Status", "Active")],
+        "In the matter of Vik",
+        [("Filed", "08-15-2021"), ("Type", "Guardianship")],
+        [("Claimant", "Vik", ["Not Represented"])],
         [
-            ("Plaintiff", "Diaz", ["Marcus J. Elm", "Priya Rao"]),
-            ("Defendant", "Gulf", ["Dan O'Shea III", "Yuki Tani", "Carl Fred Beau Jr."]),
+            block_event("2021-08-20<br>Chamber C, East", "Interview"),
+            block_event("2021-09-01<br>Chamber C, East", "Report"),
         ],
-        [block_event("2024-04-01", "Expert Report", ""), block_event("2024-08-19", "Pretrial", "Courtroom 1B")],
     ),
-    "24-PR-00500E.html": block_page(
-        "24-PR-00500E",
-        "In re: R. Okon",
-        [("Filed", "2024-03-02"), ("Type", "Probate"), ("Status", "Active")],
-        [("Plaintiff", "Applicant", ["Helen M. Vance"])],
+    "SR-013-Y.html": block_page(
+        "SR-013-Y",
+        "Ness v. Holm &amp; Co.",
+        [("Filed", "May 4, 2021"), ("Type", "Wages"), ("Status", "Pending")],
         [
-            block_event("2024-04-10<br>Probate Room, 3rd Floor", "Hearing"),
-            block_event("2024-06-20<br>Probate Room, 3rd Floor", "Review"),
+            ("Claimant", "Ness", ["Tor E. Bakke Jr.", "Sun-Hee Cho"]),
+            ("Respondent", "Holm", ["Ada D'Arcy", "Unrepresented"]),
+            ("Intervenor", "Guild", ["Leo Finch IV"]),
+        ],
+        [
+            block_event("2021-06-11", "Disclosure", ""),
+            block_event("2021-07-02", "Mediation", "Chamber 2B"),
+            block_event("2021-07-30", "Order"),
         ],
     ),
 }
 
-_ONE = ("2024-04-02 — First Hearing [Courtroom 3A]", "")
-_THREE = (
-    "2024-05-10 — Hearing [Courtroom 5B]",
-    "2024-07-18 — Docket Call [Courtroom 5B]; to be set — Trial — Jury",
-)
-_EXPERT = ("2024-04-01 — Expert Report", "2024-08-19 — Pretrial [Courtroom 1B]")
-_A, _B = "Alder County", "Birch County"
-_GLEN = (_A, "A-24-000003", "Glen vs. Holt", "2024-01-09", "", "", "1st District Court")
-_DIAZ = (_B, "24-CV-01003C", "Diaz v. Gulf", "2024-02-14", "Malpractice", "Active", "Birch County Court")
+_J, _S = "Juniper County", "Sorrel County"
+_PETRA = (_J, "JN00041-19", "Petra & Sons against Quill", "2019-11-02", "Lease", "Reopened", "Upper Circuit")
+_CHECKED = ("2019-12-01 — Papers checked [Annex 7]", "")
+_HOLLIS = (_J, "JN00043-19", "Hollis over Brandt", "2019-10-23", "", "", "Juniper Circuit")
+_CALLS = ("2019-10-30 — Call [Annex 2]", "2019-11-06 — Second Call [Annex 2]; no date yet — Trial — Bench")
+_NESS = (_S, "SR-013-Y", "Ness v. Holm & Co.", "2021-05-04", "Wages", "Pending", "Sorrel Bench")
+_ORDERED = ("2021-06-11 — Disclosure", "2021-07-02 — Mediation [Chamber 2B]; 2021-07-30 — Order")
 
 EXPECTED = [
-    (_A, "A-24-000001", "Ann B. Cole vs. Dunn & Co.", "2024-03-14", "Contract", "Open", "2nd District Court",
-     "Paul", "Q.", "Stone", "Jr.", "Plaintiff", *_ONE),
-    (_A, "A-24-000002", "Estate of Eve Frost", "2024-02-03", "Probate", "", "1st District Court",
-     "", "", "", "", "", "", ""),
-    (*_GLEN, "Mary", "Ella", "Gray", "", "Defendant", *_THREE),
-    (*_GLEN, "Tom", "Van", "Ives", "", "Plaintiff", *_THREE),
-    (*_GLEN, "Kate", "M.", "O'Neil", "", "Plaintiff", *_THREE),
-    (*_GLEN, "Soo-Jin", "", "Park", "", "Defendant", *_THREE),
-    (*_GLEN, "Andre", "L.", "Webb", "III", "Defendant", *_THREE),
-    (_A, "A-24-000004", "", "", "", "", "1st District Court", "", "", "", "", "", "", ""),
-    (_B, "24-CV-01001A", "Oak LP v. Sun", "2024-01-05", "Civil", "Active", "Court No. 2",
-     "Rita", "Ann", "Lund", "", "Plaintiff", "2024-02-10 — Answer Filed [e-Filed]", ""),
-    (_B, "24-CV-01002B", "City v. Salvage", "2024-01-22", "Nuisance", "", "Birch County Court",
-     "", "", "", "", "", "2024-03-15 — Show Cause [Room 4A]", ""),
-    (*_DIAZ, "Carl", "Fred", "Beau", "Jr.", "Defendant", *_EXPERT),
-    (*_DIAZ, "Marcus", "J.", "Elm", "", "Plaintiff", *_EXPERT),
-    (*_DIAZ, "Dan", "", "O'Shea", "III", "Defendant", *_EXPERT),
-    (*_DIAZ, "Priya", "", "Rao", "", "Plaintiff", *_EXPERT),
-    (*_DIAZ, "Yuki", "", "Tani", "", "Defendant", *_EXPERT),
-    (_B, "24-PR-00500E", "In re: R. Okon", "2024-03-02", "Probate", "Active", "Birch County Court",
-     "Helen", "M.", "Vance", "", "Plaintiff", "2024-04-10 — Hearing [Probate Room, 3rd Floor]",
-     "2024-06-20 — Review [Probate Room, 3rd Floor]"),
+    (*_PETRA, "Ivo", "K.", "Dorn", "Sr.", "Claimant", *_CHECKED),
+    (*_PETRA, "Abel", "", "Zorn", "", "Witness", *_CHECKED),
+    (_J, "JN00042-19", "Matter of Wim", "2018-07-19", "Name change", "", "Juniper Circuit", "", "", "", "", "", "", ""),
+    (*_HOLLIS, "Edda", "", "Marsh", "", "Claimant", *_CALLS),
+    (*_HOLLIS, "Rolf", "T.", "Oakes", "II", "Claimant", *_CALLS),
+    (*_HOLLIS, "Piet", "", "van Loon", "", "Respondent", *_CALLS),
+    (_J, "JN00044-19", "", "", "", "", "Juniper Circuit", "", "", "", "", "", "", ""),
+    (_S, "SP-0030-K", "In the matter of Vik", "2021-08-15", "Guardianship", "", "Sorrel Bench", "", "", "", "", "",
+     "2021-08-20 — Interview [Chamber C, East]", "2021-09-01 — Report [Chamber C, East]"),
+    (_S, "SR-012-X", "Lund Mills and Tarn", "2021-09-30", "Easement", "Pending", "Second Bench",
+     "Greta", "Anna", "Sol", "", "Claimant", "2021-10-05 — Reply [by post]", ""),
+    (*_NESS, "Tor", "E.", "Bakke", "Jr.", "Claimant", *_ORDERED),
+    (*_NESS, "Sun-Hee", "", "Cho", "", "Claimant", *_ORDERED),
+    (*_NESS, "Ada", "", "D'Arcy", "", "Respondent", *_ORDERED),
+    (*_NESS, "Leo", "", "Finch", "IV", "Intervenor", *_ORDERED),
 ]
 
 

@@ -55,10 +55,10 @@ def test_template_constants_and_braces(spark):
 @pytest.mark.parametrize(
     "spec, problem",
     [
-        ({"pattern": "zigzag", "template": "x"}, "unknown pattern 'zigzag'"),
-        ({"pattern": "plain", "template": "x", "start": 5, "end": 4}, "start .5. must be <= end .4."),
-        ({"pattern": "per_suffix", "template": "x"}, "requires per_suffix_ranges"),
-        ({"pattern": "per_suffix", "template": "x", "per_suffix_ranges": {"A": {"start": 2, "end": 1}}}, "suffix 'A'"),
+        ({"pattern": "zigzag", "template": "x"}, "no such pattern: 'zigzag'"),
+        ({"pattern": "plain", "template": "x", "start": 5, "end": 4}, "range runs backwards: 5 to 4"),
+        ({"pattern": "per_suffix", "template": "x"}, "no range for any suffix"),
+        ({"pattern": "per_suffix", "template": "x", "per_suffix_ranges": {"A": {"start": 2, "end": 1}}}, "suffix A runs backwards: 2 to 1"),
         ({"pattern": "plain", "template": "{month}-{seq}"}, "without a value: .month"),
         ({"pattern": "plain", "template": None}, "template is missing"),
         ({"pattern": "plain", "template": "{seq}", "extra": {"seq": "1"}}, "redefines"),
@@ -75,10 +75,10 @@ def test_no_specs_no_numbers(spark):
 
 def test_configured_counties(spark):
     got = jobs.candidate_listing(spark, sample.COUNTIES).collect()
-    assert [(r.county, r.candidates) for r in got] == [("Alder County", 20)] * 20 + [("Birch County", 26)] * 26
-    assert [r.case_number for r in got[:2]] == ["A-24-000001", "A-24-000002"]
-    assert [r.case_number for r in got[20:25]] == [f"24-CV-01001{s}" for s in "ABCD"] + ["24-CV-01002A"]
-    assert [r.case_number for r in got[-4:]] == [f"24-PR-00{n}H" for n in range(950, 954)]
+    assert [(r.county, r.candidates) for r in got] == [("Juniper County", 12)] * 12 + [("Sorrel County", 12)] * 12
+    assert [r.case_number for r in got[:2]] == ["JN00041-19", "JN00042-19"]
+    assert [r.case_number for r in got[12:15]] == ["SR-012-X", "SR-012-Y", "SR-013-X"]
+    assert [r.case_number for r in got[-6:]] == [f"SP-00{n}-K" for n in range(30, 35)] + ["SP-0008-M"]
 
 
 def test_one_huge_range_is_split_and_whole(spark):
@@ -119,5 +119,19 @@ def test_random_specs_match_brute_force(spark):
 def test_missing_configuration_keys():
     with pytest.raises(ValueError, match="adapter"):
         load_counties([{"key": "k", "county": "C", "base_url": "u", "selectors": {}, "sequences": []}])
-    with pytest.raises(ValueError, match="no county"):
+    with pytest.raises(ValueError, match="lists no county"):
         load_counties([])
+
+
+@pytest.mark.parametrize("place", [0, 2**23 + 1, 2**31 + 5, 2**62])
+def test_specs_of_any_place(spark, place):
+    specs = numbers.specs_frame(spark, [{"key": "k", "sequences": [{"pattern": "plain", "template": "{seq}", "start": 1, "end": 3}]}])
+    from pyspark.sql import functions as F
+
+    found = jobs.candidate_numbers(specs.withColumn("spec_ord", F.lit(place)))
+    assert sorted(int(r.ordinal) for r in found.collect()) == [place * 10**19 + i for i in range(3)]
+
+
+def test_long_ranges_are_no_error(spark):
+    spec = {"pattern": "letter_suffix", "template": "{seq}", "start": 0, "end": 2**45}
+    assert numbers.spec_errors(numbers.specs_frame(spark, [{"key": "k", "sequences": [spec]}])).first().problem is None

@@ -8,15 +8,14 @@ from docketframe.sources.config import load_counties, search_pages_frame
 from docketframe.streaming import incremental
 from tests import sample
 
-LISTED = {"A-24-000001", "A-24-000002", "A-24-000003", "A-24-000009", "A-24-000004",
-          "24-CV-01001A", "24-CV-01002B", "24-CV-01003C", "24-PR-00500E"}
+LISTED = {"JN00041-19", "JN00042-19", "JN00043-19", "JN00050-19", "JN00044-19", "SR-012-X", "SP-0030-K", "SR-013-Y"}
 
 
 def test_progress_lines(spark, tmp_path):
-    (tmp_path / "alder.jsonl").write_text('{"n": "1"}\n\n{"n": "2"}\n{"m": "3"}\n[1]\n{"n": "1"}\n{"n": "4', encoding="utf-8")
+    (tmp_path / "juniper.jsonl").write_text('{"n": "1"}\n\n{"n": "2"}\n{"m": "3"}\n[1]\n{"n": "1"}\n{"n": "4', encoding="utf-8")
     done = progress.read_done_files(spark, str(tmp_path))
-    assert sorted(tuple(r) for r in done.collect()) == [("alder", "1"), ("alder", "2")]
-    assert [tuple(r) for r in summary.completed_count(done).collect()] == [("alder", 2)]
+    assert sorted(tuple(r) for r in done.collect()) == [("juniper", "1"), ("juniper", "2")]
+    assert [tuple(r) for r in summary.completed_count(done).collect()] == [("juniper", 2)]
 
 
 def test_append_and_reset(spark, tmp_path):
@@ -37,45 +36,65 @@ def test_skip_done_is_per_county(spark):
 
 def test_states_of_all_references(spark):
     pages = sample.pages_frame(spark).withColumn(
-        "html", F.when(F.col("page_key") != "24-CV-01003C.html", F.col("html"))
+        "html", F.when(F.col("page_key") != "SR-013-Y.html", F.col("html"))
     )
     cases = jobs.cases_from_pages(pages, sample.COUNTIES, keep_all=True).collect()
     assert {r.case_ref for r in cases} == LISTED
     states = {r.case_ref: r.state for r in cases if r.state != "ok"}
-    assert states == {"A-24-000009": "missing", "24-CV-01003C": "failed"}
+    assert states == {"JN00050-19": "missing", "SR-013-Y": "failed"}
 
 
 def test_resumed_run_adds_nothing_and_keeps_the_rows(spark, tmp_path):
     rows_path, done_path = str(tmp_path / "rows"), str(tmp_path / "done")
     pages = sample.pages_frame(spark)
-    assert jobs.resume(pages, sample.COUNTIES, rows_path, done_path) == 8
+    assert jobs.resume(pages, sample.COUNTIES, rows_path, done_path) == 7
     assert jobs.resume(pages, sample.COUNTIES, rows_path, done_path) == 0
     assert [tuple(r) for r in jobs.export_table(spark, rows_path).collect()] == sample.EXPECTED
     states = spark.read.json(done_path).groupBy("state").count().collect()
-    assert {r.state: r["count"] for r in states} == {"ok": 8, "missing": 1}
+    assert {r.state: r["count"] for r in states} == {"ok": 7, "missing": 1}
 
 
-def test_done_references_are_left_out_by_either_way(spark, monkeypatch):
-    done = spark.createDataFrame([("alder", "A-24-000003"), ("birch", "24-CV-01003C")], "county_key string, n string")
-    wanted = [r for r in sample.EXPECTED if not r[1].endswith(("000003", "01003C"))]
-    for limit in (refs.BROADCAST_ROWS, 2):
-        monkeypatch.setattr(refs, "BROADCAST_ROWS", limit)
-        got = jobs.attorney_rows(sample.pages_frame(spark), sample.COUNTIES, done=done)
-        assert [tuple(r) for r in got.collect()] == wanted
+def test_only_files_with_a_page_to_do_are_read(spark, tmp_path):
+    done = spark.createDataFrame([("juniper", "JN00043-19"), ("sorrel", "SR-013-Y")], "county_key string, n string")
+    wanted = [r for r in sample.EXPECTED if not r[1].endswith(("00043-19", "013-Y"))]
+    got = jobs.attorney_rows(sample.pages_frame(spark), sample.COUNTIES, done=done)
+    assert [tuple(r) for r in got.collect()] == wanted
+    kind = F.when(F.col("page_key").startswith("results"), "search").otherwise("case")
+    pages = sample.pages_frame(spark).withColumn("kind", kind)
+    for key in [r.page_key for r in pages.select("page_key").distinct().collect()]:  # one file a page
+        page_source.write_pages(pages.where(F.col("page_key") == key).coalesce(1), str(tmp_path / "pages"))
+    landed = page_source.read_pages(spark, str(tmp_path / "pages"))
+    assert [tuple(r) for r in jobs.attorney_rows(landed, sample.COUNTIES, done=done).collect()] == wanted
+    counties = load_counties(sample.COUNTIES)
+    one = spark.createDataFrame([("juniper", "JN00043-19", 0, 0)], "county_key string, case_ref string, page_ord int, ref_pos int")
+    _, narrowed = refs.only_pages_of(one, landed, counties)
+    assert [r.page_key for r in narrowed.collect()] == ["JN00043-19.html"]
+    plan = narrowed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_results_pages_that_fail_or_are_absent_are_recorded(spark):
+    pages = sample.pages_frame(spark).withColumn(
+        "html", F.when((F.col("county_key") == "juniper") & (F.col("page_key") == "results_1.html"), None).otherwise(F.col("html"))
+    )
+    counties = load_counties(sample.COUNTIES)
+    found = refs.results_page_states(pages, counties, search_pages_frame(spark, counties)).collect()
+    states = {(r.county_key, r.page): r.state for r in found}
+    assert states == {("juniper", "results_1"): "failed", ("sorrel", "results_1"): "ok", ("sorrel", "results_2"): "ok", ("sorrel", "results_7"): "missing"}
 
 
 def test_summary(spark):
     cases = jobs.cases_from_pages(sample.pages_frame(spark), sample.COUNTIES)
     got = {r.county: tuple(r)[1:] for r in jobs.run_summary(cases).collect()}
-    assert got == {"Alder County": (4, 6, 6, 8, 8), "Birch County": (4, 7, 7, 8, 8), None: (8, 13, 13, 16, 16)}
+    assert got == {"Juniper County": (4, 7, 5, 7, 7), "Sorrel County": (3, 6, 5, 6, 6), None: (7, 13, 10, 13, 13)}
 
 
 def test_pages_from_a_directory_and_from_a_table(spark, tmp_path):
-    for county, pages in (("alder", sample.GRID_PAGES), ("birch", sample.BLOCK_PAGES)):
+    for county, pages in (("juniper", sample.GRID_PAGES), ("sorrel", sample.BLOCK_PAGES)):
         (tmp_path / county).mkdir()
         for name, html in pages.items():
             (tmp_path / county / name).write_text(html, encoding="utf-8")
-    (tmp_path / "alder" / "A B+c%.html").write_text("odd name", encoding="utf-8")
+    (tmp_path / "juniper" / "A B+c%.html").write_text("odd name", encoding="utf-8")
     found = page_source.read_page_directory(spark, str(tmp_path))
     assert found.where("page_key = 'A B+c%.html'").first().html == "odd name"
     assert [tuple(r) for r in jobs.attorney_rows(found, sample.COUNTIES).collect()] == sample.EXPECTED
@@ -86,7 +105,7 @@ def test_pages_from_a_directory_and_from_a_table(spark, tmp_path):
         F.when(F.col("page_key").startswith("results"), "/Search/").otherwise("/Case/"),
         F.regexp_replace("page_key", ".html$", ""), F.lit("?x=1"),
     )
-    stray = spark.createDataFrame([("https://elsewhere.invalid/Case/A-24-000001", "<p>")], "url string, html string")
+    stray = spark.createDataFrame([("https://elsewhere.invalid/Case/JN00041-19", "<p>")], "url string, html string")
     by_url = sample.pages_frame(spark).select(url.alias("url"), "html").unionByName(stray)
     tabled = page_source.page_table(by_url, counties)
     assert {r.kind for r in tabled.select("kind").collect()} == {"search", "case"}
@@ -107,9 +126,8 @@ def test_landed_pages_are_pruned_by_county_and_kind(spark, tmp_path):
 def test_html_is_never_shuffled(spark):
     counties = load_counties(sample.COUNTIES)
     plan = jobs.attorney_rows(sample.pages_frame(spark), counties)._jdf.queryExecution().executedPlan().toString()
-    below_python = [line for line in plan.splitlines() if "MapInArrow" in line]
-    assert len(below_python) == 2  # results pages, case pages; both layouts in one pass
-    assert not any("html" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert not any(node in plan for node in ("MapInArrow", "MapInPandas", "EvalPython"))
+    assert not any("html" in line or "page#" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
     assert search_pages_frame(spark, counties).count() == 4
 
 
@@ -118,12 +136,12 @@ def test_incremental_run_over_pages_in_any_order(spark, tmp_path):
     pages = sample.pages_frame(spark).withColumn(
         "kind", F.when(F.col("page_key").startswith("results"), "search").otherwise("case")
     )
-    early = F.col("page_key").isin("results_1.html", "A-24-000003.html", "24-PR-00500E.html")
+    early = F.col("page_key").isin("results_1.html", "JN00043-19.html", "SP-0030-K.html")
     counts = []
     for landed in (pages.where(early), pages.where(~early), pages.where(early)):
         page_source.write_pages(landed, landing)
         incremental.run_available(spark, landing, sample.COUNTIES, out, state)
         counts.append(spark.read.parquet(out).count())
     incremental.run_available(spark, landing, sample.COUNTIES, out, state)
-    assert counts == [5, 16, 16] and spark.read.parquet(out).count() == 16
+    assert counts == [4, 13, 13] and spark.read.parquet(out).count() == 13
     assert [tuple(r) for r in jobs.export_table(spark, out).collect()] == sample.EXPECTED

@@ -117,7 +117,7 @@ _PLACE = (
     f" + (CAST(o_orderkey // {raw.BLOCK} AS HUGEINT) * 4294967296 + o_orderkey % {raw.BLOCK}) * 10000000000 + pair_pos"
 )
 
-_SITE = r"regexp_extract(url, '^https?://[^/]*\.(com|net|org)(/|$)', 1)"
+_SITE = r"coalesce(nullif(regexp_extract(url, '^https?://[^/?#]*\.(com|net)(:[0-9]+)?([/?#]|$)', 1), ''), 'org')"
 _NAV = f"""
     found AS (SELECT {_SITE} AS county_key, page_id, CAST(page_id AS VARCHAR) AS page_key,
                      regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS links FROM pages),
@@ -178,15 +178,19 @@ def _numbers(pattern: str) -> str:
                FROM customer, unnest(generate_series(c_custkey, c_custkey + 2)) AS u(seq)"""
 
 
+def _ordinal(spec: str) -> str:
+    return f"(CAST({spec} AS HUGEINT) * CAST('1' || repeat('0', 19) AS HUGEINT) + place)"
+
+
 def _enumerated(pattern: str) -> str:
-    return f"SELECT county_key, case_number, spec_ord * 1099511627776 + place AS ordinal FROM ({_numbers(pattern)})"
+    return f"SELECT county_key, case_number, CAST({_ordinal('spec_ord')} AS VARCHAR) AS ordinal FROM ({_numbers(pattern)})"
 
 
 _ALL_NUMBERS = " UNION ALL ".join(
-    f"SELECT county_key, case_number, (spec_ord * 3 + {i}) * 1099511627776 + place AS ordinal FROM ({_numbers(p)})"
+    f"SELECT county_key, case_number, {_ordinal(f'(spec_ord * 3 + {i})')} AS ordinal FROM ({_numbers(p)})"
     for i, p in enumerate(["plain", "letter_suffix", "per_suffix"])
 )
-_UNIQUE_NUMBERS = f"SELECT county_key, case_number, min(ordinal) AS ordinal FROM ({_ALL_NUMBERS}) GROUP BY ALL"
+_UNIQUE_NUMBERS = f"SELECT county_key, case_number, CAST(min(ordinal) AS VARCHAR) AS ordinal FROM ({_ALL_NUMBERS}) GROUP BY ALL"
 
 _PROGRESS = f"""SELECT DISTINCT lang AS county_key, CAST(doc_id AS VARCHAR) AS n FROM documents
                 WHERE {raw.pick('doc_id', ['good', 'good', 'torn', 'good', 'other', 'blank', 'good'])} = 'good'"""
@@ -282,11 +286,11 @@ CHECKS = {
                  CAST({_START} AS BIGINT) AS a, CAST({_END} AS BIGINT) AS b, c_custkey % 10 < 5 AS ranged,
                  c_custkey % 4 AS lo, c_custkey % 3 AS hi FROM customer)
         SELECT spec_ord, county_key, a AS start, b AS "end",
-               CASE WHEN pattern = 'zigzag' THEN 'unknown pattern ''zigzag''; expected one of plain, letter_suffix, per_suffix'
-                    WHEN pattern <> 'per_suffix' AND a > b THEN concat('start (', a, ') must be <= end (', b, ')')
-                    WHEN pattern = 'per_suffix' AND NOT ranged THEN 'per_suffix pattern requires per_suffix_ranges'
+               CASE WHEN pattern = 'zigzag' THEN 'no such pattern: ''zigzag'' (there are plain, letter_suffix, per_suffix)'
+                    WHEN pattern <> 'per_suffix' AND a > b THEN concat('range runs backwards: ', a, ' to ', b)
+                    WHEN pattern = 'per_suffix' AND NOT ranged THEN 'no range for any suffix'
                     WHEN pattern = 'per_suffix' AND lo > hi
-                      THEN concat('range of suffix ''A'': start (', lo, ') must be <= end (', hi, ')')
+                      THEN concat('range of suffix A runs backwards: ', lo, ' to ', hi)
                     ELSE '' END AS problem FROM specs""",
     "county_summary": f"""
         WITH {_rows(_BY_ITEM)},
@@ -325,6 +329,12 @@ CHECKS = {
         WITH {_LISTED}
         SELECT county_key, case_ref, CASE WHEN o_orderstatus = 'P' THEN 'missing'
                                           WHEN o_orderpriority = '1-URGENT' THEN 'failed' ELSE 'ok' END AS state FROM listing""",
+    "results_page_states": f"""
+        WITH listed AS (SELECT {raw.COUNTY_KEY} AS county_key, o_orderkey // {raw.BLOCK} AS block, o_orderkey FROM {_ORDERS}),
+        blocks AS (SELECT county_key, block AS page_ord FROM listed UNION SELECT county_key, block + 1 FROM listed WHERE o_orderkey % 10 = 0)
+        SELECT county_key, CAST(page_ord AS BIGINT) AS page_ord,
+               CASE WHEN page_ord % 5 = 3 THEN 'missing' WHEN page_ord % 5 = 1 THEN 'failed' ELSE 'ok' END AS state,
+               CASE WHEN page_ord % 5 = 1 THEN 'page has no content' ELSE '' END AS error FROM blocks""",
     "resume_rows": f"""
         SELECT {raw.COUNTY} AS county, count(*) AS cases, CAST(0 AS BIGINT) AS added_by_second_run FROM {_ORDERS}
         WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT' GROUP BY 1""",

@@ -130,11 +130,16 @@ _SITES = [
 ]
 
 
+def _site() -> F.Column:
+    """Host of a page: .com, .net, and all others together."""
+    known = F.regexp_extract("url", r"^https?://[^/?#]*\.(com|net)(?::[0-9]+)?(?:[/?#]|$)", 1)
+    return F.when(known == "", "org").otherwise(known)
+
+
 def _site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages table with the top-level domain as county and the page id as page key."""
-    site = F.regexp_extract("url", r"^https?://[^/]*\.(com|net|org)(?:/|$)", 1)
+    """The whole pages table with the site as county and the page id as page key."""
     return table(spark, sf_dir, "pages").select(
-        site.alias("county_key"), F.col("page_id").cast("string").alias("page_key"), "html"
+        _site().alias("county_key"), F.col("page_id").cast("string").alias("page_key"), "html"
     )
 
 
@@ -198,9 +203,8 @@ def build_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def refs_join_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as references, joined to the pages whose key they lead to on any site."""
-    site = F.regexp_extract("url", r"^https?://[^/]*\.(com|net|org)(?:/|$)", 1)
     pages = table(spark, sf_dir, "pages").select(
-        "page_id", site.alias("county_key"), urls.page_key(F.col("url")).alias("page_key")
+        "page_id", _site().alias("county_key"), urls.page_key(F.col("url")).alias("page_key")
     )
     site_of_part = F.expr(raw.pick("p_partkey", ["com", "net", "org"]))
     parts = table(spark, sf_dir, "part").select(
@@ -269,7 +273,7 @@ _NO_RANGES = "CAST(NULL AS map<string,struct<start:bigint,end:bigint>>)"
 def _specs(customers: DataFrame, kind: str, **columns: str) -> DataFrame:
     shape = {
         "county_key": "concat('n', CAST(c_nationkey AS STRING))",
-        "spec_ord": "CAST(c_custkey AS INT)",
+        "spec_ord": "CAST(c_custkey AS BIGINT)",
         "pattern": f"'{kind}'",
         "template": "'{year}-CV-{seq}{suffix}'",
         "start": "c_custkey * 5 + 1",
@@ -311,7 +315,7 @@ def suffix_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _enumerated(specs: DataFrame) -> DataFrame:
     found = numbers.expand(numbers.runs(specs))
-    return found.select("county_key", "case_number", "ordinal")
+    return found.select("county_key", "case_number", F.col("ordinal").cast("string").alias("ordinal"))
 
 
 def case_numbers_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +331,7 @@ def case_numbers_per_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    third = (F.col("spec_ord") * 3).cast("int")
+    third = F.col("spec_ord") * 3
     return (
         plain_specs(spark, sf_dir).withColumn("spec_ord", third)
         .unionByName(letter_specs(spark, sf_dir).withColumn("spec_ord", third + 1))
@@ -336,7 +340,8 @@ def _all_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def case_numbers_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.candidate_numbers(_all_specs(spark, sf_dir)).select("county_key", "case_number", "ordinal")
+    found = jobs.candidate_numbers(_all_specs(spark, sf_dir))
+    return found.select("county_key", "case_number", F.col("ordinal").cast("string").alias("ordinal"))
 
 
 def case_numbers_dedup_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +359,7 @@ def invalid_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     return numbers.spec_errors(specs).select(
-        F.col("spec_ord").cast("bigint").alias("spec_ord"), "county_key", "start", "end",
+        "spec_ord", "county_key", "start", "end",
         F.coalesce("problem", F.lit("")).alias("problem"),
     )
 
@@ -363,8 +368,7 @@ def invalid_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def county_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = tables.listed_cases(spark, sf_dir)
-    once = rows.listed_case_rows(cases)
-    found = summary.run_summary(cases, once, rows.distinct_rows(once))
+    found = summary.run_summary(cases, rows.distinct_rows(rows.listed_case_rows(cases)))
     return found.withColumn("county", F.coalesce("county", F.lit("all")))
 
 
@@ -422,6 +426,14 @@ def quarantine_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visited.select("county_key", "case_ref", "state")
 
 
+def results_page_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every configured results page with its state; some are missing, some have no content."""
+    pages = tables.result_pages(spark, sf_dir).withColumn("block", F.regexp_extract("page_key", "[0-9]+", 0).cast("int"))
+    pages = pages.where("block % 5 <> 3").withColumn("html", F.when(F.col("block") % 5 != 1, F.col("html"))).drop("block")
+    found = refs.results_page_states(pages, tables.counties(spark, sf_dir), tables.search_pages(spark, sf_dir))
+    return found.select("county_key", F.col("page_ord").cast("bigint").alias("page_ord"), "state", F.coalesce("error", F.lit("")).alias("error"))
+
+
 def resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run over faulty pages, a second with all pages there: only what was not attempted is added."""
     counties, listing = tables.counties(spark, sf_dir), tables.search_pages(spark, sf_dir)
@@ -460,6 +472,6 @@ QUERIES = {
         completed_count, case_numbers_plain, case_numbers_letter_suffix, case_numbers_per_suffix,
         case_numbers_listing, case_numbers_dedup_count, invalid_specs, county_summary, header_from_pages,
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
-        resume_rows, incremental_pages, csv_export,
+        results_page_states,        resume_rows, incremental_pages, csv_export,
     )
 }

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 NBSP, TAB, EM = "\u00a0", "\t", "\u2014"
 
-FIRST = ["John", "Maria", "Soo-Jin", "Ngozi", "Per", "Ana", "Lee", "Yuki"]
-MIDDLE = ["Q.", "", "Elena", "Van Der", "M."]
-LAST = ["Smith", "O''Brien", "De La Cruz", "Tanaka", "Fitzgerald", "Okafor", "Nguyen", "Van Horn", "Kim", "Jr", "Patel"]
+FIRST = ["Ewan", "Tilda", "Mei-Lin", "Chidi", "Ulf", "Ines", "Bo", "Haru"]
+MIDDLE = ["R.", "", "Odile", "Von Der", "B."]
+LAST = ["Archer", "O''Leary", "De La Vega", "Sato", "Fitzwilliam", "Adeyemi", "Tran", "Van Dyke", "Roh", "Jr", "Mehta"]
 SUFFIX = ["", "Jr.", "III", "", "esq", "J.R.", "SR", "", "V", ".ii."]
 TOKENS = SUFFIX[1:] + ["junior", "iv.", "IIII", "Esq..", "x", "Sr Jr", "."]
 PLACEHOLDER_LINES = [
@@ -40,8 +40,8 @@ def name_line(key: str) -> str:
 
 def odd_name(key: str) -> str:
     """Name forms at the edges of the splitting rules, and ordinary ones."""
-    odd = ["Smith, Jr.", "Smith Jr., John", "John Jr Smith", "V Smith", "Jr.", "John Q Jr Esq", "Smith, John,", ",",
-           ", Jr.", ", ,", "Lee, A, B, J.R.", "Jr Sr", "Smith, , Jr"]
+    odd = ["Archer, Jr.", "Archer Jr., Ewan", "Ewan Jr Archer", "V Archer", "Jr.", "Ewan Q Jr Esq", "Archer, Ewan,", ",",
+           ", Jr.", ", ,", "Roh, A, B, J.R.", "Jr Sr", "Archer, , Jr"]
     return f"(CASE WHEN ({key}) % 3 = 0 THEN {pick(f'({key}) * 2', odd)} ELSE {name_line(key)} END)"
 
 
@@ -100,5 +100,5 @@ EVENT_DESC = f"(CASE WHEN {EVENT_SHOWN} THEN concat('Flag ', l_returnflag, ' {EM
 EVENT_PLACE = (
     f"(CASE WHEN {EVENT_SHOWN} AND l_suppkey % 3 > 0 THEN concat('Courtroom ', CAST(l_suppkey AS STRING)) ELSE '' END)"
 )
-# A total order of an order's items.
-EVENT_ORDER = "l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey"
+# A total order of an order's items, for up to 10**9 parts and 10**8 suppliers.
+EVENT_ORDER = "l_linenumber * 100000000000000000 + l_partkey * 100000000 + l_suppkey"
