@@ -20,6 +20,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config(CHECKPOINT_DIR, conf.pop(CHECKPOINT_DIR, None) or tempfile.mkdtemp(prefix="docketframe-"))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -29,16 +30,8 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names. Only a local master may fall back to a folder of its own."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="docketframe-"))
-    return context.getCheckpointDir()
+    """The shared folder the cluster names; where it names none, one in the warehouse, which executors share as well."""
+    return spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

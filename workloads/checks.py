@@ -6,6 +6,7 @@ independently, from the source columns wherever they already hold the answer.
 
 from __future__ import annotations
 
+from docketframe.schema import OUTPUT_COLUMNS
 from workloads import raw
 
 _SPACE = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -340,4 +341,17 @@ CHECKS = {
         WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT' GROUP BY 1""",
     "incremental_pages": _ROWS_BY_ITEM,
     "csv_export": _ROWS_BY_LINE,
+    "csv_titles": "SELECT " + ", ".join(f'{name} AS "{title}"' for name, title in OUTPUT_COLUMNS.items()) + f" FROM ({_ROWS_BY_LINE})",
+    "candidate_listing": """
+        SELECT concat(n_name, ' County') AS county, CAST(2 * n_nationkey + 6 AS BIGINT) AS candidates,
+               concat('N-', lpad(CAST(seq AS VARCHAR), 3, '0')) AS case_number
+        FROM nation, unnest(generate_series(n_nationkey, 3 * n_nationkey + 5)) AS u(seq)""",
+    "rows_and_attributes_left_out": """
+        SELECT 'n0' AS county_key, CAST(p_partkey AS VARCHAR) AS page_key, '' AS case_number,
+               CAST(p_partkey % 4 >= 2 AS BIGINT) AS parties, CAST(p_partkey % 3 = 2 AS BIGINT) AS events,
+               CASE WHEN p_partkey % 4 >= 2 THEN CAST(p_partkey AS VARCHAR) ELSE '' END AS name,
+               CASE WHEN p_partkey % 4 >= 2 THEN CAST(p_partkey AS VARCHAR) ELSE '' END AS role FROM part
+        UNION ALL
+        SELECT 'n1', CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 5 > 0 THEN CAST(p_partkey AS VARCHAR) ELSE '' END, 1, 0,
+               CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 2 = 0 THEN 'Plaintiff' ELSE '' END FROM part""",
 }

@@ -462,6 +462,45 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_sink.write_csv(_final(tables.flat_case_rows(spark, sf_dir)), path)
 
 
+def csv_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table under its exported names, as written to CSV and read back."""
+    return csv_sink.write_csv(jobs.finish(tables.flat_case_rows(spark, sf_dir)), scratch_path(spark, "csv"))
+
+
+def candidate_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of numbers per nation, listed with its county's count."""
+    counties = [
+        {**c, "sequences": [{"pattern": "plain", "template": "N-{seq}", "start": n, "end": 3 * n + 5, "width": 3}]}
+        for c in tables.counties(spark, sf_dir) for n in [int(c["key"][1:])]
+    ]
+    return jobs.candidate_listing(spark, counties)
+
+
+def rows_and_attributes_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid page and a block page per part, with short rows, cards without their attribute, and parts without a root."""
+    key = F.col("p_partkey").cast("string")
+    cells = F.concat(F.lit("<td>"), key, F.lit("</td>"))
+    grid = F.concat(
+        F.lit('<table id="grdParties"><tr class="party-row"><td>only</td><td>two</td></tr><tr class="party-row">'),
+        F.repeat(cells, (F.col("p_partkey") % 4 + 1).cast("int")), F.lit('</tr></table><table id="grdEvents"><tr class="event-row">'),
+        F.repeat(cells, (F.col("p_partkey") % 3).cast("int")), F.lit("</tr></table>"),
+    )
+    role = F.when(F.col("p_partkey") % 2 == 0, ' data-role="Plaintiff"').otherwise("")
+    body = F.concat(F.lit('<section class="parties"><div class="party"'), role, F.lit('><span class="party-name">'), key, F.lit("</span></div></section>"))
+    root = F.concat(F.lit('<div class="case-detail" data-case-number="'), key, F.lit('"><h1 class="case-style">s</h1></div>'))
+    block = F.concat(F.when(F.col("p_partkey") % 5 > 0, root).otherwise("<p>none</p>"), body)
+    pages = table(spark, sf_dir, "part").select(
+        F.explode(F.array(F.struct(F.lit("n0").alias("county_key"), grid.alias("html")), F.struct(F.lit("n1").alias("county_key"), block.alias("html")))).alias("page"),
+        key.alias("page_key"),
+    ).select("page.county_key", "page_key", "page.html")
+    found = extract.extract_cases(pages, [c for c in tables.counties(spark, sf_dir) if c["key"] in ("n0", "n1")])
+    first = F.get("parties", F.lit(0))
+    return found.select(
+        "county_key", "page_key", F.coalesce("case_number", F.lit("")).alias("case_number"), F.size("parties").cast("bigint").alias("parties"),
+        F.size("events").cast("bigint").alias("events"), F.coalesce(first["name"], F.lit("")).alias("name"), F.coalesce(first["role"], F.lit("")).alias("role"),
+    )
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -472,6 +511,6 @@ QUERIES = {
         completed_count, case_numbers_plain, case_numbers_letter_suffix, case_numbers_per_suffix,
         case_numbers_listing, case_numbers_dedup_count, invalid_specs, county_summary, header_from_pages,
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
-        results_page_states,        resume_rows, incremental_pages, csv_export,
+        results_page_states,        resume_rows, incremental_pages, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
     )
 }

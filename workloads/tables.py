@@ -16,12 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Rows moved to their key while still narrow, in as many partitions as the session is set to.
-
-    The number is given so that it stays: adaptive execution merges partitions
-    by their bytes, and a few narrow columns here become pages of text.
-    """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+    """Rows moved to their key while still narrow; the number of partitions is left to the session."""
+    return df.repartition(*by)
 
 
 def orders_with_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +29,11 @@ def orders_with_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def case_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Case fields and listed parties of every order, without events. Orders move by key while still narrow."""
+def case_heads(spark: SparkSession, sf_dir: str, by: str | None = None) -> DataFrame:
+    """Case fields and listed parties of every order, without events. With ``by``, orders move there while narrow."""
     lines = ", ".join(raw.plaintiff_line(slot) for slot in range(3))
-    return spread(orders_with_counties(spark, sf_dir), "o_orderkey").selectExpr(
+    orders = orders_with_counties(spark, sf_dir)
+    return (spread(orders, by) if by else orders).selectExpr(
         "o_orderkey",
         f"{raw.COUNTY_KEY} AS county_key",
         f"{raw.COUNTY} AS county",
@@ -93,7 +90,7 @@ def listed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = children.ordered_children(flat_events(spark, sf_dir), ["o_orderkey"], "place", event, "events")
     no_events = F.array().cast("array<struct<date:string,description:string,location:string>>")
     return (
-        case_heads(spark, sf_dir)
+        case_heads(spark, sf_dir, "o_orderkey")
         .join(events, "o_orderkey", "left")
         .select(
             "county_key", "county", "case_ref", F.col("case_ref").alias("case_number"), "case_name",
@@ -107,7 +104,7 @@ def listed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flat_case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attorney rows of all orders; event text is made per item and gathered per order, then joined to the case."""
-    heads = case_heads(spark, sf_dir)
+    heads = case_heads(spark, sf_dir, "o_orderkey")
     pairs = rows.listed_pairs(listed_parties())
     exploded = heads.join(event_cells(spark, sf_dir), "o_orderkey", "left").select(
         "*", F.posexplode_outer(pairs).alias("pair_pos", "pair")
@@ -209,7 +206,7 @@ def case_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</section></div></main></body></html>"),
     )
     no_events = F.array().cast("array<struct<grid:string,block:string>>")
-    heads = case_heads(spark, sf_dir).withColumn("block_layout", F.col("county_ord") % 2)
+    heads = case_heads(spark, sf_dir, "o_orderkey").withColumn("block_layout", F.col("county_ord") % 2)
     return (
         heads.join(events, "o_orderkey", "left")
         .withColumn("events", F.coalesce("events", no_events))
