@@ -130,9 +130,9 @@ def normalize_date(value: Column) -> Column:
     """
 
     def iso(text: Column) -> Column:
-        ymd = text
-        for shape, order in _DATE_SHAPES:
-            ymd = F.regexp_replace(ymd, shape, order)
+        ymd = F.when(text.rlike(_YEAR_MONTH_DAY), text)
+        for shape, order in _DATE_SHAPES:  # the first shape that fits is rewritten, the others are not tried
+            ymd = ymd.when(text.rlike(shape), F.regexp_replace(text, shape, order))
         return F.coalesce(bind(ymd, as_date), text)
 
     def as_date(ymd: Column) -> Column:
