@@ -3,14 +3,15 @@
 Base: counts over the whole text, and ``base_failed`` for texts of fewer than ``LEAST_WORDS`` words or with more than half
 of their words in repeated three-word windows. On top, each rule of ``RULES`` rejects a document whose measure lies above
 a cutoff. Cutoffs come from labelled documents: for every stratum (lang; null is its own) and rule, a grid of cutoffs is
-tested from the most lenient to the strictest. A cutoff is kept while the exact binomial test rejects, at its level, that
-the rule would turn away more than its share of the stratum's good documents (this is the Clopper-Pearson bound). The
-grid is a fixed sequence, which needs no correction within a rule; across rules and strata the level is divided by their
+tested from the most lenient to the strictest, and is certified while the exact binomial test rejects, at its level, that
+the rule would turn away more than its share of the stratum's good documents (this is the Clopper-Pearson bound). Of the
+certified cutoffs the most useful against documents labelled bad is taken. The grid is a fixed sequence, so all certified
+cutoffs hold together and need no correction within a rule; across rules and strata the level is divided by their
 number (Bonferroni), and the allowed rejection of ``RISK`` per stratum is divided by the number of rules. So, with
 confidence 1 - ``DELTA`` over all strata together, no stratum loses more than ``RISK`` of its good documents to the rules.
 Strata with too few labels get no cutoff and reject nothing.
 
-Good: labelled with quality 1 and not base_failed; a document with several labels counts once, as good if any says so.
+Good: labelled with quality 1 and not base_failed (bad: with 0); a document with several labels counts once, as good if any says so.
 Counts for the tests are made over all labelled documents, as histograms. A null text has no words. Documents without
 words have measures of 0. Rows that repeat are judged alike; empty tables give empty results; without labels the verdict
 is that of the base.
@@ -39,6 +40,8 @@ RISK, DELTA = 0.02, 0.05
 #: Measures in 0..1, and the cutoffs tested, as 1/GRID, from GRID down.
 RULES = ("symbols", "dup_lines", "repeats", "capitals", "long_words")
 GRID = 50
+#: Bad documents that must go for one good one.
+GOOD_WEIGHT = 10
 #: Words whose numbers a task remembers.
 CACHE_WORDS = 1 << 20
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -134,33 +137,38 @@ def certified(hits: int, n: int, share: float, level: float) -> bool:
     return hits <= n * share and tail(hits, n, share) <= level
 
 
-def cutoff(histogram: np.ndarray, share: float, level: float) -> int | None:
-    """The strictest certified grid cutoff; ``histogram`` counts good documents by ceil(measure * GRID).
+def cutoff(good: np.ndarray, bad: np.ndarray, share: float, level: float) -> int | None:
+    """The certified grid cutoff that turns away most bad documents, with good ones counting ``GOOD_WEIGHT`` times against.
 
-    A cutoff c turns away measures above c / GRID.
+    ``good`` and ``bad`` count documents by ceil(measure * GRID); a cutoff c turns away measures above c / GRID. Of equally
+    useful cutoffs the middle one is taken; None if no certified one is of use.
     """
-    n, best = int(histogram.sum()), None
-    above = n - np.cumsum(histogram)
+    n, certain = int(good.sum()), []
+    good_above, bad_above = n - np.cumsum(good), int(bad.sum()) - np.cumsum(bad)
     for at in range(GRID - 1, -1, -1):
-        if n == 0 or not certified(int(above[at]), n, share, level):
+        if n == 0 or not certified(int(good_above[at]), n, share, level):
             break
-        best = at
-    return best
+        certain.append(at)
+    if not certain:
+        return None
+    use = [int(bad_above[at]) - GOOD_WEIGHT * int(good_above[at]) for at in certain]
+    best = [at for at, value in zip(certain, use, strict=True) if value == max(use)]
+    return best[len(best) // 2] if max(use) > 0 else None
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
     """(lang, rule, cutoff) for every stratum and rule that has one."""
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     steps = F.array(*[F.struct(F.lit(i).alias("rule"), F.ceil(F.col(rule) * GRID).cast("int").alias("step")) for i, rule in enumerate(RULES)])
-    judged = measured.where("not base_failed").join(good, "doc_id", "left_semi").select("lang", F.explode(steps).alias("at"))
-    histogram = written(judged.groupBy("lang", "at.rule", "at.step").agg(F.count("*").alias("n")), "histogram")
+    judged = measured.where("not base_failed").join(known, "doc_id").select("lang", (F.col("quality") == 1).alias("good"), F.explode(steps).alias("at"))
+    histogram = written(judged.groupBy("lang", "at.rule", "at.step", "good").agg(F.count("*").alias("n")), "histogram")
     strata = histogram.select("lang").distinct().count()
     share, level = RISK / len(RULES), DELTA / max(1, strata * len(RULES))
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = np.zeros(GRID + 1, np.int64)
-        np.add.at(counts, pdf["step"].to_numpy(), pdf["n"].to_numpy())
-        at = cutoff(counts, share, level)
+        counts = np.zeros((2, GRID + 1), np.int64)
+        np.add.at(counts, (pdf["good"].to_numpy().astype(int), pdf["step"].to_numpy()), pdf["n"].to_numpy())
+        at = cutoff(counts[1], counts[0], share, level)
         found = [(pdf["lang"].iloc[0], int(pdf["rule"].iloc[0]), at)] if at is not None else []
         return pd.DataFrame(found, columns=["lang", "rule", "cutoff"])
 
