@@ -84,7 +84,7 @@ def test_rules_turn_away_the_bad_of_a_stratum_with_enough_labels(spark):
     assert not any(found[i].kept for i in range(0, 4000, 10))
     assert np.mean([found[i].kept for i in range(4000) if i % 10]) > 1 - rules.RISK
     assert all(found[i].kept != found[i].base_failed for i in range(4000, 4040)), "a stratum with few labels turns nothing away"
-    assert any(list(found[i].broken) == ["symbols"] for i in range(0, 4000, 10))
+    assert any("symbols" in found[i].broken for i in range(0, 4000, 10))
 
 
 def test_odd_documents_and_nothing(spark):
