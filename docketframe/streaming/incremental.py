@@ -1,78 +1,92 @@
-"""Pages as they land: a file stream, listed references and case records matched by a stateful join."""
+"""Pages as they land: a file stream whose batches add to tables of references and records; what is new is an anti-join.
+
+No state store is kept. References and records are appended as they are read; a batch then takes the listed references
+that are not done, joins them to the newest record of their page, and appends rows, done references and failed attempts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketframe import schema
 from docketframe.operators import refs, rows
 from docketframe.operators.extract import extract_cases
+from docketframe.session import materialize
 from docketframe.sources.config import load_counties, search_pages_frame
 
-# State is kept on disk by the state store, not in executor memory.
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PLACED = "county_key string, case_ref string, page_ord int, ref_pos int"
+_ATTEMPTS = "county_key string, n string, state string"
+
+
+def _table(spark: SparkSession, checkpoint: str, name: str, ddl: str) -> DataFrame:
+    """One of the tables beside the stream's checkpoint; empty before its first rows."""
+    try:
+        return spark.read.parquet(f"{checkpoint.rstrip('/')}/tables/{name}")
+    except AnalysisException:
+        return spark.createDataFrame([], ddl)
 
 
-def incremental_rows(
+def run_available(
     spark: SparkSession,
     landing: str,
     counties: Iterable[Mapping],
+    out: str,
+    checkpoint: str,
     search_pages: DataFrame | None = None,
     files_per_batch: int | None = None,
-) -> DataFrame:
-    """Streaming rows of cases, each emitted once, when both its listing and its page have landed.
+) -> None:
+    """Process all that has landed and not been processed, append the rows to ``out``, and stop.
 
-    Pages are read as they come; both sides are then reduced to what is new (the
-    seen sets live in the state store), so neither shuffle nor state holds HTML.
-    A page that lands after its listing, or again after a failure, is picked up then.
+    A page that lands after its listing, or again after a failure, is picked up then; of several versions of a page the
+    one landed last counts. A batch that is run again after a failure adds copies, which the export drops.
     """
     counties = load_counties(counties)
-    if search_pages is None:
-        search_pages = search_pages_frame(spark, counties)
+    listing = search_pages_frame(spark, counties) if search_pages is None else search_pages
+    tables = f"{checkpoint.rstrip('/')}/tables"
+
+    def process(batch: DataFrame, number: int) -> None:
+        refs.listed_refs(batch, counties, listing).write.mode("append").parquet(f"{tables}/refs")
+        found = extract_cases(batch, counties).withColumn("landed", F.lit(number))
+        found.write.mode("append").parquet(f"{tables}/records")
+        todo = refs.skip_done(refs.first_seen(_table(spark, checkpoint, "refs", _PLACED)), _table(spark, checkpoint, "done", _ATTEMPTS))
+        todo, records = materialize(todo), spark.read.parquet(f"{tables}/records")
+        wanted = refs.with_case_page(todo, counties).select("county_key", "page_key").distinct()
+        whole = F.struct(*[name for name in records.columns if name not in ("county_key", "page_key", "landed")])
+        newest = records.join(wanted, ["county_key", "page_key"], "left_semi").groupBy("county_key", "page_key")
+        latest = newest.agg(F.max_by(whole, "landed").alias("record")).select("county_key", "page_key", "record.*")
+        visited = materialize(refs.visit(todo, latest, counties, keep_all=True))
+        attempts = visited.where("state <> 'missing'").select("county_key", F.col("case_ref").alias("n"), "state")
+        ok = visited.where("state = 'ok'")
+        rows.listed_case_rows(ok).write.mode("append").parquet(out)
+        attempts.where("state = 'ok'").write.mode("append").parquet(f"{tables}/done")
+        attempts.where("state <> 'ok'").withColumn("landed", F.lit(number)).write.mode("append").parquet(f"{tables}/failed")
+
     reader = spark.readStream.schema(schema.LANDED_DDL)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    pages = reader.parquet(landing)
-    listed = refs.listed_refs(pages, counties, search_pages).dropDuplicates(["county_key", "case_ref"])
-    records = extract_cases(pages, counties).where("error is null").dropDuplicates(["county_key", "page_key"])
-    return rows.listed_case_rows(refs.visit(listed, records, counties))
+    stream = reader.parquet(landing).writeStream.foreachBatch(process)
+    stream.option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream").trigger(availableNow=True).start().awaitTermination()
 
 
-def run_available(
-    spark: SparkSession,
-    landing: str,
-    counties: Iterable[Mapping],
-    out: str,
-    checkpoint: str,
-    search_pages: DataFrame | None = None,
-    state_partitions: int | None = None,
-) -> None:
-    """Process all that has landed and not been processed, append the rows to ``out``, and stop.
+def stored_rows(spark: SparkSession, out: str, checkpoint: str) -> DataFrame:
+    """All rows so far, each at the first place that its reference has by now, whenever that results page landed."""
+    first = refs.first_seen(_table(spark, checkpoint, "refs", _PLACED))
+    stored = spark.read.parquet(out)
+    county = F.floor(F.col("row_ord") / F.lit(Decimal(10**29))).cast("int")
+    pair = (F.col("row_ord") % F.lit(Decimal(10**10))).cast("bigint")
+    place = rows.first_seen_order(county, F.col("page_ord"), F.col("ref_pos"), pair)
+    return stored.join(first, ["county_key", "case_ref"]).withColumn("row_ord", place).select(*stored.columns)
 
-    ``state_partitions`` (default: the session's shuffle partitions) is fixed
-    for good by the first run of a checkpoint; size it for the state to come.
-    """
-    settings = {PROVIDER: ROCKSDB}
-    if state_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
-    before = {name: spark.conf.get(name, None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        query = (
-            incremental_rows(spark, landing, counties, search_pages)
-            .writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+def reference_states(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Every listed reference with its state by now: ok, failed, or missing while its page has not landed."""
+    listed = _table(spark, checkpoint, "refs", _PLACED).select("county_key", "case_ref").distinct()
+    tried = _table(spark, checkpoint, "done", _ATTEMPTS).select("county_key", F.col("n").alias("case_ref"), F.lit("ok").alias("state"))
+    failed = _table(spark, checkpoint, "failed", _ATTEMPTS).select("county_key", F.col("n").alias("case_ref"), F.lit("failed").alias("state"))
+    best = tried.unionByName(failed).groupBy("county_key", "case_ref").agg(F.max("state").alias("state"))
+    return listed.join(best, ["county_key", "case_ref"], "left").select("county_key", "case_ref", F.coalesce("state", F.lit("missing")).alias("state"))

@@ -143,5 +143,31 @@ def test_incremental_run_over_pages_in_any_order(spark, tmp_path):
         incremental.run_available(spark, landing, sample.COUNTIES, out, state)
         counts.append(spark.read.parquet(out).count())
     incremental.run_available(spark, landing, sample.COUNTIES, out, state)
+    states = {r.case_ref: r.state for r in incremental.reference_states(spark, state).collect()}
+    assert states == {ref: "missing" if ref == "JN00050-19" else "ok" for ref in LISTED}
     assert counts == [4, 13, 13] and spark.read.parquet(out).count() == 13
     assert [tuple(r) for r in jobs.export_table(spark, out).collect()] == sample.EXPECTED
+
+
+def test_stream_keeps_listing_order_and_the_newest_version(spark, tmp_path):
+    landing, out, state = (str(tmp_path / name) for name in ("landing", "rows", "state"))
+    county = {**sample.BLOCK, "search_pages": ["p0", "p1"]}
+    old = sample.block_page("R0", "old", [], [("Claimant", "x", ["Ann Old"])], [])
+    new = sample.block_page("R0", "new", [], [("Claimant", "x", ["Ann New"])], [])
+    other = sample.block_page("R1", "other", [], [("Claimant", "y", ["Bo Other"])], [])
+    batches = [
+        [("case", "R0.html", None), ("case", "R1.html", other)],
+        [("search", "p1.html", sample.card_page(["R0", "R1"])), ("case", "R0.html", old)],
+        [("case", "R0.html", new)],
+        [("search", "p0.html", sample.card_page(["R1", "R0"]))],
+    ]
+    for batch in batches:
+        landed = spark.createDataFrame([("sorrel", *page) for page in batch], schema_of_landed)
+        page_source.write_pages(landed, landing)
+        incremental.run_available(spark, landing, [county], out, state)
+    found = incremental.stored_rows(spark, out, state).orderBy("row_ord").collect()
+    assert [(r.case_ref, r.last_name) for r in found] == [("R1", "Other"), ("R0", "Old")]
+    assert [int(r.row_ord) // 10**10 for r in found] == [0, 1]
+
+
+schema_of_landed = "county_key string, kind string, page_key string, html string"

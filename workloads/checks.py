@@ -203,6 +203,11 @@ _END = "CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE c_custkey % 13 END"
 _LISTED = f"""
     listing AS (SELECT {raw.COUNTY_KEY} AS county_key, {raw.CASE_REF} AS case_ref, o_orderkey, o_orderstatus, o_orderpriority FROM {_ORDERS})"""
 
+_STATES = f"""
+    WITH {_LISTED}
+    SELECT county_key, case_ref, CASE WHEN o_orderstatus = 'P' THEN 'missing'
+                                          WHEN o_orderpriority = '1-URGENT' THEN 'failed' ELSE 'ok' END AS state FROM listing"""
+
 CHECKS = {
     "clean_text_documents": f"SELECT doc_id, {clean('text')} AS clean FROM documents",
     "placeholder_filter": f"""
@@ -326,10 +331,7 @@ CHECKS = {
     "listed_refs": f"""
         SELECT {raw.COUNTY_KEY} AS county_key, {raw.CASE_REF} AS case_ref, o_orderkey // {raw.BLOCK} AS page_ord FROM {_ORDERS}""",
     "attorney_rows_from_pages": _ROWS_BY_ITEM,
-    "quarantine_pages": f"""
-        WITH {_LISTED}
-        SELECT county_key, case_ref, CASE WHEN o_orderstatus = 'P' THEN 'missing'
-                                          WHEN o_orderpriority = '1-URGENT' THEN 'failed' ELSE 'ok' END AS state FROM listing""",
+    "quarantine_pages": _STATES,
     "results_page_states": f"""
         WITH listed AS (SELECT {raw.COUNTY_KEY} AS county_key, o_orderkey // {raw.BLOCK} AS block, o_orderkey FROM {_ORDERS}),
         blocks AS (SELECT county_key, block AS page_ord FROM listed UNION SELECT county_key, block + 1 FROM listed WHERE o_orderkey % 10 = 0)
@@ -339,7 +341,17 @@ CHECKS = {
     "resume_rows": f"""
         SELECT {raw.COUNTY} AS county, count(*) AS cases, CAST(0 AS BIGINT) AS added_by_second_run FROM {_ORDERS}
         WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT' GROUP BY 1""",
-    "incremental_pages": _ROWS_BY_ITEM,
+    "incremental_pages": f"""
+        WITH {_rows(_BY_ITEM)},
+        on_page AS (SELECT n_nationkey, o_orderkey, o_orderkey // {raw.BLOCK} AS block FROM {_ORDERS}
+                    UNION ALL SELECT n_nationkey, o_orderkey, o_orderkey // {raw.BLOCK} + 1 FROM {_ORDERS} WHERE o_orderkey % 10 = 0),
+        numbered AS (SELECT o_orderkey, block, row_number() OVER (PARTITION BY n_nationkey, block ORDER BY o_orderkey) - 1 AS ref_pos FROM on_page),
+        placed AS (SELECT * FROM numbered WHERE block = o_orderkey // {raw.BLOCK})
+        SELECT {_COLUMNS}, CAST(min(
+            CAST(n_nationkey AS HUGEINT) * CAST('1' || repeat('0', 29) AS HUGEINT)
+            + (CAST(block AS HUGEINT) * 4294967296 + ref_pos) * 10000000000 + pair_pos) AS VARCHAR) AS row_ord
+        FROM found JOIN placed USING (o_orderkey) GROUP BY {_COLUMNS}""",
+    "incremental_states": _STATES,
     "csv_export": _ROWS_BY_LINE,
     "csv_titles": "SELECT " + ", ".join(f'{name} AS "{title}"' for name, title in OUTPUT_COLUMNS.items()) + f" FROM ({_ROWS_BY_LINE})",
     "candidate_listing": """

@@ -444,16 +444,27 @@ def resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_now.withColumn("added_by_second_run", F.lit(second).cast("bigint"))
 
 
-def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results pages and grid counties' pages land first, the other pages later; both are picked up, none twice."""
+def _landed_in_turn(spark: SparkSession, sf_dir: str, pages: DataFrame) -> tuple[str, str]:
+    """Later results pages and the grid counties' pages land first, all others after them. Returns rows and checkpoint."""
     counties, listing = tables.counties(spark, sf_dir), tables.search_pages(spark, sf_dir)
     landing, out, state = (scratch_path(spark, name) for name in ("landing", "rows", "stream"))
-    first = F.expr("CAST(substr(county_key, 2) AS INT) % 2 = 0 OR kind = 'search'")
-    pages, cores = tables.all_pages(spark, sf_dir), spark.sparkContext.defaultParallelism
+    number = "CAST(regexp_extract(page_key, '[0-9]+', 0) AS BIGINT)"
+    first = F.expr(f"CASE WHEN kind = 'search' THEN {number} % 2 = 1 ELSE CAST(substr(county_key, 2) AS INT) % 2 = 0 END")
     for landed in (pages.where(first), pages.where(~first)):
         page_source.write_pages(landed, landing)
-        incremental.run_available(spark, landing, counties, out, state, listing, state_partitions=cores)
-    return _final(spark.read.parquet(out))
+        incremental.run_available(spark, landing, counties, out, state, listing)
+    return out, state
+
+
+def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all pages, none twice, each at the place that a run over all pages at once gives it."""
+    stored = incremental.stored_rows(spark, *_landed_in_turn(spark, sf_dir, tables.all_pages(spark, sf_dir)))
+    return rows.distinct_rows(stored).select(*ROW_COLUMNS, F.col("row_ord").cast("string").alias("row_ord"))
+
+
+def incremental_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listed reference with its state in the stream."""
+    return incremental.reference_states(spark, _landed_in_turn(spark, sf_dir, _faulty_pages(spark, sf_dir))[1])
 
 
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -511,6 +522,6 @@ QUERIES = {
         completed_count, case_numbers_plain, case_numbers_letter_suffix, case_numbers_per_suffix,
         case_numbers_listing, case_numbers_dedup_count, invalid_specs, county_summary, header_from_pages,
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
-        results_page_states,        resume_rows, incremental_pages, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
+        results_page_states,        resume_rows, incremental_pages, incremental_states, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
     )
 }
