@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 
 WINDOW = 2048
 END_ID = 1
+#: Fixed values of the tokenizer file: tokens that are one id wherever a text spells them.
+SPECIAL = {"<|endoftext|>": 50256}
 #: Open windows a task may hold.
 MAX_OPEN = 4096
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def byte_bpe(folder: str | None = None) -> Callable[[str], np.ndarray]:
-    """The encoder of the byte-level vocabulary; strings of special tokens are ordinary text.
+    """The encoder of the byte-level vocabulary; a special token that a text spells is its own id, as in the tokenizer file.
 
     The ranks and the tokenizer file are one vocabulary. The ranks are encoded faster; where that engine gives up, as on
     millions of spaces, the tokenizer file is used. ``folder`` holds both; default: that of the installed package.
@@ -42,19 +44,18 @@ def byte_bpe(folder: str | None = None) -> Callable[[str], np.ndarray]:
     place = (lambda name: f"{folder}/{name}") if folder else public_tokenizers.path
     with open(place("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
     slow = []
 
     def encode(text: str) -> np.ndarray:
         try:
-            return np.asarray(encoding.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+            return np.asarray(encoding.encode_to_numpy(text, allowed_special="all"), dtype="<u4")
         except ValueError:  # the pattern engine ran out of its stack
             pass
         if not slow:
             from tokenizers import Tokenizer
 
             slow.append(Tokenizer.from_file(place("byte_bpe_50k.json")))
-            slow[0].encode_special_tokens = True
         return np.array(slow[0].encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     return encode
