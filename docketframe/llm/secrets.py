@@ -32,13 +32,11 @@ WINDOW = 20
 RUN = f"[A-Za-z0-9+/_-]{{{WINDOW},}}"
 #: Character classes, first match first, with the bits a window must reach. A window of 20 has at most 4.32.
 CLASSES = (("hex", "[0-9a-fA-F]+", 3.1), ("token", "[A-Za-z0-9]+", 3.8), ("mixed", ".+", 3.9))
-#: Runs that are no secrets.
+#: Runs that are no secrets. No group is repeated: the pattern engine goes one call deeper for each repetition.
 ALLOWED = (
-    r"[A-Za-z]+",
-    r"[0-9]+",
+    r"[A-Za-z/_-]+",
+    r"[0-9](?:[0-9/_-]*[0-9])?",
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r"[A-Za-z]*(?:[/_-]+[A-Za-z]*)+",
-    r"[0-9]+(?:[/_-]+[0-9]+)+",
     r".*(?:[eE]xample|EXAMPLE|abcdefghij|ABCDEFGHIJ|0123456789).*",
 )
 KINDS = ("assign", "access", "hex", "entropy")
@@ -68,16 +66,29 @@ def _bits(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count)).otherwise(0.0)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a variable that holds ``value``, so that it is worked out once and not for every element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def window_entropy(run: Column) -> Column:
     """The highest Shannon entropy, in bits, of a window that slides over ``run``."""
     chars = F.filter(F.split(run, ""), lambda c: c != "")
-    alphabet = F.array_sort(F.array_distinct(chars))
-    zero = F.transform(alphabet, lambda c: F.lit(0))
-    start = F.struct(zero.alias("counts"), F.lit(0.0).alias("bits"), F.lit(0.0).alias("best"))
+
+    def coded(chars: Column) -> Column:
+        codes = lambda alphabet: F.transform(chars, lambda c: F.array_position(alphabet, c).cast("int"))
+        return _bound(F.array_distinct(chars), lambda alphabet: _bound(codes(alphabet), lambda codes: _slid(codes, F.size(alphabet))))
+
+    return _bound(chars, coded)
+
+
+def _slid(codes: Column, letters: Column) -> Column:
+    """``window_entropy`` of characters given as 1 to ``letters``."""
+    start = F.struct(F.array_repeat(F.lit(0), letters).alias("counts"), F.lit(0.0).alias("bits"), F.lit(0.0).alias("best"))
 
     def step(state: Column, at: Column) -> Column:
-        enters = F.array_position(alphabet, F.element_at(chars, at)).cast("int")
-        leaves = F.when(at > WINDOW, F.array_position(alphabet, F.element_at(chars, F.greatest(at - WINDOW, F.lit(1)))).cast("int")).otherwise(0)
+        enters = F.element_at(codes, at)
+        leaves = F.when(at > WINDOW, F.element_at(codes, F.greatest(at - WINDOW, F.lit(1)))).otherwise(0)
         same = enters == leaves
         more = F.element_at(state["counts"], enters)
         less = F.element_at(state["counts"], F.greatest(leaves, F.lit(1)))
@@ -91,7 +102,7 @@ def window_entropy(run: Column) -> Column:
         entropy = F.when(at >= WINDOW, F.log2(F.lit(float(WINDOW))) - bits / WINDOW).otherwise(0.0)
         return F.struct(counts.alias("counts"), bits.alias("bits"), F.greatest(state["best"], entropy).alias("best"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, step, lambda state: state["best"])
+    return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step, lambda state: state["best"])
 
 
 def _suspect(span: Column) -> Column:
