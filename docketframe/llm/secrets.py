@@ -3,9 +3,10 @@
 Base kinds are found by pattern: ``assign`` (a name of a secret, a separator and a value), ``access`` (key ids) and
 ``hex`` (long hexadecimal runs), leftmost and without overlap within a kind. The method adds ``entropy``: runs of token
 characters over which a window of ``WINDOW`` characters slides. Character counts of the window are kept and changed by
-the two characters that leave and enter, and the Shannon entropy is changed with them; a run is a secret if some window
-reaches the bound of its character class. Runs that overlap a base span, and runs the allow list knows (plain words,
-digits, UUIDs, paths and dotted names, sequences of the alphabet, examples), are not added.
+the two characters that leave and enter, and the Shannon entropy is changed with them. Base spans, examples and sequences
+of the alphabet are cut out of a run first; each stretch that is left, of ``WINDOW`` characters or more, is a secret if some
+window reaches the bound of its character class. Stretches the allow list knows (plain words, digits, UUIDs, paths and
+dotted names) are not added.
 
 Places are code points, end exclusive. A null text counts as empty and has no spans; very long texts are scanned whole.
 Every row is judged by itself, so empty tables, repeated rows and other columns change nothing.
@@ -32,13 +33,14 @@ WINDOW = 20
 RUN = f"[A-Za-z0-9+/_-]{{{WINDOW},}}"
 #: Character classes, first match first, with the bits a window must reach. A window of 20 has at most 4.32.
 CLASSES = (("hex", "[0-9a-fA-F]+", 3.1), ("token", "[A-Za-z0-9]+", 3.8), ("mixed", ".+", 3.9))
-#: Runs that are no secrets. No group is repeated: the pattern engine goes one call deeper for each repetition.
+#: Stretches that are no secrets. No group is repeated: the pattern engine goes one call deeper for each repetition.
 ALLOWED = (
     r"[A-Za-z/_-]+",
     r"[0-9](?:[0-9/_-]*[0-9])?",
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
-    r".*(?:[eE]xample|EXAMPLE|abcdefghij|ABCDEFGHIJ|0123456789).*",
 )
+#: Parts of runs that are no secrets.
+PLAIN = "[eE]xample|EXAMPLE|abcdefghij|ABCDEFGHIJ|0123456789"
 KINDS = ("assign", "access", "hex", "entropy")
 
 
@@ -105,6 +107,33 @@ def _slid(codes: Column, letters: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step, lambda state: state["best"])
 
 
+def _stretches(span: Column, base: Column) -> Column:
+    """What is left of a run without the base spans and the plain parts, as spans of at least ``WINDOW`` characters."""
+    run, length = span["found"], F.length(span["found"])
+    place = lambda start, end: F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"))
+    none = F.lit([]).cast("array<struct<start:long,end:long>>")
+    over = F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    within = F.transform(over, lambda b: place(b["start"] - span["start"], b["end"] - span["start"]))
+    plain = F.when(run.rlike(PLAIN), F.transform(_found(run, PLAIN), lambda p: place(p["start"], p["end"]))).otherwise(none)
+    cuts = F.array_sort(F.concat(within, plain, F.array(place(length, length))))
+    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("left"))
+
+    def step(state: Column, cut: Column) -> Column:
+        long = cut["start"] - state["at"] >= WINDOW
+        left = F.when(long, F.concat(state["left"], F.array(place(state["at"], cut["start"])))).otherwise(state["left"])
+        return F.struct(F.greatest(state["at"], cut["end"]).alias("at"), left.alias("left"))
+
+    def taken(chars: Column) -> Column:
+        def of(part: Column) -> Column:
+            found = F.array_join(F.slice(chars, (part["start"] + 1).cast("int"), (part["end"] - part["start"]).cast("int")), "")
+            return F.struct((span["start"] + part["start"]).alias("start"), (span["start"] + part["end"]).alias("end"), found.alias("found"))
+
+        return _bound(F.aggregate(cuts, start, step, lambda state: state["left"]), lambda left: F.transform(left, of))
+
+    whole = ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])) & ~run.rlike(PLAIN)
+    return F.when(whole, F.array(span)).otherwise(_bound(F.split(run, ""), taken))
+
+
 def _suspect(span: Column) -> Column:
     run = span["found"]
     bound = F.lit(99.0)
@@ -128,8 +157,8 @@ def find_secrets(documents: DataFrame) -> DataFrame:
         _found(F.col("text"), RUN).alias("runs"),
     )
     base = F.concat("assign", "access", "hex")
-    free = lambda span: ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-    judged = scanned.select("doc_id", "assign", "access", "hex", F.filter("runs", lambda span: free(span) & _suspect(span)).alias("entropy"))
+    stretches = _bound(base, lambda base: F.flatten(F.transform("runs", lambda span: _stretches(span, base))))
+    judged = scanned.select("doc_id", "assign", "access", "hex", F.filter(stretches, _suspect).alias("entropy"))
 
     def of_kind(order: int) -> Column:
         return F.transform(
