@@ -33,7 +33,10 @@ BLOCKS = frozenset(
     "header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 #: No text of a page.
-SILENT = frozenset("script style noscript template head title iframe object svg canvas select button textarea audio video map math".split())
+SILENT = frozenset("script style noscript template head title iframe svg select button textarea".split())
+#: Inline elements whose blocks are apart from those around them.
+SCOPES = frozenset({"object"})
+BOUNDS, CLOSING = BLOCKS | SCOPES, BLOCKS | SILENT | SCOPES
 #: Open elements that the start of an element ends, up to the nearest of its bounds.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -119,7 +122,7 @@ class Tree(HTMLParser):
             for depth in range(len(self.open) - 1, 0, -1):  # a block ends an open paragraph, unless another block holds it
                 if self.open[depth][0] == "p":
                     self.pop_to(depth)
-                elif self.open[depth][0] in BLOCKS:
+                elif self.open[depth][0] in BOUNDS:
                     break
             self.end_block()
         elif tag == "br":
@@ -146,7 +149,7 @@ class Tree(HTMLParser):
             if self.open[depth][0] == tag:
                 self.pop_to(depth)
                 return
-            if tag not in BLOCKS and tag not in SILENT and self.open[depth][0] in BLOCKS:
+            if tag not in CLOSING and self.open[depth][0] in BLOCKS:
                 return  # an inline end tag closes no block
 
     def handle_data(self, data: str) -> None:
