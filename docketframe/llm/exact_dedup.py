@@ -5,8 +5,8 @@
    filter, which never changes.
 3. The new batch is reduced to distinct digests first: its own copies are grouped here, apart from the snapshots.
    The digests meet the filters of their bucket; only positives go on to the exact buckets.
-4. Digests with more than one row, in either or both, are byte-checked: the texts of their rows, and of no others, are
-   grouped by their bytes. Grouping combines before it moves, so a text that makes up a third of all rows moves once
+4. Digests with more than one row, in either or both, are byte-checked and grouped: their rows, and no others, are
+   grouped by SHA-256, and the texts of these rows by their bytes. Grouping combines before it moves, so a text that makes up a third of all rows moves once
    per task.
 
 Equal: identical texts; null counts as the empty text. Of equal texts the row with the largest ``doc_id`` stays (a null
@@ -91,7 +91,8 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, *c
     held = heads.columns[4:-1]
     shared = written(shared_digests(heads), "shared")
     # Texts are fetched by id and digest, which spreads them evenly; grouping by the bytes combines before it moves.
-    wanted = heads.join(shared, "digest", "left_semi").select(F.col("doc_id").alias("id"), F.col("digest").alias("of")).distinct()
+    screened = heads.join(shared, "digest", "left_semi")
+    wanted = screened.select(F.col("doc_id").alias("id"), F.col("digest").alias("of")).distinct()
     texts = documents.select("doc_id", text.alias("text"), digest(text).alias("digest"))
     copies = (
         texts.join(wanted, F.expr("doc_id <=> id and digest = of"), "left_semi")
@@ -102,7 +103,7 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, *c
     )
     # Grouped before the join, so that the rows of one text meet as one row per task.
     keepers = (
-        heads.groupBy("sha")
+        screened.groupBy("sha")
         .agg(
             F.max("doc_id").alias("keep_id"),
             F.max_by("row_id", "doc_id").alias("keep_row"),
