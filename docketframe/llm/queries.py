@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, packing, quality_rules, secrets, sharding
+from docketframe.llm import exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, packing, periodic_runs, quality_rules, secrets, sharding
 from docketframe.llm.common import read_table
 
 
@@ -49,6 +49,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.with_repeated_ends(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -60,6 +64,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 CHECKS = {

@@ -15,7 +15,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     return own
 
 
