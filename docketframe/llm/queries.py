@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, packing, periodic_runs, quality_rules, secrets, sharding
+from docketframe.llm import exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, packing, periodic_runs, quality_rules, ranked_search, secrets, sharding
 from docketframe.llm.common import read_table
 
 
@@ -49,6 +49,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.with_repeated_ends(read_table(spark, sf_dir, "documents")))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_packing": op10_packing,
+    "op11_ranked_search": op11_ranked_search,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
@@ -75,4 +80,26 @@ CHECKS = {
                    max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
                    count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size
             FROM documents)""",
+    "op11_ranked_search": r"""
+        WITH words AS (
+            SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+        counted AS (SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        sizes AS (SELECT row, sum(tf) AS n FROM counted GROUP BY row),
+        totals AS (SELECT count(*) AS docs, sum(n) AS all_words FROM sizes),
+        lengths AS (SELECT row, 75 + CAST((25 * n * docs) // all_words AS BIGINT) AS m FROM sizes, totals),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, totals GROUP BY term, docs),
+        asked AS (
+            SELECT item_id, term, count(*) AS often
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY ALL),
+        scored AS (
+            SELECT item_id, doc_id, row, CAST(sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN lengths USING (row)
+            GROUP BY item_id, doc_id, row)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+        WHERE rank <= 20""",
 }
