@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketframe.llm import exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, packing, periodic_runs, quality_rules, ranked_search, secrets, sharding
+from docketframe.llm import exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, packing, periodic_runs, quality_rules, ranked_search, rule_ensemble, secrets, sharding
 from docketframe.llm.common import read_table
 
 
@@ -57,6 +57,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.with_repeated_ends(read_table(spark, sf_dir, "documents")))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -70,6 +74,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_ranked_search": op11_ranked_search,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 CHECKS = {
