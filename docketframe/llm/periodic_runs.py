@@ -20,9 +20,11 @@ ties, empty tables, null ids and other columns change nothing. Texts of any leng
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ from docketframe.llm.common import WORD
 LEAST_WORDS = 12
 #: Words appended at a time; shorter texts go together.
 SPAN = 1 << 16
+#: Bytes of text whose words are held at a time.
+PORTION = 1 << 21
 #: Words whose numbers a task remembers.
 CACHE_WORDS = 1 << 20
 #: Modulus and base of the running sum.
@@ -220,12 +224,22 @@ class _Numbers(dict):
         return number
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``PORTION`` bytes of text, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PORTION, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def find_runs(documents: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """For every row of ``documents`` (doc_id, text): doc_id, runs (by start, then period), collapsed (the text without repeats)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = _Numbers()
-        for batch in batches:
+        for batch in chain.from_iterable(map(_portions, batches)):
             split = [(text.as_py() or "").encode().split() for text in batch["text"]]
             if len(numbers) > CACHE_WORDS:
                 numbers.clear()

@@ -120,5 +120,14 @@ def test_the_query_over_a_whole_table(spark):
     )
 
 
+def test_small_portions_give_the_same(spark, monkeypatch):
+    whole = rows_of(periodic_runs.run_report(odd_documents(spark)))
+    monkeypatch.setattr(periodic_runs, "PORTION", 300)
+    batch = odd_documents(spark).select("doc_id", "text").toArrow().combine_chunks().to_batches()[0]
+    parts = list(periodic_runs._portions(batch))
+    assert len(parts) > 10 and sum(part.num_rows for part in parts) == batch.num_rows
+    assert rows_of(periodic_runs.run_report(odd_documents(spark))) == whole
+
+
 def test_nothing(spark):
     assert periodic_runs.run_report(empty_documents(spark)).collect() == []
