@@ -1,221 +1,237 @@
-"""Reading markup with column expressions: elements by selector, their attributes and text.
+"""Reading markup: the elements that selectors ask for, with their attributes and text, as a column.
 
-A selector is compiled on the driver to regular expressions; one that cannot be expressed is refused there. An element
-runs from its start tag to the end tag of its own nesting level; list items, definitions, paragraphs, rows and cells also
-end where the next one starts. What is no text of a page (scripts, comments and the like) is taken out first.
+``select`` is the one function here that runs outside the JVM, in Arrow batches: it cuts a page into tags and text in one
+scan, finds where elements end by the usual rules for omitted and misplaced end tags (``END_RULES``), and looks up what
+it is asked for. What to ask is data, one value per row, so it can come from a joined table. What pages of a layout hold
+is worked out from the elements by Spark expressions (``operators.layouts``).
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
-from dataclasses import dataclass
-from html.entities import html5
+from bisect import bisect_left
+from collections import defaultdict
+from functools import lru_cache
+from html import unescape
 
-from pyspark.sql import Column
+import pyarrow as pa
 from pyspark.sql import functions as F
-
-# Stands where something was taken out; a noncharacter, never part of text.
-_GAP = "﷒"
-_UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|rt|rp)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)|<[!?][^>]*>"
-_ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*"|'[^']*')[^>"']*+)*+"""
-_TAG = rf"</?[A-Za-z](?:{_ATTRIBUTES}|[^>]*)>"
-_ENDS_NAME = r"(?=[\s/>]|\z)"
-
-# Fixed values of the HTML syntax: the elements that end without an end tag. For each: its kind, the start tags that end
-# it, the elements whose end tags end it, and the elements that shield it (inside one, nothing outside is ended).
-_PARAGRAPH_ENDS = "p|div|ul|ol|dl|table|section|article|h1|h2|h3|h4|form"
-_LOOSE = {
-    "li": ("li", "li", "ul|ol", "ul|ol"),
-    "dt": ("dt|dd", "dt|dd", "dl", "dl"),
-    "dd": ("dt|dd", "dt|dd", "dl", "dl"),
-    "td": ("td|th", "td|th|tr|tbody", "tr|tbody|thead|tfoot|table", "table"),
-    "th": ("td|th", "td|th|tr|tbody", "tr|tbody|thead|tfoot|table", "table"),
-    "tr": ("tr", "tr|tbody", "tbody|thead|tfoot|table", "table"),
-    "p": ("p", _PARAGRAPH_ENDS, "td|th|li|div|section|article|body", ""),
-}
-
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+#: Parts the text nodes of an element; a noncharacter, never part of text.
+GAP = "﷒"
+_TAG = re.compile(
+    r"""(?is)<!--.*?(?:-->|\Z)"""
+    r"""|<(?P<unseen>script|style|template|rt|rp)(?=[\s/>])[^>]*>.*?(?:</(?P=unseen)\s*>|\Z)"""
+    r"""|<[!?][^>]*>"""
+    r"""|<(?P<name>/?[a-z][^\s/>]*+)(?P<attributes>[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)[^>=]*+)*+)>"""
+    r"""|<(?=/?[a-z])[^<]*+\Z"""  # a tag that the page breaks off in
+)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _COMPOUND = re.compile(r"(?:[\w-]+|\*)?(?:[#.][\w-]+|\[[\w-]+(?:=(?:\"[^\"]*\"|'[^']*'|[\w-]+))?\])*")
 _TEST = re.compile(r"([#.])([\w-]+)|\[([\w-]+)(?:=(\"[^\"]*\"|'[^']*'|[\w-]+))?\]")
 
+# Fixed values of HTML: elements without content.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Fixed values of HTML: starts that end an open paragraph.
+PARAGRAPH_ENDERS = (
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul"
+).split()
+# Fixed values of HTML: what the start of an element ends, each unless an element of the second group was opened since.
+_CELLS, _SECTIONS = ("td", "th"), ("tbody", "thead", "tfoot")
+END_RULES: dict[str, list[tuple[tuple[str, ...], tuple[str, ...]]]] = {
+    "li": [(("li",), ("ul", "ol", "menu", "table"))],
+    "dt": [(("dt", "dd"), ("dl", "table"))],
+    "dd": [(("dt", "dd"), ("dl", "table"))],
+    "td": [(_CELLS, ("tr", "table"))],
+    "th": [(_CELLS, ("tr", "table"))],
+    "tr": [(("tr",), ("table",)), (_CELLS, ("table",))],
+    "tbody": [(_SECTIONS, ("table",)), (("tr",), ("table",)), (_CELLS, ("table",))],
+    "thead": [(_SECTIONS, ("table",))],
+    "tfoot": [(_SECTIONS, ("table",)), (("tr",), ("table",)), (_CELLS, ("table",))],
+    "option": [(("option",), ("select",))],
+}
+for _name in PARAGRAPH_ENDERS:
+    END_RULES.setdefault(_name, []).append((("p",), (*_CELLS, "table", "caption", "object", "button")))
+# Fixed values of HTML: what an end tag does not reach over.
+_BARS = ("table", *_CELLS, "caption", "object")
+_OWN_BARS: dict[str, tuple[str, ...]] = {
+    "html": (), "body": (), "table": (), "li": ("ul", "ol", "menu", *_BARS), "dt": ("dl", *_BARS), "dd": ("dl", *_BARS),
+    **dict.fromkeys(("tr", "caption", *_CELLS, *_SECTIONS), ("table",)), "object": (*_CELLS, "table"),
+}
 
-@dataclass(frozen=True)
-class Step:
-    """One compound of a selector: the pattern of its start tag, and its tag ('' for any)."""
-
-    start: str
-    tag: str
-
-
-def _attribute_ahead(name: str, test: str) -> str:
-    quoted = r"""[^>"']*?(?:(?:"[^"]*"|'[^']*')[^>"']*?)*?"""
-    return rf"(?={quoted}(?<=[\s\"'/]){name}{test})"
-
+#: A compound: a tag name ('' for any) and the marks it asks for. A chain: compounds from the outermost in.
+Compound = tuple[str, list[str]]
 
-def _step(compound: str) -> Step:
-    tag = re.match(r"[\w-]*", compound).group().lower()
-    start = f"<{tag}{_ENDS_NAME}" if tag else r"<(?=[A-Za-z])[^\s/>]+"
-    for mark, name, attribute, value in _TEST.findall(compound):
-        if mark == "#":
-            start += _attribute_ahead("id", rf"""\s*=\s*(?:"{name}"|'{name}'|(?-i:{name})(?=[\s>]))""")
-        elif mark == ".":
-            word = rf"(?-i:{name})"
-            start += _attribute_ahead(
-                "class", rf"""\s*=\s*(?:"(?:[^"]*\s)?{word}(?:\s[^"]*)?"|'(?:[^']*\s)?{word}(?:\s[^']*)?'|{word}(?=[\s>]))"""
-            )
-        elif value:
-            wanted = f"(?-i:{re.escape(value.strip(chr(34) + chr(39)))})"
-            start += _attribute_ahead(attribute, rf"""\s*=\s*(?:"{wanted}"|'{wanted}'|{wanted}(?=[\s>]))""")
-        else:
-            start += _attribute_ahead(attribute, r"(?=[\s=/>])")
-    return Step(f"{start}(?:{_ATTRIBUTES}|[^>]*)>", tag)
 
-
-def compile_selector(selector: str) -> list[Step]:
-    """Tag, ``#id``, ``.class``, ``[attr]``, ``[attr=value]`` and descendants; comma groups of cells or of definitions."""
+def compile_selector(selector: str) -> list[list[Compound]]:
+    """Tag, ``#id``, ``.class``, ``[attr]``, ``[attr=value]``, descendants and comma groups: one chain per group."""
     chains = []
     for group in selector.split(","):
         compounds = group.split()
         if not compounds or not all(_COMPOUND.fullmatch(compound) for compound in compounds):
             raise ValueError(f"unsupported selector {selector!r}")
-        chains.append([_step(compound) for compound in compounds])
-    if len(chains) == 1:
-        return chains[0]
-    kinds = {_LOOSE.get(chain[0].tag, ("",))[0] for chain in chains}
-    if any(len(chain) > 1 for chain in chains) or kinds not in ({"td|th"}, {"dt|dd"}):
-        raise ValueError(f"unsupported comma group in {selector!r}")
-    return [Step("(?:" + "|".join(chain[0].start for chain in chains) + ")", chains[0][0].tag)]
-
+        chains.append([_compound(compound) for compound in compounds])
+    return chains
 
-def visible(html: Column) -> Column:
-    """The page without scripts, styles, comments and declarations, and with its character references decoded.
 
-    Those of the markup's own characters stay, in one form each, until the text is taken out.
-    """
-    return _bound(F.regexp_replace(html, _UNSEEN, _GAP), _decoded)
-
-
-def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _pattern(*parts: str | Column) -> Column:
-    """A regular expression from pieces; a constant unless a piece is a column."""
-    if all(isinstance(part, str) for part in parts):
-        return F.lit("".join(parts))
-    return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
-
-
-def _content(after: Column, behind: Column, tag: str | Column) -> Column:
-    """What is inside an element: ``after`` its start tag, and ``behind`` that, from the next start of its own kind on."""
-    loose = isinstance(tag, str) and tag in _LOOSE
-    if loose:
-        kind, starts, outer, shields = _LOOSE[tag]
-        names = "|".join(dict.fromkeys(f"{kind}|{starts}|{outer}|{shields}".strip("|").split("|")))
-        stop = [f"(?:<(?:{starts})|</(?:{kind}|{outer})){_ENDS_NAME}"]
-        opens, closes = ([f"<{slash}(?:{shields or '-'}){_ENDS_NAME}"] for slash in ("", "/"))
-        marks = [f"</?(?:{names}){_ENDS_NAME}"]
-    else:
-        opens, closes, marks = (["<", tag, _ENDS_NAME], ["</", tag, _ENDS_NAME], ["</?", tag, _ENDS_NAME])
-        stop = closes
-
-    def step(state: Column, part: Column) -> Column:
-        ended = state["ended"] | ((state["depth"] == 0) & F.rlike(part, _pattern("(?i)^", *stop)))
-        opened, closed = (F.rlike(part, _pattern("(?i)^", *mark)) for mark in (opens, closes))
-        depth = state["depth"] + F.when(opened, 1).when(closed, -1).otherwise(0)
-        return F.struct(
-            ended.alias("ended"),
-            F.when(ended, state["depth"]).otherwise(F.greatest(depth, F.lit(0))).alias("depth"),
-            F.when(ended, state["inner"]).otherwise(F.concat(state["inner"], part)).alias("inner"),
-        )
-
-    def counted() -> Column:
-        """Level by level, where elements are nested or not ended."""
-        upto = ["(?=", *marks, r")|\z)"]
-        whole = F.concat(after, behind)
-        parts = F.regexp_extract_all(whole, _pattern("(?is)", *marks, ".*?(?:", *upto, r"|\A.+?(?:", *upto), F.lit(0))
-        start = F.struct(F.lit(False).alias("ended"), F.lit(0).alias("depth"), F.lit("").alias("inner"))
-        return F.aggregate(parts, start, step, lambda state: state["inner"])
-
-    def plain(hit: Column) -> Column:
-        """Up to the first end, where nothing is nested before it."""
-        inner = F.left(hit, F.length(hit) - F.length(F.substring_index(hit, "<", -1)) - 1)
-        inner = F.when(hit == "", after).otherwise(inner) if loose else inner
-        nested = F.rlike(inner, _pattern("(?i)", *opens))
-        return F.when(nested if loose else nested | (hit == ""), counted()).otherwise(inner)
-
-    return _bound(F.call_function("regexp_extract", after, _pattern(r"(?is)\A.*?", *stop), F.lit(0)), plain)
-
-
-def _found(scope: Column, step: Step) -> Column:
-    """All elements of one compound in a piece of a page, in page order: array of (open, inner)."""
-
-    def element(pieces: Column) -> Column:
-        def read(piece: Column, at: Column) -> Column:
-            opened = F.regexp_extract(piece, f"(?is)^{step.start}", 0)
-            tag = step.tag if step.tag not in ("", "*") else F.regexp_extract(piece, r"^<([^\s/>]+)", 1)
-            after = F.substring(piece, F.length(opened) + 1, F.length(piece))
-            behind = F.array_join(F.slice(pieces, at + 2, F.size(pieces)), "")
-            return F.struct(opened.alias("open"), _content(after, behind, tag).alias("inner"))
-
-        return F.transform(pieces, read)
-
-    return _bound(F.regexp_extract_all(scope, F.lit(rf"(?is){step.start}.*?(?={step.start}|\z)"), F.lit(0)), element)
-
-
-def find(scope: Column, steps: list[Step]) -> Column:
-    """Elements of a selector below ``scope``, in page order, as structs of start tag and content."""
-    found = _found(scope, steps[0])
-    for step in steps[1:]:
-        found = F.flatten(F.transform(found, _below(step)))
-    return found
+def _compound(text: str) -> Compound:
+    marks = []
+    for mark, name, attribute, value in _TEST.findall(text):
+        if mark:
+            marks.append(mark + name)
+        else:
+            marks.append(f"[{attribute.lower()}" + (f"={value.strip(chr(34) + chr(39))}" if value else ""))
+    return re.match(r"[\w-]*", text).group().lower(), marks
 
 
-def _below(step: Step) -> Callable[[Column], Column]:
-    return lambda above: _found(above["inner"], step)
+def element_stops(names: list[str]) -> list[int]:
+    """For each tag of a page in order (``/name`` for end tags, '' for none), the place where its element ends.
 
+    -1 for what starts no element; an element that cannot have content ends at its own place. One pass: the depths of
+    open elements are kept by name.
+    """
+    stops = [-1] * len(names)
+    stack: list[tuple[str, int]] = []
+    depths: dict[str, list[int]] = defaultdict(list)
+
+    def last(group: tuple[str, ...]) -> int:
+        return max((depths[name][-1] for name in group if depths[name]), default=-1)
+
+    def close(depth: int, at: int) -> None:
+        while len(stack) > depth:
+            name, opened = stack.pop()
+            depths[name].pop()
+            stops[opened] = at
+
+    for at, name in enumerate(names):
+        if not name:
+            continue
+        if name[0] == "/":
+            own = name[1:]
+            if stack and stack[-1][0] == own:  # the usual case
+                close(len(stack) - 1, at)
+                continue
+            depth = last((own,))
+            if depth > last(tuple(bar for bar in _OWN_BARS.get(own, _BARS) if bar != own)):
+                close(depth, at)
+            continue
+        for group, shields in END_RULES.get(name, ()):
+            depth = last(group)
+            if depth >= 0 and depth > last(shields):
+                close(depth, at)
+        if name in VOID:
+            stops[at] = at
+        else:
+            depths[name].append(len(stack))
+            stack.append((name, at))
+    close(0, len(names))
+    return stops
+
+
+class Page:
+    """The tags of a page and the text behind each."""
+
+    def __init__(self, html: str):
+        self.names, self.raw, self.texts = [""], [""], []
+        end = 0
+        for tag in _TAG.finditer(html):
+            self.texts.append(html[end : tag.start()])
+            self.names.append((tag["name"] or "").lower())
+            self.raw.append(tag["attributes"] or "")
+            end = tag.end()
+        self.texts.append(html[end:])
+        self.stops = element_stops(self.names)
+        #: Places of elements, of all under ''.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        for at, stop in enumerate(self.stops):
+            if stop >= 0:
+                self.places[self.names[at]].append(at)
+                self.places[""].append(at)
+        self.known: dict[int, tuple[dict[str, str], frozenset[str]]] = {}
+
+    def attributes(self, at: int) -> tuple[dict[str, str], frozenset[str]]:
+        """The attributes of an element, and the marks it can be asked for."""
+        if at not in self.known:
+            values: dict[str, str] = {}
+            for name, quoted, single, bare in _ATTRIBUTE.findall(self.raw[at]) if self.raw[at] else ():
+                values.setdefault(name.lower(), unescape(quoted or single or bare))
+            marks = {f"[{name}" for name in values} | {f"[{name}={value}" for name, value in values.items()}
+            marks |= {f".{word}" for word in values.get("class", "").split()} | {f"#{value}" for value in [values.get("id")] if value}
+            self.known[at] = (values, frozenset(marks))
+        return self.known[at]
+
+    def find(self, chains: list[list[Compound]], first: int, stop: int) -> list[int]:
+        """Places of the elements of a selector among the tags from ``first`` to before ``stop``, in page order."""
+        found: list[int] = []
+        for chain in chains:
+            spans = [(first, stop)]
+            for tag, marks in chain:
+                places, hits, reached = self.places.get(tag, []), [], first
+                for start, end in spans:
+                    if start < reached:  # inside a span before it
+                        continue
+                    reached = max(start, end)
+                    for at in places[bisect_left(places, start) : bisect_left(places, end)]:
+                        if not marks or (self.raw[at] and self.attributes(at)[1].issuperset(marks)):
+                            hits.append(at)
+                spans = [(at + 1, self.stops[at]) for at in hits]
+            found += hits
+        return found if len(chains) == 1 else sorted(set(found))
+
+    def text(self, at: int) -> str:
+        """Text nodes of an element, parted by ``GAP``."""
+        return GAP.join(unescape(part) for part in self.texts[at : self.stops[at]] if part)
+
+
+def read_elements(html: str, asked: list) -> list[list[tuple]]:
+    """For each (selector, selectors of parts): the elements with attributes, text (if no part is asked for) and parts."""
+    page = Page(html)
+    found = []
+    for chains, parts in asked:
+        elements = []
+        for at in page.find(chains, 0, len(page.names)):
+            inner = [[page.text(own) for own in page.find(part, at + 1, page.stops[at])] for part in parts]
+            elements.append((at, page.stops[at], list(page.attributes(at)[0].items()), None if parts else page.text(at), inner))
+        found.append(elements)
+    return found
 
-def attribute(opened: Column, name: str) -> Column:
-    """Value of an attribute of a start tag, '' if it is not there."""
-    pattern = rf"""(?is)(?<=[\s"'/]){re.escape(name)}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
-    return _own_characters(F.regexp_replace(F.regexp_extract(opened, pattern, 0), rf"""(?is)^{re.escape(name)}\s*=\s*["']?|["']$""", ""))
 
+_ELEMENTS = T.ArrayType(T.ArrayType(T.StructType([
+    T.StructField("at", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("attributes", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("text", T.StringType()), T.StructField("parts", T.ArrayType(T.ArrayType(T.StringType()))),
+])))
 
-def text(inner: Column, joint: str = "") -> Column:
-    """Text nodes of a piece of a page, joined by ``joint``."""
-    return _own_characters(F.regexp_replace(inner, f"{_TAG}|{_GAP}", joint))
 
+@lru_cache(maxsize=1024)
+def _asked(question_of: str) -> list:
+    return json.loads(question_of)
 
-# The characters of the markup itself, and the one form their references take in a page read by ``visible``.
-_OWN = {"<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&apos;", "&": "&amp;"}
 
+@F.arrow_udf(_ELEMENTS)
+def select(html: pa.Array, asked: pa.Array) -> pa.Array:
+    """The elements of each page for what is asked of it (JSON, as ``question`` gives it); null without content.
 
-def _own_characters(value: Column) -> Column:
-    for char, reference in _OWN.items():
-        value = F.replace(value, F.lit(reference), F.lit(char))
-    return value
+    Per asked selector the elements in page order; ``parts`` holds the texts of what was asked for inside each.
+    """
+    names = ("at", "stop", "attributes", "text", "parts")
+    pages = []
+    for page, question_of in zip(html.to_pylist(), asked.to_pylist(), strict=True):
+        found = None if page is None or question_of is None else read_elements(page, _asked(question_of))
+        pages.append(found and [[dict(zip(names, element, strict=True)) for element in elements] for elements in found])
+    return pa.array(pages, to_arrow_type(_ELEMENTS))
 
 
-def _decoded(page: Column) -> Column:
-    """Character references decoded: numbers, and the named ones as HTML lists them."""
-    names = F.from_json(F.lit(json.dumps({f"&{name}": _OWN.get(char, char) for name, char in html5.items()})), "map<string,string>")
-    own = F.create_map(*[F.lit(part) for pair in _OWN.items() for part in pair])
+def question(asked: list[tuple[list[str], list[str]]]) -> str:
+    """What ``select`` is to look for: for each entry a chain of selectors, each inside the one before, and the parts to read."""
 
-    def decoded(piece: Column) -> Column:
-        digits = F.regexp_extract(piece, "^&#([0-9]{1,8});?$", 1)
-        hexed = F.regexp_extract(piece, "^&#[xX]([0-9a-fA-F]{1,7});?$", 1)
-        code = F.when(digits != "", digits.cast("bigint")).when(hexed != "", F.conv(hexed, 16, 10).cast("bigint"))
-        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
-        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("�")
-        unknown = F.concat(F.lit("&amp;"), F.substring(piece, F.lit(2), F.length(piece)))
-        named = F.coalesce(F.try_element_at(names, piece), unknown)
-        return (
-            F.when(~piece.startswith("&"), piece)
-            .when(piece == "&", "&amp;")
-            .when(code.isNotNull(), F.coalesce(F.try_element_at(own, char), char))
-            .otherwise(named)
-        )
+    def nested(selectors: list[str]) -> list[list[Compound]]:
+        chains: list[list[Compound]] = [[]]
+        for selector in selectors:
+            chains = [outer + inner for outer in chains for inner in compile_selector(selector)]
+        return chains
 
-    pieces = F.regexp_extract_all(page, F.lit("&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*;?|[^&]+|&"), F.lit(0))
-    return F.when(F.rlike(page, F.lit("&(?!(?:amp|lt|gt|quot);)")), F.array_join(F.transform(pieces, decoded), "")).otherwise(page)
+    return json.dumps([[nested(selectors), [compile_selector(part) for part in parts]] for selectors, parts in asked])

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketframe import schema
@@ -18,21 +18,28 @@ from docketframe.functions import html as markup
 from docketframe.functions import text as tx
 from docketframe.functions import urls
 from docketframe.operators import layouts
+from docketframe.sources.config import local_frame
 
 _REFS_RAW = "array<string>"
 _CASE_RAW = (
     f"struct<listed_ref:string,style:string,header:{schema.PAIRS_DDL},"
-    f"parties:{schema.LISTED_PARTIES_DDL},events:{schema.EVENTS_DDL}>"
+    f"parties:{schema.LISTED_PARTIES_DDL},events:{schema.EVENTS_DDL},fault:string>"
 )
+#: Configuration that goes to every task at once.
+CONFIGURATION_BYTES = 64 << 20
+#: Counties up to which the scan is told their keys.
+NAMED_COUNTIES = 64
 
 
 @dataclass(frozen=True)
 class Style:
-    """How pages of one style are read, and which labels their header fields go by."""
+    """What is asked of pages of one style, how the answers are read, and which labels their header fields go by."""
 
     name: str
-    read_refs: Callable
-    read_case: Callable
+    asked_refs: list
+    asked_case: list
+    read_refs: Callable[[], str]
+    read_case: Callable[[], str]
     selectors: dict[str, str]
     label: Callable[[Column], Column]
     fields: Callable[[], dict[str, Column]]
@@ -44,8 +51,8 @@ class Layout:
 
     ``refs(pages, counties)`` gives ``county_key, page_key, ref_pos, case_ref``;
     ``cases(pages, counties)`` gives ``county_key, page_key``, the header fields,
-    ``parties`` with raw attorney lines, ``events`` and ``error``. A null
-    ``case_number`` or ``court`` means "not on the page". The URL steps take and
+    ``parties`` with raw attorney lines, ``events``, ``error`` and, where it can
+    tell, ``fault``. A null ``case_number`` or ``court`` means "not on the page". The URL steps take and
     return columns. Counties whose layouts share a step function are given to it
     together, so their pages are read in one pass.
     """
@@ -57,52 +64,94 @@ class Layout:
     style: Style | None = None  # read by the styled_* steps
 
 
-def _read_pages(pages: DataFrame, counties: list[dict], step: str, kind: str) -> DataFrame:
-    """``county_key, page_key, page_style, found, error``: every page read by its county's style and selectors.
+def chosen_selectors(county: dict, defaults: dict[str, str]) -> dict[str, str]:
+    """Selectors of a county, configured ones before the defaults."""
+    return {**defaults, **{k: str(v) for k, v in county["selectors"].items() if k in defaults}}
 
-    Counties that share a style and selectors share one expression. A page without content has ``error`` set.
-    """
-    groups: dict[tuple, list[str]] = {}
+
+def _questions(county: dict, step: str) -> tuple:
+    """What is asked of the county's pages, as data. Bad selectors fail here, on the driver."""
+    style = get_layout(county["adapter"]).style
+    chosen = chosen_selectors(county, style.selectors)
+    asked = style.asked_refs if step == "refs" else style.asked_case
+    question = markup.question([([chosen[name] for name in outer], [chosen[name] for name in parts]) for outer, parts in asked])
+    return county["key"], style.name, question, chosen.get("party_role_attr", "")
+
+
+def question_frames(spark: SparkSession, counties: list[dict], step: str) -> list[DataFrame]:
+    """One row per county with what is asked of its pages, in frames of ``CONFIGURATION_BYTES`` at most."""
+    parts, size = [[]], 0
     for county in counties:
-        style = get_layout(county["adapter"]).style
-        groups.setdefault((style.name, *chosen_selectors(county, style.selectors)), []).append(county["key"])
-    styles = {style.name: style for style in _styles(counties).values()}
-    found, name = F.lit(None).cast(kind), F.lit(None).cast("string")
-    for (style, *chosen), keys in groups.items():
-        own = F.col("county_key").isin(keys)
-        read = getattr(styles[style], step)(F.col("page"), selector_settings(dict(chosen)))
-        found, name = F.when(own, read.cast(kind)).otherwise(found), F.when(own, style).otherwise(name)
-    seen = pages.select("county_key", "page_key", markup.visible(F.col("html")).alias("page"))
-    error = F.when(F.col("page").isNull(), "page has no content")
-    # Generated, so that what is found is computed once, however often the columns behind use it.
-    return seen.select("county_key", "page_key", name.alias("page_style"), error.alias("error"), F.explode(F.array(found)).alias("found"))
-
-
-def chosen_selectors(county: dict, defaults: dict[str, str]) -> list[tuple[str, str]]:
-    """Selectors of a county, configured ones before the defaults."""
-    return sorted({**defaults, **{k: str(v) for k, v in county["selectors"].items() if k in defaults}}.items())
+        row = _questions(county, step)
+        size += sum(map(len, row))
+        if size > CONFIGURATION_BYTES and parts[-1]:
+            parts.append([])
+            size = 0
+        parts[-1].append(row)
+    return [local_frame(spark, rows, "county_key string, page_style string, question string, party_role_attr string") for rows in parts]
+
 
+def _raw_fault(html: Column) -> Column:
+    """What can be told of a page before it is read."""
+    cut_off = (F.rlike(html, F.lit(r"(?i)<html[\s>]")) & ~F.rlike(html, F.lit(r"(?i)</html\s*>"))) | F.rlike(html, F.lit(r"<[A-Za-z/!][^<>]*\z"))
+    return F.when(html.isNull(), "empty").when(F.contains(html, F.lit("\ufffd")), "undecodable").when(cut_off, "truncated")
+
+
+def _read_pages(pages: DataFrame, counties: list[dict], step: str, kind: str) -> DataFrame:
+    """``county_key, page_key, page_style, found, raw_fault``: every page read by its county's style and selectors.
 
-def selector_settings(chosen: dict[str, str]) -> dict:
-    """Compiled selectors. Bad ones fail here, on the driver."""
-    return {name: value if name in layouts.PLAIN_SETTINGS else markup.compile_selector(value) for name, value in chosen.items()}
+    What to look for is a table that is joined to the pages where these lie, so the plan does not grow with the number
+    of counties. Each page is scanned once, whatever the number of selectors. A null page holds nothing.
+    """
+    styles = {style.name: style for style in _styles(counties).values()}
+    parts = []
+    for asked in question_frames(pages.sparkSession, counties, step):
+        known = pages.select("county_key", "page_key", "html").join(F.broadcast(asked), "county_key")  # of a checked size
+        elements = known.withColumn("found", F.coalesce(markup.select("html", "question"), F.expr("array(array(), array(), array(), array())")))
+        found = F.lit(None).cast(kind)
+        for name, style in styles.items():
+            read = style.read_refs if step == "refs" else style.read_case
+            found = F.when(F.col("page_style") == name, F.expr(read()).cast(kind)).otherwise(found)
+        # Generated, so that what is found is computed once, however often the columns behind use it.
+        parts.append(elements.select("county_key", "page_key", "page_style", _raw_fault(F.col("html")).alias("raw_fault"), F.explode(F.array(found)).alias("found")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _styles(counties: list[dict]) -> dict[str, Style]:
     return {county["key"]: get_layout(county["adapter"]).style for county in counties}
 
 
+def _error(fault: Column) -> Column:
+    """Set where a page cannot be read at all."""
+    return F.when(fault == "empty", "page has no content")
+
+
 def styled_refs(pages: DataFrame, counties: list[dict]) -> DataFrame:
     """References on results pages of any built-in style."""
     return (
-        _read_pages(pages, counties, "read_refs", _REFS_RAW)
-        .where("error is null")
+        _read_pages(pages, counties, "refs", _REFS_RAW)
         .select("county_key", "page_key", F.posexplode("found").alias("ref_pos", "ref"))
         .select("county_key", "page_key", "ref_pos", tx.clean_text(F.col("ref")).alias("case_ref"))
         .where(F.length("case_ref") > 0)
     )
 
 
+def page_faults(pages: DataFrame, counties: list[dict], kind: str = "case") -> DataFrame:
+    """``county_key, page_key, fault`` of results pages (``kind`` search) or case pages; fault is null for sound ones.
+
+    ``empty``: no content. ``undecodable``: holds the sign that stands for bytes that are no text. ``truncated``: ends
+    inside a tag or before the end of its document. ``no root``: nothing of what the layout starts from. ``short rows``:
+    rows, but none with enough cells. ``no references``: a results page that lists none. The first that fits is given;
+    all but ``empty`` pages are still read for what they hold.
+    """
+    if kind == "search":
+        found = _read_pages(_of_kind(pages, kind), counties, "refs", _REFS_RAW)
+        own = F.when(F.size(F.filter("found", lambda ref: tx.clean_text(ref) != "")) == 0, "no references")
+    else:
+        found, own = _read_pages(_of_kind(pages, kind), counties, "case", _CASE_RAW), F.col("found.fault")
+    return found.select("county_key", "page_key", F.coalesce("raw_fault", own).alias("fault"))
+
+
 def header_value(label: str) -> Column:
     """Value of a label in the cleaned ``header`` pairs: the last one wins, null if the label is absent."""
     return F.try_element_at(F.filter("header", lambda pair: pair["label"] == label), F.lit(-1))["value"]
@@ -163,9 +212,10 @@ def styled_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
         ),
     )
     return (
-        _read_pages(pages, counties, "read_case", _CASE_RAW)
-        .select("county_key", "page_key", "page_style", "found.*", "error")
+        _read_pages(pages, counties, "case", _CASE_RAW)
+        .select("county_key", "page_key", "page_style", "found.*", "raw_fault")
         .withColumn("header", header)
+        .withColumn("fault", F.coalesce("raw_fault", "fault"))
         .select(
             "county_key",
             "page_key",
@@ -177,7 +227,8 @@ def styled_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
             first_label("court").alias("court"),
             clean_parties(F.col("parties")).alias("parties"),
             clean_events(F.col("events")).alias("events"),
-            "error",
+            _error(F.col("fault")).alias("error"),
+            "fault",
         )
     )
 
@@ -202,11 +253,11 @@ def _block_fields() -> dict[str, Column]:
 
 
 GRID = Style(
-    "grid", layouts.grid_refs, layouts.grid_case, {**layouts.GRID_SELECTORS, **layouts.GRID_CELLS},
+    "grid", layouts.GRID_REFS_ASKED, layouts.GRID_CASE_ASKED, layouts.grid_refs, layouts.grid_case, {**layouts.GRID_SELECTORS, **layouts.GRID_CELLS},
     label=tx.label_key, fields=_grid_fields,
 )
 BLOCK = Style(
-    "block", layouts.block_refs, layouts.block_case, {**layouts.BLOCK_SELECTORS, **layouts.BLOCK_CELLS},
+    "block", layouts.BLOCK_REFS_ASKED, layouts.BLOCK_CASE_ASKED, layouts.block_refs, layouts.block_case, {**layouts.BLOCK_SELECTORS, **layouts.BLOCK_CELLS},
     label=lambda term: F.lower(tx.clean_text(term)), fields=_block_fields,
 )
 
@@ -247,11 +298,16 @@ def _extract(step: str, kind: str, pages: DataFrame, counties: list[dict]) -> Da
     for adapter, members in by_layout(counties).items():
         groups.setdefault(getattr(get_layout(adapter), step), []).extend(members)
     wanted = _of_kind(pages, kind)
-    parts = [
-        wanted.where(F.col("county_key").isin([member["key"] for member in members])).transform(function, members)
-        for function, members in groups.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    parts = [_of_counties(wanted, members).transform(function, members) for function, members in groups.items()]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+
+
+def _of_counties(pages: DataFrame, members: list[dict]) -> DataFrame:
+    """Pages of some counties: by a join that keeps the plan short, and for few of them by the scan's own filter too."""
+    keys = [(member["key"],) for member in members]
+    if len(keys) <= NAMED_COUNTIES:
+        return pages.where(F.col("county_key").isin([key for key, in keys]))
+    return pages.join(F.broadcast(local_frame(pages.sparkSession, keys, "county_key string")), "county_key", "left_semi")  # keys the driver holds
 
 
 def extract_refs(pages: DataFrame, counties: list[dict]) -> DataFrame:

@@ -1,16 +1,12 @@
-"""What the two built-in page layouts hold, as column expressions over the page: raw text, cleaned elsewhere.
+"""What the two built-in page layouts ask of a page, and what they make of the elements: raw text, cleaned elsewhere.
 
-Selectors come from the county configuration and are compiled on the driver.
+The ``*_ASKED`` lists name settings: selectors, each inside the one before, and the selectors of parts to read in each
+element. The functions give SQL expressions over ``found``, the elements in the order of these lists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from docketframe.functions import html
+from docketframe.functions.html import GAP
 
 # The selectors used where a configuration names none.
 GRID_SELECTORS = {
@@ -37,106 +33,81 @@ BLOCK_SELECTORS = {
 GRID_CELLS = {"label_cell": "td.label, th", "value_cell": "td.value", "cell": "td"}
 BLOCK_CELLS = {"term": "dt", "definition": "dd"}
 REF_ATTRIBUTE = "data-case-number"
-# Settings that are attribute names rather than selectors.
-PLAIN_SETTINGS = {"party_role_attr"}
 
 
-def _each(found: Column, read: Callable[[Column], Column]) -> Column:
-    return F.transform(found, read)
+GRID_REFS_ASKED = [(["search_result_link"], [])]
+BLOCK_REFS_ASKED = [(["search_result_card"], [])]
+GRID_CASE_ASKED = [(["header_row"], ["label_cell", "value_cell"]), (["party_row"], ["cell"]), (["event_row"], ["cell"])]
+BLOCK_CASE_ASKED = [
+    (["case_root"], ["case_style"]),
+    (["case_root", "case_meta"], ["term", "definition"]),
+    (["party_block"], ["party_name", "attorney_item"]),
+    (["event_block"], ["event_date", "event_desc", "event_loc"]),
+]
 
 
-def _texts(found: Column, joint: str = "") -> Column:
-    return _each(found, lambda element: html.text(element["inner"], joint))
+def _plain(text: str) -> str:
+    return f"replace({text}, '{GAP}', '')"
 
 
-def _first(found: Column, joint: str = "") -> Column:
-    """Text of the first element, '' without one."""
-    return F.coalesce(html.text(F.get(found, F.lit(0))["inner"], joint), F.lit(""))
+def _stacked(text: str) -> str:
+    """Text nodes as lines of their own."""
+    return f"replace({text}, '{GAP}', '\\n')"
 
 
-def grid_refs(page: Column, use: dict) -> Column:
-    return _texts(html.find(page, use["search_result_link"]))
+def _first(element: str, part: int, read=_plain) -> str:
+    """The first text of a part, null without one."""
+    return read(f"get({element}.parts[{part}], 0)")
 
 
-def block_refs(page: Column, use: dict) -> Column:
-    return _each(html.find(page, use["search_result_card"]), lambda card: html.attribute(card["open"], REF_ATTRIBUTE))
+def _record(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
 
 
-def _cells(page: Column, rows: list, cell: list, least: int) -> Column:
-    """The cells of each row that has enough of them."""
-    found = _each(html.find(page, rows), lambda row: _each(html.find(row["inner"], cell), lambda each: each["inner"]))
-    return F.filter(found, lambda cells: F.size(cells) >= least)
+def _pairs(pairs: str) -> str:
+    return f"filter({pairs}, pair -> pair.label is not null and pair.value is not null)"
 
 
-def grid_case(page: Column, use: dict) -> Column:
-    labelled = _each(
-        html.find(page, use["header_row"]),
-        lambda row: F.struct(
-            html.text(F.get(html.find(row["inner"], use["label_cell"]), F.lit(0))["inner"]).alias("label"),
-            html.text(F.get(html.find(row["inner"], use["value_cell"]), F.lit(0))["inner"]).alias("value"),
-        ),
-    )
-    parties = _each(
-        _cells(page, use["party_row"], use["cell"], 3),
-        lambda cells: F.struct(
-            html.text(cells[0]).alias("name"),
-            html.text(cells[1]).alias("role"),
-            F.split(html.text(cells[2], "\n"), "\n").alias("lines"),
-        ),
-    )
-    events = _each(
-        _cells(page, use["event_row"], use["cell"], 2),
-        lambda cells: F.struct(
-            html.text(cells[0], "\n").alias("date"), html.text(cells[1]).alias("description"), F.lit("").alias("location")
-        ),
-    )
-    return F.struct(
-        F.lit(None).cast("string").alias("listed_ref"),
-        F.lit(None).cast("string").alias("style"),
-        F.filter(labelled, lambda pair: pair["label"].isNotNull() & pair["value"].isNotNull()).alias("header"),
-        parties.alias("parties"),
-        events.alias("events"),
+def grid_refs() -> str:
+    return f"transform(found[0], link -> {_plain('link.text')})"
+
+
+def block_refs() -> str:
+    return f"transform(found[0], card -> coalesce(card.attributes['{REF_ATTRIBUTE}'], ''))"
+
+
+def grid_case() -> str:
+    def rows(place: int, least: int, record: str) -> str:
+        return f"transform(filter(found[{place}], row -> size(row.parts[0]) >= {least}), row -> {record})"
+
+    cell = [f"row.parts[0][{i}]" for i in range(3)]
+    party = _record(name=_plain(cell[0]), role=_plain(cell[1]), lines=f"split({_stacked(cell[2])}, '\\n')")
+    event = _record(date=_stacked(cell[0]), description=_plain(cell[1]), location="''")
+    header = _pairs(f"transform(found[0], row -> {_record(label=_first('row', 0), value=_first('row', 1))})")
+    rows_there, short = "size(found[1]) + size(found[2])", "exists(concat(found[1], found[2]), row -> size(row.parts[0]) >= 2)"
+    fault = f"case when size({header}) = 0 and {rows_there} = 0 then 'no root' when {rows_there} > 0 and not {short} then 'short rows' end"
+    return _record(
+        listed_ref="cast(null as string)", style="cast(null as string)", header=header, parties=rows(1, 3, party), events=rows(2, 2, event), fault=fault
     )
 
 
-def block_case(page: Column, use: dict) -> Column:
-    def head(root: Column) -> Column:
-        def pairs(meta: Column) -> Column:
-            both = F.arrays_zip(
-                _texts(html.find(meta["inner"], use["term"])).alias("label"),
-                _texts(html.find(meta["inner"], use["definition"])).alias("value"),
-            )
-            return F.filter(both, lambda pair: pair["label"].isNotNull() & pair["value"].isNotNull())
-
-        metas = F.slice(html.find(root["inner"], use["case_meta"]), 1, 1)
-        return F.struct(
-            html.attribute(root["open"], REF_ATTRIBUTE).alias("listed_ref"),
-            _first(html.find(root["inner"], use["case_style"])).alias("style"),
-            F.flatten(_each(metas, pairs)).alias("header"),
-        )
-
-    found = F.get(_each(F.slice(html.find(page, use["case_root"]), 1, 1), head), F.lit(0))
-    parties = _each(
-        html.find(page, use["party_block"]),
-        lambda block: F.struct(
-            _first(html.find(block["inner"], use["party_name"])).alias("name"),
-            html.attribute(block["open"], use["party_role_attr"]).alias("role"),
-            _texts(html.find(block["inner"], use["attorney_item"])).alias("lines"),
-        ),
+def block_case() -> str:
+    root = "get(found[0], 0)"
+    meta = f"get(filter(found[1], meta -> meta.at > {root}.at and meta.at < {root}.stop), 0)"
+    pairs = f"zip_with({meta}.parts[0], {meta}.parts[1], (term, value) -> {_record(label=_plain('term'), value=_plain('value'))})"
+    party = _record(
+        name=f"coalesce({_first('block', 0)}, '')",
+        role="coalesce(block.attributes[party_role_attr], '')",
+        lines=f"transform(block.parts[1], line -> {_plain('line')})",
     )
-    events = _each(
-        html.find(page, use["event_block"]),
-        lambda block: F.struct(
-            _first(html.find(block["inner"], use["event_date"]), "\n").alias("date"),
-            _first(html.find(block["inner"], use["event_desc"])).alias("description"),
-            _first(html.find(block["inner"], use["event_loc"])).alias("location"),
-        ),
+    event = _record(
+        date=f"coalesce({_first('block', 0, _stacked)}, '')", description=f"coalesce({_first('block', 1)}, '')", location=f"coalesce({_first('block', 2)}, '')"
     )
-    no_header = F.array().cast("array<struct<label:string,value:string>>")
-    return F.struct(
-        found["listed_ref"].alias("listed_ref"),
-        found["style"].alias("style"),
-        F.coalesce(found["header"], no_header).alias("header"),
-        parties.alias("parties"),
-        events.alias("events"),
+    return _record(
+        listed_ref=f"coalesce({root}.attributes['{REF_ATTRIBUTE}'], '')",
+        style=f"coalesce({_first(root, 0)}, '')",
+        header=f"coalesce({_pairs(pairs)}, array())",
+        parties=f"transform(found[2], block -> {party})",
+        events=f"transform(found[3], block -> {event})",
+        fault=f"if({root} is null, 'no root', null)",
     )

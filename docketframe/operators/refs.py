@@ -125,6 +125,7 @@ def visit(refs: DataFrame, records: DataFrame, counties: list[dict], keep_all: b
         "ref_pos",
         state.alias("state"),
         "error",
+        *(["fault"] if "fault" in records.columns else []),
     )
     return cases if keep_all else cases.where("state = 'ok'")
 

@@ -366,4 +366,21 @@ CHECKS = {
         UNION ALL
         SELECT 'n1', CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 5 > 0 THEN CAST(p_partkey AS VARCHAR) ELSE '' END, 1, 0,
                CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 2 = 0 THEN 'Plaintiff' ELSE '' END FROM part""",
+    "page_faults": f"""
+        WITH listed AS (SELECT {raw.COUNTY_KEY} AS county_key, n_nationkey, o_orderkey // {raw.BLOCK} AS block, o_orderkey, {raw.CASE_REF} AS case_ref FROM {_ORDERS}),
+        blocks AS (SELECT county_key, block FROM listed UNION SELECT county_key, block + 1 FROM listed WHERE o_orderkey % 10 = 0)
+        SELECT 'case' AS kind, county_key, concat(case_ref, '.html') AS page_key,
+               CASE o_orderkey % 7 WHEN 0 THEN 'empty' WHEN 1 THEN 'truncated' WHEN 2 THEN 'undecodable' WHEN 3 THEN 'no root'
+                    WHEN 4 THEN CASE WHEN n_nationkey % 2 = 0 THEN 'short rows' ELSE 'no root' END ELSE '' END AS fault FROM listed
+        UNION ALL
+        SELECT 'search', county_key, concat('results_', block, '.html'),
+               CASE block % 7 WHEN 0 THEN 'empty' WHEN 1 THEN 'truncated' WHEN 2 THEN 'undecodable' WHEN 3 THEN 'no references'
+                    WHEN 4 THEN 'no references' ELSE '' END FROM blocks""",
+    "unclosed_and_nested": """
+        SELECT 'n0' AS county_key, CAST(p_partkey AS VARCHAR) AS page_key, '' AS case_name,
+               CAST(CASE WHEN p_partkey % 4 >= 1 THEN 2 ELSE 1 END AS BIGINT) AS parties,
+               CASE WHEN p_partkey % 4 >= 1 THEN concat(p_partkey, 'in') ELSE 'a' END AS name,
+               CASE WHEN p_partkey % 4 >= 1 THEN concat(p_partkey, '|in') ELSE 'c' END AS lines FROM part
+        UNION ALL
+        SELECT 'n1', CAST(p_partkey AS VARCHAR), 's & t', p_partkey % 4 + 1, CAST(p_partkey AS VARCHAR), 'A B|C D' FROM part""",
 }

@@ -434,6 +434,48 @@ def results_page_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("county_key", F.col("page_ord").cast("bigint").alias("page_ord"), "state", F.coalesce("error", F.lit("")).alias("error"))
 
 
+def page_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with a page, for case pages and results pages of which some are spoilt in each known way."""
+    counties = tables.counties(spark, sf_dir)
+    cases = tables.case_pages(spark, sf_dir).withColumn("spoilt", F.expr("CAST(regexp_extract(page_key, '[0-9]+', 0) AS BIGINT) % 7"))
+    results = tables.result_pages(spark, sf_dir).withColumn("spoilt", F.expr("CAST(regexp_extract(page_key, '[0-9]+', 0) AS BIGINT) % 7"))
+    html = F.expr(
+        "CASE spoilt WHEN 0 THEN NULL WHEN 1 THEN left(html, length(html) - 9) WHEN 2 THEN replace(html, '<body>', '<body>\ufffd')"
+        " WHEN 3 THEN '<html><body><p>moved</p></body></html>'"
+        " WHEN 4 THEN '<html><table id=\"grdParties\"><tr class=\"party-row\"><td>x</td></tr></table></html>' ELSE html END"
+    )
+    both = [
+        extract.page_faults(pages.withColumn("html", html), counties, kind).withColumn("kind", F.lit(kind))
+        for pages, kind in ((cases, "case"), (results, "search"))
+    ]
+    return both[0].unionByName(both[1]).select("kind", "county_key", "page_key", F.coalesce("fault", F.lit("")).alias("fault"))
+
+
+def unclosed_and_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages per part without most end tags, with tables in cells, blocks in blocks and end tags that end nothing."""
+    key = F.col("p_partkey").cast("string")
+    n = (F.col("p_partkey") % 4 + 1).cast("int")
+    cell = F.concat(F.lit("<td>"), key, F.lit("<table><tr><td>in</table>"))
+    grid = F.concat(
+        F.lit('<table id=grdParties><tr class=party-row>'), F.repeat(cell, n), F.lit("</div></b><tr class='party-row x'><td>a<td>b<td>c</table><td>out"),
+    )
+    block = F.concat(
+        F.lit("<main><div class=case-detail data-case-number='"), key, F.lit("'><h1 class=case-style>s &amp; t</h1></main><section class='parties'>"),
+        F.repeat(F.concat(F.lit("<div class=party data-role=r><div></div></span><span class=party-name>"), key, F.lit("</span><ul class=attorneys><li>A B<li>C <i>D</ul></div>")), n),
+        F.lit("</section><div class=party><span class=party-name>none</span></div>"),
+    )
+    pages = table(spark, sf_dir, "part").select(
+        F.explode(F.array(F.struct(F.lit("n0").alias("county_key"), grid.alias("html")), F.struct(F.lit("n1").alias("county_key"), block.alias("html")))).alias("page"),
+        key.alias("page_key"),
+    ).select("page.county_key", "page_key", "page.html")
+    found = extract.extract_cases(pages, [c for c in tables.counties(spark, sf_dir) if c["key"] in ("n0", "n1")])
+    first = F.get("parties", F.lit(0))
+    return found.select(
+        "county_key", "page_key", "case_name", F.size("parties").cast("bigint").alias("parties"),
+        F.coalesce(first["name"], F.lit("")).alias("name"), F.array_join(first["lines"], "|").alias("lines"),
+    )
+
+
 def resume_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run over faulty pages, a second with all pages there: only what was not attempted is added."""
     counties, listing = tables.counties(spark, sf_dir), tables.search_pages(spark, sf_dir)
@@ -523,5 +565,6 @@ QUERIES = {
         case_numbers_listing, case_numbers_dedup_count, invalid_specs, county_summary, header_from_pages,
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
         results_page_states,        resume_rows, incremental_pages, incremental_states, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
+        page_faults, unclosed_and_nested,
     )
 }
