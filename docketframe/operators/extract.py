@@ -106,17 +106,22 @@ def _read_pages(pages: DataFrame, counties: list[dict], step: str, kind: str) ->
     styles = {style.name: style for style in _styles(counties).values()}
     parts = []
     for asked in question_frames(pages.sparkSession, counties, step):
-        known = pages.select("county_key", "page_key", "html").join(F.broadcast(asked), "county_key")  # of a checked size
+        known = pages.select("county_key", "page_key", "html", *_landing(pages)).join(F.broadcast(asked), "county_key")  # of a checked size
         elements = known.withColumn("found", F.coalesce(markup.select("html", "question"), F.expr("array(array(), array(), array(), array())")))
         found = F.lit(None).cast(kind)
         for name, style in styles.items():
             read = style.read_refs if step == "refs" else style.read_case
             found = F.when(F.col("page_style") == name, F.expr(read()).cast(kind)).otherwise(found)
         # Generated, so that what is found is computed once, however often the columns behind use it.
-        parts.append(elements.select("county_key", "page_key", "page_style", _raw_fault(F.col("html")).alias("raw_fault"), F.explode(F.array(found)).alias("found")))
+        parts.append(elements.select("county_key", "page_key", "page_style", *_landing(pages), _raw_fault(F.col("html")).alias("raw_fault"), F.explode(F.array(found)).alias("found")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _landing(pages: DataFrame) -> list[str]:
+    """Where pages know when they landed, what is read from them does too."""
+    return ["landed"] if "landed" in pages.columns else []
+
+
 def _styles(counties: list[dict]) -> dict[str, Style]:
     return {county["key"]: get_layout(county["adapter"]).style for county in counties}
 
@@ -130,8 +135,8 @@ def styled_refs(pages: DataFrame, counties: list[dict]) -> DataFrame:
     """References on results pages of any built-in style."""
     return (
         _read_pages(pages, counties, "refs", _REFS_RAW)
-        .select("county_key", "page_key", F.posexplode("found").alias("ref_pos", "ref"))
-        .select("county_key", "page_key", "ref_pos", tx.clean_text(F.col("ref")).alias("case_ref"))
+        .select("county_key", "page_key", *_landing(pages), F.posexplode("found").alias("ref_pos", "ref"))
+        .select("county_key", "page_key", *_landing(pages), "ref_pos", tx.clean_text(F.col("ref")).alias("case_ref"))
         .where(F.length("case_ref") > 0)
     )
 
@@ -213,7 +218,7 @@ def styled_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
     )
     return (
         _read_pages(pages, counties, "case", _CASE_RAW)
-        .select("county_key", "page_key", "page_style", "found.*", "raw_fault")
+        .select("county_key", "page_key", "page_style", *_landing(pages), "found.*", "raw_fault")
         .withColumn("header", header)
         .withColumn("fault", F.coalesce("raw_fault", "fault"))
         .select(
@@ -229,6 +234,7 @@ def styled_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
             clean_events(F.col("events")).alias("events"),
             _error(F.col("fault")).alias("error"),
             "fault",
+            *_landing(pages),
         )
     )
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,9 @@ from docketframe.operators.extract import by_layout, extract_refs, get_layout
 from docketframe.session import materialize
 from docketframe.sources.config import counties_frame
 
+#: Ranges of page keys that a scan is narrowed to.
+RANGES = 64
+
 
 def listing_order(page_ord: Column, ref_pos: Column) -> Column:
     """Results page, then place on it, as one bigint: an aggregate over it stays a hash aggregate."""
@@ -26,15 +30,30 @@ def first_seen(refs: DataFrame) -> DataFrame:
     return (
         refs.groupBy("county_key", "case_ref")
         .agg(F.min(place).alias("place"))
-        .select(
-            "county_key",
-            "case_ref",
-            F.shiftright("place", 32).cast("int").alias("page_ord"),
-            F.col("place").bitwiseAND(F.lit(0x7FFFFFFF).cast("bigint")).cast("int").alias("ref_pos"),
-        )
+        .select("county_key", "case_ref", *from_listing_order(F.col("place")))
     )
 
 
+def from_listing_order(place: Column) -> list[Column]:
+    """Results page and place on it again."""
+    return [
+        F.shiftright(place, 32).cast("int").alias("page_ord"),
+        place.bitwiseAND(F.lit(0x7FFFFFFF).cast("bigint")).cast("int").alias("ref_pos"),
+    ]
+
+
+def newest_only(found: DataFrame, pages: DataFrame, kind: str) -> DataFrame:
+    """What was read from the version of each page that landed last, where ``pages`` know when they ``landed``.
+
+    Versions are told apart by page key and landing order alone; only pages with more than one are joined.
+    """
+    if "landed" not in pages.columns or "landed" not in found.columns:
+        return found
+    there = pages.where(F.col("kind") == kind) if "kind" in pages.columns else pages
+    several = there.groupBy("county_key", "page_key").agg(F.max("landed").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return found.join(several, ["county_key", "page_key"], "left").where("last is null or landed = last").drop("last", "landed")
+
+
 def _layout_url(step: str, counties: list[dict], part: Column) -> Column:
     """The URL step of each row's own adapter."""
     url = F.lit(None).cast("string")
@@ -47,18 +66,16 @@ def _layout_url(step: str, counties: list[dict], part: Column) -> Column:
 def listed_refs(pages: DataFrame, counties: list[dict], search_pages: DataFrame) -> DataFrame:
     """All references on the configured results pages. Results pages that are not there are passed over.
 
-    Where the table tells results pages apart, they are read as they lie and only
-    the references are joined to the listing; else the listing picks the pages.
+    Pages are read as they lie, and only the references are joined to the listing. Where the table does not tell results
+    pages apart (``kind``), case pages are read for references too.
     """
     base = counties_frame(pages.sparkSession, counties)
     url = _layout_url("search_url", counties, F.col("page"))
     listing = search_pages.join(base, "county_key").select(
         "county_key", "page_ord", urls.page_key(url).alias("page_key")
     )
-    if "kind" not in pages.columns:
-        pages = pages.join(listing, ["county_key", "page_key"], "left_semi")
     return (
-        extract_refs(pages, counties)
+        newest_only(extract_refs(pages, counties), pages, "search")
         .join(listing, ["county_key", "page_key"])
         .select("county_key", "case_ref", "page_ord", "ref_pos")
     )
@@ -131,16 +148,13 @@ def visit(refs: DataFrame, records: DataFrame, counties: list[dict], keep_all: b
 
 
 def only_pages_of(refs: DataFrame, pages: DataFrame, counties: list[dict]) -> tuple[DataFrame, DataFrame]:
-    """Narrow ``pages`` to the files that hold a page some reference leads to, before any HTML is read.
+    """Narrow ``pages`` to ranges of page keys that hold what the references lead to, before any HTML is read.
 
-    Only page keys and file names are read and joined for that; the file names go into the filter of the scan, as many
-    at most as the scan lists anyway. Pages that do not come from files all stay. HTML is never joined.
+    ``RANGES`` ranges at most go into the filter of the scan, which Parquet's statistics answer by row group where pages
+    lie in the order of their keys (``write_pages``). HTML is never joined.
     """
     refs = materialize(refs)
-    keys = with_case_page(refs, counties).select("county_key", "page_key").distinct()
-    try:
-        located = pages.select("county_key", "page_key", F.col("_metadata.file_path").alias("file"))
-    except AnalysisException:
-        return refs, pages
-    files = located.join(keys, ["county_key", "page_key"], "left_semi").select("file").distinct()
-    return refs, pages.where(F.col("_metadata.file_path").isin([row.file for row in files.toLocalIterator()]))
+    keys = with_case_page(refs, counties).select("page_key").distinct()
+    cut = keys.repartitionByRange(RANGES, "page_key").groupBy(F.spark_partition_id()).agg(F.min("page_key").alias("low"), F.max("page_key").alias("high"))
+    tests = [F.col("page_key").between(row["low"], row["high"]) for row in cut.orderBy("low").collect()]
+    return refs, pages.where(reduce(Column.__or__, tests, F.lit(False)))

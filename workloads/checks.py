@@ -352,6 +352,9 @@ CHECKS = {
             + (CAST(block AS HUGEINT) * 4294967296 + ref_pos) * 10000000000 + pair_pos) AS VARCHAR) AS row_ord
         FROM found JOIN placed USING (o_orderkey) GROUP BY {_COLUMNS}""",
     "incremental_states": _STATES,
+    **dict.fromkeys(
+        ("newest_pages", "incremental_versions"), f"SELECT {raw.COUNTY_KEY} AS county_key, {raw.CASE_REF} AS case_ref, o_orderstatus AS status FROM {_ORDERS}"
+    ),
     "csv_export": _ROWS_BY_LINE,
     "csv_titles": "SELECT " + ", ".join(f'{name} AS "{title}"' for name, title in OUTPUT_COLUMNS.items()) + f" FROM ({_ROWS_BY_LINE})",
     "candidate_listing": """

@@ -509,6 +509,32 @@ def incremental_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.reference_states(spark, _landed_in_turn(spark, sf_dir, _faulty_pages(spark, sf_dir))[1])
 
 
+def _two_versions(spark: SparkSession, sf_dir: str) -> str:
+    """A landing table where every third case page landed with another status before."""
+    landing = scratch_path(spark, "landing")
+    pages = tables.all_pages(spark, sf_dir)
+    old = F.expr("regexp_replace(html, '(Status:?(?:</td><td class=\"value\">|</dt><dd>))[A-Z]', '$1STALE')")
+    early = pages.where("kind = 'case' AND CAST(regexp_extract(page_key, '[0-9]+', 0) AS BIGINT) % 3 = 0")
+    page_source.write_pages(early.withColumn("html", old), landing)
+    page_source.write_pages(pages, landing)
+    return landing
+
+
+def newest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every case once, from the version of its page that landed last."""
+    landed = page_source.read_pages(spark, _two_versions(spark, sf_dir))
+    cases = jobs.cases_from_pages(landed, tables.counties(spark, sf_dir), tables.search_pages(spark, sf_dir))
+    return cases.select("county_key", "case_ref", "status")
+
+
+def incremental_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the stream, both versions in one batch."""
+    out, state = scratch_path(spark, "rows"), scratch_path(spark, "stream")
+    counties, listing = tables.counties(spark, sf_dir), tables.search_pages(spark, sf_dir)
+    incremental.run_available(spark, _two_versions(spark, sf_dir), counties, out, state, listing)
+    return incremental.added_rows(spark, out, state).groupBy("county_key", "case_ref").agg(F.max("status").alias("status"))
+
+
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as written to CSV and read back."""
     path = scratch_path(spark, "csv")
@@ -565,6 +591,6 @@ QUERIES = {
         case_numbers_listing, case_numbers_dedup_count, invalid_specs, county_summary, header_from_pages,
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
         results_page_states,        resume_rows, incremental_pages, incremental_states, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
-        page_faults, unclosed_and_nested,
+        page_faults, unclosed_and_nested, newest_pages, incremental_versions,
     )
 }
