@@ -118,7 +118,7 @@ def process_batch(state: State, batch: DataFrame, number: int, counties: list[di
     told = told.withColumn("fresh", (F.col("now") == "ok") & ~F.col("state").eqNullSafe("ok")).withColumn("state", new_state).drop("now")
     told = state.write(told, "refs", number)
     done = told.where("state = 'ok'").select(*_KEY).distinct()
-    waiting = there.where("error is null").join(done, _KEY, "left_anti")
+    waiting = there.join(done, _KEY, "left_anti")  # failed ones too: their listing may come later
     waiting = state.write(waiting, "records", number)
     fresh = told.where("fresh").select("county_key", "case_ref", "page_ord", "ref_pos")
     rows.listed_case_rows(refs.visit(fresh, there, counties)).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
