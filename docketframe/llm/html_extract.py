@@ -7,7 +7,8 @@ marginal is at least one half. All potentials are trained together, by gradient
 (``labelled_pages``), with the same messages.
 
 White space inside a block becomes one space; blocks are joined in page order by a line end. A null html counts as empty
-and gives an empty text. Unclosed and misplaced tags follow the usual rules for paragraphs, list items and cells; the tree
+and gives an empty text. An element whose text is no text of the page (script, head, button and the like) silences nothing
+if it has no end tag, and is over where a block starts that it cannot hold. Unclosed and misplaced tags follow the usual rules for paragraphs, list items and cells; the tree
 of a page of any length is kept whole. Every row is judged by itself, so empty tables, repeated rows and other columns
 change nothing.
 """
@@ -15,6 +16,8 @@ change nothing.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -34,6 +37,8 @@ BLOCKS = frozenset(
 )
 #: No text of a page.
 SILENT = frozenset("script style noscript template head title iframe svg select button textarea".split())
+#: Silent elements that a block ends.
+BLOCKLESS = ("button", "select", "svg", "textarea", "title")
 #: Inline elements whose blocks are apart from those around them.
 SCOPES = frozenset({"object"})
 BOUNDS, CLOSING = BLOCKS | SCOPES, BLOCKS | SILENT | SCOPES
@@ -46,7 +51,6 @@ ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
-    "option": ({"option"}, {"select"}),
 }
 KINDS = {
     **dict.fromkeys("h1 h2 h3 h4 h5 h6".split(), 1),
@@ -58,6 +62,7 @@ KINDS = {
 }
 N_KINDS = 7
 _NAMES = re.compile(r"[a-z]+")
+_SILENT_END = re.compile(rf"(?i)</({'|'.join(sorted(SILENT))})(?=[\s/>])")
 
 
 @dataclass
@@ -82,6 +87,11 @@ class Tree(HTMLParser):
         self.blocks: list[tuple[int, str]] = []
         self.open: list[tuple[str, int]] = [("html", 0)]
         self.silent, self.links, self.buffer = 0, 0, []
+        #: Depths of the open elements of a name, and of those whose blocks are apart from others.
+        self.depths: dict[str, list[int]] = defaultdict(list)
+        self.bounds: list[int] = []
+        #: End tags to come: a silent element without one would silence all the rest.
+        self.ends = Counter(tag.lower() for tag in _SILENT_END.findall(html))
         self.feed(html)
         self.close()
         self.end_block()
@@ -105,30 +115,44 @@ class Tree(HTMLParser):
         for tag, _ in self.open[depth:]:
             self.silent -= tag in SILENT
             self.links -= tag == "a"
+            self.depths[tag].pop()
         del self.open[depth:]
+        while self.bounds and self.bounds[-1] >= depth:
+            self.bounds.pop()
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A marked section of any name is no text; it ends at its bracket, or at the next tag's end."""
+        end = self.rawdata.find("]>", i + 3)
+        end = end + 2 if end >= 0 else self.rawdata.find(">", i + 3) + 1
+        return end if end > 0 else len(self.rawdata)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "html":
             return
         block = tag in BLOCKS
         if block:
+            for name in BLOCKLESS if self.silent else ():  # it cannot hold a block, so its end tag is another's
+                if self.depths[name]:
+                    self.ends[name] += len(self.depths[name])
+                    self.pop_to(self.depths[name][0])
             if tag in ENDS:
                 ended, bounds = ENDS[tag]
-                for depth in range(len(self.open) - 1, 0, -1):
+                for depth in reversed(self.bounds[:]):
                     if self.open[depth][0] in bounds:
                         break
                     if self.open[depth][0] in ended:
                         self.pop_to(depth)
-            for depth in range(len(self.open) - 1, 0, -1):  # a block ends an open paragraph, unless another block holds it
-                if self.open[depth][0] == "p":
-                    self.pop_to(depth)
-                elif self.open[depth][0] in BOUNDS:
-                    break
+            while self.bounds and self.open[self.bounds[-1]][0] == "p":  # a block ends an open paragraph, unless another block holds it
+                self.pop_to(self.bounds[-1])
             self.end_block()
         elif tag == "br":
             self.buffer.append(" ")
         if tag in VOID:
             return
+        if tag in SILENT:
+            if not self.ends[tag]:
+                return
+            self.ends[tag] -= 1
         at = self.open[-1][1]
         if block and not self.silent:
             given = dict(attrs)
@@ -137,6 +161,9 @@ class Tree(HTMLParser):
             self.nodes.append(Node(tag, at, tuple(dict.fromkeys(_NAMES.findall(named.lower()))) + hidden, given.get("x")))
             self.nodes[at].children.append(len(self.nodes) - 1)
             at = len(self.nodes) - 1
+        self.depths[tag].append(len(self.open))
+        if tag in BOUNDS:
+            self.bounds.append(len(self.open))
         self.open.append((tag, at))
         self.silent += tag in SILENT
         self.links += tag == "a"
@@ -145,12 +172,11 @@ class Tree(HTMLParser):
         self.handle_starttag(tag, attrs)  # a slash closes nothing in HTML
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] == tag:
-                self.pop_to(depth)
-                return
-            if tag not in CLOSING and self.open[depth][0] in BLOCKS:
-                return  # an inline end tag closes no block
+        if not self.depths[tag]:
+            return
+        depth = self.depths[tag][-1]
+        if tag in CLOSING or not any(self.open[bound][0] in BLOCKS for bound in self.bounds[bisect_right(self.bounds, depth) :]):
+            self.pop_to(depth)  # an inline end tag closes no block
 
     def handle_data(self, data: str) -> None:
         if self.silent:

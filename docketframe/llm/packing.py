@@ -3,8 +3,9 @@
 One pass over the rows where they lie, without a shuffle: each task encodes its documents and packs them online. A
 document's whole windows are cut off first. What remains goes to the fill level that minimises the sum, over all levels,
 of the squared number of partly filled windows; a level array tracks these numbers. Full windows leave at once, so a
-task holds open windows only. Past ``max_open`` of them, and at the end, the open windows are laid end to end and cut at
-window length; the last rest of a task is cut into powers of two, which need no padding.
+task holds open windows only, at most what its part of the input holds. At its end the emptiest open window is dissolved,
+again and again: its pieces go to other open windows by the same rule, and where none has room for a piece, the piece is
+cut to fill the fullest. The one window that stays open at last is cut into powers of two, which need no padding.
 
 A null text counts as empty and is packed as its end id alone. Empty partitions give no rows; rows that repeat are packed
 each by itself; a null ``doc_id`` is carried along. Texts of any length are encoded whole. Other columns are not read.
@@ -15,7 +16,6 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,6 @@ WINDOW = 2048
 END_ID = 1
 #: Fixed values of the tokenizer file: tokens that are one id wherever a text spells them.
 SPECIAL = {"<|endoftext|>": 50256}
-#: Open windows a task may hold.
-MAX_OPEN = 4096
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -64,8 +62,8 @@ def byte_bpe(folder: str | None = None) -> Callable[[str], np.ndarray]:
 class Packer:
     """The online packer of one task. Pieces are (doc_id, start, ids, doc_tokens)."""
 
-    def __init__(self, window: int, max_open: int, first_sequence: int):
-        self.window, self.max_open, self.sequence = window, max_open, first_sequence
+    def __init__(self, window: int, first_sequence: int):
+        self.window, self.sequence = window, first_sequence
         self.levels = np.zeros(window + 1, dtype=np.int64)
         self.open: dict[int, list[list]] = {}
         self.rows: list[tuple] = []
@@ -84,11 +82,11 @@ class Packer:
         if whole < len(ids):
             self.place((doc, whole, ids[whole:].copy(), len(ids)))
 
-    def level_for(self, size: int) -> int:
-        """The level whose next window takes ``size`` more at the least sum of squares; ties go to the fullest."""
+    def level_for(self, size: int, new: bool = True) -> int:
+        """The level whose next window takes ``size`` more at the least sum of squares; ties go to the fullest. 0: a new one."""
         levels, full = self.levels, self.window - size
         used = np.flatnonzero(levels[1 : full + 1]) + 1
-        best, chosen = 2 * levels[size] + 1, 0  # a new window
+        best, chosen = (2 * levels[size] + 1 if new else np.inf), 0
         if len(used):
             change = np.where(used == full, 1, 2 * levels[used + size] + 2) - 2 * levels[used]
             at = len(used) - 1 - int(np.argmin(change[::-1]))
@@ -97,28 +95,40 @@ class Packer:
         return chosen
 
     def place(self, piece: tuple) -> None:
-        size = len(piece[2])
-        level = self.level_for(size)
-        pieces = self.open[level].pop() if level else []
-        self.levels[level] -= level > 0
-        pieces.append(piece)
-        if level + size == self.window:
+        self.put(piece, self.level_for(len(piece[2])))
+
+    def taken(self, level: int) -> list[tuple]:
+        """The pieces of an open window, which is open no more."""
+        self.levels[level] -= 1
+        return self.open[level].pop()
+
+    def put(self, piece: tuple, level: int) -> None:
+        filled = level + len(piece[2])
+        pieces = [*(self.taken(level) if level else []), piece]
+        if filled == self.window:
             self.close(pieces)
         else:
-            self.open.setdefault(level + size, []).append(pieces)
-            self.levels[level + size] += 1
-            if self.levels.sum() > self.max_open:
-                self.relay(end=False)
-
-    def relay(self, end: bool) -> None:
-        """Lays all open windows end to end and cuts them at window length."""
-        pieces = list(chain.from_iterable(chain.from_iterable(self.open[level] for level in sorted(self.open, reverse=True))))
-        self.open.clear()
-        self.levels[:] = 0
-        left = sum(len(piece[2]) for piece in pieces)
-        room, taken = self.window, []
-        if end and 0 < left < self.window:
-            room = 1 << left.bit_length() - 1
+            self.open.setdefault(filled, []).append(pieces)
+            self.levels[filled] += 1
+
+    def finish(self) -> None:
+        """Leaves no window open."""
+        while self.levels.sum() > 1:
+            for piece in self.taken(int(np.flatnonzero(self.levels)[0])):
+                doc, start, ids, total = piece
+                while len(ids):
+                    level, part = self.level_for(len(ids), new=not self.levels.any()), ids
+                    if not level and self.levels.any():  # room for it nowhere
+                        level = int(np.flatnonzero(self.levels)[-1])
+                        part = ids[: self.window - level]
+                    self.put((doc, start, part, total), level)
+                    start, ids = start + len(part), ids[len(part) :]
+        for level in np.flatnonzero(self.levels).tolist():
+            self.cut(self.taken(level), level)
+
+    def cut(self, pieces: list[tuple], left: int) -> None:
+        """Sequences whose lengths are the powers of two in ``left``, the greatest first."""
+        taken, room = [], 1 << left.bit_length() - 1
         for doc, start, ids, total in pieces:
             while len(ids):
                 part, ids = ids[:room], ids[room:]
@@ -126,13 +136,7 @@ class Packer:
                 start, room, left = start + len(part), room - len(part), left - len(part)
                 if not room:
                     self.close(taken)
-                    taken, room = [], self.window
-                    if end and 0 < left < self.window:
-                        room = 1 << left.bit_length() - 1
-        if taken:
-            filled = sum(len(piece[2]) for piece in taken)
-            self.open[filled] = [taken]
-            self.levels[filled] = 1
+                    taken, room = [], (1 << left.bit_length() - 1 if left else 0)
 
     def flush(self) -> list[tuple]:
         rows, self.rows = self.rows, []
@@ -144,7 +148,6 @@ def pack(
     encoder: Callable[[], Callable[[str], np.ndarray]] = byte_bpe,
     window: int = WINDOW,
     end_id: int = END_ID,
-    max_open: int = MAX_OPEN,
 ) -> DataFrame:
     """The pieces of all ``documents`` (doc_id, text). ``encoder`` is called once a task."""
     names = [field.split()[0] for field in PIECES.split(", ")]
@@ -155,12 +158,12 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(), np.array([end_id], dtype="<u4")
-        packer = Packer(window, max_open, TaskContext.get().partitionId() << 32)
+        packer = Packer(window, TaskContext.get().partitionId() << 32)
         for batch in batches:
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 packer.add(doc, np.concatenate([encode(text.as_py() or ""), end]))
             yield batch_of(packer.flush())
-        packer.relay(end=True)
+        packer.finish()
         yield batch_of(packer.flush())
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)

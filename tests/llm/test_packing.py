@@ -57,23 +57,31 @@ def test_packing_nothing(spark):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 70), max_size=60), st.integers(2, 6))
-def test_packer_against_a_plain_count(sizes, max_open):
-    packer, tokens = packing.Packer(16, max_open, 0), {}
+@given(st.lists(st.integers(1, 70), max_size=60))
+def test_packer_against_a_plain_count(sizes):
+    packer, tokens = packing.Packer(16, 0), {}
     for doc, size in enumerate(sizes):
         ids = np.arange(size, dtype="<u4") + doc
         tokens[doc] = [ids.tolist()]
         packer.add(doc, ids)
-        assert packer.levels.sum() <= max_open
         assert packer.levels.sum() == sum(map(len, packer.open.values()))
-    packer.relay(end=True)
-    check_pieces(packer.flush(), tokens, 16)
+    open_before, closed = int(packer.levels.sum()), packer.sequence
+    left = sum(level * int(n) for level, n in enumerate(packer.levels))
+    packer.finish()
+    assert not packer.levels.any() and not any(packer.open.values())
+    rows = packer.flush()
+    check_pieces(rows, tokens, 16)
+    lengths = {}
+    for row in rows:
+        lengths[row[5]] = lengths.get(row[5], 0) + row[2]
+    assert sum(length < 16 for length in lengths.values()) == bin(left % 16).count("1"), "one window at most is cut up"
+    assert packer.sequence - closed <= max(open_before, 1) + 4
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5), min_size=15, max_size=15), st.integers(1, 15))
 def test_level_has_the_least_sum_of_squares(counts, size):
-    packer = packing.Packer(16, 1000, 0)
+    packer = packing.Packer(16, 0)
     packer.levels[1:16] = counts
 
     def squares(level):
