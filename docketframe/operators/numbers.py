@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -223,3 +223,32 @@ def distinct_numbers(numbers: DataFrame) -> DataFrame:
 def number_counts(numbers: DataFrame) -> DataFrame:
     """Unique numbers per county (after :func:`distinct_numbers`)."""
     return numbers.groupBy("county_key").agg(F.count(F.lit(1)).alias("candidates"))
+
+
+def number_gaps(expected: DataFrame, listed: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Ranges of numbers on which enumeration and listing differ: county_key, side, first, last, n.
+
+    ``expected`` (county_key, lo, hi) are ranges that were enumerated, ``listed`` (county_key, seq) numbers that were
+    found; overlaps and copies count once, nulls and empty ranges not at all. ``side`` is ``missing`` for expected
+    numbers that are not listed and ``unexpected`` for the reverse. Numbers are cut into chunks that are compared one by
+    one, so a county with most numbers is spread; only the ends of what a chunk finds are then joined over its edges.
+    """
+    sound = expected.where("county_key is not null and lo <= hi")
+    edges = F.sequence(F.floor(F.col("lo") / chunk), F.floor(F.col("hi") / chunk))
+    parts = sound.select("county_key", "lo", "hi", F.explode(edges).alias("chunk")).repartition("county_key", "chunk")
+    start = F.greatest(F.col("lo"), F.col("chunk") * chunk)
+    numbers = parts.select("county_key", "chunk", F.explode(F.sequence(start, F.least(F.col("hi"), F.col("chunk") * chunk + (chunk - 1)))).alias("seq"), F.lit(1).alias("side"))
+    found = listed.where("county_key is not null and seq is not null").select("county_key", F.floor(F.col("seq") / chunk).alias("chunk"), F.col("seq").cast("bigint").alias("seq"), F.lit(2).alias("side"))
+    sides = numbers.unionByName(found).groupBy("county_key", "chunk", "seq").agg(F.bit_or("side").alias("side")).where("side < 3")
+    within = Window.partitionBy("county_key", "chunk", "side").orderBy("seq")
+    runs = sides.withColumn("run", F.col("seq") - F.row_number().over(within)).groupBy("county_key", "chunk", "side", "run")
+    pieces = runs.agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    # A piece goes on in the next chunk if it reaches its edge; only those at an edge are put in order.
+    at_edge = (F.col("first") % chunk == 0) | ((F.col("last") + 1) % chunk == 0)
+    inner = pieces.where(~at_edge).select("county_key", "side", "first", "last")
+    over = Window.partitionBy("county_key", "side").orderBy("first")
+    begins = F.coalesce(F.lag("last").over(over) + 1 != F.col("first"), F.lit(True))
+    joined = pieces.where(at_edge).withColumn("begins", begins.cast("int")).withColumn("gap", F.sum("begins").over(over))
+    edge = joined.groupBy("county_key", "side", "gap").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("gap")
+    name = F.when(F.col("side") == 1, "missing").otherwise("unexpected")
+    return inner.unionByName(edge).select("county_key", name.alias("side"), "first", "last", (F.col("last") - F.col("first") + 1).alias("n"))

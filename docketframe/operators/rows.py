@@ -29,12 +29,12 @@ def split_rendered(rendered: Column) -> tuple[Column, Column]:
 
 
 def listed_pairs(parties: Column) -> Column:
-    """(role, attorney line) over all parties, in party order then line order."""
+    """(role, attorney line, party name) over all parties, in party order then line order."""
     return F.flatten(
         F.transform(
             parties,
             lambda party: F.transform(
-                party["lines"], lambda line: F.struct(party["role"].alias("role"), line.alias("line"))
+                party["lines"], lambda line: F.struct(party["role"].alias("role"), line.alias("line"), party["name"].alias("party_name"))
             ),
         )
     )
@@ -47,7 +47,7 @@ def attorney_pairs(parties: Column) -> Column:
             parties,
             lambda party: F.transform(
                 party["attorneys"],
-                lambda attorney: F.struct(party["role"].alias("role"), attorney.alias("attorney")),
+                lambda attorney: F.struct(party["role"].alias("role"), attorney.alias("attorney"), party["name"].alias("party_name")),
             ),
         )
     )
@@ -89,7 +89,10 @@ def _order_column() -> Column:
 
 
 def listed_case_rows(cases: DataFrame) -> DataFrame:
-    """Rows of cases whose parties hold attorney lines as text; names are split after the explosion."""
+    """Rows of cases whose parties hold attorney lines as text; names are split after the explosion.
+
+    The party's name is kept on the stored row (``party_name``, null without an attorney); the exported table leaves it out.
+    """
     exploded = _explode(cases, listed_pairs(F.col("parties")))
     named = exploded.withColumn("name", tx.split_name(F.col("pair.line")))
     return named.select(
@@ -100,6 +103,7 @@ def listed_case_rows(cases: DataFrame) -> DataFrame:
         tx.clean_text(F.col("pair.role")).alias("party_role"),
         "events_primary",
         "events_cont",
+        tx.clean_text(F.col("pair.party_name")).alias("party_name"),
         _order_column(),
     )
 
@@ -116,6 +120,7 @@ def nested_case_rows(cases: DataFrame) -> DataFrame:
         tx.clean_text(F.col("pair.role")).alias("party_role"),
         "events_primary",
         "events_cont",
+        tx.clean_text(F.col("pair.party_name")).alias("party_name"),
         _order_column(),
     )
 
@@ -150,13 +155,18 @@ def output_table(rows: DataFrame) -> DataFrame:
 
 
 def sorted_positions(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``position``, their 0-based index in the sorted table, without a single-task sort.
+    """``rows`` with ``position``, their 0-based index in the sorted table."""
+    return with_positions(sort_rows(rows))
+
+
+def with_positions(ordered: DataFrame) -> DataFrame:
+    """An ordered table with ``position``, the 0-based index of each row, without a single-task sort.
 
     The sorted ranges are written to the shared folder once. Each range then
     numbers its own rows as they lie there, and the sizes of the ranges before
     it (one number per range) are added: one shuffle in all.
     """
-    ranged = materialize(sort_rows(rows))
+    ranged = materialize(ordered)
     numbered = ranged.select(
         "*",
         F.spark_partition_id().alias("range"),

@@ -15,8 +15,8 @@ def listed(spark, *specs):
 
 
 def test_plain_is_padded_and_inclusive(spark):
-    spec = {"pattern": "plain", "template": "D-{year}-{seq}{suffix}", "start": 9, "end": 11, "width": 4, "extra": {"year": 24}}
-    assert listed(spark, spec) == ["D-24-0009", "D-24-0010", "D-24-0011"]
+    spec = {"pattern": "plain", "template": "{bench}.{seq}/{suffix}x", "start": 98, "end": 100, "width": 3, "extra": {"bench": "QB"}}
+    assert listed(spark, spec) == ["QB.098/x", "QB.099/x", "QB.100/x"]
 
 
 def test_wide_numbers_are_never_cut(spark):
@@ -135,3 +135,24 @@ def test_specs_of_any_place(spark, place):
 def test_long_ranges_are_no_error(spark):
     spec = {"pattern": "letter_suffix", "template": "{seq}", "start": 0, "end": 2**45}
     assert numbers.spec_errors(numbers.specs_frame(spark, [{"key": "k", "sequences": [spec]}])).first().problem is None
+
+
+def test_gaps_against_brute_force(spark):
+    rng = random.Random(7)
+    ranges = [("a", 3, 60), ("a", 40, 90), ("b", 5, 4), ("b", None, 3), (None, 1, 9), ("c", 10, 29), ("d", 0, 0)]
+    listed_now = [(rng.choice("abce"), rng.randrange(0, 110)) for _ in range(150)] + [("a", None), (None, 4), ("c", 10), ("c", 10)]
+    wanted = {(k, i) for k, lo, hi in ranges if k and lo is not None for i in range(lo, hi + 1)}
+    there = {(k, i) for k, i in listed_now if k and i is not None}
+    expected = set()
+    for side, numbers_of in (("missing", wanted - there), ("unexpected", there - wanted)):
+        for k, i in numbers_of:
+            if (k, i - 1) not in numbers_of:
+                last = i
+                while (k, last + 1) in numbers_of:
+                    last += 1
+                expected.add((k, side, i, last, last - i + 1))
+    found = numbers.number_gaps(
+        spark.createDataFrame(ranges, "county_key string, lo long, hi long"), spark.createDataFrame(listed_now, "county_key string, seq long"), chunk=10
+    )
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected

@@ -159,7 +159,7 @@ def _numbers(pattern: str) -> str:
 
     def number(width: str, tail: str) -> str:
         digits = f"CASE WHEN length(CAST(seq AS VARCHAR)) >= {width} THEN CAST(seq AS VARCHAR) ELSE lpad(CAST(seq AS VARCHAR), CAST({width} AS INTEGER), '0') END"
-        return f"concat({year}, '-CV-', {digits}, {tail})"
+        return f"concat({year}, '/', {digits}, '.', {tail})"
 
     first, last = "c_custkey * 5 + 1", "c_custkey * 5 + 1 + c_custkey % 7"
     if pattern == "plain":
@@ -357,10 +357,26 @@ CHECKS = {
     ),
     "csv_export": _ROWS_BY_LINE,
     "csv_titles": "SELECT " + ", ".join(f'{name} AS "{title}"' for name, title in OUTPUT_COLUMNS.items()) + f" FROM ({_ROWS_BY_LINE})",
-    "candidate_listing": """
-        SELECT concat(n_name, ' County') AS county, CAST(2 * n_nationkey + 6 AS BIGINT) AS candidates,
-               concat('N-', lpad(CAST(seq AS VARCHAR), 3, '0')) AS case_number
-        FROM nation, unnest(generate_series(n_nationkey, 3 * n_nationkey + 5)) AS u(seq)""",
+    "candidate_listing": f"""
+        SELECT concat(n_name, ' County') AS county, count(*) OVER (PARTITION BY county_key) AS candidates, case_number,
+               row_number() OVER (ORDER BY n_nationkey, CAST(ordinal AS HUGEINT)) - 1 AS position
+        FROM ({_UNIQUE_NUMBERS}) JOIN nation ON county_key = concat('n', n_nationkey)""",
+    "number_gaps": f"""
+        WITH there AS (SELECT DISTINCT {raw.COUNTY_KEY} AS county_key, o_orderkey AS seq FROM {_ORDERS}),
+        ranges AS (SELECT concat('n', n_nationkey) AS county_key, unnest([
+                       {{'lo': CAST(n_nationkey * 10 AS BIGINT), 'hi': CAST(most - n_nationkey * 7 AS BIGINT)}},
+                       {{'lo': CAST(5 AS BIGINT), 'hi': CAST(n_nationkey AS BIGINT)}}, {{'lo': CAST(1 AS BIGINT), 'hi': CAST(40 AS BIGINT)}}]) AS part
+                   FROM (SELECT n_nationkey, max(o_orderkey) AS most FROM {_ORDERS} GROUP BY n_nationkey)),
+        wanted AS (SELECT DISTINCT county_key, unnest(generate_series(part.lo, part.hi)) AS seq FROM ranges WHERE part.lo <= part.hi),
+        sides AS (SELECT coalesce(w.county_key, t.county_key) AS county_key, coalesce(w.seq, t.seq) AS seq,
+                         CASE WHEN t.seq IS NULL THEN 'missing' ELSE 'unexpected' END AS side
+                  FROM wanted w FULL JOIN there t ON w.county_key = t.county_key AND w.seq = t.seq WHERE w.seq IS NULL OR t.seq IS NULL),
+        runs AS (SELECT *, seq - row_number() OVER (PARTITION BY county_key, side ORDER BY seq) AS run FROM sides)
+        SELECT county_key, side, min(seq) AS "first", max(seq) AS "last", max(seq) - min(seq) + 1 AS n FROM runs GROUP BY county_key, side, run""",
+    "stored_party_names": f"""
+        WITH {_rows(_BY_ITEM)}
+        SELECT {raw.CASE_REF} AS case_ref, party_role, CASE party_role WHEN 'Plaintiff' THEN c_name WHEN 'Defendant' THEN 'State' ELSE '' END AS party_name, last_name
+        FROM found JOIN (SELECT o_orderkey, c_name FROM {_ORDERS}) USING (o_orderkey)""",
     "rows_and_attributes_left_out": """
         SELECT 'n0' AS county_key, CAST(p_partkey AS VARCHAR) AS page_key, '' AS case_number,
                CAST(p_partkey % 4 >= 2 AS BIGINT) AS parties, CAST(p_partkey % 3 = 2 AS BIGINT) AS events,

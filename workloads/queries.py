@@ -275,13 +275,13 @@ def _specs(customers: DataFrame, kind: str, **columns: str) -> DataFrame:
         "county_key": "concat('n', CAST(c_nationkey AS STRING))",
         "spec_ord": "CAST(c_custkey AS BIGINT)",
         "pattern": f"'{kind}'",
-        "template": "'{year}-CV-{seq}{suffix}'",
+        "template": "'{branch}/{seq}.{suffix}'",
         "start": "c_custkey * 5 + 1",
         "end": "c_custkey * 5 + 1 + c_custkey % 7",
         "width": "CAST(NULL AS INT)",
         "suffixes": "CAST(NULL AS array<string>)",
         "per_suffix_ranges": _NO_RANGES,
-        "extra": "map('year', lpad(CAST(c_custkey % 3 AS STRING), 2, '0'))",
+        "extra": "map('branch', lpad(CAST(c_custkey % 3 AS STRING), 2, '0'))",
         **columns,
     }
     return customers.selectExpr(*[f"{value} AS `{name}`" for name, value in shape.items()])
@@ -547,12 +547,28 @@ def csv_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range of numbers per nation, listed with its county's count."""
-    counties = [
-        {**c, "sequences": [{"pattern": "plain", "template": "N-{seq}", "start": n, "end": 3 * n + 5, "width": 3}]}
-        for c in tables.counties(spark, sf_dir) for n in [int(c["key"][1:])]
-    ]
-    return jobs.candidate_listing(spark, counties)
+    """Three specs per customer, listed over all nations, with each county's count and each number's place."""
+    counties = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("county_key"), F.col("n_nationkey").alias("county_ord"),
+        F.concat("n_name", F.lit(" County")).alias("county"),
+    )
+    return rows.with_positions(jobs.listing_of(_all_specs(spark, sf_dir), counties))
+
+
+def number_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation's ranges of order numbers, some without end and some twice, against the orders that are there."""
+    orders = tables.orders_with_counties(spark, sf_dir).selectExpr(f"{raw.COUNTY_KEY} AS county_key", "o_orderkey AS seq", "n_nationkey AS n")
+    ranges = orders.groupBy("county_key", "n").agg(F.max("seq").alias("most")).selectExpr(
+        "county_key",
+        "explode(array(struct(CAST(n * 10 AS BIGINT) AS lo, most - n * 7 AS hi), struct(5L AS lo, CAST(n AS BIGINT) AS hi), struct(1L AS lo, 40L AS hi))) AS part",
+    )
+    return numbers.number_gaps(ranges.select("county_key", "part.lo", "part.hi"), orders, chunk=1000)
+
+
+def stored_party_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The party each stored row belongs to."""
+    found = rows.listed_case_rows(tables.listed_cases(spark, sf_dir))
+    return found.select("case_ref", "party_role", "party_name", "last_name")
 
 
 def rows_and_attributes_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -592,5 +608,6 @@ QUERIES = {
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
         results_page_states,        resume_rows, incremental_pages, incremental_states, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
         page_faults, unclosed_and_nested, newest_pages, incremental_versions,
+        number_gaps, stored_party_names,
     )
 }

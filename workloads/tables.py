@@ -70,7 +70,7 @@ def flat_events(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
 
 
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = flat_events(spark, sf_dir, "l_orderkey", "l_linenumber")
+    items = flat_events(spark, sf_dir)  # all of an order in one place, so that neither step moves anything more
     return children.rendered_events(items, ["o_orderkey"], "line_place", run="line_place")
 
 
