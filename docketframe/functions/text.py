@@ -109,6 +109,11 @@ def clean_text(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), _UNTIDY_RUN, " "))
 
 
+def clean_text_sql(value: str) -> str:
+    """:func:`clean_text` as SQL text."""
+    return f"trim(regexp_replace(coalesce({value}, ''), r'{_UNTIDY_RUN}', ' '))"
+
+
 def _folded(text: Column) -> Column:
     return F.lower(F.replace(text, F.lit("."), F.lit("")))
 

@@ -324,3 +324,37 @@ def extract_refs(pages: DataFrame, counties: list[dict]) -> DataFrame:
 def extract_cases(pages: DataFrame, counties: list[dict]) -> DataFrame:
     """Header, parties and events of case pages."""
     return _extract("cases", "case", pages, counties)
+
+
+def register_table_functions(spark: SparkSession, counties: list[dict], view: str = "county_questions") -> None:
+    """The built-in extractions as SQL table functions, named after the adapters in use.
+
+    ``<adapter>_refs(html, question)`` gives ``ref_pos, case_ref``; ``<adapter>_case(html, question, role_attribute)``
+    gives one row with what a case page holds, uncleaned. The view has a row per county: ``county_key, adapter,
+    refs_question, case_question, role_attribute``. Use them in a LATERAL join of pages and view::
+
+        SELECT p.page_key, r.* FROM pages p JOIN county_questions c USING (county_key), LATERAL js_portal_refs(p.html, c.refs_question) r
+
+    A query so written has the plan of the DataFrame call: pages are read where they lie.
+    """
+    rows = []
+    for county in counties:
+        key, _, refs, _ = _questions(county, "refs")
+        _, _, case, role = _questions(county, "case")
+        rows.append((key, county["adapter"], refs, case, role))
+    ddl = "county_key string, adapter string, refs_question string, case_question string, role_attribute string"
+    local_frame(spark, rows, ddl).createOrReplaceTempView(view)
+    spark.udf.register("docketframe_elements", markup.select)
+    for adapter in by_layout(counties):
+        style = get_layout(adapter).style
+        found = "SELECT docketframe_elements(html, question) AS found, html"
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {adapter}_refs(html STRING, question STRING) RETURNS TABLE (ref_pos INT, case_ref STRING) RETURN"
+            f" SELECT pos, case_ref FROM (SELECT pos, {tx.clean_text_sql('col')} AS case_ref FROM (SELECT posexplode({style.read_refs()}) FROM ({found})))"
+            " WHERE case_ref <> ''"
+        )
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {adapter}_case(html STRING, question STRING, party_role_attr STRING)"
+            f" RETURNS TABLE (listed_ref STRING, style STRING, header {schema.PAIRS_DDL}, parties {schema.LISTED_PARTIES_DDL}, events {schema.EVENTS_DDL}, fault STRING)"
+            f" RETURN SELECT case.* FROM (SELECT {style.read_case()} AS case FROM ({found}))"
+        )

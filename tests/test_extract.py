@@ -232,3 +232,22 @@ def test_reading_takes_time_in_proportion_to_the_page():
 def test_places_of_element_ends():
     names = ["", "table", "tr", "td", "br", "/b", "td", "table", "tr", "td", "/table", "/td", "/table", "p", "div", "/p", "/div"]
     assert markup.element_stops(names) == [-1, 12, 12, 6, 4, -1, 11, 10, 10, 10, -1, -1, -1, 14, 16, -1, -1]
+
+
+def test_extraction_from_sql_gives_what_the_calls_give(spark):
+    extract.register_table_functions(spark, COUNTIES)
+    pages = sample.pages_frame(spark)
+    adapters = {c["adapter"]: c["key"] for c in COUNTIES}
+    for adapter, key in adapters.items():
+        listed = spark.sql(
+            "SELECT p.county_key, p.page_key, r.ref_pos, r.case_ref FROM {pages} p JOIN county_questions c USING (county_key),"
+            f" LATERAL {adapter}_refs(p.html, c.refs_question) r WHERE p.page_key LIKE 'results%' AND county_key = '{key}'", pages=pages,
+        )
+        wanted = extract.extract_refs(pages.where(f"page_key like 'results%' and county_key = '{key}'"), COUNTIES)
+        assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, wanted.collect()))
+        cases = spark.sql(
+            "SELECT p.page_key, size(r.parties) AS parties, size(r.events) AS events FROM {pages} p JOIN county_questions c USING (county_key),"
+            f" LATERAL {adapter}_case(p.html, c.case_question, c.role_attribute) r WHERE county_key = '{key}'", pages=pages,
+        )
+        wanted = extract.extract_cases(pages.where(f"county_key = '{key}'"), COUNTIES).selectExpr("page_key", "size(parties)", "size(events)")
+        assert sorted(map(tuple, cases.collect())) == sorted(map(tuple, wanted.collect()))

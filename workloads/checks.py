@@ -256,6 +256,7 @@ CHECKS = {
                case_number, last_name, first_name, middle_name, suffix, party_role FROM kept""",
     "page_refs": _PAGE_REFS,
     "page_refs_by_pattern": _PAGE_REFS,
+    "user_extraction_sql": _PAGE_REFS,
     "user_extraction": f"WITH {_NAV} SELECT county_key, page_key, count(*) AS n_refs FROM refs GROUP BY ALL",
     "page_first_seen_refs": f"""
         WITH {_NAV}, ranked AS (

@@ -177,6 +177,16 @@ def user_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("county_key", "page_key").agg(F.count(F.lit(1)).alias("n_refs"))
 
 
+def user_extraction_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links found by selector, asked for in SQL by the adapter's name."""
+    extract.register_table_functions(spark, [{**site, "adapter": "aspnet_public_access"} for site in _SITES])
+    pages = _site_pages(spark, sf_dir)
+    return spark.sql(
+        "SELECT p.county_key, p.page_key, r.ref_pos, r.case_ref FROM {pages} p JOIN county_questions c USING (county_key),"
+        " LATERAL aspnet_public_access_refs(p.html, c.refs_question) r", pages=pages,
+    )
+
+
 def page_first_seen_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = _page_refs(spark, sf_dir, "nav_by_pattern").withColumn("page_ord", F.col("page_key").cast("int"))
     return refs.first_seen(listed).select("county_key", "case_ref", "page_ord", "ref_pos")
@@ -608,6 +618,6 @@ QUERIES = {
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
         results_page_states,        resume_rows, incremental_pages, incremental_states, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
         page_faults, unclosed_and_nested, newest_pages, incremental_versions,
-        number_gaps, stored_party_names,
+        number_gaps, stored_party_names, user_extraction_sql,
     )
 }
