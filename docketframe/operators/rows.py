@@ -66,7 +66,7 @@ def first_seen_order(county_ord: Column, page_ord: Column, ref_pos: Column, pair
     ).cast(_EXACT)
 
 
-def _explode(cases: DataFrame, pairs: Column) -> DataFrame:
+def _explode(cases: DataFrame, pairs: Column, keep: list[str]) -> DataFrame:
     """Event text is made once per case; only then is the case repeated per pair, or kept once without one."""
     primary, others = event_columns(F.col("events"))
     return cases.select(
@@ -78,6 +78,7 @@ def _explode(cases: DataFrame, pairs: Column) -> DataFrame:
         "county_ord",
         "page_ord",
         "ref_pos",
+        *[name for name in keep if name != "pair_pos"],
         pairs.alias("pairs"),
     ).select("*", F.posexplode_outer("pairs").alias("pair_pos", "pair")).drop("pairs")
 
@@ -88,12 +89,12 @@ def _order_column() -> Column:
     ).alias("row_ord")
 
 
-def listed_case_rows(cases: DataFrame) -> DataFrame:
+def listed_case_rows(cases: DataFrame, keep: list[str] = []) -> DataFrame:
     """Rows of cases whose parties hold attorney lines as text; names are split after the explosion.
 
-    The party's name is kept on the stored row (``party_name``, null without an attorney); the exported table leaves it out.
+    ``keep`` names columns of the case to carry along, or ``pair_pos``. The party's name is kept on the stored row (``party_name``, null without an attorney); the exported table leaves it out.
     """
-    exploded = _explode(cases, listed_pairs(F.col("parties")))
+    exploded = _explode(cases, listed_pairs(F.col("parties")), keep)
     named = exploded.withColumn("name", tx.split_name(F.col("pair.line")))
     return named.select(
         "county_key",
@@ -105,12 +106,13 @@ def listed_case_rows(cases: DataFrame) -> DataFrame:
         "events_cont",
         tx.clean_text(F.col("pair.party_name")).alias("party_name"),
         _order_column(),
+        *keep,
     )
 
 
-def nested_case_rows(cases: DataFrame) -> DataFrame:
+def nested_case_rows(cases: DataFrame, keep: list[str] = []) -> DataFrame:
     """Rows of cases in the nested form, attorneys already split."""
-    exploded = _explode(cases, attorney_pairs(F.col("parties")))
+    exploded = _explode(cases, attorney_pairs(F.col("parties")), keep)
     parts = ["first_name", "middle_name", "last_name", "suffix"]
     return exploded.select(
         "county_key",
@@ -122,6 +124,7 @@ def nested_case_rows(cases: DataFrame) -> DataFrame:
         "events_cont",
         tx.clean_text(F.col("pair.party_name")).alias("party_name"),
         _order_column(),
+        *keep,
     )
 
 
@@ -138,10 +141,14 @@ def nested_cases(cases: DataFrame) -> DataFrame:
     return cases.withColumn("parties", parties)
 
 
+def whole_row() -> list[Column]:
+    """The columns by which rows are equal; null counts as empty."""
+    return [F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ROW_COLUMNS]
+
+
 def distinct_rows(rows: DataFrame) -> DataFrame:
     """Fully equal rows once, with the earliest place. Copies are combined before the shuffle."""
-    whole = [F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ROW_COLUMNS]
-    return rows.select(*whole, "row_ord").groupBy(*ROW_COLUMNS).agg(F.min("row_ord").alias("row_ord"))
+    return rows.select(*whole_row(), "row_ord").groupBy(*ROW_COLUMNS).agg(F.min("row_ord").alias("row_ord"))
 
 
 def sort_rows(rows: DataFrame) -> DataFrame:

@@ -378,7 +378,7 @@ def invalid_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def county_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = tables.listed_cases(spark, sf_dir)
-    found = summary.run_summary(cases, rows.distinct_rows(rows.listed_case_rows(cases)))
+    found = summary.run_summary(cases)
     return found.withColumn("county", F.coalesce("county", F.lit("all")))
 
 
