@@ -6,8 +6,9 @@
 3. The new batch is reduced to distinct digests first: its own copies are grouped here, apart from the snapshots.
    The digests meet the filters of their bucket; only positives go on to the exact buckets.
 4. Digests with more than one row, in either or both, are byte-checked and grouped: their rows, and no others, are
-   grouped by SHA-256, and the texts of these rows by their bytes. Grouping combines before it moves, so a text that makes up a third of all rows moves once
-   per task.
+   grouped by SHA-256, and the texts of these rows by their bytes. A static bitmap of these digests is tested where the
+   texts lie, so others never move. Grouping combines before it moves, so a text that makes up a third of all rows moves
+   once per task.
 
 Equal: identical texts; null counts as the empty text. Of equal texts the row with the largest ``doc_id`` stays (a null
 id only if there is no other); of rows that repeat id and text, one. An empty table gives an empty result. Other columns
@@ -26,6 +27,8 @@ from docketframe.llm.common import numbered, one_per_key, parts_for, row_key, wr
 
 #: Distinct digests a bucket of a snapshot holds on average.
 BUCKET_DIGESTS = 2048
+#: Rows of 512 bytes of the bitmap that tells which texts move.
+BITMAP_BUCKETS = 1 << 17
 
 
 def short_digest(text: Column) -> Column:
@@ -71,6 +74,40 @@ def shared_digests(heads: DataFrame) -> DataFrame:
     return known.unionByName(copies).unionByName(new.where("n > 1").select("digest")).distinct()
 
 
+def bitmap(digests: DataFrame, rows: int) -> DataFrame:
+    """A static bitmap of ``rows`` digests: bucket and words (64 longs), eight bits a digest, ``BITMAP_BUCKETS`` rows at most."""
+    buckets = min(BITMAP_BUCKETS, 1 << max(4, (8 * rows // 4096).bit_length()))
+    bucket, word, bit = _bit_of(F.col("digest"), buckets)
+    words = digests.select(bucket.alias("bucket"), word.alias("word"), bit.alias("bit")).groupBy("bucket", "word")
+    words = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits"))
+    pairs = words.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0).cast("long")))
+    return pairs.select("bucket", filled.alias("words"), F.lit(buckets).alias("buckets"))
+
+
+def _bit_of(digest: Column, buckets: int | Column) -> tuple[Column, Column, Column]:
+    """Bucket, word and bit of a digest, by a hash of its own: the screening filters share no bits with it."""
+    mixed = F.xxhash64(F.lit(9), digest)
+    low = F.shiftright(mixed, 12)
+    return F.pmod(low, F.lit(buckets) if isinstance(buckets, int) else buckets).cast("int"), F.shiftright(mixed, 6).bitwiseAND(F.lit(63).cast("long")).cast("int"), mixed.bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+
+def passing(texts: DataFrame, digests: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (with ``digest``) that may have one of the digests, told where they lie by a bitmap.
+
+    The bitmap is broadcast: ``BITMAP_BUCKETS`` rows of 512 bytes at most. Past what that holds well it lets more rows
+    through, never fewer.
+    """
+    digests = written(digests.distinct(), "digests")
+    bits = written(bitmap(digests, digests.count()), "bitmap")
+    buckets = bits.select("buckets").first()
+    if buckets is None:
+        return texts.limit(0)
+    bucket, word, bit = _bit_of(F.col("digest"), buckets[0])
+    marked = texts.withColumn("bitmap_bucket", bucket).join(F.broadcast(bits.select(F.col("bucket").alias("bitmap_bucket"), "words")), "bitmap_bucket")
+    return marked.where(F.call_function("getbit", F.get("words", word), bit) == 1).drop("bitmap_bucket", "words")
+
+
 def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, *carried) -> DataFrame:
     """Every row of ``documents`` (doc_id, text) with its group.
 
@@ -94,8 +131,9 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, *c
     screened = heads.join(shared, "digest", "left_semi")
     wanted = screened.select(F.col("doc_id").alias("id"), F.col("digest").alias("of")).distinct()
     texts = documents.select("doc_id", text.alias("text"), digest(text).alias("digest"))
+    # Most texts are of digests that occur once; they stay where they lie.
     copies = (
-        texts.join(wanted, F.expr("doc_id <=> id and digest = of"), "left_semi")
+        passing(texts, shared).join(wanted, F.expr("doc_id <=> id and digest = of"), "left_semi")
         .groupBy("digest", "text")
         .agg(F.count("*").alias("n"))
         .where("n > 1")

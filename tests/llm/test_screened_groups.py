@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from docketframe.llm import exact_dedup
 
 
@@ -16,3 +18,15 @@ def test_only_rows_of_shared_digests_are_grouped(spark, monkeypatch):
     assert all((found[at].group_size, found[at].keep_id) == (11, keep) for at, keep in enumerate((228, 229, 227)))
     grouped = next(at for at, line in enumerate(plans["keepers"]) if "Aggregate" in line and "max_by(" in line)
     assert any("Join LeftSemi" in line for line in plans["keepers"][grouped + 1 : grouped + 4]), "all rows are grouped"
+
+
+def test_texts_of_digests_that_occur_once_do_not_move(spark):
+    texts = spark.range(5000).selectExpr("id AS doc_id", "concat('t', id % 4900) AS text").withColumn("digest", F.xxhash64("text"))
+    shared = texts.groupBy("digest").count().where("count > 1").select("digest")
+    passed = exact_dedup.passing(texts, shared)
+    assert passed.columns == texts.columns
+    wanted = {r.doc_id for r in texts.join(shared, "digest", "left_semi").collect()}
+    found = {r.doc_id for r in passed.collect()}
+    assert wanted <= found and len(found) < 4 * len(wanted)
+    assert exact_dedup.passing(texts, shared.limit(0)).count() == 0
+    assert "hashpartitioning" not in passed._jdf.queryExecution().executedPlan().toString()
