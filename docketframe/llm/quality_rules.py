@@ -11,8 +11,9 @@ number (Bonferroni), and the allowed rejection of ``RISK`` per stratum is divide
 confidence 1 - ``DELTA`` over all strata together, no stratum loses more than ``RISK`` of its good documents to the rules.
 Strata with too few labels get no cutoff and reject nothing.
 
-Good: labelled with quality 1 and not base_failed (bad: with 0); a document with several labels counts once, as good if any says so.
-Counts for the tests are made over all labelled documents, as histograms. A null text has no words. Documents without
+Good: labelled with quality 1 and not base_failed (bad: with 0). The bound asks for independent rows, so each text of a
+stratum counts once, however many documents and labels it has, as good if any label says so.
+Counts for the tests are made over all labelled texts, as histograms. A null text has no words. Documents without
 words have measures of 0. Rows that repeat are judged alike; empty tables give empty results; without labels the verdict
 is that of the base.
 """
@@ -104,7 +105,7 @@ def measure(text: str | None, numbers: _Numbers) -> tuple:
 
 
 def measures(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, the counts and the measures of every row."""
+    """doc_id, lang, a hash of the text, the counts and the measures of every row."""
     names = [*COUNTS, *RULES]
     kinds = [pa.int64()] * len(COUNTS) + [pa.float64()] * len(RULES)
 
@@ -118,18 +119,40 @@ def measures(documents: DataFrame) -> DataFrame:
                     numbers.clear()
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
             arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=["doc_id", "lang", *names])
-
-    schema = "doc_id long, lang string, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{r} double" for r in RULES])
-    return documents.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text").mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names=["doc_id", "lang", "text_hash", *names])
+
+    schema = "doc_id long, lang string, text_hash long, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{r} double" for r in RULES])
+    return documents.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
+
+
+def _beta_share(a: float, b: float, x: float) -> float:
+    """The regularised incomplete beta function, by its continued fraction (for x below (a + 1) / (a + b + 2))."""
+    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log1p(-x)) / a
+    tiny, value, upper, lower = 1e-300, 1.0, 1.0, 0.0
+    for step in range(20_000):
+        half = step // 2
+        if step == 0:
+            part = 1.0
+        elif step % 2:
+            part = -(a + half) * (a + b + half) * x / ((a + 2 * half) * (a + 2 * half + 1))
+        else:
+            part = half * (b - half) * x / ((a + 2 * half - 1) * (a + 2 * half))
+        lower = 1 / ((1 + part * lower) or tiny)
+        upper = (1 + part / upper) or tiny
+        value *= upper * lower
+        if step and abs(1 - upper * lower) < 1e-14:
+            break
+    return front * (value - 1)
 
 
 def tail(hits: int, n: int, share: float) -> float:
-    """P(at most ``hits`` of ``n``) when each has the chance ``share``."""
-    base = lgamma(n + 1)
-    terms = [base - lgamma(k + 1) - lgamma(n - k + 1) + k * log(share) + (n - k) * log1p(-share) for k in range(hits + 1)]
-    top = max(terms)
-    return min(1.0, exp(top) * sum(exp(term - top) for term in terms))
+    """P(at most ``hits`` of ``n``) when each has the chance ``share``: an incomplete beta function, whatever ``hits`` is."""
+    if hits >= n:
+        return 1.0
+    a, b = n - hits, hits + 1
+    if 1 - share < (a + 1) / (a + b + 2):
+        return min(1.0, _beta_share(a, b, 1 - share))
+    return max(0.0, 1 - _beta_share(b, a, share))
 
 
 def certified(hits: int, n: int, share: float, level: float) -> bool:
@@ -160,7 +183,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
     """(lang, rule, cutoff) for every stratum and rule that has one."""
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     steps = F.array(*[F.struct(F.lit(i).alias("rule"), F.ceil(F.col(rule) * GRID).cast("int").alias("step")) for i, rule in enumerate(RULES)])
-    judged = measured.where("not base_failed").join(known, "doc_id").select("lang", (F.col("quality") == 1).alias("good"), F.explode(steps).alias("at"))
+    labelled = measured.where("not base_failed").join(known, "doc_id")
+    texts = labelled.groupBy("lang", "text_hash").agg(F.max("quality").alias("quality"), *[F.max(rule).alias(rule) for rule in RULES])
+    judged = texts.select("lang", (F.col("quality") == 1).alias("good"), F.explode(steps).alias("at"))
     histogram = written(judged.groupBy("lang", "at.rule", "at.step", "good").agg(F.count("*").alias("n")), "histogram")
     strata = histogram.select("lang").distinct().count()
     share, level = RISK / len(RULES), DELTA / max(1, strata * len(RULES))

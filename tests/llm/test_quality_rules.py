@@ -4,6 +4,7 @@ from math import comb
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docketframe.llm import quality_rules as rules
 from tests.llm.odd import empty_documents, odd_documents, odd_rows, prose, with_clashes
@@ -39,6 +40,34 @@ def test_tail_is_the_binomial_sum():
     for hits, n, share in ((0, 10, 0.1), (3, 50, 0.04), (7, 200, 0.02)):
         exact = sum(comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(hits + 1))
         assert rules.tail(hits, n, share) == pytest.approx(exact)
+    assert rules.tail(9, 9, 0.5) == 1 and rules.tail(50_000_000, 10**9, 0.05) == pytest.approx(0.5, abs=1e-3)
+
+
+def test_a_text_counts_once_however_often_it_is_labelled(spark):
+    rows, labels = labelled_rows()
+    copies = [(10_000 + i, rows[1][1], "en", "a", 0) for i in range(3000)]
+    frame = lambda found: spark.createDataFrame(found, "doc_id long, text string, lang string, source string, n_chars long")
+    chosen = []
+    for extra in ([], copies):
+        measured = rules.measures(frame(rows + extra)).withColumn("base_failed", F.lit(False))
+        known = spark.createDataFrame(labels + [(row[0], 1, 0) for row in extra], LABELS)
+        chosen.append({(r.lang, r.rule): r.cutoff for r in rules.cutoffs(measured, known).collect()})
+    assert chosen[0] == chosen[1] and chosen[0]
+
+
+def test_chosen_cutoffs_against_brute_force():
+    rng = np.random.default_rng(11)
+    for _ in range(30):
+        good, bad = rng.integers(0, 400, rules.GRID + 1) * (np.arange(rules.GRID + 1) < 12), rng.integers(0, 40, rules.GRID + 1)
+        n, certain = int(good.sum()), []
+        for at in range(rules.GRID - 1, -1, -1):
+            above = int(good[at + 1 :].sum())
+            exact = sum(comb(n, k) * 0.02**k * 0.98 ** (n - k) for k in range(above + 1)) if above <= 60 else 1.0
+            if above > n * 0.02 or exact > 0.01:
+                break
+            certain.append((int(bad[at + 1 :].sum()) - rules.GOOD_WEIGHT * above, at))
+        best = [at for use, at in certain if use == max(certain)[0]] if certain and max(certain)[0] > 0 else []
+        assert rules.cutoff(good, bad, 0.02, 0.01) == (best[len(best) // 2] if best else None)
     assert not rules.certified(0, 10, 0.01, 0.05) and rules.certified(0, 300, 0.01, 0.05)
 
 
