@@ -32,6 +32,13 @@ def row_key() -> Column:
     return F.struct("doc_id", "source", F.xxhash64("text")).alias("row_key")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column starts with it."""
+    while any(column.lower().startswith(name) for column in columns):
+        name += "_"
+    return name
+
+
 def by_key(documents: DataFrame, keys: DataFrame, how: str, once: bool = False) -> DataFrame:
     """``documents`` joined to ``keys`` (row_key and what else it holds), one row a key if ``once``."""
     own = "row_key"

@@ -15,7 +15,6 @@ texts are counted in chunks. Empty tables give empty results; rows that repeat a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 from pyspark.sql.window import Window
 
+from docketframe.llm.common import unused
+
 UNKNOWN = "und"
 #: Rows fitted on, over all languages.
 TRAIN_ROWS = 4096
@@ -35,7 +36,6 @@ FEATURES = 4096
 MARGIN = 0.005
 FOLDS, HELD_OUT = 4, 2
 _CHUNK = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
 _SPACED = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], dtype=np.uint32)
 
 
@@ -45,7 +45,7 @@ def held_out(doc_id: Column) -> Column:
 
 def features(text: str) -> np.ndarray | None:
     """Unit vector of n-gram counts under a square root; None without letters."""
-    if not _LETTER.search(text):
+    if not any(map(str.isalpha, text)):  # letters by Unicode category: signs such as powers and fractions are none
         return None
     raw = np.frombuffer(text.lower().encode(), dtype=np.uint8)
     counts = np.zeros(FEATURES)
@@ -184,8 +184,9 @@ def known_language(documents: DataFrame) -> DataFrame:
     clash = [name for name in documents.columns if name.lower() in PREDICTED]
     model = train(documents)
     if clash:
-        renamed = documents.withColumnsRenamed({name: f"__{name}" for name in clash})
-        return known_language_of(renamed, model).withColumnsRenamed({f"__{name}": name for name in clash})
+        free = unused("own", documents.columns)
+        renamed = documents.withColumnsRenamed({name: f"{free}_{name}" for name in clash})
+        return known_language_of(renamed, model).withColumnsRenamed({f"{free}_{name}": name for name in clash})
     return known_language_of(documents, model)
 
 

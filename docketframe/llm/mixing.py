@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from docketframe.llm.common import WORD, by_key, numbered, one_per_key, parts_for, row_key
+from docketframe.llm.common import WORD, by_key, numbered, one_per_key, parts_for, row_key, unused
 
 BLOCK = 128
 MOST_REPEATS = 3
@@ -251,16 +251,15 @@ def mix_documents(documents: DataFrame, **options) -> DataFrame:
     """
     heads = numbered(documents, "heads", row_key(), "source", word_count("text").alias("size"))
     _, picks = mixed(heads, **options)
-    runs = picks.groupBy("row_id", "pass").agg(
-        F.sum("words").alias("__taken"), F.collect_list(F.struct("from_word", "words")).alias("__runs")
-    )
-    whole = (F.col("__taken") == F.col("size")).alias("__whole")
-    runs = runs.join(heads.select("row_id", "row_key", "size"), "row_id").select("row_key", whole, "__runs")
+    runs = picks.groupBy("row_id", "pass").agg(F.sum("words").alias("taken"), F.collect_list(F.struct("from_word", "words")).alias("runs"))
+    own = unused("mixed", documents.columns)
+    whole_of, runs_of, passage_of = (f"{own}_{name}" for name in ("whole", "runs", "passage"))
+    runs = runs.join(heads.select("row_id", "row_key", "size"), "row_id").select("row_key", (F.col("taken") == F.col("size")).alias(whole_of), F.col("runs").alias(runs_of))
     # Rows of one key are one text; each has its own runs.
     keys = heads.groupBy("row_key").agg(F.lit(True).alias("stays"), F.count("*").alias("n"))
     joined = by_key(one_per_key(documents, keys.where("n > 1")), runs, "inner")
-    passage = _passage(F.when(~F.col("__whole"), F.col("text")), F.when(~F.col("__whole"), F.col("__runs")))
-    joined = joined.withColumn("__passage", passage).withColumn("text", F.coalesce("__passage", "text"))
+    passage = _passage(F.when(~F.col(whole_of), F.col("text")), F.when(~F.col(whole_of), F.col(runs_of)))
+    joined = joined.withColumn(passage_of, passage).withColumn("text", F.coalesce(passage_of, "text"))
     if "n_chars" in documents.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("__whole"), F.col("n_chars")).otherwise(F.length("text")).cast("long"))
+        joined = joined.withColumn("n_chars", F.when(F.col(whole_of), F.col("n_chars")).otherwise(F.length("text")).cast("long"))
     return joined.select(*[f"`{column}`" for column in documents.columns])

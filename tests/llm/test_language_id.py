@@ -76,3 +76,38 @@ def test_no_language_or_one_or_no_rows(spark):
     assert {r.lang_pred for r in language_id.language_report(unlabelled).collect()} == {"und"}
     single = odd_documents(spark).withColumn("lang", F.lit("xx"))
     assert {(r.lang_pred, r.score) for r in language_id.language_report(single).collect()} == {("xx", 1.0), ("und", 0.0)}
+
+
+@pytest.mark.parametrize("text, known", [("\u00b2 \u00bd \u2460 12", False), ("\u0301\u20ac", False), ("\u00aa", True), ("\u6f22", True), ("1x", True)])
+def test_letters_are_what_unicode_calls_letters(text, known):
+    assert (language_id.features(text) is not None) == known
+
+
+def test_loss_weighted_decoding_against_a_plain_count():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        n = int(rng.integers(2, 9))
+        names = [f"l{i}" for i in range(n)]
+        code = language_id.codewords(n)
+        weights = rng.random(code.shape) + 0.1
+        model = language_id.Model(names, code, weights / weights.sum(axis=1, keepdims=True), rng.normal(size=(language_id.FEATURES, code.shape[1])).astype(np.float32), rng.normal(size=code.shape[1]).astype(np.float32))
+        text = words("aa", int(rng.integers(1000)), 12)
+        vector = language_id.features(text)
+        losses = []
+        for i in range(n):
+            total = 0.0
+            for j in range(code.shape[1]):
+                answer = float(sum(vector[k] * model.weights[k, j] for k in np.flatnonzero(vector)) + model.bias[j])
+                total += float(model.bit_weights[i, j]) * float(np.log1p(np.exp(-code[i, j] * answer)))
+            losses.append(total)
+        found, score, ambiguous = model.predict(text)
+        ranked = sorted(range(n), key=lambda i: losses[i])
+        assert found == names[ranked[0]] and 1 / n <= score <= 1
+        assert ambiguous == (losses[ranked[1]] - losses[ranked[0]] < language_id.MARGIN)
+
+
+def test_columns_named_as_what_is_predicted_are_kept(spark):
+    documents = spark.createDataFrame(made_rows(20), SCHEMA).selectExpr("*", "'a' AS lang_pred", "'b' AS __lang_pred", "'c' AS own_score", "'d' AS Score")
+    kept = language_id.known_language(documents)
+    assert kept.columns == documents.columns
+    assert {(r.lang_pred, r["__lang_pred"], r.own_score, r.Score) for r in kept.collect()} == {("a", "b", "c", "d")}
