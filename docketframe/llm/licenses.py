@@ -2,13 +2,13 @@
 
 1. Candidate blocks: lines with a cue word, and runs of lines in which cues are at most ``GAP`` lines apart, with
    ``AROUND`` lines on either side.
-2. Each block is compressed alone and with every template as a zstandard raw dictionary. Templates are ranked by how much
-   smaller the block gets.
-3. Every template that the block has enough words for is confirmed by the exact wording: the template's words are aligned
-   with the block's and the differing words counted, but for the template's own blanks. A template is confirmed if no
-   critical word (one with a digit, or one of ``CRITICAL``) differs and at most one word in ``TOLERANCE`` does. The ranking
-   only orders templates of the same length. Confirmed wordings of a block may not overlap.
-4. What lies between the confirmed wordings is ranked and confirmed again, until nothing more is.
+2. The words of a block are compressed alone and with each template, of which the block has the critical and enough other
+   words, as a zstandard raw dictionary. Templates are ranked by how many bytes they save; those that save none are out.
+3. The winners are confirmed in this order by the exact wording: the template's words are aligned with the block's and the
+   differing words counted, but for the template's own blanks. A template is confirmed if no critical word (one with a
+   digit, or one of ``CRITICAL``) differs and at most one word in ``TOLERANCE`` does. The first that is confirmed is taken.
+4. What lies between its wordings is compressed, ranked and confirmed again, until nothing more is.
+5. A wording after a word of denial in its sentence (``DENIALS``) is not reported.
 
 One row per document, also for those without a license. A null text counts as empty. Texts of any length are scanned
 whole; lines longer than ``LINE_WORDS`` words are read in overlapping parts. Every row is judged by itself, so empty tables,
@@ -30,14 +30,17 @@ from pyspark.sql import functions as F
 
 #: Words that mark a candidate line, in lower case.
 CUES = (
-    "licen", "copyright", "(c)", "©", "all rights reserved", "creative commons", "cc by", "cc0", "permission is hereby", "permission to use",
-    "warrant", "redistribut", "public domain", "spdx",
+    "licen", "copyright", "(c)", "©", "all rights reserved", "creative commons", "cc by", "cc-by", "cc0", "permission is hereby", "permission to use",
+    "warrant", "redistribut", "public domain", "spdx", "apache", "bsd", "gnu ", "gpl",
 )
 #: Words that may not differ.
 CRITICAL = frozenset(
     "no not non only later lesser affero mit apache bsd isc mozilla gnu gpl lgpl agpl mpl cc by by-nc by-nd by-sa by-nc-sa by-nc-nd unlicense reserved".split()
 )
 GAP, AROUND, TOLERANCE, LINE_WORDS = 8, 5, 10, 2000
+#: Words that deny what follows, within so many words.
+DENIALS = frozenset("not never neither nor cannot isn aren wasn without".split())
+DENIAL_WORDS = 6
 #: Blocks whose outcome a task remembers.
 CACHE_BLOCKS = 1 << 14
 
@@ -86,6 +89,9 @@ def _gnu(form: str, name: str, version: str) -> list[str]:
     return [form.format(words, number) for number in dict.fromkeys((version, version.removesuffix(".0")))]
 
 
+#: Spellings of the short GNU names.
+_GNU_SHORT = ("under the {0}v{1}", "under {0}v{1}", "License: {0}v{1}", "GNU {0}v{1}", "{0}v{1} License", "under the {0} version {1}", "GNU {0} version {1}", "License: {0}-{1}.0")
+
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -147,7 +153,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         for names in product(*[_CC_PARTS[part] for part in kind.split("-")])
         for version in ("", "1.0", "2.0", "2.5", "3.0", "4.0")
     ],
-    *[("CC0-1.0", text) for text in ("CC0 1.0", "Creative Commons Zero v1.0 Universal", "Creative Commons Zero 1.0")],
+    *[("CC0-1.0", text) for text in ("CC0 1.0 Universal", "under CC0 1.0", "License: CC0 1.0", "Creative Commons Zero v1.0 Universal", "Creative Commons Zero 1.0")],
     *[
         (f"{short}-{version}", text)
         for short, name, version in _GNU_VERSIONS
@@ -175,7 +181,13 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Unlicense", "SPDX-License-Identifier: Unlicense"),
     *[(f"CC-{kind}-{version}", f"SPDX-License-Identifier: CC-{kind}-{version}") for kind in _CC_KINDS for version in ("1.0", "2.0", "2.5", "3.0", "4.0")],
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    *[(f"CC-{kind}-{version}", text) for kind in _CC_KINDS for version in ("1.0", "2.0", "2.5", "3.0", "4.0") for text in (f"CC-{kind} {version}", f"under CC-{kind}-{version}")],
+    *[("MIT", text) for text in ("MIT License", "License: MIT", "The MIT License", "MIT licensed")],
+    *[("Apache-2.0", text) for text in ("Apache License 2.0", "License: Apache-2.0", "License: Apache 2.0", "Apache 2.0 License", "under Apache-2.0")],
+    *[(f"BSD-{n}-Clause", text) for n in (2, 3) for text in (f"License: BSD-{n}-Clause", f"{n}-Clause BSD License", f"under BSD-{n}-Clause")],
+    *[(f"{short}-{n}.0", form.format(short, n)) for short in ("GPL", "LGPL", "AGPL") for n in (2, 3) if (short, n) not in (("LGPL", 2), ("AGPL", 2)) for form in _GNU_SHORT],
 )
+_SENTENCE_END = re.compile(r"[.;:!?](?:\s|$)|\n\s*\n")
 _WORD = re.compile(r"<>|[^\W_]+(?:[.\-][^\W_]+)*")
 
 
@@ -198,7 +210,7 @@ class Template:
         self.needed = frozenset(word for word in self.words if _critical([word]))
         #: Words that a wording may have more than the template.
         self.slack = len(self.words) // TOLERANCE + BLANK_WORDS * len(self.blanks)
-        plain = text.replace("<>", " ").encode()
+        plain = f" {' '.join(self.words)} ".encode()  # the spaces around it let the shortest names save a byte
         self.compressor = zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(plain, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
     def possible(self, words: set[str]) -> bool:
@@ -260,11 +272,11 @@ def _plain() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=9)
 
 
-def ranked(block: str) -> list[int]:
-    """The bytes that each template saves, by template."""
-    raw = block.encode()
+def ranked(words: list[str], among: list[int]) -> dict[int, int]:
+    """The bytes that each of some templates saves on a block of words."""
+    raw = f" {' '.join(words)} ".encode()
     alone = len(_plain().compress(raw))
-    return [alone - len(template.compressor.compress(raw)) for template in templates()]
+    return {at: alone - len(templates()[at].compressor.compress(raw)) for at in among}
 
 
 def confirmed(block: str) -> list[tuple[str, int, int, int, int]]:
@@ -272,27 +284,33 @@ def confirmed(block: str) -> list[tuple[str, int, int, int, int]]:
     spans = [match.span() for match in _WORD.finditer(block)]
     words = [block[start:end].lower() for start, end in spans]
     found: list[tuple] = []
-    rest = [(0, len(words), block)]
+    rest = [(0, len(words))]
     while rest:
-        low, high, text = rest.pop()
+        low, high = rest.pop()
         held = words[low:high]
         known = set(held)
-        possible = [at for at, template in enumerate(templates()) if template.possible(known)]
-        checked = [(at, wording) for at in possible for wording in templates()[at].wordings(held)]
-        if not checked:
-            continue
-        saved = ranked(text)
-        taken: list[tuple] = []
-        for at, (first, end, differ) in sorted(checked, key=lambda c: (c[1][2] > 0, c[1][0] - c[1][1], -saved[c[0]], *c)):
-            if all(end <= other[0] or other[1] <= first for other in taken):
-                taken.append((first, end, templates()[at].name, differ, saved[at]))
-        taken.sort()
-        found += [(low + first, low + end, *what) for first, end, *what in taken]
-        edges = [0, *(edge for first, end, *_ in taken for edge in (first, end)), len(held)]
-        for first, end in zip(edges[::2], edges[1::2], strict=True):
-            if first < end:
-                rest.append((low + first, low + end, block[spans[low + first][0] : spans[low + end - 1][1]]))
-    return [(name, spans[first][0], spans[end - 1][1], differ, saved) for first, end, name, differ, saved in sorted(found)]
+        saved = ranked(held, [at for at, template in enumerate(templates()) if template.possible(known)])
+        winners = sorted((at for at in saved if saved[at] > 0), key=lambda at: (-saved[at], at))
+        for at in winners:
+            template = templates()[at]
+            taken = sorted(template.wordings(held))
+            if taken:
+                found += [(low + first, low + end, template.name, differ, saved[at]) for first, end, differ in taken]
+                edges = [0, *(edge for first, end, _ in taken for edge in (first, end)), len(held)]
+                rest += [(low + first, low + end) for first, end in zip(edges[::2], edges[1::2], strict=True) if first < end]
+                break
+    stated = [wording for wording in sorted(found) if not _denied(block, spans, words, wording[0])]
+    return [(name, spans[first][0], spans[end - 1][1], differ, saved) for first, end, name, differ, saved in stated]
+
+
+def _denied(block: str, spans: list[tuple[int, int]], words: list[str], first: int) -> bool:
+    """Whether one of the few words before a wording, in its sentence, says that it does not hold."""
+    for at in range(first - 1, max(-1, first - 1 - DENIAL_WORDS), -1):
+        if _SENTENCE_END.search(block, spans[at][1], spans[at + 1][0]):
+            return False
+        if words[at] in DENIALS:
+            return True
+    return False
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
