@@ -133,7 +133,7 @@ def exact_groups(documents: DataFrame, snapshot: Column, digest=short_digest, *c
     texts = documents.select("doc_id", text.alias("text"), digest(text).alias("digest"))
     # Most texts are of digests that occur once; they stay where they lie.
     copies = (
-        passing(texts, shared).join(wanted, F.expr("doc_id <=> id and digest = of"), "left_semi")
+        passing(texts, shared).join(wanted, F.expr("doc_id <=> id and digest = of"))  # a semi join would be moved below the bitmap
         .groupBy("digest", "text")
         .agg(F.count("*").alias("n"))
         .where("n > 1")

@@ -30,3 +30,10 @@ def test_texts_of_digests_that_occur_once_do_not_move(spark):
     assert wanted <= found and len(found) < 4 * len(wanted)
     assert exact_dedup.passing(texts, shared.limit(0)).count() == 0
     assert "hashpartitioning" not in passed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_bitmap_is_tested_before_texts_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "written", lambda frame, name: frame)
+    documents = spark.createDataFrame([(i, f"text {i % 90}") for i in range(100)], "doc_id long, text string")
+    plan = exact_dedup.exact_groups(documents, exact_dedup.by_landing(2))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("<=> id") < plan.find("getbit")
