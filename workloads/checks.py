@@ -357,6 +357,7 @@ CHECKS = {
         ("newest_pages", "incremental_versions"), f"SELECT {raw.COUNTY_KEY} AS county_key, {raw.CASE_REF} AS case_ref, o_orderstatus AS status FROM {_ORDERS}"
     ),
     "csv_export": _ROWS_BY_LINE,
+    "csv_of_nothing": f"SELECT '{','.join(OUTPUT_COLUMNS.values())}' AS header, count(*) AS n_rows FROM orders WHERE o_orderkey < 0",
     "csv_titles": "SELECT " + ", ".join(f'{name} AS "{title}"' for name, title in OUTPUT_COLUMNS.items()) + f" FROM ({_ROWS_BY_LINE})",
     "candidate_listing": f"""
         SELECT concat(n_name, ' County') AS county, count(*) OVER (PARTITION BY county_key) AS candidates, case_number,

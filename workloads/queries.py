@@ -556,6 +556,15 @@ def csv_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_sink.write_csv(jobs.finish(tables.flat_case_rows(spark, sf_dir)), scratch_path(spark, "csv"))
 
 
+def csv_of_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export of orders that have no rows: each file holds the header alone."""
+    path = scratch_path(spark, "csv")
+    none = tables.flat_case_rows(spark, sf_dir).where("case_number LIKE 'no such %'")
+    written = csv_sink.write_csv(jobs.finish(none), path)
+    header = spark.read.text(path).distinct()
+    return header.select(F.col("value").alias("header"), F.lit(written.count()).cast("bigint").alias("n_rows"))
+
+
 def candidate_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three specs per customer, listed over all nations, with each county's count and each number's place."""
     counties = table(spark, sf_dir, "nation").select(
@@ -618,6 +627,6 @@ QUERIES = {
         parties_from_pages, events_from_pages, listed_refs, attorney_rows_from_pages, quarantine_pages,
         results_page_states,        resume_rows, incremental_pages, incremental_states, csv_export, csv_titles, candidate_listing, rows_and_attributes_left_out,
         page_faults, unclosed_and_nested, newest_pages, incremental_versions,
-        number_gaps, stored_party_names, user_extraction_sql,
+        number_gaps, stored_party_names, user_extraction_sql, csv_of_nothing,
     )
 }
