@@ -232,17 +232,31 @@ def number_gaps(expected: DataFrame, listed: DataFrame, chunk: int = CHUNK) -> D
     found; overlaps and copies count once, nulls and empty ranges not at all. ``side`` is ``missing`` for expected
     numbers that are not listed and ``unexpected`` for the reverse. Numbers are cut into chunks that are compared one by
     one, so a county with most numbers is spread; only the ends of what a chunk finds are then joined over its edges.
+    In a chunk only the places where a range or a listed number begins or ends are put in order: what is expected is
+    never written out number by number.
     """
     sound = expected.where("county_key is not null and lo <= hi")
     edges = F.sequence(F.floor(F.col("lo") / chunk), F.floor(F.col("hi") / chunk))
     parts = sound.select("county_key", "lo", "hi", F.explode(edges).alias("chunk")).repartition("county_key", "chunk")
-    start = F.greatest(F.col("lo"), F.col("chunk") * chunk)
-    numbers = parts.select("county_key", "chunk", F.explode(F.sequence(start, F.least(F.col("hi"), F.col("chunk") * chunk + (chunk - 1)))).alias("seq"), F.lit(1).alias("side"))
-    found = listed.where("county_key is not null and seq is not null").select("county_key", F.floor(F.col("seq") / chunk).alias("chunk"), F.col("seq").cast("bigint").alias("seq"), F.lit(2).alias("side"))
-    sides = numbers.unionByName(found).groupBy("county_key", "chunk", "seq").agg(F.bit_or("side").alias("side")).where("side < 3")
-    within = Window.partitionBy("county_key", "chunk", "side").orderBy("seq")
-    runs = sides.withColumn("run", F.col("seq") - F.row_number().over(within)).groupBy("county_key", "chunk", "side", "run")
-    pieces = runs.agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    bounds = [F.greatest(F.col("lo"), F.col("chunk") * chunk).cast("bigint"), F.least(F.col("hi"), F.col("chunk") * chunk + (chunk - 1)).cast("bigint")]
+    seq = F.col("seq").cast("bigint")
+    found = listed.where("county_key is not null and seq is not null").select("county_key", F.floor(F.col("seq") / chunk).alias("chunk"), seq.alias("first"), seq.alias("last"))
+    ranges = parts.select("county_key", "chunk", bounds[0].alias("first"), bounds[1].alias("last"))
+
+    def ends(sides: DataFrame, expects: int, lists: int) -> DataFrame:
+        """Where something begins and where it is over; what reaches the end of its chunk is over there."""
+        changes = [F.struct(F.col("first").alias("at"), F.lit(expects).alias("expects"), F.lit(lists).alias("lists")),
+                   F.when((F.col("last") + 1) % chunk != 0, F.struct((F.col("last") + 1).alias("at"), F.lit(-expects).alias("expects"), F.lit(-lists).alias("lists")))]
+        return sides.select("county_key", "chunk", F.inline(F.filter(F.array(*changes), lambda change: change.isNotNull())))
+
+    both = ends(ranges, 1, 0).unionByName(ends(found, 0, 1))
+    places = both.groupBy("county_key", "chunk", "at").agg(F.sum("expects").alias("expects"), F.sum("lists").alias("lists"))
+    within = Window.partitionBy("county_key", "chunk").orderBy("at")
+    expects, lists = (F.sum(name).over(within) > 0 for name in ("expects", "lists"))
+    side = F.when(expects & ~lists, 1).when(lists & ~expects, 2).otherwise(0)
+    turns = places.select("county_key", "chunk", "at", side.alias("side")).withColumn("before", F.lag("side", 1, 0).over(within)).where("side <> before")
+    over = F.lead("at").over(within)
+    pieces = turns.select("county_key", "chunk", "side", F.col("at").alias("first"), (F.coalesce(over, (F.col("chunk") + 1) * chunk) - 1).alias("last")).where("side > 0").drop("chunk")
     # A piece goes on in the next chunk if it reaches its edge; only those at an edge are put in order.
     at_edge = (F.col("first") % chunk == 0) | ((F.col("last") + 1) % chunk == 0)
     inner = pieces.where(~at_edge).select("county_key", "side", "first", "last")

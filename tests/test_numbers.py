@@ -156,3 +156,15 @@ def test_gaps_against_brute_force(spark):
     )
     got = [tuple(r) for r in found.collect()]
     assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_gaps_of_long_ranges_make_no_row_per_number(spark):
+    """Ends of ranges move, not the numbers in them; below zero and over the edges of chunks too."""
+    ranges = spark.createDataFrame([("a", -25, 10**11), ("a", 10**11 + 1, 10**11 + 5)], "county_key string, lo long, hi long")
+    listed = spark.createDataFrame([("a", n) for n in (-31, -11, -10, 0, 7, 7, 9999, 10**11 + 6)] + [("b", -10), ("b", -9)], "county_key string, seq long")
+    got = sorted(tuple(r) for r in numbers.number_gaps(ranges, listed, chunk=10**8).collect())
+    assert got == [
+        ("a", "missing", -25, -12, 14), ("a", "missing", -9, -1, 9), ("a", "missing", 1, 6, 6), ("a", "missing", 8, 9998, 9991),
+        ("a", "missing", 10**4, 10**11 + 5, 10**11 + 5 - 10**4 + 1), ("a", "unexpected", -31, -31, 1),
+        ("a", "unexpected", 10**11 + 6, 10**11 + 6, 1), ("b", "unexpected", -10, -9, 2),
+    ]
