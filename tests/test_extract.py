@@ -1,3 +1,6 @@
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -251,3 +254,26 @@ def test_extraction_from_sql_gives_what_the_calls_give(spark):
         )
         wanted = extract.extract_cases(pages.where(f"county_key = '{key}'"), COUNTIES).selectExpr("page_key", "size(parties)", "size(events)")
         assert sorted(map(tuple, cases.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_a_batch_of_pages_is_read_in_portions():
+    page = "<table id=grdCases>" + '<tr><td><a class="case-link" href="#">C-1</a></td></tr>' * 100 + "</table>"
+    asked = markup.question([(["table#grdCases a.case-link"], [])])
+    peaks = []
+    for n in (500, 2000):
+        html, question = pa.array([page, None, *[page] * (n - 2)]), pa.array([asked] * n)
+        tracemalloc.start()
+        found = markup.select.func(html, question)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert len(found) == n and found[1].as_py() is None and len(found[n - 1].as_py()[0]) == 100
+    assert peaks[1] < 1.5 * peaks[0]
+
+
+def test_portions_of_odd_batches():
+    asked = markup.question([(["td"], ["b", "i u"])])
+    pages = ["", None, "<td><b>x</b>", "<td>" * 3 + "x" * (1 << 20), "<td><i><u>y</u></i><u>z</u>"] * 2
+    found = markup.select.func(pa.array(pages), pa.array([asked] * 9 + [None])).to_pylist()
+    assert [None if page is None else len(page[0]) for page in found] == [0, None, 1, 3, 1, 0, None, 1, 3, None]
+    assert found[2][0][0]["parts"] == [["x"], []] and found[4][0][0]["parts"] == [[], ["y"]]
+    assert markup.select.func(pa.array([], pa.string()), pa.array([], pa.string())).to_pylist() == []
