@@ -95,10 +95,14 @@ def _merged_refs(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def _newest(records: DataFrame) -> DataFrame:
-    """Of several versions of a page the one landed last."""
-    whole = F.struct(*[name for name in records.columns if name not in (*_KEY, "bucket", "landed")])
-    latest = records.groupBy(*_KEY, "bucket").agg(F.max_by(whole, "landed").alias("record"), F.max("landed").alias("landed"))
-    return latest.select(*_KEY, "bucket", "landed", "record.*")
+    """Of several versions of a page when the last one landed, and whether it could be read; no other column is touched."""
+    outcome = F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("now")
+    return records.select(*_KEY, "landed", outcome).groupBy(*_KEY).agg(F.max_by("now", "landed").alias("now"), F.max("landed").alias("last"))
+
+
+def _versions(records: DataFrame, newest: DataFrame) -> DataFrame:
+    """The records of some pages, each from the version that landed last."""
+    return records.join(newest.select(*_KEY, "last"), _KEY).where("landed = last").drop("last")
 
 
 def process_batch(state: State, batch: DataFrame, number: int, counties: list[dict], listing: DataFrame, out: str, buckets: int) -> None:
@@ -110,18 +114,17 @@ def process_batch(state: State, batch: DataFrame, number: int, counties: list[di
     touched = _touched(new_refs, new_records)
     known = _merged_refs(state.latest("refs", ledger, _REFS, touched), new_refs)
     ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new_records.schema.fields)
-    there = _newest(state.latest("records", ledger, ddl, touched).unionByName(new_records))
-
-    outcome = there.select(*_KEY, F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("now"))
+    landed = state.latest("records", ledger, ddl, touched).unionByName(new_records)
+    newest = _newest(landed)
     new_state = F.when(F.col("state") == "ok", "ok").otherwise(F.coalesce("now", "state"))
-    told = known.join(outcome, _KEY, "left")
+    told = known.join(newest.drop("last"), _KEY, "left")
     told = told.withColumn("fresh", (F.col("now") == "ok") & ~F.col("state").eqNullSafe("ok")).withColumn("state", new_state).drop("now")
     told = state.write(told, "refs", number)
     done = told.where("state = 'ok'").select(*_KEY).distinct()
-    waiting = there.join(done, _KEY, "left_anti")  # failed ones too: their listing may come later
-    waiting = state.write(waiting, "records", number)
+    left = newest.join(done, _KEY, "left_anti")  # failed ones too: their listing may come later
+    waiting = state.write(_versions(landed, left), "records", number)
     fresh = told.where("fresh").select("county_key", "case_ref", "page_ord", "ref_pos")
-    rows.listed_case_rows(refs.visit(fresh, there, counties)).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
+    rows.listed_case_rows(refs.visit(fresh, _versions(landed, newest), counties)).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
 
     lines = {key: wrote for key, wrote in ledger.items() if key[1] not in touched}
     for name, frame in (("refs", told), ("records", waiting)):

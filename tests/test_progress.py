@@ -237,3 +237,19 @@ def test_a_batch_reads_the_buckets_it_touches(spark, tmp_path, monkeypatch):
 
 
 schema_of_landed = "county_key string, kind string, page_key string, html string"
+
+
+def test_versions_are_told_apart_without_what_the_pages_hold(spark, tmp_path):
+    ddl = "county_key string, page_key string, bucket int, parties string, error string, landed struct<time:int,file:string,row:int>"
+    rows = [
+        ("a", "1", 0, "old", None, (1, "f", 0)), ("a", "1", 0, "new", "bad", (2, "e", 0)), ("a", "1", 0, "mid", None, (1, "g", 5)),
+        ("a", "2", 1, "only", None, (1, "f", 1)), ("b", "1", 2, "other", None, (1, "f", 2)),
+    ]
+    spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / "records"))
+    records = spark.read.schema(ddl).parquet(str(tmp_path / "records"))
+    newest = incremental._newest(records)
+    scan = newest._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert "error" in scan and "parties" not in scan
+    assert sorted((r.county_key, r.page_key, r.now) for r in newest.collect()) == [("a", "1", "failed"), ("a", "2", "ok"), ("b", "1", "ok")]
+    found = incremental._versions(records, newest)
+    assert sorted((r.county_key, r.page_key, r.bucket, r.parties) for r in found.collect()) == [("a", "1", 0, "new"), ("a", "2", 1, "only"), ("b", "1", 2, "other")]
