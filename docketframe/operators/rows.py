@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from docketframe.functions import text as tx
 from docketframe.operators.refs import listing_order
 from docketframe.schema import CASE_SCALARS, OUTPUT_COLUMNS, ROW_COLUMNS, SORT_COLUMNS
-from docketframe.session import materialize
+from docketframe.session import scratch_path
 
 _EXACT = T.DecimalType(38, 0)
 
@@ -169,16 +169,19 @@ def sorted_positions(rows: DataFrame) -> DataFrame:
 def with_positions(ordered: DataFrame) -> DataFrame:
     """An ordered table with ``position``, the 0-based index of each row, without a single-task sort.
 
-    The sorted ranges are written to the shared folder once. Each range then
-    numbers its own rows as they lie there, and the sizes of the ranges before
-    it (one number per range) are added: one shuffle in all.
+    Each sorted range numbers its own rows and is written to the shared folder
+    once, as compressed columns, so that what is read later is only what is
+    asked for; the sizes of the ranges before it (one number per range) are
+    added. One shuffle in all. Rows come back in the order of the files: sort by
+    ``position`` where the order itself matters.
     """
-    ranged = materialize(ordered)
-    numbered = ranged.select(
+    path = scratch_path(ordered.sparkSession, "ranges")
+    ordered.select(
         "*",
         F.spark_partition_id().alias("range"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("within"),
-    )
+    ).write.parquet(path)
+    numbered = ordered.sparkSession.read.parquet(path)
     sizes = numbered.groupBy("range").agg(F.count(F.lit(1)).alias("size"))
     before = (F.sum("size").over(Window.orderBy("range")) - F.col("size")).alias("rows_before")
     return (

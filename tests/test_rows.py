@@ -150,3 +150,12 @@ def test_children_of_a_hot_parent_match_brute_force(spark):
         assert {r.parent: (r.events_primary, r.events_cont) for r in got} == {
             k: (v[0], "; ".join(v[1:])) for k, v in wanted.items()
         }
+
+
+def test_positions_are_read_back_by_column(spark):
+    cases = [case(f"N-{n % 7}", [("p", "Plaintiff", [attorney("A", f"L{n}")])], [("2024-01-01", "x", "")], place=(0, n, 0)) for n in range(40)]
+    placed = rows.sorted_positions(rows.distinct_rows(rows.nested_case_rows(frame(spark, *cases))))
+    got = placed.select("position", "case_number", "last_name").orderBy("position").collect()
+    assert [tuple(r) for r in got] == [(at, *pair) for at, pair in enumerate(sorted((f"N-{n % 7}", f"L{n}") for n in range(40)))]
+    plan = placed.select("position", "case_number")._jdf.queryExecution().executedPlan().toString()
+    assert "case_number" in plan and "events_primary" not in plan
