@@ -16,11 +16,13 @@ SPACES = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-# The same class without the plain space, and without line breaks.
-_ODD_SPACES = SPACES.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
+# The same class without line breaks.
 _INLINE_SPACES = SPACES.replace(r"\x{9}-\x{d}", r"\x{9}\x{b}\x{c}")
+# The same class, arranged so that a usual character is ruled out in two steps: low ones by a table, others by one range.
+_LOW = "".join(rf"\x{{{code:x}}}" for code in (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0))
+_SPACE = rf"[{_LOW}[\x{{1680}}-\x{{3000}}&&[\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]]]"
 # Runs that differ from one plain space; single spaces, the usual case, are left alone.
-_UNTIDY_RUN = f"[{_ODD_SPACES}][{SPACES}]*| [{SPACES}]+"
+_UNTIDY_RUN = f"{_SPACE}(?:{_SPACE}+|(?<! ))"
 
 # What portals print where no attorney is of record.
 PLACEHOLDERS = [
@@ -64,17 +66,19 @@ _MONTH_NUMBERS = {month[:3]: str(number) for number, month in enumerate(MONTHS,
 _M = "1[0-2]|0?[1-9]"
 _D = "3[01]|[12][0-9]|0[1-9]| ?[1-9]"
 _Y = "(?!0000)[0-9]{4}"
-# The seven written forms by shape, each rewritten to year-month-day. Two-digit
-# years: 69-99 belong to the 1900s, 00-68 to the 2000s.
-_DATE_SHAPES = [
-    (f"^({_M})([/-])({_D})\\2({_Y})$", "$4-$1-$3"),
-    (f"^({_M})/({_D})/(69|[7-9][0-9])$", "19$3-$1-$2"),
-    (f"^({_M})/({_D})/([0-5][0-9]|6[0-8])$", "20$3-$1-$2"),
-    (f"^(?i)({_LONG_OR_SHORT}) ({_D}), ({_Y})$", f"$3-{_MARK}$1-$2"),
-    (f"^(?i)({_D}) ({_SHORT}) ({_Y})$", f"$3-{_MARK}$2-$1"),
-]
-_YEAR_MONTH_DAY = f"^({_Y})-({_M})-({_D})$"
-_NAMED_MONTH = f"-{_MARK}"
+# The seven written forms by shape, in one expression: the first that fits counts. Two-digit years: 69-99 belong to the
+# 1900s, 00-68 to the 2000s.
+_DATE_FORMS = (
+    "^(?:"
+    f"({_Y})-({_M})-({_D})"
+    f"|({_M})([/-])({_D})\\5({_Y})"
+    f"|({_M})/({_D})/(?:(69|[7-9][0-9])|([0-5][0-9]|6[0-8]))"
+    f"|((?i:{_LONG_OR_SHORT})) ({_D}), ({_Y})"
+    f"|({_D}) ((?i:{_SHORT})) ({_Y})"
+    ")$"
+)
+# Behind the first mark: year, year of the 1900s, year of the 2000s, month, named month, day.
+_DATE_PARTS = f"{_MARK}$1$7$14$17{_MARK}$10{_MARK}$11{_MARK}$2$4$8{_MARK}$12$16{_MARK}$3$6$9$13$15"
 
 # A suffix token may carry dots anywhere and any case: "Jr.", "J.R.", "III".
 _TOKEN = r"(?i:\.*(?:{})\.*)".format(
@@ -135,19 +139,19 @@ def normalize_date(value: Column) -> Column:
     """
 
     def iso(text: Column) -> Column:
-        ymd = F.when(text.rlike(_YEAR_MONTH_DAY), text)
-        for shape, order in _DATE_SHAPES:  # the first shape that fits is rewritten, the others are not tried
-            ymd = ymd.when(text.rlike(shape), F.regexp_replace(text, shape, order))
-        return F.coalesce(bind(ymd, as_date), text)
+        rewritten = bind(F.regexp_replace(text, _DATE_FORMS, _DATE_PARTS), lambda form: F.when(F.startswith(form, F.lit(_MARK)), as_date(form)))
+        return F.coalesce(rewritten, text)
 
-    def as_date(ymd: Column) -> Column:
-        month = F.lower(F.substring(ymd, 7, 3))
+    def as_date(form: Column) -> Column:
         numbers = F.create_map(*[F.lit(part) for item in _MONTH_NUMBERS.items() for part in item])
-        numbered = F.concat(
-            F.substring(ymd, 1, 5), F.try_element_at(numbers, month), F.lit("-"), F.substring_index(ymd, "-", -1)
-        )
-        date = F.when(ymd.rlike(_YEAR_MONTH_DAY), ymd).when(F.contains(ymd, F.lit(_NAMED_MONTH)), numbered)
-        return F.replace(date, F.lit(" "), F.lit("")).try_cast("date").cast("string")
+
+        def joined(parts: Column) -> Column:
+            year, late, early, month, name, day = (F.get(parts, F.lit(at)) for at in range(1, 7))
+            century = F.when(late != "", "19").when(early != "", "20").otherwise("")
+            numbered = F.when(name == "", month).otherwise(F.try_element_at(numbers, F.lower(F.substring(name, 1, 3))))
+            return F.concat(century, year, late, early, F.lit("-"), numbered, F.lit("-"), F.ltrim(day))
+
+        return bind(F.split(form, _MARK), joined).try_cast("date").cast("string")
 
     return bind(clean_text(value), iso)
 
@@ -192,7 +196,11 @@ def split_stacked(value: Column) -> Column:
 def format_event(event: Column) -> Column:
     """``<date> — <description> [<location>]``, without dangling dashes or empty brackets."""
     date, description = (F.coalesce(event[part], F.lit("")) for part in ("date", "description"))
-    text = F.btrim(F.concat(date, F.lit(" — "), description), F.lit(" —"))
+    whole = F.concat(date, F.lit(" — "), description)
+    dangling = (date == "") | (description == "")
+    for end in (" ", "—"):
+        dangling = dangling | F.startswith(date, F.lit(end)) | F.endswith(description, F.lit(end))
+    text = F.when(dangling, F.btrim(whole, F.lit(" —"))).otherwise(whole)
     place = F.when(event["location"] != "", F.concat(F.lit(" ["), event["location"], F.lit("]"))).otherwise("")
     return clean_text(F.concat(text, place))
 

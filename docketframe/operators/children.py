@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 CHUNK = 1024
 
 
-def rendered_events(events: DataFrame, keys: list[str], place: str, run: str | None = None) -> DataFrame:
+def rendered_events(events: DataFrame, keys: list[str], place: str, run: str | None = None, together: bool = False) -> DataFrame:
     """``events_primary`` and ``events_cont`` per parent from rows with ``date, description, location``.
 
     ``place`` is a non-negative integer order; equal places are put in text
@@ -19,6 +19,9 @@ def rendered_events(events: DataFrame, keys: list[str], place: str, run: str | N
     column ``run`` that orders like ``place``; where ``events`` is already
     partitioned by keys and run, this step moves nothing. What comes out per
     parent is one cell of text; that cell is the only thing built whole.
+
+    With ``together``, ``events`` is partitioned by keys already: a parent's
+    rows lie in one task whatever is done, so they are joined in one step.
     """
     from docketframe.functions.text import format_event
 
@@ -26,6 +29,10 @@ def rendered_events(events: DataFrame, keys: list[str], place: str, run: str | N
     part = F.floor(F.col(place) / CHUNK) if run is None else F.col(run)
     shown = events.select(*keys, part.alias("run"), F.col(place).alias("place"), line.alias("line"))
     shows = F.when(F.col("line") != "", F.struct("place", "line"))  # blank events are no events
+    others = F.array_join(F.slice("lines.line", F.lit(2), F.size("lines")), "; ")
+    if together:
+        cells = shown.groupBy(*keys).agg(F.sort_array(F.collect_list(shows)).alias("lines")).where(F.size("lines") > 0)
+        return cells.select(*keys, F.element_at("lines", 1)["line"].alias("events_primary"), others.alias("events_cont"))
     runs = (
         shown.groupBy(*keys, "run")
         .agg(F.sort_array(F.collect_list(shows)).alias("lines"))
@@ -34,7 +41,7 @@ def rendered_events(events: DataFrame, keys: list[str], place: str, run: str | N
             *keys,
             "run",
             F.element_at("lines", 1)["line"].alias("head"),
-            F.array_join(F.slice("lines.line", F.lit(2), F.size("lines")), "; ").alias("tail"),
+            others.alias("tail"),
             F.size("lines").alias("n"),
         )
     )

@@ -159,3 +159,12 @@ def test_positions_are_read_back_by_column(spark):
     assert [tuple(r) for r in got] == [(at, *pair) for at, pair in enumerate(sorted((f"N-{n % 7}", f"L{n}") for n in range(40)))]
     plan = placed.select("position", "case_number")._jdf.queryExecution().executedPlan().toString()
     assert "case_number" in plan and "events_primary" not in plan
+
+
+def test_events_that_lie_together_give_the_same_cells(spark):
+    shape = "parent int, place int, date string, description string, location string"
+    data = [(n % 5, n % 4, "" if n % 3 else "2024-01-01", "" if n % 3 else f"d{n % 6}", "") for n in range(60)] + [(9, 0, "", "", "")]
+    df = spark.createDataFrame(data, shape)
+    apart = children.rendered_events(df, ["parent"], "place")
+    together = children.rendered_events(df.repartition("parent"), ["parent"], "place", together=True)
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, together.collect())) and apart.count() == 5

@@ -70,8 +70,8 @@ def flat_events(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
 
 
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = flat_events(spark, sf_dir)  # all of an order in one place, so that neither step moves anything more
-    return children.rendered_events(items, ["o_orderkey"], "line_place", run="line_place")
+    items = flat_events(spark, sf_dir)  # all of an order in one place, so that gathering them moves nothing more
+    return children.rendered_events(items, ["o_orderkey"], "line_place", together=True)
 
 
 def listed_parties() -> F.Column:
@@ -103,16 +103,12 @@ def listed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attorney rows of all orders; event text is made per item and gathered per order, then joined to the case."""
+    """Attorney rows of all orders; event text is made per item and gathered per order, then joined to the case.
+
+    Text of the case is made once per case; only then is the case repeated per pair.
+    """
     heads = case_heads(spark, sf_dir, "o_orderkey")
-    pairs = rows.listed_pairs(listed_parties())
-    exploded = heads.join(event_cells(spark, sf_dir), "o_orderkey", "left").select(
-        "*", F.posexplode_outer(pairs).alias("pair_pos", "pair")
-    )
-    order = rows.first_seen_order(
-        F.col("county_ord"), F.col("block"), F.col("block_pos"), F.coalesce("pair_pos", F.lit(0))
-    )
-    return exploded.withColumn("name", tx.split_name(F.col("pair.line"))).select(
+    cases = heads.join(event_cells(spark, sf_dir), "o_orderkey", "left").select(
         "county_key",
         "case_ref",
         tx.clean_text(F.col("county")).alias("county"),
@@ -122,6 +118,27 @@ def flat_case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case_type",
         "status",
         F.coalesce("court_raw", F.lit(raw.DEFAULT_COURT)).alias("court"),
+        "events_primary",
+        "events_cont",
+        "county_ord",
+        "block",
+        "block_pos",
+        rows.listed_pairs(listed_parties()).alias("pairs"),
+    )
+    exploded = cases.select("*", F.posexplode_outer("pairs").alias("pair_pos", "pair")).drop("pairs")
+    order = rows.first_seen_order(
+        F.col("county_ord"), F.col("block"), F.col("block_pos"), F.coalesce("pair_pos", F.lit(0))
+    )
+    return exploded.withColumn("name", tx.split_name(F.col("pair.line"))).select(
+        "county_key",
+        "case_ref",
+        "county",
+        "case_number",
+        "case_name",
+        "filing_date",
+        "case_type",
+        "status",
+        "court",
         "name.*",
         tx.clean_text(F.col("pair.role")).alias("party_role"),
         "events_primary",
