@@ -6,6 +6,7 @@ from docketframe.operators import children, refs, rows
 from docketframe.plans import jobs
 from docketframe.schema import CASES_DDL, OUTPUT_COLUMNS, ROW_COLUMNS
 from docketframe.sources import csv_sink
+from workloads import queries
 
 
 def case(number="N-1", parties=(), events=(), place=(0, 0, 0), county="C"):
@@ -168,3 +169,10 @@ def test_events_that_lie_together_give_the_same_cells(spark):
     apart = children.rendered_events(df, ["parent"], "place")
     together = children.rendered_events(df.repartition("parent"), ["parent"], "place", together=True)
     assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, together.collect())) and apart.count() == 5
+
+
+def test_parts_are_dealt_to_all_tasks_before_their_pages_are_made(spark, tmp_path):
+    spark.createDataFrame([(n,) for n in range(100)], "p_partkey bigint").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    parts = queries._spread_parts(spark, str(tmp_path))
+    assert parts.select(F.spark_partition_id().alias("task")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.p_partkey for r in parts.collect()) == list(range(100))

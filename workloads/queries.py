@@ -461,6 +461,14 @@ def page_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].unionByName(both[1]).select("kind", "county_key", "page_key", F.coalesce("fault", F.lit("")).alias("fault"))
 
 
+def _spread_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of all parts, dealt out while narrow: in their small file they are one task's, and so would be the pages made of them.
+
+    The number of partitions is named, since keys alone are so few bytes that adaptive execution would put them together again.
+    """
+    return table(spark, sf_dir, "part").select("p_partkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+
+
 def unclosed_and_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages per part without most end tags, with tables in cells, blocks in blocks and end tags that end nothing."""
     key = F.col("p_partkey").cast("string")
@@ -474,7 +482,7 @@ def unclosed_and_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.repeat(F.concat(F.lit("<div class=party data-role=r><div></div></span><span class=party-name>"), key, F.lit("</span><ul class=attorneys><li>A B<li>C <i>D</ul></div>")), n),
         F.lit("</section><div class=party><span class=party-name>none</span></div>"),
     )
-    pages = table(spark, sf_dir, "part").select(
+    pages = _spread_parts(spark, sf_dir).select(
         F.explode(F.array(F.struct(F.lit("n0").alias("county_key"), grid.alias("html")), F.struct(F.lit("n1").alias("county_key"), block.alias("html")))).alias("page"),
         key.alias("page_key"),
     ).select("page.county_key", "page_key", "page.html")
@@ -603,7 +611,7 @@ def rows_and_attributes_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit('<section class="parties"><div class="party"'), role, F.lit('><span class="party-name">'), key, F.lit("</span></div></section>"))
     root = F.concat(F.lit('<div class="case-detail" data-case-number="'), key, F.lit('"><h1 class="case-style">s</h1></div>'))
     block = F.concat(F.when(F.col("p_partkey") % 5 > 0, root).otherwise("<p>none</p>"), body)
-    pages = table(spark, sf_dir, "part").select(
+    pages = _spread_parts(spark, sf_dir).select(
         F.explode(F.array(F.struct(F.lit("n0").alias("county_key"), grid.alias("html")), F.struct(F.lit("n1").alias("county_key"), block.alias("html")))).alias("page"),
         key.alias("page_key"),
     ).select("page.county_key", "page_key", "page.html")
