@@ -117,11 +117,14 @@ def visit(refs: DataFrame, records: DataFrame, counties: list[dict], keep_all: b
 
     ``records`` are extracted pages: pages are read where they lie and only the
     records are shuffled, never the HTML. ``keep_all`` also returns missing and
-    failed ones.
+    failed ones. Where ``refs`` say which version of its page landed ``last``,
+    ``records`` may hold others too; they are left out as records are met.
     """
     known = with_case_page(refs, counties)
     found = records.withColumn("found", F.lit(True))
     visited = known.join(found, ["county_key", "page_key"], "left" if keep_all else "inner")
+    if "last" in refs.columns and "landed" in records.columns:
+        visited = visited.where("found is null or landed = last")
     state = (
         F.when(F.col("found").isNull(), "missing").when(F.col("error").isNotNull(), "failed").otherwise("ok")
     )

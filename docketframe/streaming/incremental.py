@@ -70,9 +70,13 @@ class State:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).option("basePath", f"{self.root}/{name}").parquet(*paths).drop("batch")
 
-    def write(self, df: DataFrame, name: str, batch: int) -> DataFrame:
-        """One batch's part of a table, replaced if it was there, and read back."""
-        df.write.mode("overwrite").partitionBy("bucket").parquet(self.folder(name, batch))
+    def write(self, df: DataFrame, name: str, batch: int, whole: bool = False) -> DataFrame:
+        """One batch's part of a table, replaced if it was there, and read back.
+
+        What only this batch reads, and reads ``whole``, is not dealt to folders: no sort, and a file a task instead of one a bucket.
+        """
+        written = df.write.mode("overwrite")
+        (written if whole else written.partitionBy("bucket")).parquet(self.folder(name, batch))
         return self.spark.read.schema(df.schema).parquet(self.folder(name, batch))
 
     def buckets(self) -> int | None:
@@ -109,22 +113,24 @@ def process_batch(state: State, batch: DataFrame, number: int, counties: list[di
     """One batch of landed pages (with ``landed``). Running it again replaces what it wrote."""
     ledger = state.ledger(before=number)
     listed = refs.with_case_page(refs.first_seen(refs.listed_refs(batch, counties, listing)), counties)
-    new_refs = state.write(listed.select("county_key", "case_ref", "page_key", "page_ord", "ref_pos", _bucket(buckets)), "new_refs", number)
-    new_records = state.write(extract_cases(batch, counties).select("*", _bucket(buckets)), "new_records", number)
+    new_refs = state.write(listed.select("county_key", "case_ref", "page_key", "page_ord", "ref_pos", _bucket(buckets)), "new_refs", number, whole=True)
+    new_records = state.write(extract_cases(batch, counties).select("*", _bucket(buckets)), "new_records", number, whole=True)
     touched = _touched(new_refs, new_records)
     known = _merged_refs(state.latest("refs", ledger, _REFS, touched), new_refs)
     ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new_records.schema.fields)
     landed = state.latest("records", ledger, ddl, touched).unionByName(new_records)
     newest = _newest(landed)
     new_state = F.when(F.col("state") == "ok", "ok").otherwise(F.coalesce("now", "state"))
-    told = known.join(newest.drop("last"), _KEY, "left")
+    told = known.join(newest, _KEY, "left")
     told = told.withColumn("fresh", (F.col("now") == "ok") & ~F.col("state").eqNullSafe("ok")).withColumn("state", new_state).drop("now")
-    told = state.write(told, "refs", number)
+    told = told.withColumn("last", F.when(F.col("fresh"), F.col("last")))
+    told = state.write(told.hint("rebalance", "bucket"), "refs", number)
     done = told.where("state = 'ok'").select(*_KEY).distinct()
     left = newest.join(done, _KEY, "left_anti")  # failed ones too: their listing may come later
+    left = state.write(left, "left", number, whole=True)  # written first, so that few or none move no record
     waiting = state.write(_versions(landed, left), "records", number)
-    fresh = told.where("fresh").select("county_key", "case_ref", "page_ord", "ref_pos")
-    rows.listed_case_rows(refs.visit(fresh, _versions(landed, newest), counties)).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
+    fresh = told.where("fresh").select("county_key", "case_ref", "page_ord", "ref_pos", "last")  # whole records move once
+    rows.listed_case_rows(refs.visit(fresh, landed, counties)).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
 
     lines = {key: wrote for key, wrote in ledger.items() if key[1] not in touched}
     for name, frame in (("refs", told), ("records", waiting)):

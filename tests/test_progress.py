@@ -3,7 +3,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from docketframe.operators import refs, summary
+from docketframe.operators import extract, refs, summary
 from docketframe.plans import jobs
 from docketframe.sources import pages as page_source
 from docketframe.sources import progress
@@ -253,3 +253,29 @@ def test_versions_are_told_apart_without_what_the_pages_hold(spark, tmp_path):
     assert sorted((r.county_key, r.page_key, r.now) for r in newest.collect()) == [("a", "1", "failed"), ("a", "2", "ok"), ("b", "1", "ok")]
     found = incremental._versions(records, newest)
     assert sorted((r.county_key, r.page_key, r.bucket, r.parties) for r in found.collect()) == [("a", "1", 0, "new"), ("a", "2", 1, "only"), ("b", "1", 2, "other")]
+
+
+def test_what_one_batch_reads_whole_is_not_dealt_to_buckets(spark, tmp_path):
+    county = {**sample.BLOCK, "search_pages": ["p0"]}
+    counties, state = load_counties([county]), incremental.State(spark, str(tmp_path / "state"))
+    names = [f"R{i}" for i in range(40)]
+    pages = [("sorrel", "case", f"{name}.html", sample.block_page(name, "x", [], [("Claimant", "x", ["Ann Lee"])], [])) for name in names]
+    rows = [("sorrel", "search", "p0.html", sample.card_page(names[:30])), *pages]
+    batch = spark.createDataFrame(rows, schema_of_landed).withColumn("landed", F.struct(F.lit(1).alias("time"))).coalesce(2)
+    incremental.process_batch(state, batch, 0, counties, search_pages_frame(spark, counties), str(tmp_path / "rows"), 64)
+    tables = tmp_path / "state" / "tables"
+    for name in ("new_refs", "new_records", "left"):
+        assert not list((tables / name / "batch=0").glob("bucket=*")), name
+    assert len(list((tables / "new_records" / "batch=0").glob("part-*.parquet"))) <= 2
+    assert incremental.added_rows(spark, str(tmp_path / "rows"), str(tmp_path / "state")).count() == 30
+    assert spark.read.parquet(str(tables / "records" / "batch=0")).count() == 10  # wait for their listing
+
+
+def test_versions_are_told_apart_where_records_meet_their_references(spark):
+    counties = load_counties([sample.BLOCK])
+    page = lambda name, status: sample.block_page(name, "x", [("Status", status)], [], [])
+    rows = [("sorrel", "R0.html", page("R0", "new"), 2), ("sorrel", "R0.html", page("R0", "old"), 1), ("sorrel", "R1.html", page("R1", "only"), 1)]
+    records = extract.extract_cases(spark.createDataFrame(rows, "county_key string, page_key string, html string, landed int"), counties)
+    listed = spark.createDataFrame([("sorrel", "R0", 0, 0, 2), ("sorrel", "R1", 0, 1, 1)], "county_key string, case_ref string, page_ord int, ref_pos int, last int")
+    found = refs.visit(listed, records, counties)
+    assert sorted((r.case_ref, r.status) for r in found.collect()) == [("R0", "new"), ("R1", "only")]
