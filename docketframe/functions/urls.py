@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docketframe.functions.text import bind
+
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 
 
@@ -15,8 +17,7 @@ def page_key(url: Column) -> Column:
     """
     path = F.regexp_replace(F.regexp_extract(url, _PATH, 1), r";[^/]*$", "")
     name = F.substring_index(F.regexp_replace(path, r"(?:/\.?)+$", ""), "/", -1)
-    named = F.when(name == "", "index").otherwise(name)
-    return F.when(named.endswith(".html"), named).otherwise(F.concat(named, F.lit(".html")))
+    return bind(name, lambda name: F.when(name == "", "index.html").when(name.endswith(".html"), name).otherwise(F.concat(name, F.lit(".html"))))
 
 
 def search_url(base_url: Column, page: Column) -> Column:

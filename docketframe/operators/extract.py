@@ -93,7 +93,10 @@ def question_frames(spark: SparkSession, counties: list[dict], step: str) -> lis
 
 def _raw_fault(html: Column) -> Column:
     """What can be told of a page before it is read."""
-    cut_off = (F.rlike(html, F.lit(r"(?i)<html[\s>]")) & ~F.rlike(html, F.lit(r"(?i)</html\s*>"))) | F.rlike(html, F.lit(r"<[A-Za-z/!][^<>]*\z"))
+    ended = F.endswith(html, F.lit("</html>")) | F.rlike(html, F.lit(r"(?i)</html\s*>"))  # the usual end is looked for first
+    last = F.substring_index(html, "<", -1)
+    inside_tag = (F.octet_length(last) < F.octet_length(html)) & F.rlike(last, F.lit(r"^[A-Za-z/!][^>]*\z"))
+    cut_off = (F.rlike(html, F.lit(r"(?i)<html[\s>]")) & ~ended) | inside_tag
     return F.when(html.isNull(), "empty").when(F.contains(html, F.lit("\ufffd")), "undecodable").when(cut_off, "truncated")
 
 

@@ -340,3 +340,22 @@ def test_pages_asked_the_same_take_less_time_together():
 
     alone = min(seconds(lambda: markup._columns([markup.read_elements(page, json.loads(question)) for _ in range(2000)])) for _ in range(3))
     assert min(seconds(lambda: markup.select.func(html, questions)) for _ in range(3)) < 0.7 * alone
+
+
+def test_faults_of_odd_ends(spark):
+    random = Random(5)
+    bits = ["<html>", "<HTML ", "</html>", "</html >", "</HTML>", "<", "<b", ">", "</", "<!", "x", " ", "\n", "<a b='<'", "é", "<1", "\r"]
+    pages = spark.createDataFrame([("".join(random.choices(bits, k=at % 8)),) for at in range(2000)], "html string")
+    open_root, ended = F.rlike("html", F.lit(r"(?i)<html[\s>]")), F.rlike("html", F.lit(r"(?i)</html\s*>"))
+    wanted = F.when((open_root & ~ended) | F.rlike("html", F.lit(r"<[A-Za-z/!][^<>]*\z")), "truncated")
+    assert pages.where(~extract._raw_fault(F.col("html")).eqNullSafe(wanted)).count() == 0
+
+
+def test_a_page_key_is_worked_out_once(spark):
+    from docketframe.functions import urls
+
+    made = urls.page_key(F.col("url"))
+    pages = spark.createDataFrame([("https://h/a/b.html;x?q",), ("//h/./",), ("c",), (None,)], "url string").select(made.alias("key"))
+    assert [r.key for r in pages.collect()] == ["b.html", "index.html", "c.html", None]
+    plan = pages._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1
