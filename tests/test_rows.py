@@ -176,3 +176,19 @@ def test_parts_are_dealt_to_all_tasks_before_their_pages_are_made(spark, tmp_pat
     parts = queries._spread_parts(spark, str(tmp_path))
     assert parts.select(F.spark_partition_id().alias("task")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert sorted(r.p_partkey for r in parts.collect()) == list(range(100))
+
+
+def test_an_export_starts_from_stored_rows_and_keeps_no_other_shuffle(spark, tmp_path):
+    from docketframe.session import SHUFFLE_CLEANUP
+
+    cases = [case(f"N-{at % 7}", [("p", "Plaintiff", [attorney("Ann", f"L{at % 3}")])], place=(0, 0, at)) for at in range(30)]
+    made = rows.nested_case_rows(frame(spark, *cases))
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    stored = jobs.finish(made, stored=True)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan and "HashAggregate" not in plan
+    wanted = [tuple(r) for r in jobs.finish(made).collect()]
+    assert [tuple(r) for r in stored.collect()] == wanted and len(wanted) == 21
+    back = csv_sink.write_csv(stored, str(tmp_path / "csv"))
+    assert sorted(map(tuple, back.collect())) == sorted(wanted)
