@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from docketframe.session import shuffles_removed
+
 # Quotes are doubled, empty cells stay empty, spaces at the ends are kept.
 CSV_OPTIONS = {
     "header": "true",
@@ -19,6 +21,7 @@ def write_csv(table: DataFrame, path: str) -> DataFrame:
 
     Returns the table read back from what was written.
     """
-    table.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    with shuffles_removed(table.sparkSession):
+        table.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     written = table.sparkSession.read.schema(table.schema).options(**CSV_OPTIONS).csv(path)
     return written.na.fill("")

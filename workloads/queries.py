@@ -561,7 +561,7 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table under its exported names, as written to CSV and read back."""
-    return csv_sink.write_csv(jobs.finish(tables.flat_case_rows(spark, sf_dir)), scratch_path(spark, "csv"))
+    return csv_sink.write_csv(jobs.finish(tables.flat_case_rows(spark, sf_dir), stored=True), scratch_path(spark, "csv"))
 
 
 def csv_of_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
