@@ -179,3 +179,15 @@ def test_page_key(spark):
         "./Case/D-1": "D-1.html",
     }
     assert dict(zip(keys, apply(spark, urls.page_key, list(keys)))) == keys
+
+
+def test_a_stacked_line_needs_no_further_cleaning(spark):
+    signs = [" ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", " ", " ", "​", "　", "1/2/2020", "Jan 5, 2021", "31 DEC 1999", "x", "é"]
+    pick = random.Random(6)
+    cells = spark.createDataFrame([("".join(pick.choices(signs, k=at % 9)),) for at in range(3000)], "cell string")
+    lines = cells.select("cell", tx.split_stacked(F.col("cell")).alias("parts")).select("cell", "parts.date", "parts.location")
+    for part in ("date", "location"):
+        assert lines.where(tx.clean_text(F.col(part)) != F.col(part)).count() == 0
+    assert lines.where(~tx.normalize_clean_date(F.col("date")).eqNullSafe(tx.normalize_date(F.col("date")))).count() == 0
+    whole = F.concat_ws(" ", F.filter(F.array("date", "location"), lambda part: part != ""))
+    assert lines.where(whole != tx.clean_text(F.col("cell"))).count() == 0
