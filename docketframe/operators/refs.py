@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,5 +157,14 @@ def only_pages_of(refs: DataFrame, pages: DataFrame, counties: list[dict]) -> tu
     refs = materialize(refs)
     keys = with_case_page(refs, counties).select("page_key").distinct()
     cut = keys.repartitionByRange(RANGES, "page_key").groupBy(F.spark_partition_id()).agg(F.min("page_key").alias("low"), F.max("page_key").alias("high"))
-    tests = [F.col("page_key").between(row["low"], row["high"]) for row in cut.orderBy("low").collect()]
-    return refs, pages.where(reduce(Column.__or__, tests, F.lit(False)))
+    ranges = [(row["low"], row["high"]) for row in cut.where("low is not null").orderBy("low").collect()]
+    return refs, pages.where(_in_ranges(F.col("page_key"), ranges))
+
+
+def _in_ranges(key: Column, ranges: list[tuple[str, str]]) -> Column:
+    """True where ``key`` lies in one of some ranges in order, by halving them: a key that is derived is worked out a few times, not once a range."""
+    if len(ranges) < 2:
+        return key.between(*ranges[0]) if ranges else F.lit(False)
+    half = len(ranges) // 2
+    low = ranges[half][0]
+    return ((key < low) & _in_ranges(key, ranges[:half])) | ((key >= low) & _in_ranges(key, ranges[half:]))

@@ -279,3 +279,14 @@ def test_versions_are_told_apart_where_records_meet_their_references(spark):
     listed = spark.createDataFrame([("sorrel", "R0", 0, 0, 2), ("sorrel", "R1", 0, 1, 1)], "county_key string, case_ref string, page_ord int, ref_pos int, last int")
     found = refs.visit(listed, records, counties)
     assert sorted((r.case_ref, r.status) for r in found.collect()) == [("R0", "new"), ("R1", "only")]
+
+
+def test_ranges_of_keys_are_halved(spark):
+    keys = spark.range(1000).select(F.format_string("%04d", "id").alias("key"))
+    for n in (0, 1, 2, 7, 64):
+        ranges = [(f"{at * 15:04d}", f"{at * 15 + at % 9:04d}") for at in range(n)]
+        wanted = {f"{at * 15 + more:04d}" for at in range(n) for more in range(at % 9 + 1)}
+        assert {r.key for r in keys.where(refs._in_ranges(F.col("key"), ranges)).collect()} == wanted
+    assert spark.createDataFrame([(None,)], "key string").where(refs._in_ranges(F.col("key"), ranges)).count() == 0
+    plan = keys.where(refs._in_ranges(F.col("key"), ranges[:8]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("0060") < plan.index("0015")  # the middle is asked first

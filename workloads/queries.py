@@ -420,12 +420,11 @@ def attorney_rows_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _faulty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of orders in progress are missing, urgent ones have no content."""
-    marked = table(spark, sf_dir, "orders").selectExpr(
-        f"concat({raw.CASE_REF}, '.html') AS page_key", "o_orderstatus", "o_orderpriority"
-    )
-    cases = tables.case_pages(spark, sf_dir).join(marked, "page_key").where("o_orderstatus <> 'P'")
+    marked = table(spark, sf_dir, "orders").selectExpr(f"{raw.CASE_REF} AS case_ref", "o_orderstatus", "o_orderpriority")
+    heads = tables.case_heads(spark, sf_dir).join(marked, "case_ref").where("o_orderstatus <> 'P'")  # before their pages are made
+    cases = tables.case_pages(spark, sf_dir, heads, keep=["o_orderpriority"])
     faulty = cases.withColumn("html", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("html")))
-    return faulty.drop("o_orderstatus", "o_orderpriority").unionByName(tables.result_pages(spark, sf_dir))
+    return faulty.drop("o_orderpriority").unionByName(tables.result_pages(spark, sf_dir))
 
 
 def quarantine_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

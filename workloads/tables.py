@@ -175,8 +175,11 @@ def _wrapped(lines: F.Column, before: str, after: str) -> F.Column:
     return F.transform(lines, lambda line: F.concat(F.lit(before), line, F.lit(after)))
 
 
-def case_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A detail page per order, in the layout of its county. Each page holds its own items only."""
+def case_pages(spark: SparkSession, sf_dir: str, cases: DataFrame | None = None, keep: list[str] = []) -> DataFrame:
+    """A detail page per order, in the layout of its county. Each page holds its own items only.
+
+    ``cases`` are some of :func:`case_heads`, chosen before their pages are made; ``keep`` names columns of them to carry along.
+    """
     grid = F.col("block_layout") == 0
     items = raw_events(spark, sf_dir)
     grid_event = F.concat(
@@ -223,15 +226,17 @@ def case_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</section></div></main></body></html>"),
     )
     no_events = F.array().cast("array<struct<grid:string,block:string>>")
-    heads = case_heads(spark, sf_dir, "o_orderkey").withColumn("block_layout", F.col("county_ord") % 2)
+    heads = case_heads(spark, sf_dir, "o_orderkey") if cases is None else cases
     return (
-        heads.join(events, "o_orderkey", "left")
+        heads.withColumn("block_layout", F.col("county_ord") % 2)
+        .join(events, "o_orderkey", "left")
         .withColumn("events", F.coalesce("events", no_events))
         .select(
             "county_key",
             F.concat("case_ref", F.lit(".html")).alias("page_key"),
             F.lit("case").alias("kind"),
             F.when(grid, grid_html).otherwise(block_html).alias("html"),
+            *keep,
         )
     )
 
